@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_groups
+from .token_output import token_digests
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +16,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_exact_dedup": op10_exact_dedup}
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as sorted-string-table shards and read back."""
+    import public_tokenizers
+
+    return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op9_token_output": op9_token_output, "op10_exact_dedup": op10_exact_dedup}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
