@@ -10,6 +10,7 @@ from .common import table
 from .exact_dedup import exact_groups
 from .langid import identify
 from .minhash import near_groups
+from .secrets import secret_digests
 from .token_output import token_digests
 
 
@@ -23,6 +24,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at a similarity of 0.85."""
     return near_groups(table(spark, sf_dir, "documents"))
@@ -35,7 +41,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_language_id": op1_language_id, "op6_minhash_dedup": op6_minhash_dedup, "op9_token_output": op9_token_output, "op10_exact_dedup": op10_exact_dedup}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_language_id": op1_language_id, "op3_secret_scan": op3_secret_scan, "op6_minhash_dedup": op6_minhash_dedup, "op9_token_output": op9_token_output, "op10_exact_dedup": op10_exact_dedup}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
