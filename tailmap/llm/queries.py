@@ -10,6 +10,7 @@ from .common import table
 from .exact_dedup import exact_groups
 from .langid import identify
 from .minhash import near_groups
+from .pii import pii_digests
 from .secrets import secret_digests
 from .token_output import token_digests
 
@@ -34,6 +35,11 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii_digests(table(spark, sf_dir, "documents"))
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as sorted-string-table shards and read back."""
     import public_tokenizers
@@ -41,7 +47,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_language_id": op1_language_id, "op3_secret_scan": op3_secret_scan, "op6_minhash_dedup": op6_minhash_dedup, "op9_token_output": op9_token_output, "op10_exact_dedup": op10_exact_dedup}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_language_id": op1_language_id, "op3_secret_scan": op3_secret_scan, "op6_minhash_dedup": op6_minhash_dedup, "op8_pii": op8_pii, "op9_token_output": op9_token_output, "op10_exact_dedup": op10_exact_dedup}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
