@@ -5,19 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_groups
 from .langid import identify
 from .minhash import near_groups
+from .mixing import mix
 from .pii import pii_digests
 from .secrets import secret_digests
 from .token_output import token_digests
-
-
-def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact dedup of all documents by chunk recipes."""
-    return exact_groups(table(spark, sf_dir, "documents"))
+from .topk import search
+from .url_filter import filter_urls
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +29,26 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best by inner product for every vector whose id is divisible by 100."""
+    return search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at a similarity of 0.85."""
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a mix of all documents takes of each."""
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii_digests(table(spark, sf_dir, "documents"))
@@ -47,11 +61,72 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_language_id": op1_language_id, "op3_secret_scan": op3_secret_scan, "op6_minhash_dedup": op6_minhash_dedup, "op8_pii": op8_pii, "op9_token_output": op9_token_output, "op10_exact_dedup": op10_exact_dedup}
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact dedup of all documents by chunk recipes."""
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (op1_language_id, op3_secret_scan, op4_url_filter, op5_topk_search, op6_minhash_dedup, op7_source_mix, op8_pii, op9_token_output, op10_exact_dedup)
+}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: The alias graph is walked from every explicit decision; see ``url_filter`` for what the parts mean.
+_URL_SQL = r"""
+    with recursive raw as (
+        select page_id, url, html from pages),
+    links as (
+        select url as src, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*[\x22\x27]?canonical\b[^>]*>', 0), '(?is)\bhref\s*=\s*[\x22\x27]?([^\x22\x27\s>]+)', 1) as target from raw
+        union all
+        select url, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\x22\x27]?refresh\b[^>]*>', 0), '(?is)\burl\s*=\s*[\x22\x27]?([^\x22\x27\s>]+)', 1) from raw),
+    whole as (
+        select src, case when regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') then target
+                         when starts_with(target, '//') then 'http:' || target
+                         when starts_with(target, '/') then 'http://' || regexp_extract(src, '://([^/?#]*)', 1) || target
+                         else 'http://' || regexp_extract(src, '://([^/?#]*)', 1)
+                              || case when regexp_extract(src, '://[^/?#]*([^?#]*/)', 1) = '' then '/' else regexp_extract(src, '://[^/?#]*([^?#]*/)', 1) end || target end as dst
+        from links where target <> ''),
+    urls as (
+        select distinct url from (select url from raw union all select src from whole union all select dst from whole)),
+    rest as (
+        select url, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as r from urls),
+    parts as (
+        select url, translate(regexp_extract(r, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+               regexp_extract(r, '^[^/?#]*([^?#]*)', 1) as path, regexp_extract(r, '^[^?#]*\?([^#]*)', 1) as query from rest),
+    ruled as (
+        select url, host, path,
+               case when host <> '' then host || regexp_replace(path, '/+\z', '') || case when kept <> '' then '?' || kept else '' end end as node,
+               case when (host = 'www.example.com' or ends_with(host, '.www.example.com')) and starts_with(path, '/en/') then 'www.example.com/en/'
+                    when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/') then 'example.com/en/'
+                    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/fr/') then 'net/fr/'
+                    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/'
+                    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/') then 'com/' end as rule
+        from (select *, array_to_string(list_filter(string_split(query, '&'), lambda p: p <> '' and not regexp_matches(p, '^(utm_[a-z]+|ref|gclid|fbclid)(=|\z)')), '&') as kept from parts)),
+    said as (
+        select *, case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block' end as verdict from ruled),
+    edges as (
+        select distinct a.node as u, b.node as v from whole join said a on a.url = src join said b on b.url = dst where a.node <> b.node),
+    reach as (
+        select node, verdict from said where node is not null and verdict is not null
+        union
+        select case when e.u = reach.node then e.v else e.u end, reach.verdict from reach join edges e on reach.node in (e.u, e.v)),
+    alias as (
+        select node, min(verdict) as verdict from reach group by node)
+    select page_id, coalesce(s.host, '') as host, coalesce(s.path, '') as path, s.rule, coalesce(s.verdict, a.verdict, 'allow') as verdict,
+           s.rule is null and a.verdict is not null as propagated
+    from raw left join said s on s.url = raw.url left join alias a on a.node = s.node"""
+
+_VECTORS = "select vec_id, list_transform(embedding, lambda x: floor(1024.0 * x::double)::double) as v from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
 ORACLES: dict[str, str] = {
+    "op4_url_filter": _URL_SQL,
+    "op5_topk_search": f"""
+        with v as ({_VECTORS}),
+        pairs as (select q.vec_id as query_id, x.vec_id, list_dot_product(q.v, x.v)::bigint as score from v q join v x on q.vec_id <> x.vec_id where q.vec_id % 100 = 0)
+        select query_id, rank::integer as rank, vec_id, score
+        from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs) where rank <= 10""",
     "op10_exact_dedup": f"""
         select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
                doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
