@@ -12,6 +12,7 @@ from .exact_dedup import exact_groups
 from .langid import identify
 from .minhash import near_groups
 from .mixing import mix
+from .pieces import Model, encode_decode
 from .pii import pii_digests
 from .secrets import secret_digests
 from .token_output import token_digests
@@ -24,6 +25,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and the checksum of the text that they are decoded to."""
+    import public_tokenizers
+
+    return encode_decode(table(spark, sf_dir, "documents"), Model.load(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secret_digests(table(spark, sf_dir, "documents"))
@@ -68,7 +76,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op3_secret_scan, op4_url_filter, op5_topk_search, op6_minhash_dedup, op7_source_mix, op8_pii, op9_token_output, op10_exact_dedup)
+    for f in (op1_language_id, op2_sentencepiece, op3_secret_scan, op4_url_filter, op5_topk_search, op6_minhash_dedup, op7_source_mix, op8_pii, op9_token_output, op10_exact_dedup)
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
