@@ -10,8 +10,10 @@ left to solve are short segments, few of which are new.  Every distinct segment
 
 The fold depends on the model.  For unigram models it is Viterbi's: the best sum of scores at every position.  A BPE model
 merges instead: the best-ranked edge that joins two neighbours of the current path, the leftmost of equals, is taken until
-none is left, and the positions that are still borders are a bit mask.  Viterbi's path over a BPE model's ranks is another
-one than the library's, so ``encode`` takes the fold from its caller.  Segments with more characters than a mask has bits are
+none is left, and the positions that are still borders are a bit mask.  One pass over the edges in their order does that
+unless a merge makes a better edge possible than itself; only edges marked late can be such, the pass looks at these after
+every merge, and the segments where it happens start from the best edge again after every merge.  Viterbi's path over a BPE
+model's ranks is another one than the library's, so ``encode`` takes the fold from its caller.  Segments with more characters than a mask has bits are
 merged by a worker with the same rule.
 
 Segments that are frequent, ``COMMON`` at most, go to the workers as a broadcast; each of the others goes by a shuffle to the
@@ -25,13 +27,12 @@ a row each; an empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,19 +42,19 @@ from .common import stored
 SPACE = "▁"
 #: Most frequent segments that are broadcast, text of a bucket, characters of a segment that the fold takes.
 COMMON, BUCKET_BYTES, FOLD_CHARS = 300_000, 32 << 20, 60
-#: Entries of a worker's cache of words.
-CACHE_WORDS = 400_000
+#: Distinct segments that a worker keeps before it passes them on, by a factor of a few.
+CACHE = 400_000
 
-#: An edge as one number: rank, start (6 bits), length (6 bits), id (20 bits).
-_ID_BITS, _LEN_BITS = 20, 6
-_NONE = (1 << _ID_BITS) - 1
-
-_WORDS = re.compile(" +[^ ]*").findall
+#: An edge as one number: rank, start (6 bits), length (6 bits), whether it is late (1 bit), id (20 bits).
+_ID_BITS, _LEN_BITS = 21, 6
+_LATE = 1 << 20
+_NONE = _LATE - 1
 
 
 @dataclass(frozen=True)
 class Model:
-    """The pieces of a SentencePiece model: text, id and score of the normal ones, ids of the 256 bytes (or none), unknown id."""
+    """The pieces of a SentencePiece model: text (with spaces for the space mark), id and score of the normal ones, ids of the
+    256 bytes (or none), unknown id, characters that stand together in a piece, and the most characters of one."""
 
     pieces: tuple[tuple[str, int, float], ...]
     byte_ids: tuple[int, ...]
@@ -63,6 +64,7 @@ class Model:
 
     @staticmethod
     def of(pieces: list[tuple[str, int, float]], byte_ids: list[int] = (), unknown: int = 0) -> Model:
+        pieces = [(p.replace(SPACE, " "), i, s) for p, i, s in pieces]
         pairs = frozenset(p[i : i + 2] for p, _, _ in pieces for i in range(len(p) - 1))
         return Model(tuple(pieces), tuple(byte_ids), unknown, pairs, max((len(p) for p, _, _ in pieces), default=1))
 
@@ -84,32 +86,60 @@ class Model:
         place = {s: r for r, s in enumerate(sorted({s for _, _, s in self.pieces}, reverse=True))}
         return {p: (place[s], i) for p, i, s in self.pieces}
 
+    def late(self) -> set[str]:
+        """Pieces that do not rank behind both parts of every way to join them: a merge may make a better one possible."""
+        ranks = self.ranks()
+        place = lambda p: ranks[p][0] if p in ranks and len(p) > 1 else (-1 if len(p) == 1 else None)
+        out = set()
+        for p, (rank, _) in ranks.items():
+            for i in range(1, len(p)):
+                a, b = place(p[:i]), place(p[i:])
+                if a is not None and b is not None and max(a, b) >= rank:
+                    out.add(p)
+        return out
+
     def fallback(self, char: str) -> list[int]:
         """Ids of a character without a piece."""
         return [self.byte_ids[b] for b in char.encode("utf-8", "replace")] if self.byte_ids else [self.unknown]
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """piece, id, rank, score: as many rows as the vocabulary has."""
+        """piece, id, rank, late, score: as many rows as the vocabulary has."""
         if len(self.pieces) >= _NONE:
             raise ValueError("the vocabulary is too large for an edge's bits")
-        ranks = self.ranks()
-        return spark.createDataFrame([(p, i, ranks[p][0], s) for p, i, s in self.pieces], "piece string, id int, rank int, score double")
-
-
-def words_of(text: str) -> list[str]:
-    """The words of a text, each with the spaces before it; one space is put in front."""
-    return _WORDS(" " + text.replace(SPACE, " ")) if text else []
-
-
-def cut(word: str, pairs: frozenset[str]) -> list[str]:
-    """The segments of a word."""
-    w, out, start = word.replace(" ", SPACE), [], 0
-    for i in range(1, len(w)):
-        if w[i - 1 : i + 1] not in pairs:
-            out.append(w[start:i])
-            start = i
-    out.append(w[start:])
-    return out
+        ranks, late = self.ranks(), self.late()
+        return spark.createDataFrame([(p, i, ranks[p][0], p in late, s) for p, i, s in self.pieces], "piece string, id int, rank int, late boolean, score double")
+
+
+class Cutter:
+    """Cuts texts between characters that no piece holds next to each other; spaces stand for the space mark."""
+
+    def __init__(self, pairs: frozenset[str]):
+        letters = sorted({c for p in pairs for c in p})
+        self.place = np.zeros(0x110000, dtype=np.uint16)
+        self.place[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.n = len(letters) + 1
+        self.together = np.zeros(self.n * self.n, dtype=bool)
+        for x, y in pairs:
+            self.together[int(self.place[ord(x)]) * self.n + int(self.place[ord(y)])] = True
+
+    def __call__(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All segments of texts (none is null), one after another, and the n + 1 places of the texts among them."""
+        texts = pc.replace_substring(texts, SPACE, " ")
+        texts = pc.if_else(pc.equal(texts, ""), texts, pc.binary_join_element_wise(" ", texts, ""))
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32, count=len(texts) + 1, offset=4 * texts.offset)
+        raw = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+        codes = self.place[np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)].astype(np.int32)
+        begins = np.flatnonzero((raw & 0xC0) != 0x80)  # bytes at which characters begin
+        starts = np.ones(len(codes), dtype=bool)
+        if len(codes):
+            starts[1:] = ~self.together[codes[:-1] * self.n + codes[1:]]
+        edges = offsets.astype(np.int64) - offsets[0]
+        inside = edges[edges < len(raw)]
+        starts[np.searchsorted(begins, inside)] = True
+        at = begins[starts]
+        ends = np.append(at, len(raw)).astype(np.int32)
+        segments = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends.tobytes()), pa.py_buffer(raw.tobytes()))
+        return segments, np.searchsorted(at, edges)
 
 
 def merged(segment: str, model: Model, ranks: dict[str, tuple[int, int]]) -> list[int]:
@@ -145,20 +175,24 @@ def merged(segment: str, model: Model, ranks: dict[str, tuple[int, int]]) -> lis
     return out
 
 
-def lattice(segments: DataFrame, table: DataFrame, longest: int) -> DataFrame:
+def lattice(segments: DataFrame, table: DataFrame) -> DataFrame:
     """seg, n, edges (array of bigint in the order of rank, then start), of rows seg, n with distinct segments.
 
     Every character has an edge, with the id ``_NONE`` where it has no piece.
     """
-    size = F.length("seg")
+    size, start = F.length("seg"), F.col("s")
     at = segments.select("seg", "n", F.explode(F.sequence(F.lit(1), size)).alias("s"))
-    parts = at.select("seg", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("s") + 1))).alias("len"))
+    # No piece that begins with these three characters is longer than ``reach``; other pieces are shorter than three.
+    reach = table.where("length(piece) > 2").groupBy(F.substring("piece", 1, 3).alias("head")).agg(F.max(F.length("piece")).alias("reach"))
+    at = at.join(F.broadcast(reach), F.expr("substring(seg, s, 3)") == F.col("head"), "left")
+    parts = at.select("seg", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("reach", F.lit(2)), size - start + 1))).alias("len"))
     parts = parts.select("seg", "n", "s", "len", F.expr("substring(seg, s, len)").alias("part"))
     # The table is the vocabulary, whatever the corpus: Model.table checks its size.
     found = parts.join(F.broadcast(table), F.col("part") == F.col("piece"), "left").where("id is not null or len = 1")
     rank = F.when(F.col("len") == 1, F.lit(0)).otherwise(F.col("rank")).cast("long")
     edge = F.shiftleft(rank, 2 * _LEN_BITS + _ID_BITS).bitwiseOR(F.shiftleft((F.col("s") - 1).cast("long"), _LEN_BITS + _ID_BITS))
     edge = edge.bitwiseOR(F.shiftleft(F.col("len").cast("long"), _ID_BITS)).bitwiseOR(F.coalesce("id", F.lit(_NONE)).cast("long"))
+    edge = edge.bitwiseOR(F.when(F.col("late"), F.lit(_LATE)).otherwise(F.lit(0)).cast("long"))
     return found.select("seg", "n", edge.alias("edge")).groupBy("seg", "n").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
@@ -172,7 +206,7 @@ def _spelled(tokens: str, model: Model) -> Column:
     start, _, number = _parts("t")
     if model.byte_ids:
         text = f"hex(encode(substring(seg, {start} + 1, 1), 'UTF-8'))"
-        other = f"transform(sequence(0, length({text}) div 2 - 1), i -> byte_ids[cast(conv(substring({text}, 2 * i + 1, 2), 16, 10) as int)])"
+        other = f"transform(sequence(0, length({text}) div 2 - 1), i -> array({', '.join(map(str, model.byte_ids))})[cast(conv(substring({text}, 2 * i + 1, 2), 16, 10) as int)])"
     else:
         other = f"array({model.unknown})"
     return F.expr(f"flatten(transform({tokens}, t -> if({number} = {_NONE}, {other}, array({number}))))")
@@ -184,16 +218,21 @@ def fold_merges(edges: DataFrame, model: Model) -> DataFrame:
     borders = f"shiftleft(1L, {start}) | shiftleft(1L, {start} + {size})"
     inner = f"(shiftleft(1L, {start} + {size}) - 1) & ~(shiftleft(2L, {start}) - 1)"
     shaped = f"transform(edges, e -> named_struct('edge', e, 'ends', {borders}, 'inner', {inner}))"
-    rows = edges.select("seg", "n", F.expr(shaped).alias("all"), F.lit(list(model.byte_ids) or [0]).cast("array<int>").alias("byte_ids"))
+    rows = edges.select("seg", "n", F.expr(shaped).alias("all"))
     rows = rows.select("*", F.expr("filter(all, x -> x.inner <> 0)").alias("long"))
+    rows = rows.withColumn("late", F.expr(f"filter(long, x -> (x.edge & {_LATE}) <> 0)"))
+    joins = lambda x, mask: f"(({mask}) & {x}.ends) = {x}.ends and bit_count(({mask}) & {x}.inner) = 1"
+    better = f"exists(late, y -> y.edge < x.edge and {joins('y', 'mask & ~x.inner')})"
+    once = f"aggregate(long, shiftleft(1L, length(seg) + 1) - 1, (mask, x) -> if(mask > 0 and {joins('x', 'mask')}, if({better}, -1L, mask & ~x.inner), mask))"
+    rows = rows.withColumn("once", F.expr(once))
     # The edges come best first: the first that fits a mask is the one to take.
     taken = "aggregate(long, 0L, (done, x) -> if(done = 0 and (mask & x.ends) = x.ends and bit_count(mask & x.inner) = 1, x.inner, done))"
     mask = f"aggregate(sequence(1, greatest(length(seg) - 1, 1)), shiftleft(1L, length(seg) + 1) - 1, (mask, i) -> mask & ~{taken})"
-    rows = rows.select("seg", "n", "all", "byte_ids", F.expr(mask).alias("mask"))
+    rows = rows.select("seg", "n", "all", F.expr(f"if(once > 0, once, {mask})").alias("mask"))
     path = "filter(all, x -> (mask & x.ends) = x.ends and (mask & x.inner) = 0)"
     # Without its rank an edge sorts by its start.
     tokens = f"array_sort(transform({path}, x -> x.edge & {(1 << (2 * _LEN_BITS + _ID_BITS)) - 1}))"
-    return rows.select("seg", "n", "byte_ids", F.expr(tokens).alias("tokens")).select("seg", "n", _spelled("tokens", model).alias("ids"))
+    return rows.select("seg", "n", F.expr(tokens).alias("tokens")).select("seg", "n", _spelled("tokens", model).alias("ids"))
 
 
 def fold_viterbi(edges: DataFrame, table: DataFrame, model: Model) -> DataFrame:
@@ -206,17 +245,25 @@ def fold_viterbi(edges: DataFrame, table: DataFrame, model: Model) -> DataFrame:
     scores = F.broadcast(table.agg(F.map_from_entries(F.collect_list(F.struct("rank", "score"))).alias("scores")))  # a row, as large as the vocabulary
     rank = f"cast(shiftright(e, {2 * _LEN_BITS + _ID_BITS}) as int)"
     rows = edges.join(scores).select("seg", "n", F.expr(f"transform(edges, e -> named_struct('edge', e, 's', {start}, 'end', {start} + {size}, 'score', if({number} = {_NONE}, {worst}D, scores[{rank}])))").alias("all"))
-    rows = rows.select("*", F.lit(list(model.byte_ids) or [0]).cast("array<int>").alias("byte_ids"))
+    rows = rows.select("*")
     zero = "named_struct('sum', 0D, 'back', 0, 'edge', 0L)"
     options = "transform(filter(all, x -> x.end = j), x -> named_struct('sum', best[x.s].sum + x.score, 'back', -x.s, 'edge', x.edge))"
     best = f"aggregate(sequence(1, length(seg)), array({zero}), (best, j) -> concat(best, array(array_max({options}))))"
-    rows = rows.select("seg", "n", "byte_ids", F.expr(best).alias("best"))
+    rows = rows.select("seg", "n", F.expr(best).alias("best"))
     back = "aggregate(sequence(1, length(seg)), named_struct('at', length(seg), 'path', cast(array() as array<bigint>)), (p, i) -> if(p.at = 0, p, named_struct('at', -best[p.at].back, 'path', concat(array(best[p.at].edge), p.path))), p -> p.path)"
-    return rows.select("seg", "n", "byte_ids", F.expr(back).alias("tokens")).select("seg", "n", _spelled("tokens", model).alias("ids"))
+    return rows.select("seg", "n", F.expr(back).alias("tokens")).select("seg", "n", _spelled("tokens", model).alias("ids"))
+
+
+def _slices(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about so many bytes, whole rows each."""
+    for b in batches:
+        step = max(1, int(b.num_rows * size / max(1, b.nbytes)))
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
 
 
-def _texts(column: pa.Array) -> Iterator[str]:
-    return (t or "" for t in column.to_pylist())
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by("seg").aggregate([("n", "sum")]).rename_columns(["seg", "n"])
 
 
 def segment_counts(docs: DataFrame, model: Model) -> DataFrame:
@@ -224,24 +271,19 @@ def segment_counts(docs: DataFrame, model: Model) -> DataFrame:
     pairs = model.pairs
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter[str] = Counter()
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            segments: Counter[str | None] = Counter()
-            for w, n in words.items():
-                for s in cut(w, pairs):
-                    segments[s] += n
-            words.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(segments), pa.string()), pa.array(list(segments.values()), pa.int64())], names=["seg", "n"])
-
-        for b in batches:
-            for t in _texts(b.column(0)):
-                size += len(t.encode("utf-8", "replace"))
-                words.update(words_of(t))
-                if len(words) > 2 * CACHE_WORDS:
-                    yield out()
-        yield out()
+        cutter, size = Cutter(pairs), 0
+        kept = [pa.table({"seg": pa.array([], pa.string()), "n": pa.array([], pa.int64())})]
+        for b in _slices(batches):
+            texts = pc.fill_null(b.column(0), "")
+            size += pc.sum(pc.binary_length(texts)).as_py() or 0
+            coded = cutter(texts)[0].dictionary_encode()
+            kept.append(pa.table({"seg": coded.dictionary, "n": np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))}))
+            if sum(t.num_rows for t in kept) > 4 * CACHE:
+                kept = [_summed(kept)]
+                if kept[0].num_rows > 2 * CACHE:
+                    yield from kept.pop().to_batches()
+        if kept:
+            yield from _summed(kept).to_batches()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([size], pa.int64())], names=["seg", "n"])
 
     return docs.select("text").mapInArrow(count, "seg string, n long")
@@ -256,7 +298,7 @@ def lexicon(docs: DataFrame, model: Model, *, fold: str = "merge") -> tuple[Data
     size = counts.where("seg is null").select("n").first()  # one number
     short = counts.where("seg is not null").where(F.length("seg") <= FOLD_CHARS).repartition(parts, "seg")
     table = model.table(spark)
-    edges = lattice(short, table, model.longest)
+    edges = lattice(short, table)
     solved = fold_merges(edges, model) if fold == "merge" else fold_viterbi(edges, table, model)
 
     def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,83 +328,32 @@ def common_from(lexicon_: DataFrame, most: int = COMMON) -> int:
     return least
 
 
-class _Known:
-    """A worker's lexicon: packed ids of words, from packed ids of segments."""
+def _as_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
 
-    def __init__(self, table: pa.Table, pairs: frozenset[str]):
-        self.pairs, self.words = pairs, {}
-        self.segments = self.packed(table)
-
-    @staticmethod
-    def packed(table: pa.Table) -> dict[str, bytes]:
-        ids = table.column("ids").combine_chunks()
-        flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype("<i4").tobytes(), (np.cumsum([0, *ids.value_lengths().to_numpy(zero_copy_only=False)]) * 4).tolist()
-        return {s: flat[a:b] for s, a, b in zip(table.column("seg").to_pylist(), ends[:-1], ends[1:], strict=True)}
-
-    def missing(self, words: set[str]) -> set[str]:
-        """Segments of these words that are not common."""
-        out: set[str] = set()
-        for w in words:
-            if w not in self.words:
-                rare = [s for s in cut(w, self.pairs) if s not in self.segments]
-                self.words[w] = not rare
-                out.update(rare)
-            elif not self.words[w]:
-                out.update(s for s in cut(w, self.pairs) if s not in self.segments)
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        return out
-
-    def encoder(self, rare: dict[str, bytes]):
-        """word -> packed ids, with these segments besides the common ones."""
-        common, pairs, cache = self.segments, self.pairs, {}
-
-        class Cache(dict):
-            def __missing__(self, word: str) -> bytes:
-                found = self[word] = b"".join([common[s] if s in common else rare[s] for s in cut(word, pairs)])
-                return found
-
-        cache = Cache()
-        return cache.__getitem__
-
-
-_WORKER: dict[int, _Known] = {}
 
+def _from_bytes(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all().combine_chunks()
 
-def _known(broadcast, pairs: frozenset[str]) -> _Known:
-    if broadcast.id not in _WORKER:
-        _WORKER.clear()
-        _WORKER[broadcast.id] = _Known(pa.ipc.open_stream(broadcast.value).read_all(), pairs)
-    return _WORKER[broadcast.id]
 
-
-class _Shared:
-    """A broadcast with the name by which workers keep what they made of it."""
-
-    def __init__(self, spark: SparkSession, table: pa.Table):
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as out:
-            out.write_table(table)
-        self.handle = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
-        self.id = id(self.handle)
-
-    def __getstate__(self) -> dict:
-        return {"handle": self.handle, "id": self.id}
-
-    @property
-    def value(self) -> bytes:
-        return self.handle.value
+def _column(table: pa.Table, name: str, kind: pa.DataType) -> pa.Array:
+    """A column as one array."""
+    column = table.column(name).cast(kind)
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], kind)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """bucket, ids of documents, texts: a compressed row for each bucket of a batch."""
+    """bucket, ids of documents, their sizes and texts: a compressed row for each bucket of a batch."""
     press = zstandard.ZstdCompressor(level=1)
     for b in batches:
         by: dict[int, tuple[list, list[bytes]]] = {}
-        for k, i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _texts(b.column(2)), strict=True):
+        for k, i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), pc.fill_null(b.column(2), "").cast(pa.binary()).to_pylist(), strict=True):
             ids, texts = by.setdefault(k, ([], []))
             ids.append(i)
-            texts.append(t.encode("utf-8", "replace"))
+            texts.append(t)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(by), pa.int32()), pa.array([ids for ids, _ in by.values()], pa.list_(pa.int64())), pa.array([list(map(len, t)) for _, t in by.values()], pa.list_(pa.int64())), pa.array([press.compress(b"".join(t)) for _, t in by.values()], pa.binary())],
             names=["bucket", "doc_ids", "sizes", "packed"],
@@ -375,66 +366,81 @@ def encode(docs: DataFrame, model: Model, *, fold: str = "merge", common: int =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lex, size = lexicon(rows, model, fold=fold)
     least = common_from(lex, common)
-    shared = _Shared(spark, lex.where(F.col("n") >= least).select("seg", "ids").toArrow())  # ``common`` segments at most
+    # ``common`` segments at most.
+    shared = spark.sparkContext.broadcast(_as_bytes(lex.where(F.col("n") >= least).select("seg", "ids").toArrow()))
     buckets = max(spark.sparkContext.defaultParallelism, -(-size // bucket_bytes))
     dealt = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int").alias("bucket"), "doc_id", "text")
     pairs = model.pairs
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _known(shared, pairs)
-        found: dict[int, set[str]] = {}
-        for b in batches:
-            words: dict[int, set[str]] = {}
-            for k, t in zip(b.column(0).to_pylist(), _texts(b.column(1)), strict=True):
-                words.setdefault(k, set()).update(words_of(t))
-            for k, w in words.items():
-                found.setdefault(k, set()).update(known.missing(w))
-            if sum(map(len, found.values())) > CACHE_WORDS:
-                for k, s in found.items():
-                    yield pa.RecordBatch.from_arrays([pa.array([k] * len(s), pa.int32()), pa.array(list(s), pa.string())], names=["bucket", "r_seg"])
-                found = {}
-        for k, s in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k] * len(s), pa.int32()), pa.array(list(s), pa.string())], names=["bucket", "r_seg"])
+        cutter, known = Cutter(pairs), _column(_from_bytes(shared.value), "seg", pa.string())
+        kept: list[pa.Table] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if kept:
+                yield from pa.concat_tables(kept).group_by(["bucket", "r_seg"]).aggregate([]).select(["bucket", "r_seg"]).to_batches()
+                kept.clear()
+
+        for b in _slices(batches):
+            segments, ends = cutter(pc.fill_null(b.column(1), ""))
+            coded = segments.dictionary_encode()
+            strange = pc.invert(pc.is_in(coded.dictionary, value_set=known)).to_numpy(zero_copy_only=False)
+            codes = coded.indices.to_numpy()
+            at = np.flatnonzero(strange[codes])
+            bucket = np.repeat(b.column(0).to_numpy(zero_copy_only=False), np.diff(ends))[at]
+            both = np.unique(bucket.astype(np.int64) << 32 | codes[at])
+            kept.append(pa.table({"bucket": pa.array((both >> 32).astype(np.int32)), "r_seg": coded.dictionary.take(pa.array(both & 0xFFFFFFFF))}))
+            if sum(t.num_rows for t in kept) > 4 * CACHE:
+                yield from out()
+        yield from out()
 
     wanted = dealt.select("bucket", "text").mapInArrow(rare, "bucket int, r_seg string")
     needed = wanted.join(lex.where(F.col("n") < least).select("seg", "ids"), F.col("r_seg") == F.col("seg")).select("bucket", "seg", "ids")
     packed = dealt.mapInArrow(_packed, "bucket int, doc_ids array<bigint>, sizes array<bigint>, packed binary")
-
-    def meet(texts: pa.Table, segments: pa.Table) -> Iterator[pa.RecordBatch]:
-        encoder = _known(shared, pairs).encoder(_Known.packed(segments))
-        unpack = zstandard.ZstdDecompressor()
+    found = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+
+    def meet(texts: pa.Table, segments: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return found.empty_table()
+        common_, cutter, unpack = _from_bytes(shared.value), Cutter(pairs), zstandard.ZstdDecompressor()
+        known, more = _column(common_, "seg", pa.string()), _column(segments, "seg", pa.string())
+        spelled = pa.concat_arrays([_column(common_, "ids", found.field("ids").type), _column(segments, "ids", found.field("ids").type)])
+        out = []
         for ids, sizes, data in zip(texts.column("doc_ids").to_pylist(), texts.column("sizes").to_pylist(), texts.column("packed").to_pylist(), strict=True):
-            data, at, out = unpack.decompress(data), 0, []
-            for n in sizes:
-                out.append(b"".join(map(encoder, words_of(data[at : at + n].decode("utf-8")))))
-                at += n
-            ends = np.cumsum([0, *map(len, out)]) // 4
-            flat = pa.array(np.frombuffer(b"".join(out), dtype="<i4"))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["doc_id", "ids"])
-
-    def whole(texts: pa.Table, segments: pa.Table) -> pa.Table:
-        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
-        return pa.Table.from_batches([b.cast(schema) for b in meet(texts, segments)], schema) if texts.num_rows else schema.empty_table()
+            ends = np.cumsum([0, *sizes]).astype(np.int32)
+            cut_, at = cutter(pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends.tobytes()), pa.py_buffer(unpack.decompress(data))))
+            coded = cut_.dictionary_encode()
+            place = pc.coalesce(pc.index_in(coded.dictionary, value_set=known), pc.add(pc.index_in(coded.dictionary, value_set=more), pa.scalar(len(known), pa.int32())))
+            lists = spelled.take(place.take(coded.indices))
+            begins = lists.offsets.to_numpy()[at]
+            out.append(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), lists.values)], schema=found))
+        return pa.Table.from_batches(out, found)
 
-    return packed.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(whole, "doc_id long, ids array<int>")
+    return packed.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(meet, "doc_id long, ids array<int>")
 
 
 def decode(rows: DataFrame, model: Model, *, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
     """``rows`` with the text of an array of ids; a column of that name is replaced.
 
-    Null ids give null; what is no UTF-8 becomes U+FFFD; ids that the model has not give nothing.
+    Null ids give null; what is no UTF-8 becomes U+FFFD; null or unknown ids in an array give nothing.
     """
-    spelled = {i: p.replace(SPACE, " ").encode() for p, i, _ in model.pieces} | {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
+    spelled = {i: p.encode() for p, i, _ in model.pieces} | {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
+    top = max(spelled, default=-1) + 1
+    table = pa.array([spelled.get(i, b"") for i in range(top + 1)], pa.binary())
 
     def texts(ids: pa.Array) -> pa.Array:
-        get, out = spelled.get, []
-        for one in ids:
-            if not one.is_valid:
-                out.append(None)
-                continue
-            text = b"".join([get(i, b"") for i in one.values.to_pylist()]).decode("utf-8", "replace")
-            out.append(text[1:] if text[:1] == " " else text)
-        return pa.array(out, pa.string())
+        flat = pc.fill_null(ids.flatten(), top).to_numpy(zero_copy_only=False)
+        flat = np.where((flat < 0) | (flat > top), top, flat)
+        parts = table.take(pa.array(flat))
+        sizes = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+        ends = np.frombuffer(parts.buffers()[1], dtype=np.int32, count=len(parts) + 1)[sizes]
+        joined = pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends.tobytes()), parts.buffers()[2]])
+        try:
+            text = joined.cast(pa.string())
+        except pa.ArrowInvalid:
+            text = pa.array([b.decode("utf-8", "replace") for b in joined.to_pylist()], pa.string())
+        text = pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text)
+        return pc.if_else(ids.is_valid(), text, pa.scalar(None, pa.string()))
 
     return rows.withColumn(out_col, F.arrow_udf(texts, "string")(F.col(ids_col)))
 
