@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIMENSIONS, NGRAM, MAX_TRAIN_DOCS, MAX_LANGUAGES = 1024, 3, 20_000, 1000
+#: Cosine below which a text is of no known language.
+LEAST_SCORE = 0.02
 
 _LETTERS: dict[str, np.ndarray] = {}
 _VECTORS: dict[int, dict[int, np.ndarray]] = {}
@@ -145,8 +147,8 @@ def sample_of(labelled: DataFrame, max_docs: int, id_col: str = "doc_id") -> Dat
     return labelled.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("lang-sample")), F.lit(1 << 32)) < part)
 
 
-def predict(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: int = NGRAM, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (the cosine, 0 to 1) added; columns of these names are replaced."""
+def judge_of(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: int = NGRAM):
+    """A function of a text column that gives struct<lang_pred, score>."""
     spark = docs.sparkSession
     known = spark.sparkContext.broadcast((languages, matrix))  # at most MAX_LANGUAGES x dimensions numbers
 
@@ -177,6 +179,12 @@ def predict(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: int
                 at = end
             yield pd.DataFrame({"lang_pred": preds, "score": scores})
 
+    return judge
+
+
+def predict(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: int = NGRAM, text_col: str = "text") -> DataFrame:
+    """``docs`` with lang_pred and score (the cosine, 0 to 1) added; columns of these names are replaced."""
+    judge = judge_of(docs, languages, matrix, n=n)
     return docs.withColumn("_said", judge(F.col(text_col).cast("string"))).withColumns({"lang_pred": F.col("_said.lang_pred"), "score": F.col("_said.score")}).drop("_said")
 
 
@@ -185,9 +193,27 @@ def held_out(id_col: str = "doc_id", part: int = 1, of: int = 3) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(of)) == part, F.lit(False))
 
 
+def training_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """doc_id, text, lang of the documents that may be learned from: not held out, with text and language."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    return rows.where(~held_out()).where("lang is not null and text is not null")
+
+
+def keep_identified(docs: DataFrame, *, least: float = LEAST_SCORE, max_train_docs: int = MAX_TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more, with all their columns.
+
+    Where nothing can be learned, as no row has a language, every row with a letter stays.
+    """
+    said = F.col("_judged")
+    learned = prototypes(sample_of(training_rows(docs, id_col=id_col, text_col=text_col, lang_col=lang_col), max_train_docs))
+    if not learned[0]:
+        return docs.where(F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)))
+    judged = docs.withColumn("_judged", judge_of(docs, *learned)(F.col(text_col).cast("string")))
+    return judged.where((said["lang_pred"] != "und") & (said["score"] >= least)).select(*docs.columns)
+
+
 def identify(docs: DataFrame, *, max_train_docs: int = MAX_TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document; learns from documents that are not held out and have a lang."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    labelled = rows.where(~held_out()).where("lang is not null and text is not null")
-    languages, matrix = prototypes(sample_of(labelled, max_train_docs))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    languages, matrix = prototypes(sample_of(training_rows(docs, id_col=id_col, text_col=text_col, lang_col=lang_col), max_train_docs))
     return predict(rows.select("doc_id", held_out().alias("held_out"), "text"), languages, matrix).select("doc_id", "held_out", "lang_pred", "score")

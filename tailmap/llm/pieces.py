@@ -41,7 +41,7 @@ from .common import stored
 
 SPACE = "▁"
 #: Most frequent segments that are broadcast, text of a bucket, characters of a segment that the fold takes.
-COMMON, BUCKET_BYTES, FOLD_CHARS = 300_000, 32 << 20, 60
+COMMON, BUCKET_BYTES, FOLD_CHARS = 300_000, 20 << 20, 60
 #: Distinct segments that a worker keeps before it passes them on, by a factor of a few.
 CACHE = 400_000
 
@@ -254,7 +254,7 @@ def fold_viterbi(edges: DataFrame, table: DataFrame, model: Model) -> DataFrame:
     return rows.select("seg", "n", F.expr(back).alias("tokens")).select("seg", "n", _spelled("tokens", model).alias("ids"))
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about so many bytes, whole rows each."""
     for b in batches:
         step = max(1, int(b.num_rows * size / max(1, b.nbytes)))
@@ -278,9 +278,9 @@ def segment_counts(docs: DataFrame, model: Model) -> DataFrame:
             size += pc.sum(pc.binary_length(texts)).as_py() or 0
             coded = cutter(texts)[0].dictionary_encode()
             kept.append(pa.table({"seg": coded.dictionary, "n": np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))}))
-            if sum(t.num_rows for t in kept) > 4 * CACHE:
+            if sum(t.num_rows for t in kept) > 2 * CACHE:
                 kept = [_summed(kept)]
-                if kept[0].num_rows > 2 * CACHE:
+                if kept[0].num_rows > CACHE:
                     yield from kept.pop().to_batches()
         if kept:
             yield from _summed(kept).to_batches()
@@ -347,7 +347,7 @@ def _column(table: pa.Table, name: str, kind: pa.DataType) -> pa.Array:
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """bucket, ids of documents, their sizes and texts: a compressed row for each bucket of a batch."""
-    press = zstandard.ZstdCompressor(level=1)
+    press = zstandard.ZstdCompressor(level=6)
     for b in batches:
         by: dict[int, tuple[list, list[bytes]]] = {}
         for k, i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), pc.fill_null(b.column(2), "").cast(pa.binary()).to_pylist(), strict=True):
@@ -390,7 +390,7 @@ def encode(docs: DataFrame, model: Model, *, fold: str = "merge", common: int =
             bucket = np.repeat(b.column(0).to_numpy(zero_copy_only=False), np.diff(ends))[at]
             both = np.unique(bucket.astype(np.int64) << 32 | codes[at])
             kept.append(pa.table({"bucket": pa.array((both >> 32).astype(np.int32)), "r_seg": coded.dictionary.take(pa.array(both & 0xFFFFFFFF))}))
-            if sum(t.num_rows for t in kept) > 4 * CACHE:
+            if sum(t.num_rows for t in kept) > 2 * CACHE:
                 yield from out()
         yield from out()
 
@@ -405,10 +405,16 @@ def encode(docs: DataFrame, model: Model, *, fold: str = "merge", common: int =
         common_, cutter, unpack = _from_bytes(shared.value), Cutter(pairs), zstandard.ZstdDecompressor()
         known, more = _column(common_, "seg", pa.string()), _column(segments, "seg", pa.string())
         spelled = pa.concat_arrays([_column(common_, "ids", found.field("ids").type), _column(segments, "ids", found.field("ids").type)])
-        out = []
+        out, waiting, held = [], ([], [], []), 0
+        left = texts.num_rows
         for ids, sizes, data in zip(texts.column("doc_ids").to_pylist(), texts.column("sizes").to_pylist(), texts.column("packed").to_pylist(), strict=True):
+            waiting[0].extend(ids), waiting[1].extend(sizes), waiting[2].append(unpack.decompress(data))
+            held, left = held + sum(sizes), left - 1
+            if left and held < 4 << 20:
+                continue
+            (ids, sizes, data), waiting, held = waiting, ([], [], []), 0
             ends = np.cumsum([0, *sizes]).astype(np.int32)
-            cut_, at = cutter(pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends.tobytes()), pa.py_buffer(unpack.decompress(data))))
+            cut_, at = cutter(pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends.tobytes()), pa.py_buffer(b"".join(data))))
             coded = cut_.dictionary_encode()
             place = pc.coalesce(pc.index_in(coded.dictionary, value_set=known), pc.add(pc.index_in(coded.dictionary, value_set=more), pa.scalar(len(known), pa.int32())))
             lists = spelled.take(place.take(coded.indices))
