@@ -10,8 +10,10 @@ What is compared, and how no group of rows is too large:
 * A bucket links its classes through representatives: in each round every class that is not yet in one component with the
   bucket's representative is compared with it, and the representatives change from round to round.  A large group of near
   copies falls into one component after a round or two, by as many comparisons as it has members.
-* Whatever pairs of a bucket then still lie in different components are compared one and all, so that no link that shares
-  a bucket is lost.
+* Of the classes in buckets that then still hold several components, only the rarest shingles are looked at: two sets with
+  links share one of their first n - ceil(PERCENT * n / 100) + 1 shingles in the order of rarity, whatever they are.  These
+  shingles are the buckets of one more round with representatives, and then of all pairs that are still apart, so that no
+  link is lost; what classes have in common with very many, such as a passage, comes last in that order and makes no pairs.
 * A comparison counts the intersection of the full sets.
 
 Defined results: null or wordless text has an empty set, n_shingles 0, and a component of its own; rows that repeat an id are
@@ -28,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -35,7 +38,7 @@ from .components import connected_components
 
 #: Words of a shingle, permutations (two signature values each), values of a band, links need 100 * |A & B| >= PERCENT * |A | B|.
 SHINGLE, PERMUTATIONS, BAND_ROWS, PERCENT = 5, 40, 4, 85
-#: Rounds with one representative for each bucket before all pairs that are left are compared.
+#: Rounds with one representative for each bucket before the rarest shingles of what is left are looked at.
 STAR_ROUNDS = 3
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -162,6 +165,38 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where((100 * F.least(n, m) >= percent * F.greatest(n, m))).where(100 * shared >= percent * (n + m - shared)).select("u", "v")
 
 
+def prefix_buckets(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """node, bucket: of each node's set the first shingles in the order of rarity among these nodes that others hold as well."""
+    held = sets.join(nodes, "node", "left_semi").select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("bucket"))
+    often = stored(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"), "holders")
+    node = W.partitionBy("node")
+    common = held.join(often, "bucket").withColumns({"place": F.row_number().over(node.orderBy("holders", "bucket")), "common": F.count(F.lit(1)).over(node)})
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return stored(common.where(F.col("n") - F.col("common") + F.col("place") <= first).select("node", "bucket"), "prefix-buckets")
+
+
+def _open(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """node, bucket, component of the buckets that hold several components."""
+    if labels is None:
+        return buckets.withColumn("component", F.col("node"))
+    here = buckets.join(labels, "node", "left").select("node", "bucket", F.coalesce("component", "node").alias("component"))
+    several = here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    return here.join(several, "bucket")
+
+
+def _star(here: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each node with its bucket's representative of this turn, if they are apart."""
+    order = F.struct(F.xxhash64("node", "bucket", F.lit(turn)), "node", "component")
+    star = here.groupBy("bucket").agg(F.min(order).alias("r")).select("bucket", F.col("r.node").alias("rep"), F.col("r.component").alias("rep_component"))
+    return here.join(star, "bucket").where("component <> rep_component").select("node", "rep")
+
+
+def _apart(here: DataFrame) -> DataFrame:
+    """Pairs of nodes of a bucket that are apart."""
+    other = here.select(F.col("node").alias("rep"), "bucket", F.col("component").alias("rep_component"))
+    return here.join(other, "bucket").where("component < rep_component").select("node", "rep")
+
+
 def near_groups(
     docs: DataFrame,
     *,
@@ -187,35 +222,24 @@ def near_groups(
 
     repeated = named.groupBy("doc_id").agg(F.count_distinct("set_key").alias("n")).where("n > 1").select("doc_id")
     versions = named.join(repeated, "doc_id").join(classes.select("set_key", "node"), "set_key").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    links = [versions.where("u <> v")]
-    checked = None
-    labels = None
-    for turn in range(star_rounds + 1):
-        if labels is None:
-            here = buckets.withColumn("component", F.col("node"))
-        else:
-            here = buckets.join(labels, "node", "left").select("node", "bucket", F.coalesce("component", "node").alias("component"))
-            open_ = here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-            here = here.join(open_, "bucket")
-        if turn < star_rounds:
-            order = F.struct(F.xxhash64("node", "bucket", F.lit(turn)), "node", "component")
-            star = here.groupBy("bucket").agg(F.min(order).alias("r")).select("bucket", F.col("r.node").alias("rep"), F.col("r.component").alias("rep_component"))
-            pairs = here.join(star, "bucket").where("component <> rep_component").select("node", "rep")
-        else:
-            other = here.select(F.col("node").alias("rep"), "bucket", F.col("component").alias("rep_component"))
-            pairs = here.join(other, "bucket").where("component < rep_component").select("node", "rep")
+    links, checked, labels = versions.where("u <> v"), None, None
+    for turn in range(star_rounds + 2):
+        here = _open(buckets, labels)
+        if turn == star_rounds:
+            buckets = prefix_buckets(sets, here.select("node").distinct(), percent)
+            here = _open(buckets, labels)
+        pairs = _apart(here) if turn > star_rounds else _star(here, turn)
         pairs = pairs.select(F.least("node", "rep").alias("u"), F.greatest("node", "rep").alias("v")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["u", "v"], "left_anti")
         pairs = stored(pairs, "pairs")
-        if pairs.isEmpty() and turn:
+        if turn and pairs.isEmpty():
+            if turn < star_rounds:
+                continue
             break
-        links.append(stored(_linked(pairs, sets, percent), "links"))
+        links = links.union(stored(_linked(pairs, sets, percent), "links"))
         checked = pairs if checked is None else checked.union(pairs)
-        every = links[0]
-        for x in links[1:]:
-            every = every.union(x)
-        labels = connected_components(every)
+        labels = connected_components(links)
     groups = classes.join(labels, "node", "left").select(F.col("set_key").alias("k"), F.coalesce("component", "node").alias("of_class"))
     joined = rows.join(groups, F.col("set_key") == F.col("k"), "left").select("doc_id", "n_shingles", "of_class")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_class", "doc_id"))
