@@ -189,7 +189,7 @@ def lattice(segments: DataFrame, table: DataFrame) -> DataFrame:
     parts = parts.select("seg", "n", "s", "len", F.expr("substring(seg, s, len)").alias("part"))
     # The table is the vocabulary, whatever the corpus: Model.table checks its size.
     found = parts.join(F.broadcast(table), F.col("part") == F.col("piece"), "left").where("id is not null or len = 1")
-    rank = F.when(F.col("len") == 1, F.lit(0)).otherwise(F.col("rank")).cast("long")
+    rank = F.coalesce("rank", F.lit(0)).cast("long")
     edge = F.shiftleft(rank, 2 * _LEN_BITS + _ID_BITS).bitwiseOR(F.shiftleft((F.col("s") - 1).cast("long"), _LEN_BITS + _ID_BITS))
     edge = edge.bitwiseOR(F.shiftleft(F.col("len").cast("long"), _ID_BITS)).bitwiseOR(F.coalesce("id", F.lit(_NONE)).cast("long"))
     edge = edge.bitwiseOR(F.when(F.col("late"), F.lit(_LATE)).otherwise(F.lit(0)).cast("long"))

@@ -1,0 +1,342 @@
+"""Operators on small tables: brute force, round trips, nulls, repeats, empty tables, columns with clashing names."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from tailmap.llm import exact_dedup, langid, mixing, pieces, pii, secrets, sstable, token_output, topk, url_filter
+
+DOCS = "doc_id bigint, text string, lang string, source string"
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame(rows, DOCS)
+
+
+# Exact dedup
+
+
+def lowered(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+
+
+@pytest.mark.parametrize("bits", [64, 1])
+def test_exact_groups(spark, bits):
+    long = "Some words, and more. " * 400
+    rows = [(i, t, None, None) for i, t in enumerate([long, long.upper(), long + "x", "É", "é", "", None, "a", "A", "b", "b", "b"])] + [(None, "b", None, None), (3, "É", None, None)]
+    got = exact_dedup.exact_groups(docs_of(spark, rows).withColumn("recipe", F.lit(1)), id_bits=bits).collect()
+    by = {}
+    for i, t, *_ in rows:
+        by.setdefault(lowered(t), []).append(i)
+    want = []
+    for i, t, *_ in rows:
+        group = by[lowered(t)]
+        keep = max((x for x in group if x is not None), default=None)
+        want.append((str(i), str(keep), len(group), i == keep, hashlib.sha256(lowered(t).encode()).hexdigest()))
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, r.text_sha256) for r in got) == sorted(want)
+    assert exact_dedup.exact_groups(docs_of(spark, [])).count() == 0
+
+
+# Language ID
+
+
+def test_languages(spark):
+    rng = random.Random(2)
+    alphabets = {"aa": "abcde", "bb": "cdefg", "cc": "αβγδε"}
+    rows = [(i, " ".join("".join(rng.choice(alphabets[g]) for _ in range(5)) for _ in range(rng.randint(5, 60))), g, None) for i in range(240) for g in [rng.choice("abc") * 2]]
+    rows += [(900, None, "aa", None), (901, "12 !", "bb", None), (None, "abcde abc", None, None), (902, "abc" * 30_000, None, None)]
+    got = {r.doc_id: r for r in langid.identify(docs_of(spark, rows).withColumn("score", F.lit("x"))).collect()}
+    assert len(got) == len(rows)
+    held = [r for r in rows if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    assert all(got[r[0]].held_out for r in held) and not got[None].held_out
+    judged = [r for r in held if r[0] < 900]
+    assert np.mean([got[r[0]].lang_pred == r[2] for r in judged]) > 0.95
+    assert (got[900].lang_pred, got[900].score, got[901].lang_pred) == ("und", 0.0, "und")
+    assert all(0 <= r.score <= 1 for r in got.values())
+    none = docs_of(spark, [(1, "abc", None, None)])
+    assert langid.identify(none).first().lang_pred == "und" and langid.identify(none.limit(0)).count() == 0
+    assert {r.doc_id for r in langid.keep_identified(docs_of(spark, rows)).collect()} >= {r[0] for r in judged} and langid.keep_identified(none).count() == 1
+
+
+def test_profiles_are_sums_of_bound_letters():
+    keys, places, counts = langid.ngram_counts(["ab"], 3)
+    a, b, s = (langid.letter_vector(ord(c), 64).astype(int) for c in "ab ")
+    want = np.roll(s, 2) * np.roll(a, 1) * b + np.roll(a, 2) * np.roll(b, 1) * s
+    assert (langid.ngram_vectors(keys, 64, 3)[places[0]].astype(int).T @ counts[0] == want).all()
+
+
+# SentencePiece
+
+
+def sp_docs():
+    rng = random.Random(1)
+    rows = ["", None, " ", "  a", "a  ", " x▁y", "🙂\x00é", "▁▁▁é", "a" * 700, " " * 90, "Ａﬁ z", "the" * 40, "\n\n\ta", "Hello world, the end."]
+    rows += ["".join(rng.choice("abthein  ▁éç🙂\n") for _ in range(rng.randint(1, 150))) for _ in range(150)]
+    return [(i, t, None, None) for i, t in enumerate(rows)] + [(3, "  a", None, None), (None, "null id", None, None)]
+
+
+def test_encoding_is_the_librarys(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, model = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Model.load(path)
+    rows = sp_docs()
+    got = pieces.encode_decode(docs_of(spark, rows).withColumn("ids", F.lit(0)), model, common=40).collect()
+    want = [(str(i), sp.encode(t or ""), zlib.crc32((t or "").replace("▁", " ").encode())) for i, t, *_ in rows]
+    assert sorted((str(r.doc_id), list(r.ids), r.decoded_crc32) for r in got) == sorted(want)
+    assert all(r.n_tokens == len(r.ids) for r in got)
+    assert pieces.encode_decode(docs_of(spark, []), model).count() == 0
+
+
+def test_decoding_odd_ids(spark):
+    model = pieces.Model.of([("▁a", 3, 0.0)], list(range(10, 266)), 0)
+    rows = spark.createDataFrame([([3, 3],), ([10 + 0xC3],), (None,), ([999, -1, None, 3],), ([],)], "ids array<int>")
+    assert [r.text for r in pieces.decode(rows, model).collect()] == ["a a", "�", None, "a", ""]
+
+
+def test_viterbi_is_the_best_path(spark):
+    rng = random.Random(6)
+    made = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))) for _ in range(25)} | {"▁", "▁a", "a", "b"}
+    model = pieces.Model.of([(p, 10 + i, -rng.randint(1, 4000) / 1000) for i, p in enumerate(sorted(made))], list(range(1000, 1256)), 0)
+    score = {p: (s, i) for p, i, s in model.pieces}
+    worst = min(s for s, _ in score.values()) - 10
+    texts = ["".join(rng.choice("abcd ") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+
+    def best(text):
+        w = " " + text
+        top = [0.0] + [-1e18] * len(w)
+        for e in range(1, len(w) + 1):
+            for s in range(e):
+                one = score.get(w[s:e], (worst, 0) if e - s == 1 else None)
+                if one:
+                    top[e] = max(top[e], top[s] + one[0])
+        return top[-1]
+
+    value = {i: s for s, i in score.values()}
+    got = pieces.encode(docs_of(spark, [(i, t, None, None) for i, t in enumerate(texts)]), model, fold="viterbi").collect()
+    for r in got:
+        assert sum(value.get(i, worst) for i in r.ids) == pytest.approx(best(texts[r.doc_id]))
+
+
+# Secrets
+
+
+def test_secret_spans():
+    rng = random.Random(1)
+    token = "".join(rng.choice("abcdefghijkABCDEFGH0123456789") for _ in range(40))
+    text = f"é api_key = '{'k' * 12}1' x AKIA{'A' * 14} {'ab12' * 4} {token} 123e4567-e89b-12d3-a456-426614174000"
+    kinds = [(k, text[s:e]) for s, e, k in secrets.spans_of(text)]
+    assert ("assign", f"api_key = '{'k' * 12}1") in kinds and ("access", "AKIA" + "A" * 14) in kinds and ("hex", "ab12" * 4) in kinds and ("entropy", token) in kinds
+    assert not any("123e4567" in t for _, t in kinds)
+    assert secrets.spans_of("token=" + "a" * 11) == [] and secrets.spans_of("") == []
+
+
+def test_windows_are_counted_right():
+    import math
+    from collections import Counter
+
+    rng, w = random.Random(3), secrets.WINDOW
+    text = "".join(rng.choice("abcdefgh" if rng.random() < 0.5 else "abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(400))
+    for bits in (3.2, 3.6, 4.0):
+        want = set()
+        for i in range(len(text) - w + 1):
+            h = -sum(n / w * math.log2(n / w) for n in Counter(text[i : i + w]).values())
+            if h >= bits - 1e-9:
+                want |= set(range(i, i + w))
+        assert {i for s, e in secrets.hot_windows(text, bits) for i in range(s, e)} == want
+
+
+def test_secret_table(spark):
+    rows = docs_of(spark, [(1, "token=" + "x1" * 10, None, None), (1, None, None, None), (None, "a" * 300_000, None, None)])
+    got = sorted((str(r.doc_id), r.n_assign, r.base_sha256) for r in secrets.secret_digests(rows.withColumn("found", F.lit(1))).collect())
+    assert got == sorted([("1", 1, hashlib.sha256(b"assign:0:26").hexdigest()), ("1", 0, hashlib.sha256(b"").hexdigest()), ("None", 0, got[-1][2])])
+    assert secrets.redact_secrets(rows).first().text == "[SECRET]" and secrets.secret_digests(rows.limit(0)).count() == 0
+
+
+# Personal data
+
+
+def brute_pii(t):
+    out = {"email": [], "ip": [], "card": [], "phone": []}
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t):
+        out["email"].append(m.span())
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out["ip"].append(m.span())
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = [int(c) for c in m[0] if c.isdigit()][::-1]
+        if 13 <= len(d) <= 19 and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(d)) % 10 == 0:
+            out["card"].append(m.span())
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out["phone"].append(m.span())
+    return out
+
+
+def test_base_spans(spark):
+    rng = random.Random(9)
+    bits = ["a@b.co", "x.y@z", "1.2.3.4", "256.1.1.1", "1.2.3.4.5", "4111 1111 1111 1111", "4111-1111-1111-1112", "+49 (30) 123456", "+1 2", "é", " ", "-", ".", "@", "+", "7", "0001.2.3.4", "🙂"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 12))) for _ in range(400)] + ["", None, "9" * 50_000, "a." * 20_000 + "@"]
+    got = pii.pii_digests(docs_of(spark, [(i, t, None, None) for i, t in enumerate(texts)]).withColumn("spans", F.lit(1))).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        found = brute_pii(texts[r.doc_id] or "")
+        base = ",".join(f"{k}:{s}:{e}" for k, v in found.items() for s, e in v)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(map(len, found.values())), texts[r.doc_id]
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest(), texts[r.doc_id]
+
+
+def test_disclosing_terms(spark):
+    rows = [(i, "report by zanzibar office of ann@x.org today", None, None) for i in range(5)] + [(10 + i, f"report by other office number {i} today", None, None) for i in range(60)]
+    got = {r.doc_id: r.spans for r in pii.pii_digests(docs_of(spark, rows)).collect()}
+    assert "term:10:18" in got[0] and "term" not in got[10]
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, rows)).collect()}
+    assert "zanzibar" not in clean[0] and "ann@" not in clean[0] and clean[10] == rows[5][1]
+
+
+# URLs
+
+
+def test_verdicts(spark):
+    canonical = lambda u: f"<html><LINK rel='canonical' href=\"{u}\"></html>"
+    rows = [
+        (1, "https://A.example.com/en/x", None), (2, "http://www.example.com/en/", None), (3, "http://example.com/de/", None), (4, "http://x.org/a", canonical("http://y.net/fr/b")), (5, "http://y.net/fr/b#top", None),
+        (6, "no url", None), (7, None, None), (8, "http://q.org/1?utm_source=z", None), (9, "http://x.org/a/", "<meta http-equiv=refresh content='0; url=/c'>"), (10, "http://x.org/c", None), (11, "http://notexample.com", None),
+        (12, "http://both.org/", canonical("http://y.net/es/1")), (13, "http://both.org", canonical("http://w.com/1")), (None, "http://y.net/es/1", None),
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({"host": F.lit(1), "node": F.lit(2)})
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict, r.propagated) for r in url_filter.filter_urls(pages).collect()}
+    assert got[1] == ("a.example.com", "/en/x", "example.com/en/", "block", False) and got[2][2:4] == ("www.example.com/en/", "allow") and got[3][2:4] == ("com/", "allow")
+    assert got[4][2:] == (None, "block", True) and got[5][2:4] == ("net/fr/", "block")
+    assert got[6] == got[7] == ("", "", None, "allow", False) and got[8][3:] == ("allow", False)
+    assert got[9][3] == got[10][3] == "block" and got[10][4]
+    assert got[11] == ("notexample.com", "", None, "allow", False)
+    assert got[12][2:] == (None, "allow", True) and got[None][3] == "block"
+    more = spark.createDataFrame([("http://q.org/1", "http://z.net/es/1")], "src string, dst string")
+    assert {r.page_id: r.verdict for r in url_filter.filter_urls(pages, redirects=more).collect()}[8] == "block"
+    assert url_filter.filter_urls(pages.limit(0)).count() == 0 and url_filter.drop_blocked(pages).columns == pages.columns
+
+
+# Top-k
+
+
+def test_topk_is_brute_force(spark):
+    rng = np.random.default_rng(0)
+    v = rng.normal(size=(300, 8)).round(2)
+    v[50:200] = v[50]  # half of all rows are one vector
+    rows = [(int(i), [float(x) for x in v[i]]) for i in range(300)] + [(1000, None), (1100, [1.0, None] + [0.0] * 6), (1200, [float("nan")] * 8), (1300, [float("inf")] * 8), (1400, [1.0, 2.0]), (None, [0.5] * 8)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("far", F.lit(1))
+    got = {}
+    for r in topk.search(table, F.col("id") % 25 == 0, query_block=5, candidate_block=40).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    q = {i: np.floor(1024 * np.array(x, dtype=np.float32).astype(float)).astype(int) for i, x in rows if i is not None and i < 300} | {1 << 62: np.floor(1024 * np.full(8, 0.5)).astype(int)}
+    for i in range(0, 300, 25):
+        best = sorted(((-int(q[i] @ x), j) for j, x in q.items() if j != i))[:10]
+        assert sorted(got[i]) == [(k + 1, None if j == 1 << 62 else j, -s) for k, (s, j) in enumerate(best)]
+    assert set(got) == set(range(0, 300, 25))
+    assert topk.search(table.limit(0), F.col("id") % 25 == 0).count() == 0
+
+
+def test_bounds_eliminate():
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(20, 16)) * 1000
+    x = (centres[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, 16)) * 10).astype(np.int64)
+    pivots = topk.choose_pivots(x[:500].astype(float), 32)
+    far = np.stack([np.linalg.norm(x - p, axis=1) for p in pivots], axis=1)
+    *_, scored = topk.search_block((np.arange(10), x[:10], far[:10]), (np.arange(4000), x, far), 10)
+    assert scored < 0.5 * 10 * 4000
+
+
+# Mixing
+
+
+def test_targets_and_takes(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 40)), None, s) for i, s in enumerate(rng.choices(["a", "b", "c", "d", None], [6, 1, 1, 1, 1], k=3000))] + [(5000, None, None, "e"), (None, "x y z", None, "a")]
+    df = docs_of(spark, rows).withColumn("size", F.lit(1))
+    got = mixing.mix(df).collect()
+    again = mixing.mix(df.repartition(7)).collect()
+    key = lambda r: (str(r.doc_id), r.taken)
+    assert sorted(map(key, got)) == sorted(map(key, again)) and len(got) == len(rows)
+    size = {}
+    for _, t, _, s in rows:
+        size[s] = size.get(s, 0) + len((t or "").split())
+    order = sorted(size, key=lambda s: (s is None, s))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    full: set = set()
+    while True:
+        rate = (1.5 * sum(size.values()) - sum(2 * size[s] for s in full)) / sum(w for s, w in weight.items() if s not in full)
+        new = {s for s in size if s not in full and rate * weight[s] > 2 * size[s]}
+        if not new:
+            break
+        full |= new
+    target = {s: 2 * size[s] if s in full else rate * weight[s] for s in size}
+    taken: dict = {}
+    for r in got:
+        assert r.source_size == size[r.source] and r.target == pytest.approx(target[r.source]) and r.taken <= 2 * r.size and r.taken == r.copies * r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert all(abs(taken[s] - target[s]) <= 40 for s in size)
+    copies = mixing.take_mix(df).groupBy("doc_id").count().collect()
+    assert {str(r.doc_id): r["count"] for r in copies} == {str(r.doc_id): r.copies for r in got if r.copies}
+    assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_unequal_odds(spark):
+    rows = [(i, "w w w w", "7" if i % 2 else "1", "a") for i in range(4000)] + [(9000 + i, "w " * 100, "1", "b") for i in range(300)]
+    df = docs_of(spark, rows)
+    got = mixing.mix(df, weights=(1, 9), share=0.5, odds_col="lang").where("source = 'a'").groupBy(F.col("doc_id") % 2).agg(F.avg("copies"), F.sum("taken"), F.first("target")).collect()
+    share = {r[0]: r[1] for r in got}
+    assert sum(r[2] for r in got) == pytest.approx(got[0][3], abs=4)
+    assert 5 < share[1] / share[0] < 9
+
+
+# Token output
+
+
+def test_shards(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Hello world", "", None, "don't  stop\n\n", "Ünïcode ⅷ 🙂", "<|endoftext|>x", "a" * 5000, "x y"] * 3
+    rows = [(7 * i % 31, t, None, None) for i, t in enumerate(texts)] + [(None, "null", None, None), (-5, "minus", None, None)]
+    manifest = token_output.write_shards(docs_of(spark, rows).withColumn("path", F.lit(1)), f"file://{tmp_path}/s", path, public_tokenizers.PATTERN)
+    tok = Tokenizer.from_file(path)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    want, start = [], 0
+    for i, t, *_ in order:
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
+        want.append((str(i), start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    got = token_output.read_digests(manifest, f"file://{tmp_path}/s").collect()
+    assert sorted((str(r.doc_id), r.start, r.n_tokens, r.ids_crc32) for r in got) == sorted(want)
+    asked = spark.createDataFrame([(0,), (7,), (999,), (-5,)], "doc_id bigint")
+    found = token_output.lookup(manifest, f"file://{tmp_path}/s", asked).collect()
+    assert {r.doc_id for r in found} == {0, 7, -5} and all(r.ids[-1] == 0 for r in found)
+    assert token_output.token_digests(docs_of(spark, []), path, public_tokenizers.PATTERN).count() == 0
+
+
+def test_tables_are_searched(tmp_path):
+    rng, entries = random.Random(1), []
+    for i in sorted(rng.sample(range(-10_000, 10_000), 3000)):
+        entries.append((sstable.key_of(i), rng.randbytes(rng.randint(0, 200))))
+    with open(tmp_path / "t", "wb") as f:
+        w = sstable.Writer(f, 2)
+        for k, v in entries:
+            w.add(k, v)
+        w.close()
+    with open(tmp_path / "t", "rb") as f:
+        r = sstable.Reader(f, w.at)
+        assert list(r) == entries and len(r.index) > 3
+        assert all(r.get(k) == [v] for k, v in entries[::50])
+        assert r.get(sstable.key_of(10_001)) == []
+    data = bytearray((tmp_path / "t").read_bytes())
+    data[40] ^= 1
+    (tmp_path / "t").write_bytes(data)
+    with open(tmp_path / "t", "rb") as f, pytest.raises(ValueError, match="damaged"):
+        list(sstable.Reader(f, w.at))
