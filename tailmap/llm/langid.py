@@ -69,6 +69,14 @@ def ngram_vectors(keys: np.ndarray, dimensions: int, n: int) -> np.ndarray:
     return out
 
 
+def bundled(weights: np.ndarray, places: np.ndarray, vectors: np.ndarray, block: int = 4096) -> np.ndarray:
+    """The sum of the vectors at these places, times their weights (a row, or a matrix of rows), in blocks of bounded memory."""
+    out = np.zeros((*weights.shape[:-1], vectors.shape[1]), dtype=np.float32)
+    for at in range(0, len(places), block):
+        out += weights[..., at : at + block].astype(np.float32) @ vectors[places[at : at + block]].astype(np.float32)
+    return out
+
+
 def ngram_counts(texts: list[str], n: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """The distinct n-grams of all texts; for each text the places of its n-grams among them, and their counts."""
     table, keys, sizes = _letter_table(), [], []
@@ -100,7 +108,7 @@ def ngram_counts(texts: list[str], n: int) -> tuple[np.ndarray, list[np.ndarray]
     return np.asarray(distinct, dtype=np.int64), places, counts
 
 
-def _slices(batches: Iterator[pa.RecordBatch], chars: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def _slices(batches: Iterator[pa.RecordBatch], chars: int = 1 << 19) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     for b in batches:
         step = max(1, int(b.num_rows * chars / max(1, b.nbytes)))
         for at in range(0, b.num_rows, step):
@@ -120,9 +128,9 @@ def prototypes(labelled: DataFrame, *, dimensions: int = DIMENSIONS, n: int = NG
                 w = weight.setdefault(lang, np.zeros(len(grams), dtype=np.float64))
                 # Every document counts alike, however long.
                 w[p] += c / max(1, c.sum())
-            vectors = ngram_vectors(grams, dimensions, n).astype(np.float32)
-            for lang, w in weight.items():
-                sums[lang] = sums.get(lang, 0) + w.astype(np.float32) @ vectors
+            vectors = ngram_vectors(grams, dimensions, n)
+            for lang, v in zip(weight, bundled(np.stack(list(weight.values())), np.arange(len(grams)), vectors) if weight else [], strict=True):
+                sums[lang] = sums.get(lang, 0) + v
         for lang, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions), pa.array(np.arange(dimensions), pa.int32()), pa.array(v.astype(np.float64))], names=["lang", "dimension", "value"])
 
@@ -161,7 +169,7 @@ def judge_of(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: in
             at = 0
             while at < len(texts):
                 end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= 1 << 21):
+                while end < len(texts) and (end == at or size + len(texts[end]) <= 1 << 19):
                     size += len(texts[end])
                     end += 1
                 grams, places, counts = ngram_counts(texts[at:end], n)
@@ -171,7 +179,7 @@ def judge_of(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: in
                         preds.append("und")
                         scores.append(0.0)
                         continue
-                    v = c.astype(np.float32) @ vectors[p].astype(np.float32)
+                    v = bundled(c, p, vectors)
                     cosine = (matrix @ v) / max(1e-12, float(np.linalg.norm(v)))
                     best = int(np.argmax(cosine))
                     preds.append(languages[best])

@@ -120,7 +120,7 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
 
 
-def _small(batches: Iterator[pa.RecordBatch], chars: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _small(batches: Iterator[pa.RecordBatch], chars: int = 3 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about so many bytes, whole rows each."""
     for b in batches:
         step = max(1, int(b.num_rows * chars / max(1, b.nbytes)))

@@ -254,7 +254,7 @@ def fold_viterbi(edges: DataFrame, table: DataFrame, model: Model) -> DataFrame:
     return rows.select("seg", "n", F.expr(back).alias("tokens")).select("seg", "n", _spelled("tokens", model).alias("ids"))
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about so many bytes, whole rows each."""
     for b in batches:
         step = max(1, int(b.num_rows * size / max(1, b.nbytes)))
@@ -348,7 +348,7 @@ def _column(table: pa.Table, name: str, kind: pa.DataType) -> pa.Array:
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """bucket, ids of documents, their sizes and texts: a compressed row for each bucket of a batch."""
     press = zstandard.ZstdCompressor(level=6)
-    for b in batches:
+    for b in _slices(batches, 16 << 20):
         by: dict[int, tuple[list, list[bytes]]] = {}
         for k, i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), pc.fill_null(b.column(2), "").cast(pa.binary()).to_pylist(), strict=True):
             ids, texts = by.setdefault(k, ([], []))
@@ -410,7 +410,7 @@ def encode(docs: DataFrame, model: Model, *, fold: str = "merge", common: int =
         for ids, sizes, data in zip(texts.column("doc_ids").to_pylist(), texts.column("sizes").to_pylist(), texts.column("packed").to_pylist(), strict=True):
             waiting[0].extend(ids), waiting[1].extend(sizes), waiting[2].append(unpack.decompress(data))
             held, left = held + sum(sizes), left - 1
-            if left and held < 4 << 20:
+            if left and held < 2 << 20:
                 continue
             (ids, sizes, data), waiting, held = waiting, ([], [], []), 0
             ends = np.cumsum([0, *sizes]).astype(np.int32)
@@ -420,6 +420,7 @@ def encode(docs: DataFrame, model: Model, *, fold: str = "merge", common: int =
             lists = spelled.take(place.take(coded.indices))
             begins = lists.offsets.to_numpy()[at]
             out.append(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), lists.values)], schema=found))
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches(out, found)
 
     return packed.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(meet, "doc_id long, ids array<int>")
@@ -434,7 +435,7 @@ def decode(rows: DataFrame, model: Model, *, ids_col: str = "ids", out_col: str
     top = max(spelled, default=-1) + 1
     table = pa.array([spelled.get(i, b"") for i in range(top + 1)], pa.binary())
 
-    def texts(ids: pa.Array) -> pa.Array:
+    def some(ids: pa.Array) -> pa.Array:
         flat = pc.fill_null(ids.flatten(), top).to_numpy(zero_copy_only=False)
         flat = np.where((flat < 0) | (flat > top), top, flat)
         parts = table.take(pa.array(flat))
@@ -448,6 +449,13 @@ def decode(rows: DataFrame, model: Model, *, ids_col: str = "ids", out_col: str
         text = pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text)
         return pc.if_else(ids.is_valid(), text, pa.scalar(None, pa.string()))
 
+    def texts(ids: pa.Array) -> pa.Array:
+        # In parts of about so many ids.
+        step = max(1, int(len(ids) * 500_000 / max(1, len(ids.flatten()))))
+        parts = [some(ids.slice(at, step)) for at in range(0, len(ids), step)]
+        pa.default_memory_pool().release_unused()
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
     return rows.withColumn(out_col, F.arrow_udf(texts, "string")(F.col(ids_col)))
 
 
