@@ -166,20 +166,24 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def prefix_buckets(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """node, bucket: of each node's set the first shingles in the order of rarity among these nodes that others hold as well."""
+    """node, bucket, n, left: of each node's set the first shingles in the order of rarity among these nodes that others hold too.
+
+    left: how many shingles of the set, n in all, come in that order from this one on.
+    """
     held = sets.join(nodes, "node", "left_semi").select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("bucket"))
     often = stored(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"), "holders")
     node = W.partitionBy("node")
     common = held.join(often, "bucket").withColumns({"place": F.row_number().over(node.orderBy("holders", "bucket")), "common": F.count(F.lit(1)).over(node)})
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return stored(common.where(F.col("n") - F.col("common") + F.col("place") <= first).select("node", "bucket"), "prefix-buckets")
+    at = F.col("n") - F.col("common") + F.col("place")
+    return stored(common.where(at <= first).select("node", "bucket", "n", (F.col("n") - at + 1).alias("left")), "prefix-buckets")
 
 
 def _open(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     """node, bucket, component of the buckets that hold several components."""
     if labels is None:
         return buckets.withColumn("component", F.col("node"))
-    here = buckets.join(labels, "node", "left").select("node", "bucket", F.coalesce("component", "node").alias("component"))
+    here = buckets.join(labels, "node", "left").select(*buckets.columns, F.coalesce("component", "node").alias("component"))
     several = here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
     return here.join(several, "bucket")
 
@@ -191,10 +195,15 @@ def _star(here: DataFrame, turn: int) -> DataFrame:
     return here.join(star, "bucket").where("component <> rep_component").select("node", "rep")
 
 
-def _apart(here: DataFrame) -> DataFrame:
-    """Pairs of nodes of a bucket that are apart."""
-    other = here.select(F.col("node").alias("rep"), "bucket", F.col("component").alias("rep_component"))
-    return here.join(other, "bucket").where("component < rep_component").select("node", "rep")
+def _apart(here: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of a prefix bucket that are apart and can be linked.
+
+    At the first shingle that two sets share, what they share is no more than what is left of either from there on.
+    """
+    other = here.select(F.col("node").alias("rep"), "bucket", F.col("component").alias("rep_component"), F.col("n").alias("rep_n"), F.col("left").alias("rep_left"))
+    enough = (100 + percent) * F.least("left", "rep_left") >= percent * (F.col("n") + F.col("rep_n"))
+    one, two = here.alias("one"), other.alias("two")
+    return one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("component") < F.col("rep_component")) & enough).select("node", "rep")
 
 
 def near_groups(
@@ -228,7 +237,7 @@ def near_groups(
         if turn == star_rounds:
             buckets = prefix_buckets(sets, here.select("node").distinct(), percent)
             here = _open(buckets, labels)
-        pairs = _apart(here) if turn > star_rounds else _star(here, turn)
+        pairs = _apart(here, percent) if turn > star_rounds else _star(here, turn)
         pairs = pairs.select(F.least("node", "rep").alias("u"), F.greatest("node", "rep").alias("v")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["u", "v"], "left_anti")
