@@ -43,7 +43,7 @@ SPACE = "▁"
 #: Most frequent segments that are broadcast, text of a bucket, characters of a segment that the fold takes.
 COMMON, BUCKET_BYTES, FOLD_CHARS = 300_000, 20 << 20, 60
 #: Distinct segments that a worker keeps before it passes them on, by a factor of a few.
-CACHE = 400_000
+CACHE = 150_000
 
 #: An edge as one number: rank, start (6 bits), length (6 bits), whether it is late (1 bit), id (20 bits).
 _ID_BITS, _LEN_BITS = 21, 6
@@ -263,7 +263,7 @@ def _slices(batches: Iterator[pa.RecordBatch], size: int = 2 << 20) -> Iterator[
 
 
 def _summed(tables: list[pa.Table]) -> pa.Table:
-    return pa.concat_tables(tables).group_by("seg").aggregate([("n", "sum")]).rename_columns(["seg", "n"])
+    return pa.concat_tables(tables).group_by("seg", use_threads=False).aggregate([("n", "sum")]).rename_columns(["seg", "n"])
 
 
 def segment_counts(docs: DataFrame, model: Model) -> DataFrame:
@@ -280,6 +280,7 @@ def segment_counts(docs: DataFrame, model: Model) -> DataFrame:
             kept.append(pa.table({"seg": coded.dictionary, "n": np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))}))
             if sum(t.num_rows for t in kept) > 2 * CACHE:
                 kept = [_summed(kept)]
+                pa.default_memory_pool().release_unused()
                 if kept[0].num_rows > CACHE:
                     yield from kept.pop().to_batches()
         if kept:
@@ -378,7 +379,7 @@ def encode(docs: DataFrame, model: Model, *, fold: str = "merge", common: int =
 
         def out() -> Iterator[pa.RecordBatch]:
             if kept:
-                yield from pa.concat_tables(kept).group_by(["bucket", "r_seg"]).aggregate([]).select(["bucket", "r_seg"]).to_batches()
+                yield from pa.concat_tables(kept).group_by(["bucket", "r_seg"], use_threads=False).aggregate([]).select(["bucket", "r_seg"]).to_batches()
                 kept.clear()
 
         for b in _slices(batches):
