@@ -179,20 +179,22 @@ def prefix_buckets(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     return stored(common.where(at <= first).select("node", "bucket", "n", (F.col("n") - at + 1).alias("left")), "prefix-buckets")
 
 
-def _open(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """node, bucket, component of the buckets that hold several components."""
+def _placed(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The rows of ``buckets`` with their nodes' components, stored."""
     if labels is None:
         return buckets.withColumn("component", F.col("node"))
     here = buckets.join(labels, "node", "left").select(*buckets.columns, F.coalesce("component", "node").alias("component"))
-    several = here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    return here.join(several, "bucket")
+    return stored(here, "placed")
 
 
-def _star(here: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each node with its bucket's representative of this turn, if they are apart."""
+def _centres(here: DataFrame, turn: int) -> DataFrame:
+    """bucket, rep, rep_component: this turn's representative of each bucket that holds several components.
+
+    Stored, so that a join with it stands alone and its large buckets can be split.
+    """
     order = F.struct(F.xxhash64("node", "bucket", F.lit(turn)), "node", "component")
-    star = here.groupBy("bucket").agg(F.min(order).alias("r")).select("bucket", F.col("r.node").alias("rep"), F.col("r.component").alias("rep_component"))
-    return here.join(star, "bucket").where("component <> rep_component").select("node", "rep")
+    found = here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(order).alias("r"))
+    return stored(found.where("lo < hi").select("bucket", F.col("r.node").alias("rep"), F.col("r.component").alias("rep_component")), "centres")
 
 
 def _apart(here: DataFrame, percent: int) -> DataFrame:
@@ -222,8 +224,8 @@ def near_groups(
     named = rows.where("doc_id is not null and set_key is not null")
     classes = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "classes")
     buckets = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").count().where("count > 1").select("bucket")
-    buckets = stored(buckets.join(shared, "bucket").distinct(), "buckets")
+    shared = stored(buckets.groupBy("bucket").count().where("count > 1").select("bucket"), "shared-buckets")
+    buckets = stored(buckets.join(shared, "bucket"), "buckets")
     wanted = buckets.select("node").distinct()
     # A class's set comes from the document that names it; the class key tells apart texts that repeat an id.
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
@@ -233,11 +235,17 @@ def near_groups(
     versions = named.join(repeated, "doc_id").join(classes.select("set_key", "node"), "set_key").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     links, checked, labels = versions.where("u <> v"), None, None
     for turn in range(star_rounds + 2):
-        here = _open(buckets, labels)
+        here = _placed(buckets, labels)
+        centres = _centres(here, turn)
         if turn == star_rounds:
-            buckets = prefix_buckets(sets, here.select("node").distinct(), percent)
-            here = _open(buckets, labels)
-        pairs = _apart(here, percent) if turn > star_rounds else _star(here, turn)
+            apart = stored(here.join(centres, "bucket").select("node").distinct(), "apart")
+            buckets = prefix_buckets(sets, apart, percent)
+            here = _placed(buckets, labels)
+            centres = _centres(here, turn)
+        if turn > star_rounds:
+            pairs = _apart(stored(here.join(centres.select("bucket"), "bucket"), "open"), percent)
+        else:
+            pairs = here.join(centres, "bucket").where("component <> rep_component").select("node", "rep")
         pairs = pairs.select(F.least("node", "rep").alias("u"), F.greatest("node", "rep").alias("v")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["u", "v"], "left_anti")
