@@ -22,6 +22,11 @@ from .common import ascii_lower, stored
 CHUNK_MIN, CHUNK_MAX, CHUNK_CUT = 768, 8192, r"(?<=[^\p{L}\n][acegims])"
 
 
+def normalised(text: Column) -> Column:
+    """What texts are compared by: A-Z as a-z, and null as empty."""
+    return ascii_lower(F.coalesce(text, F.lit("")))
+
+
 def chunk_pattern(least: int = CHUNK_MIN, most: int = CHUNK_MAX, cut: str = CHUNK_CUT) -> str:
     """A regular expression whose successive matches are the chunks of a text."""
     return rf"(?s).{{{least},{most}}}?(?:{cut}|\z)|.+"
@@ -33,7 +38,7 @@ def recipes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     id_bits: bits kept of a chunk's identifier; fewer than 64 serve tests, which force collisions.
     """
     short = lambda c: F.xxhash64(c) if id_bits == 64 else F.pmod(F.xxhash64(c), F.lit(1 << id_bits))
-    norm = docs.select(F.col(id_col).alias("doc_id"), ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
+    norm = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm"))
     cut = norm.select("doc_id", F.sha2("norm", 256).alias("text_sha256"), F.regexp_extract_all("norm", F.lit(pattern or chunk_pattern()), F.lit(0)).alias("chunks"))
     return cut.select(
         "doc_id", "text_sha256", F.transform("chunks", short).alias("ids"), F.transform("chunks", lambda c: F.unhex(F.sha2(c, 256))).alias("digests")
@@ -75,8 +80,11 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 def dedup_exact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Dropped ids are kept out by an anti join on the id, so rows without an id stay where their group has none; see
-    ``exact_groups``.
+    What goes is told by id and text together: an id, or none, that loses one text keeps its others; see ``exact_groups``.
     """
-    gone = exact_groups(docs, id_col=id_col, text_col=text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    gone = exact_groups(docs, id_col=id_col, text_col=text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_gone_text")).distinct()
+    own = "_own_text"
+    while own in {c.lower() for c in docs.columns}:
+        own += "_"
+    named = docs.withColumn(own, F.sha2(normalised(F.col(text_col)), 256))
+    return named.join(gone, named[id_col].eqNullSafe(gone["_gone"]) & (named[own] == gone["_gone_text"]), "left_anti").drop(own)

@@ -50,3 +50,11 @@ def test_stages_take_nulls_and_nothing(spark):
     assert minhash.dedup_near(odd).count() == odd.count()
     assert langid.keep_identified(odd).count() == 2
     assert mixing.take_mix(odd).select("doc_id").distinct().count() == 1
+
+
+def test_exact_dedup_drops_by_id_and_text(spark):
+    rows = [(None, "a"), (1, "A"), (None, "b"), (5, "x"), (5, "y"), (6, "x"), (7, None), (None, ""), (None, "c"), (None, "c")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, _own_text int")
+    got = exact_dedup.dedup_exact(docs)
+    assert got.columns == docs.columns
+    assert sorted(r["_own_text"] for r in got.collect()) == [1, 2, 4, 5, 6, 8, 9]
