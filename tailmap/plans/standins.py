@@ -1,20 +1,29 @@
 """Views that show the driver's tables as reads, sites, alignments, exons and features, the same in Spark and in DuckDB.
 
-Each is SQL over the plain tables; ``sql_of`` gives DuckDB's text, which differs in the flag that replaces all matches.
+Each is SQL over the plain tables and keeps all of them; ``sql_of`` gives DuckDB's text, which differs in the flag that
+replaces all matches and in how lists are made and unfolded.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The letters of a text become nucleotides, one letter each.
-READS = """select doc_id as read_id, lang as sample,
-  translate(lower(substring(regexp_replace(text,'[^A-Za-z]',''{g}),1,120)),'abcdefghijklmnopqrstuvwxyz','ACGTNAACGTATCAGTACTGATCGAA') as seq
-  from documents"""
+_SPARK = {"g": "", "list": "array", "series": "explode(sequence", "pieces": "posexplode(pieces) as (i, piece)"}
+_DUCK = {"g": ",'g'", "list": "list_value", "series": "unnest(generate_series", "pieces": "generate_subscripts(pieces, 1) - 1 as i, unnest(pieces) as piece"}
+# The letters of a text become nucleotides, one letter each: reads of 120 one after another, the last of them shorter.  A
+# text's first read has its id, the next that and 10^10, and so on; a text without letters is an empty read, null a null one.
+READS = """select doc_id + cast(i as bigint) * 10000000000 as read_id, lang as sample, translate(lower(piece),'abcdefghijklmnopqrstuvwxyz','ACGTNAACGTATCAGTACTGATCGAA') as seq
+  from (select doc_id, lang, {pieces}
+  from (select doc_id, lang, case when length(letters) > 0 then regexp_extract_all(letters, '.{{1,120}}', 0) else {list}(letters) end as pieces
+  from (select doc_id, lang, regexp_replace(text,'[^A-Za-z]',''{g}) as letters from documents) l) p) r"""
 CONTIGS = """select concat('c', cast(doc_id as varchar(20))) as chr,
-  translate(lower(substring(regexp_replace(text,'[^A-Za-z]',''{g}),1,3000)),'abcdefghijklmnopqrstuvwxyz','ACGTNAACGTATCAGTACTGATCGAA') as seq
+  translate(lower(regexp_replace(text,'[^A-Za-z]',''{g})),'abcdefghijklmnopqrstuvwxyz','ACGTNAACGTATCAGTACTGATCGAA') as seq
   from documents where text is not null"""
-CONTIG_SITES = """select concat('c', cast(d.doc_id as varchar(20))) as chr, case when k % 2 = 0 then '+' else '-' end as strand, cast(40 + k * 97 as bigint) as pos
+#: Seven sites at least, and the last behind the contig's end.
+CONTIG_SITES = """select chr, case when k % 2 = 0 then '+' else '-' end as strand, cast(40 + k * 97 as bigint) as pos
+  from (select concat('c', cast(doc_id as varchar(20))) as chr, {series}(1, greatest(7, cast(ceil(length(regexp_replace(text,'[^A-Za-z]',''{g})) / 97) as int)))) as k
+  from documents where text is not null) s"""
+SITES = """select concat('c', cast(d.doc_id as varchar(20))) as chr, case when k % 2 = 0 then '+' else '-' end as strand, cast(40 + k * 97 as bigint) as pos
   from documents d, (select distinct l_linenumber as k from lineitem) n where d.text is not null"""
 SITES = """select concat('chr',cast(l_suppkey % 3 as varchar(9))) as chr, case when l_linestatus='O' then '+' else '-' end as strand,
   cast(l_partkey*3 + (l_orderkey % 3) as bigint) as pos, concat('S',cast(l_linenumber % 4 as varchar(9))) as sample, count(*) as cnt,
@@ -37,7 +46,7 @@ CLUSTERS = """select cast(p_partkey as bigint) as cluster_id, concat('chr',cast(
   cast(p_partkey*3 as bigint) as s, cast(p_partkey*3+1+p_size as bigint) as e, cast(p_partkey*3+1 as bigint) as start1, cast(p_partkey*3+1+p_size as bigint) as \"end\",
   cast(p_partkey*3+2 as bigint) as rep, cast(p_retailprice as double) as total_tpm, p_partkey%5=0 as is_ip_candidate, p_partkey%4<>0 as has_pas from part"""
 CLUSTER_TPM = """select cast(l_partkey as bigint) as cluster_id, concat('S',cast(l_suppkey%10 as varchar(9))) as sample, cast(sum(cast(l_quantity as int)%7) as double) as tpm from lineitem group by 1,2"""
-SAMPLES = """select concat('S',cast(s_suppkey as varchar(9))) as sample, concat('P',cast(s_nationkey%4 as varchar(9))) as protocol, case when s_suppkey%2=0 then 'F' else 'M' end as sex from supplier where s_suppkey < 10"""
+SAMPLES = """select concat('S',cast(s_suppkey as varchar(9))) as sample, concat('P',cast(s_nationkey%4 as varchar(9))) as protocol, case when s_suppkey%2=0 then 'F' else 'M' end as sex from supplier"""
 GTF = """select case when l_linenumber=1 then 'gene' else 'exon' end as feature, concat('g',cast(l_orderkey as varchar(20))) as gene_id,
   case when l_returnflag='A' then 'protein_coding' when l_returnflag='N' then 'lincRNA' else 'other' end as kind, cast(l_linenumber%6 as varchar(9)) as support, l_linenumber as n from lineitem"""
 
@@ -47,7 +56,7 @@ _TABLES = ("documents", "lineitem", "orders", "part", "supplier")
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a DataFrame; the driver's tables are read through Spark."""
-    text = VIEWS[name].format(g="").replace('"end"', "`end`")
+    text = VIEWS[name].format(**_SPARK).replace('"end"', "`end`").replace("{", "{{").replace("}", "}}")
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES if f" {t}" in text}
     for t in tables:
         text = text.replace(f"from {t}", f"from {{{t}}}")
@@ -57,4 +66,4 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql_of(*names: str) -> str:
     """A WITH clause for DuckDB of some views."""
-    return "with " + ", ".join(f"{n} as ({VIEWS[n].format(g=chr(44) + chr(39) + 'g' + chr(39))})" for n in names) + " "
+    return "with " + ", ".join(f"{n} as ({VIEWS[n].format(**_DUCK)})" for n in names) + " "

@@ -219,8 +219,9 @@ def lift_alignments(spark, sf):
 
 @_query()
 def mmid(spark, sf):
-    rows = view(spark, sf, "reads").where(F.length("seq") >= 30)
-    return rows.select("read_id", X.mmid(F.lit("2S10M1I7M2D8M2S"), F.lit("5A11^CG3T4"), F.substring("seq", 1, 30)).alias("mmid"))
+    # The CIGAR is of 30 letters: each 30 of a read are aligned by it.
+    rows = view(spark, sf, "reads").where(F.length("seq") >= 30).select("read_id", F.explode(F.regexp_extract_all("seq", F.lit(".{30}"), F.lit(0))).alias("seq"))
+    return rows.select("read_id", X.mmid(F.lit("2S10M1I7M2D8M2S"), F.lit("5A11^CG3T4"), F.col("seq")).alias("mmid"))
 
 
 @_query()
