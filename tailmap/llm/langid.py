@@ -12,12 +12,14 @@ Training reads a sample of labelled rows, ``max_train_docs`` of them in expectat
 reads every whole text.
 
 Defined results: a text that is null or has no letter gets ``und`` and score 0; so does every text where nothing was learned;
-equal cosines go to the language that sorts first; repeated rows and null ids get a row each; other columns are ignored.
+equal cosines go to the language that sorts first; a score below ``noise_bound`` says no more than chance, so there
+``keep_identified`` knows no language, be the text of one that was never learned or too short to tell; repeated rows and null ids get a row each; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -27,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIMENSIONS, NGRAM, MAX_TRAIN_DOCS, MAX_LANGUAGES = 1024, 3, 20_000, 1000
-#: Cosine below which a text is of no known language.
-LEAST_SCORE = 0.02
+#: How likely a text that shares no n-gram with any language may pass for one, by the noise of the vectors alone.
+CHANCE = 0.001
 
 _LETTERS: dict[str, np.ndarray] = {}
 _VECTORS: dict[int, dict[int, np.ndarray]] = {}
@@ -207,15 +209,25 @@ def training_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     return rows.where(~held_out()).where("lang is not null and text is not null")
 
 
-def keep_identified(docs: DataFrame, *, least: float = LEAST_SCORE, max_train_docs: int = MAX_TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def noise_bound(languages: int, dimensions: int = DIMENSIONS, chance: float = CHANCE) -> float:
+    """The cosine that the best of so many languages reaches with that chance where nothing is shared.
+
+    The cosine of unrelated vectors has a standard deviation of 1 / sqrt(dimensions).
+    """
+    return NormalDist().inv_cdf(1 - chance / languages) / dimensions**0.5
+
+
+def keep_identified(docs: DataFrame, *, least: float | None = None, max_train_docs: int = MAX_TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose language is known with a score of ``least`` or more, with all their columns.
 
+    Without ``least`` it is the ``noise_bound`` of the languages that were learned.
     Where nothing can be learned, as no row has a language, every row with a letter stays.
     """
     said = F.col("_judged")
     learned = prototypes(sample_of(training_rows(docs, id_col=id_col, text_col=text_col, lang_col=lang_col), max_train_docs))
     if not learned[0]:
         return docs.where(F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)))
+    least = noise_bound(len(learned[0]), learned[1].shape[1]) if least is None else least
     judged = docs.withColumn("_judged", judge_of(docs, *learned)(F.col(text_col).cast("string")))
     return judged.where((said["lang_pred"] != "und") & (said["score"] >= least)).select(*docs.columns)
 

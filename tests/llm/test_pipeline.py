@@ -1,5 +1,7 @@
 """The pipeline and the registered queries."""
 
+import random
+
 import public_tokenizers
 import sentencepiece
 
@@ -58,3 +60,12 @@ def test_exact_dedup_drops_by_id_and_text(spark):
     got = exact_dedup.dedup_exact(docs)
     assert got.columns == docs.columns
     assert sorted(r["_own_text"] for r in got.collect()) == [1, 2, 4, 5, 6, 8, 9]
+
+
+def test_unlearned_scripts_go(spark):
+    docs, pick = table(spark, SF, "documents").select("doc_id", "text", "lang"), random.Random(7)
+    word = lambda first, last: "".join(chr(pick.randint(first, last)) for _ in range(pick.randint(2, 9)))
+    odd = [(10_000 + i, " ".join(word(*((0x3B1, 0x3C9), (0x430, 0x44F), (0x4E00, 0x9FFF))[i % 3]) for _ in range(i % 60 + 5)), None) for i in range(300)]
+    kept = langid.keep_identified(docs.union(spark.createDataFrame(odd, docs.schema)))
+    assert kept.where("doc_id >= 10000").count() <= 3
+    assert kept.where("doc_id < 10000").count() == docs.count()
