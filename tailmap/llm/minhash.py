@@ -251,9 +251,8 @@ def near_groups(
             pairs = pairs.join(checked, ["u", "v"], "left_anti")
         pairs = stored(pairs, "pairs")
         if turn and pairs.isEmpty():
-            if turn < star_rounds:
-                continue
-            break
+            # Pairs that no representative is part of come last, whatever a round before found.
+            continue
         links = links.union(stored(_linked(pairs, sets, percent), "links"))
         checked = pairs if checked is None else checked.union(pairs)
         labels = connected_components(links)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tailmap.llm import minhash
 from tailmap.llm.components import connected_components
 from tailmap.llm.minhash import dedup_near, near_groups
 
@@ -71,6 +72,20 @@ def test_a_group_that_never_meets_its_representatives(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got.collect()} == brute(rows)
 
 
+def test_open_buckets_whose_representatives_are_done(spark, monkeypatch):
+    # 3 and 4 are linked; all their buckets are represented by 1 or 2, which link with nobody and were compared before.
+    def smallest(here, turn):
+        found = here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.struct("node", "component")).alias("r"))
+        return found.where("lo < hi").select("bucket", F.col("r.node").alias("rep"), F.col("r.component").alias("rep_component"))
+
+    monkeypatch.setattr(minhash, "_centres", smallest)
+    base = ["b%d" % i for i in range(85)]
+    own = lambda c: ["%s%d" % (c, i) for i in range(8)]
+    rows = [(1, " ".join(base[:70])), (2, " ".join(base[15:])), (3, " ".join(base + own("x"))), (4, " ".join(base + own("y")))]
+    got = near_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), percent=80, shingle=1, band_rows=1, star_rounds=1)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 2, 3: 3, 4: 3}
+
+
 def test_nulls_repeats_and_empty(spark):
     schema = "doc_id bigint, text string, bucket string"
     rows = spark.createDataFrame([(None, "a b c d e f", "x"), (1, None, None), (1, "a b c d e f", "y"), (1, "q r s", "y"), (2, "Q r S", None)], schema)
