@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tailmap.llm.common import table
+from tailmap.llm.common import stored, table
 from tailmap.llm.exact_dedup import dedup_exact
 from tailmap.llm.langid import keep_identified
 from tailmap.llm.minhash import dedup_near
@@ -57,8 +57,8 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after another, over the documents table."""
+    """All stages, one after another, over the documents table; what a stage keeps is stored before the next reads it."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, stored(docs, f"stage-{i}") if i else docs, sf_dir)
     return docs

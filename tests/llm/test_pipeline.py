@@ -7,6 +7,7 @@ import sentencepiece
 
 import corpus_pipeline
 from oracle import duck, rows_of, rows_of_sql
+from test_near_dedup import brute
 from tailmap.llm import exact_dedup, langid, minhash, mixing
 from tailmap.llm.common import table
 from tailmap.llm.queries import ORACLES, QUERIES
@@ -69,3 +70,31 @@ def test_unlearned_scripts_go(spark):
     kept = langid.keep_identified(docs.union(spark.createDataFrame(odd, docs.schema)))
     assert kept.where("doc_id >= 10000").count() <= 3
     assert kept.where("doc_id < 10000").count() == docs.count()
+
+
+def test_run_stores_between_stages(spark, monkeypatch):
+    read = []
+
+    def look(spark, docs, sf_dir):
+        read.append(docs.inputFiles())
+        return docs.where("doc_id % 2 = 0")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", look), ("b", look), ("c", look)])
+    assert corpus_pipeline.run(spark, SF).count() == 100
+    assert "documents.parquet" in read[0][0] and "/stage-1-" in read[1][0] and "/stage-2-" in read[2][0]
+
+
+def test_dedup_stages_by_brute_force(spark):
+    docs = table(spark, SF, "documents")
+    best = {}
+    for r in docs.collect():
+        low = ascii_low(r.text)
+        best[low] = max(r.doc_id, best.get(low, -1))
+    kept = corpus_pipeline.drop_copies(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(best.values())
+    want = brute([(r.doc_id, r.text) for r in kept.collect()], percent=80)
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, kept, SF).collect()} == {i for i, (_, _, stays) in want.items() if stays}
+
+
+def ascii_low(text):
+    return "".join(c.lower() if c.isascii() else c for c in text or "")
