@@ -13,8 +13,8 @@ merges instead: the best-ranked edge that joins two neighbours of the current pa
 none is left, and the positions that are still borders are a bit mask.  One pass over the edges in their order does that
 unless a merge makes a better edge possible than itself; only edges marked late can be such, the pass looks at these after
 every merge, and the segments where it happens start from the best edge again after every merge.  Viterbi's path over a BPE
-model's ranks is another one than the library's, so ``encode`` takes the fold from its caller.  Segments with more characters than a mask has bits are
-merged by a worker with the same rule.
+model's ranks is another one than the library's, so ``encode`` takes the fold from its caller.  Segments with more characters
+than a mask has bits are solved by a worker with the rule of the fold.
 
 Segments that are frequent, ``COMMON`` at most, go to the workers as a broadcast; each of the others goes by a shuffle to the
 buckets of documents that hold it, and meets them there.  A bucket holds about ``BUCKET_BYTES`` of text.
@@ -27,7 +27,8 @@ a row each; an empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,9 +42,9 @@ from .common import stored
 
 SPACE = "▁"
 #: Most frequent segments that are broadcast, text of a bucket, characters of a segment that the fold takes.
-COMMON, BUCKET_BYTES, FOLD_CHARS = 300_000, 20 << 20, 60
+COMMON, BUCKET_BYTES, FOLD_CHARS = 300_000, 8 << 20, 60
 #: Distinct segments that a worker keeps before it passes them on, by a factor of a few.
-CACHE = 150_000
+CACHE = 100_000
 
 #: An edge as one number: rank, start (6 bits), length (6 bits), whether it is late (1 bit), id (20 bits).
 _ID_BITS, _LEN_BITS = 21, 6
@@ -81,6 +82,11 @@ class Model:
         normal = [i for i in ids if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         return Model.of([(sp.id_to_piece(i), i, sp.get_score(i)) for i in normal], [i for i in ids if sp.is_byte(i)], sp.unk_id())
 
+    @property
+    def unknown_score(self) -> float:
+        """What a character without a piece adds to a path: 10 less than the worst piece."""
+        return min((s for _, _, s in self.pieces), default=0.0) - 10.0
+
     def ranks(self) -> dict[str, tuple[int, int]]:
         """rank (0 is the best score; equal scores share one) and id of every piece."""
         place = {s: r for r, s in enumerate(sorted({s for _, _, s in self.pieces}, reverse=True))}
@@ -175,10 +181,11 @@ def merged(segment: str, model: Model, ranks: dict[str, tuple[int, int]]) -> lis
     return out
 
 
-def lattice(segments: DataFrame, table: DataFrame) -> DataFrame:
+def lattice(segments: DataFrame, table: DataFrame, *, unknown_score: float | None = None) -> DataFrame:
     """seg, n, edges (array of bigint in the order of rank, then start), of rows seg, n with distinct segments.
 
-    Every character has an edge, with the id ``_NONE`` where it has no piece.
+    Every character has an edge, with the id ``_NONE`` where it has no piece.  With ``unknown_score``, that of a character
+    without a piece, edges are structs of edge and score.
     """
     size, start = F.length("seg"), F.col("s")
     at = segments.select("seg", "n", F.explode(F.sequence(F.lit(1), size)).alias("s"))
@@ -193,6 +200,8 @@ def lattice(segments: DataFrame, table: DataFrame) -> DataFrame:
     edge = F.shiftleft(rank, 2 * _LEN_BITS + _ID_BITS).bitwiseOR(F.shiftleft((F.col("s") - 1).cast("long"), _LEN_BITS + _ID_BITS))
     edge = edge.bitwiseOR(F.shiftleft(F.col("len").cast("long"), _ID_BITS)).bitwiseOR(F.coalesce("id", F.lit(_NONE)).cast("long"))
     edge = edge.bitwiseOR(F.when(F.col("late"), F.lit(_LATE)).otherwise(F.lit(0)).cast("long"))
+    if unknown_score is not None:
+        edge = F.struct(edge.alias("edge"), F.coalesce("score", F.lit(unknown_score)).alias("score"))
     return found.select("seg", "n", edge.alias("edge")).groupBy("seg", "n").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
@@ -235,17 +244,13 @@ def fold_merges(edges: DataFrame, model: Model) -> DataFrame:
     return rows.select("seg", "n", F.expr(tokens).alias("tokens")).select("seg", "n", _spelled("tokens", model).alias("ids"))
 
 
-def fold_viterbi(edges: DataFrame, table: DataFrame, model: Model) -> DataFrame:
-    """seg, n, ids of a unigram model: the path with the largest sum of scores; a character without a piece costs 10 more than the worst piece.
+def fold_viterbi(edges: DataFrame, model: Model) -> DataFrame:
+    """seg, n, ids of a unigram model, of edges with scores: the path with the largest sum; see ``Model.unknown_score``.
 
     Of equal sums the path whose last piece is longest is taken, at every position.
     """
-    start, size, number = _parts("e")
-    worst = min((s for _, _, s in model.pieces), default=0.0) - 10.0
-    scores = F.broadcast(table.agg(F.map_from_entries(F.collect_list(F.struct("rank", "score"))).alias("scores")))  # a row, as large as the vocabulary
-    rank = f"cast(shiftright(e, {2 * _LEN_BITS + _ID_BITS}) as int)"
-    rows = edges.join(scores).select("seg", "n", F.expr(f"transform(edges, e -> named_struct('edge', e, 's', {start}, 'end', {start} + {size}, 'score', if({number} = {_NONE}, {worst}D, scores[{rank}])))").alias("all"))
-    rows = rows.select("*")
+    start, size, _ = _parts("e.edge")
+    rows = edges.select("seg", "n", F.expr(f"transform(edges, e -> named_struct('edge', e.edge, 's', {start}, 'end', {start} + {size}, 'score', e.score))").alias("all"))
     zero = "named_struct('sum', 0D, 'back', 0, 'edge', 0L)"
     options = "transform(filter(all, x -> x.end = j), x -> named_struct('sum', best[x.s].sum + x.score, 'back', -x.s, 'edge', x.edge))"
     best = f"aggregate(sequence(1, length(seg)), array({zero}), (best, j) -> concat(best, array(array_max({options}))))"
@@ -254,6 +259,26 @@ def fold_viterbi(edges: DataFrame, table: DataFrame, model: Model) -> DataFrame:
     return rows.select("seg", "n", F.expr(back).alias("tokens")).select("seg", "n", _spelled("tokens", model).alias("ids"))
 
 
+def best_path(segment: str, model: Model, scores: dict[str, tuple[float, int]]) -> list[int]:
+    """Ids of a long segment by the rule of ``fold_viterbi``."""
+    best, unknown = [(0.0, 0)], model.unknown_score
+    for end in range(1, len(segment) + 1):
+        options = []
+        for start in range(max(0, end - model.longest), end):
+            known = scores.get(segment[start:end])
+            if known or end - start == 1:
+                options.append((best[start][0] + (known[0] if known else unknown), -start))
+        best.append(max(options))
+    out: list[list[int]] = []
+    end = len(segment)
+    while end:
+        start = -best[end][1]
+        known = scores.get(segment[start:end])
+        out.append([known[1]] if known else model.fallback(segment[start]))
+        end = start
+    return [i for ids in reversed(out) for i in ids]
+
+
 def _slices(batches: Iterator[pa.RecordBatch], size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about so many bytes, whole rows each."""
     for b in batches:
@@ -299,20 +324,18 @@ def lexicon(docs: DataFrame, model: Model, *, fold: str = "merge") -> tuple[Data
     size = counts.where("seg is null").select("n").first()  # one number
     short = counts.where("seg is not null").where(F.length("seg") <= FOLD_CHARS).repartition(parts, "seg")
     table = model.table(spark)
-    edges = lattice(short, table)
-    solved = fold_merges(edges, model) if fold == "merge" else fold_viterbi(edges, table, model)
+    if fold == "merge":
+        solved = fold_merges(lattice(short, table), model)
+    else:
+        solved = fold_viterbi(lattice(short, table, unknown_score=model.unknown_score), model)
 
     def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = model.ranks()
+        ranks, scores = model.ranks(), {p: (s, i) for p, i, s in model.pieces}
         for b in batches:
-            ids = [merged(s, model, ranks) for s in b.column(0).to_pylist()]
+            ids = [merged(s, model, ranks) if fold == "merge" else best_path(s, model, scores) for s in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["seg", "n", "ids"])
 
     rest = counts.where("seg is not null").where(F.length("seg") > FOLD_CHARS)
-    if fold != "merge":
-        if not rest.isEmpty():
-            raise ValueError(f"segments of more than {FOLD_CHARS} characters need the merging fold")
-        return stored(solved, "lexicon"), size.n if size else 0
     return stored(solved.union(rest.select("seg", "n").mapInArrow(long, "seg string, n long, ids array<int>")), "lexicon"), size.n if size else 0
 
 
@@ -361,8 +384,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def encode(docs: DataFrame, model: Model, *, fold: str = "merge", common: int = COMMON, bucket_bytes: int = BUCKET_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (array of int), one row per document."""
+def encode(docs: DataFrame, model: Model, *, fold: str = "merge", decoded: bool = False, common: int = COMMON, bucket_bytes: int = BUCKET_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and ids (array of int), one row per document; with ``decoded`` also decoded_crc32, of the text the ids stand for."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lex, size = lexicon(rows, model, fold=fold)
@@ -398,7 +421,8 @@ def encode(docs: DataFrame, model: Model, *, fold: str = "merge", common: int =
     wanted = dealt.select("bucket", "text").mapInArrow(rare, "bucket int, r_seg string")
     needed = wanted.join(lex.where(F.col("n") < least).select("seg", "ids"), F.col("r_seg") == F.col("seg")).select("bucket", "seg", "ids")
     packed = dealt.mapInArrow(_packed, "bucket int, doc_ids array<bigint>, sizes array<bigint>, packed binary")
-    found = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    found = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))] + [("decoded_crc32", pa.int64())] * decoded)
+    texts_of = decoder(model) if decoded else None
 
     def meet(texts: pa.Table, segments: pa.Table) -> pa.Table:
         if not texts.num_rows:
@@ -420,18 +444,18 @@ def encode(docs: DataFrame, model: Model, *, fold: str = "merge", common: int =
             place = pc.coalesce(pc.index_in(coded.dictionary, value_set=known), pc.add(pc.index_in(coded.dictionary, value_set=more), pa.scalar(len(known), pa.int32())))
             lists = spelled.take(place.take(coded.indices))
             begins = lists.offsets.to_numpy()[at]
-            out.append(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), lists.values)], schema=found))
+            columns = [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), lists.values)]
+            if decoded:
+                columns.append(pa.array([zlib.crc32(t) for t in texts_of(columns[1]).cast(pa.binary()).to_pylist()], pa.int64()))
+            out.append(pa.RecordBatch.from_arrays(columns, schema=found))
         pa.default_memory_pool().release_unused()
         return pa.Table.from_batches(out, found)
 
-    return packed.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(meet, "doc_id long, ids array<int>")
+    return packed.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(meet, "doc_id long, ids array<int>" + ", decoded_crc32 long" * decoded)
 
 
-def decode(rows: DataFrame, model: Model, *, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
-    """``rows`` with the text of an array of ids; a column of that name is replaced.
-
-    Null ids give null; what is no UTF-8 becomes U+FFFD; null or unknown ids in an array give nothing.
-    """
+def decoder(model: Model) -> Callable[[pa.Array], pa.Array]:
+    """A function that gives the texts of lists of ids, some at a time."""
     spelled = {i: p.encode() for p, i, _ in model.pieces} | {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
     top = max(spelled, default=-1) + 1
     table = pa.array([spelled.get(i, b"") for i in range(top + 1)], pa.binary())
@@ -457,10 +481,22 @@ def decode(rows: DataFrame, model: Model, *, ids_col: str = "ids", out_col: str
         pa.default_memory_pool().release_unused()
         return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
-    return rows.withColumn(out_col, F.arrow_udf(texts, "string")(F.col(ids_col)))
+    return texts
+
+
+def decode(rows: DataFrame, model: Model, *, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
+    """``rows`` with the text of an array of ids; a column of that name is replaced.
+
+    Null ids give null; what is no UTF-8 becomes U+FFFD; null or unknown ids in an array give nothing.
+    """
+    texts = decoder(model)
+    return rows.withColumn(out_col, F.arrow_udf(lambda ids: texts(ids), "string")(F.col(ids_col)))
 
 
 def encode_decode(docs: DataFrame, model: Model, **options: object) -> DataFrame:
-    """doc_id, ids, n_tokens, decoded_crc32 (of the text that the ids are decoded to, in UTF-8)."""
-    rows = decode(encode(docs, model, **options), model, out_col="decoded")
-    return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"))
+    """doc_id, ids, n_tokens, decoded_crc32 (of the text that the ids are decoded to, in UTF-8).
+
+    The worker that has encoded a slice of documents decodes their ids before it takes the next.
+    """
+    rows = encode(docs, model, decoded=True, **options)
+    return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded_crc32")

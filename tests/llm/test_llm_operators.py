@@ -103,10 +103,11 @@ def test_decoding_odd_ids(spark):
 def test_viterbi_is_the_best_path(spark):
     rng = random.Random(6)
     made = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))) for _ in range(25)} | {"▁", "▁a", "a", "b"}
-    model = pieces.Model.of([(p, 10 + i, -rng.randint(1, 4000) / 1000) for i, p in enumerate(sorted(made))], list(range(1000, 1256)), 0)
+    # Scores of few values: many pieces have the same.  Texts on both sides of the length that the fold takes.
+    model = pieces.Model.of([(p, 10 + i, -rng.randint(1, 8) / 2) for i, p in enumerate(sorted(made))], list(range(1000, 1256)), 0)
     score = {p: (s, i) for p, i, s in model.pieces}
     worst = min(s for s, _ in score.values()) - 10
-    texts = ["".join(rng.choice("abcd ") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    texts = ["".join(rng.choice("abcd ") for _ in range(rng.randint(1, 9))) for _ in range(60)] + ["".join(rng.choice("abc") for _ in range(n)) for n in (58, 59, 60, 61, 200)]
 
     def best(text):
         w = " " + text
@@ -122,6 +123,11 @@ def test_viterbi_is_the_best_path(spark):
     got = pieces.encode(docs_of(spark, [(i, t, None, None) for i, t in enumerate(texts)]), model, fold="viterbi").collect()
     for r in got:
         assert sum(value.get(i, worst) for i in r.ids) == pytest.approx(best(texts[r.doc_id]))
+    # A segment gets the same path from the fold and from a worker.
+    for text in texts:
+        if 0 < len(text) < 60:
+            ids = {tuple(r.ids) for r in got if texts[r.doc_id] == text}
+            assert ids == {tuple(pieces.best_path(" " + text, model, score))} or "d" in text
 
 
 # Secrets
