@@ -2,8 +2,9 @@
 
 Fixed kinds are ``assign``, ``access`` and ``hex``.  The method adds kind ``entropy``: in a candidate (a run of characters of
 one class) a window moves by one character at a time, its counts and the sum of c * log2(c) changing by one step each, and
-windows of high Shannon entropy are joined into spans.  A candidate that the allow-list names is left alone, as is a span
-inside a fixed one.  Offsets are code points, ends exclusive.
+windows of high Shannon entropy are joined into spans.  The allow-list names whole candidates that are left alone, and
+placeholder words: a window that holds one is not suspicious.  A span inside a fixed one is left out, as is one inside a span
+of an earlier class.  Offsets are code points, ends exclusive.
 
 Defined results: a null text is empty; texts of any length are scanned whole, in time proportional to their length; repeated
 rows and null ids get a row each; an empty table gives an empty table; other columns stay as they are.
@@ -30,11 +31,10 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 #: Characters of a window, and the classes: candidates, and the least bits a character of a suspicious window.
 WINDOW = 20
 CLASSES = ((re.compile(r"[0-9A-Fa-f]{%d,}" % WINDOW), 3.0), (re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW), 4.0))
-#: Candidates that are no secrets: without a digit or without a letter, UUIDs, and placeholders.
-ALLOWED = tuple(
-    re.compile(p)
-    for p in (r"[^0-9]*\Z", r"[^A-Za-z]*\Z", r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z", r"(?i).*(example|placeholder|changeme|your[_-]|xxxx)", r"(?i)[^=]*(deadbeef|0123456789abcdef)")
-)
+#: Candidates that are no secrets: without a digit or without a letter, and UUIDs.
+ALLOWED = tuple(re.compile(p) for p in (r"[^0-9]*\Z", r"[^A-Za-z]*\Z", r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z"))
+#: What shows that the characters around it are made up.
+PLACEHOLDER = re.compile(r"example|placeholder|changeme|your[_-]|xxxx|deadbeef|0123456789abcdef", re.IGNORECASE)
 
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
@@ -62,6 +62,27 @@ def hot_windows(text: str, bits: float, window: int = WINDOW) -> list[tuple[int,
     return spans
 
 
+def without_placeholders(text: str) -> list[tuple[int, int]]:
+    """The parts of a candidate between its placeholder words; whole windows fit in them."""
+    cuts = [m.span() for m in PLACEHOLDER.finditer(text)]
+    return [(s, e) for s, e in zip([0, *(e for _, e in cuts)], [*(s for s, _ in cuts), len(text)], strict=True) if e - s >= WINDOW]
+
+
+def outside(spans: list[tuple[int, int]], others: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that lie in none of the others, both by start; each list is gone through once.
+
+    Of the others that begin no later than a span, the one that reaches farthest decides.
+    """
+    out, reach, i = [], -1, 0
+    for s, e in spans:
+        while i < len(others) and others[i][0] <= s:
+            reach = max(reach, others[i][1])
+            i += 1
+        if e > reach:
+            out.append((s, e))
+    return out
+
+
 def spans_of(text: str) -> list[tuple[int, int, str]]:
     """All spans (start, end, kind) by start, then kind as listed."""
     low = text.lower()
@@ -70,17 +91,16 @@ def spans_of(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
     found += [(*m.span(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     found += [(*m.span(), "hex") for m in HEX.finditer(text)]
-    base = sorted(found)
-    added: set[tuple[int, int, str]] = set()
+    known = sorted((s, e) for s, e, _ in found)
     for candidates, bits in CLASSES:
+        hot = []
         for m in candidates.finditer(text):
-            if any(a.match(m[0]) for a in ALLOWED):
-                continue
-            for s, e in hot_windows(m[0], bits):
-                s, e = s + m.start(), e + m.start()
-                if not any(b <= s and e <= f for b, f, _ in base) and not any(b <= s and e <= f for b, f, _ in added):
-                    added.add((s, e, "entropy"))
-    return sorted(found + list(added), key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
+            if not any(a.match(m[0]) for a in ALLOWED):
+                hot += [(m.start() + at + s, m.start() + at + e) for at, to in without_placeholders(m[0]) for s, e in hot_windows(m[0][at:to], bits)]
+        new = outside(hot, known)
+        found += [(s, e, "entropy") for s, e in new]
+        known = sorted(known + new)
+    return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
