@@ -165,6 +165,61 @@ def test_secret_table(spark):
     assert secrets.redact_secrets(rows).first().text == "[SECRET]" and secrets.secret_digests(rows.limit(0)).count() == 0
 
 
+def brute_secrets(text):
+    """All windows counted anew, all spans compared with all others."""
+    import math
+    from collections import Counter
+
+    base = [(*m.span(), "assign") for m in re.finditer(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 12]
+    base += [(*m.span(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    base += [(*m.span(), "hex") for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+    out = list(base)
+    for chars, bits in ((r"[0-9A-Fa-f]+", 3.0), (r"[A-Za-z0-9+/_=-]+", 4.0)):
+        new = []
+        for m in re.finditer(chars, text):
+            run = m[0]
+            if not re.search(r"[0-9]", run) or not re.search(r"[A-Za-z]", run) or re.fullmatch(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}", run):
+                continue
+            fake = set()
+            for p in re.finditer(r"(?i)example|placeholder|changeme|your[_-]|xxxx|deadbeef|0123456789abcdef", run):
+                fake |= set(range(*p.span()))
+            hot = []
+            for i in range(len(run) - 19):
+                counts = Counter(run[i : i + 20])
+                if not fake & set(range(i, i + 20)) and -sum(n / 20 * math.log2(n / 20) for n in counts.values()) >= bits - 1e-9:
+                    if hot and m.start() + i <= hot[-1][1] and not fake & set(range(hot[-1][0] - m.start(), i + 20)):
+                        hot[-1] = (hot[-1][0], m.start() + i + 20)
+                    else:
+                        hot.append((m.start() + i, m.start() + i + 20))
+            new += [h for h in hot if not any(s <= h[0] and h[1] <= e for s, e, _ in out)]
+        out += [(s, e, "entropy") for s, e in new]
+    return sorted(out, key=lambda x: (x[0], secrets.KINDS.index(x[2]), x[1]))
+
+
+def test_secrets_are_brute_force():
+    rng, letters = random.Random(5), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    word = lambda n, chars=letters: "".join(rng.choice(chars) for _ in range(n))
+    made = [lambda: "token=" + word(rng.randint(8, 30)), lambda: "Api_Key: '" + word(20) + "'", lambda: "AKIA" + word(rng.randint(10, 18), letters[26:]), lambda: word(rng.randint(10, 40), "0123456789abcdef"), lambda: word(rng.randint(15, 60))]
+    made += [lambda: rng.choice(["example", "xxxx", "your_", "/", "-", "deadbeef", "é", "🙂", " ", "123e4567-e89b-12d3-a456-426614174000", "password"]), lambda: word(40, "ab1")]
+    for _ in range(500):
+        text = "".join(rng.choice(made)() + rng.choice(["", " ", "\n"]) for _ in range(rng.randint(0, 8)))
+        assert secrets.spans_of(text) == brute_secrets(text), text
+    two = word(30) + "xxxx" + word(30)
+    assert [k for *_, k in secrets.spans_of("A1" + two)] == ["entropy", "entropy"]
+
+
+def test_secrets_of_a_long_text():
+    import time
+
+    rng, letters = random.Random(6), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    part = " ".join("token=" + "".join(rng.choice(letters) for _ in range(24)) + " " + "".join(rng.choice(letters) for _ in range(40)) for _ in range(1000)) + "\n"
+    began, once = time.time(), secrets.spans_of(part)
+    text = part * 28
+    assert len(text) > 2_000_000
+    assert secrets.spans_of(text) == [(s + i * len(part), e + i * len(part), k) for i in range(28) for s, e, k in once]
+    assert time.time() - began < 30
+
+
 # Personal data
 
 
@@ -206,6 +261,73 @@ def test_disclosing_terms(spark):
     assert "zanzibar" not in clean[0] and "ann@" not in clean[0] and clean[10] == rows[5][1]
 
 
+def brute_terms(rows, near=80, least=3, generalise=0.8):
+    """For each row the set of term spans, all counts made anew."""
+    import math
+    from collections import Counter
+
+    import regex
+
+    term = regex.compile(r"[\p{L}\p{N}]{3,}")
+    found = [brute_pii(t or "") for _, t in rows]
+    holders, both, sites = {}, {}, []
+    for at, ((i, t), spans) in enumerate(zip(rows, found, strict=True)):
+        t = t or ""
+        for kind, places in spans.items():
+            for s, e in places:
+                hit = t[s:e]
+                entity = kind + ":" + (hit.lower() if kind == "email" else hit if kind == "ip" else re.sub(r"[ ().+-]", "", hit))
+                holders.setdefault(entity, set()).add((i, t))
+                cut = max(0, s - near)
+                left = (m.start() if (m := re.search(r"(?a)\s", t[cut:s])) else s - cut) if cut else 0
+                right = t[e : e + near]
+                if len(right) == near:
+                    right = right[: max((m.end() for m in re.finditer(r"(?a)\s", right)), default=0)]
+                for m in [*term.finditer(t[:s], cut + left), *term.finditer(t[: e + len(right)], e)]:
+                    if not any(m.start() < f and m.end() > b for p in spans.values() for b, f in p):
+                        both.setdefault((entity, m[0].lower()), set()).add((i, t))
+                        sites.append((at, entity, m[0].lower(), m.span()))
+    documents = Counter(w for _, t in rows for w in set(term.findall((t or "").lower())))
+    n, out = len(rows), [set() for _ in rows]
+    for at, entity, word, span in sites:
+        c, e = len(both[entity, word]), len(holders[entity])
+        if c >= least and e < n and math.log(n * c / (e * documents[word])) / math.log(n / e) >= generalise:
+            out[at].add(span)
+    return out
+
+
+def test_terms_are_brute_force(spark):
+    rng = random.Random(4)
+    people = [("ann@x.org", "zanzibar"), ("10.0.0.7", "Quokka"), ("+49 30 123456", "élan7"), ("bo@y.org", "bo@y.orgish")]
+    words = ["report", "office", "by", "today", "αβγ", "x1", "and", "of the", "4111111111111111", "\n"]
+    rows = []
+    for i in range(150):
+        parts = [rng.choice(words) for _ in range(rng.randint(0, 40))]
+        for value, word in rng.sample(people, rng.randint(0, 2)):
+            at = rng.randint(0, len(parts))
+            parts[at:at] = rng.sample([value, word, rng.choice(words)], 3)
+        rows.append((i, rng.choice([" ", "  ", "-"]).join(parts)))
+    rows += [rows[3], rows[4], (None, rows[5][1]), (200, None), (201, "")]
+    want = sorted((str(i), ",".join(f"term:{s}:{e}" for s, e in sorted(t))) for (i, _), t in zip(rows, brute_terms(rows), strict=True))
+    got = sorted((str(r.doc_id), ",".join(x for x in r.spans.split(",") if x.startswith("term"))) for r in pii.pii_digests(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == want and sum(1 for _, t in want if t) > 20
+
+
+def test_personal_data_in_a_long_text(spark):
+    import time
+
+    part = " ".join(f"user{i}@ex{i}.org at 10.{i % 250}.3.{i % 200} word{i % 7} +49 (30) {100000 + i}" for i in range(1000)) + "\n"
+    text, began = part * 40, time.time()
+    assert len(text) > 2_000_000
+    rows = spark.createDataFrame([(1, text), (2, "word3 ann@x.org")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in pii.pii_digests(rows).collect()}
+    found = brute_pii(text)
+    assert got[1].base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, v in found.items() for s, e in v).encode()).hexdigest()
+    clean = {r.doc_id: r.text for r in pii.sanitise(rows).collect()}
+    assert not any(brute_pii(clean[1])[k] for k in ("email", "ip", "phone")) and clean[1].count("[EMAIL]") == 40_000
+    assert time.time() - began < 240
+
+
 # URLs
 
 
