@@ -1,10 +1,12 @@
 """Exact dedup by content-defined chunk recipes, with DataFrame functions only.
 
 Each normalised text is cut where its own content says so: a chunk ends at the first place, after a least length, where a
-character class follows another, so equal passages give equal chunks wherever they stand.  A chunk becomes a 64-bit
-identifier; the identifiers are verified against SHA-256 digests over the whole corpus, and an identifier that stands for
-more than one content is replaced by the digest itself.  Two texts are equal if and only if their ordered lists of verified
-identifiers are.  Only these short lists are shuffled, never the texts.
+character stands twice in a row and the next comes again soon (in scripts of many signs the first is enough).  Such places
+are about as far apart as a chunk is long, so equal passages soon give equal chunks, wherever they stand.  Where there is
+none, a chunk ends at the greatest length.  A chunk becomes a 64-bit identifier; the
+identifiers are verified against SHA-256 digests over the whole corpus, and an identifier that stands for more than one
+content is replaced by the digest itself.  Two texts are equal if and only if their ordered lists of verified identifiers are.  Only these short lists
+are shuffled, never the texts.
 
 Defined results: a null text counts as empty, and all empty texts are one group; a null doc_id is smaller than any other and
 stays only where its group has no id at all; repeated rows (same id, same text) share their result; an empty table gives an
@@ -18,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, stored
 
-#: Fewest and most characters of a chunk, and what must stand before a cut.
-CHUNK_MIN, CHUNK_MAX, CHUNK_CUT = 768, 8192, r"(?<=[^\p{L}\n][acegims])"
+#: Fewest and most characters of a chunk, and what it ends with: some 2 of 1,000 places, or of 100 in scripts of many signs.
+CHUNK_MIN, CHUNK_MAX, CHUNK_CUT = 256, 8192, r"(?:(.)\1(.).\2|([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}\p{IsThai}])\3)"
 
 
 def normalised(text: Column) -> Column:
@@ -28,8 +30,8 @@ def normalised(text: Column) -> Column:
 
 
 def chunk_pattern(least: int = CHUNK_MIN, most: int = CHUNK_MAX, cut: str = CHUNK_CUT) -> str:
-    """A regular expression whose successive matches are the chunks of a text."""
-    return rf"(?s).{{{least},{most}}}?(?:{cut}|\z)|.+"
+    """A regular expression whose successive matches are the chunks of a text; ``cut`` takes five characters at most."""
+    return rf"(?s).{{{least - 5},{most - 5}}}?{cut}|.{{1,{most}}}+"
 
 
 def recipes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", pattern: str | None = None, id_bits: int = 64) -> DataFrame:
@@ -78,13 +80,22 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def dedup_exact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, one for each text, with all their columns.
 
     What goes is told by id and text together: an id, or none, that loses one text keeps its others; see ``exact_groups``.
+    Of rows that have both in common any one stays.
     """
-    gone = exact_groups(docs, id_col=id_col, text_col=text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_gone_text")).distinct()
+    groups = exact_groups(docs, id_col=id_col, text_col=text_col)
+    key = [F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text")]
+    gone = groups.where(~F.col("kept")).select(*key).distinct()
     own = "_own_text"
     while own in {c.lower() for c in docs.columns}:
         own += "_"
     named = docs.withColumn(own, F.sha2(normalised(F.col(text_col)), 256))
-    return named.join(gone, named[id_col].eqNullSafe(gone["_gone"]) & (named[own] == gone["_gone_text"]), "left_anti").drop(own)
+    here = lambda rows: named[id_col].eqNullSafe(rows["_id"]) & (named[own] == rows["_text"])
+    again = stored(groups.where("kept and group_size > 1").groupBy(*key).count().where("count > 1").select("_id", "_text"), "repeated")
+    if again.isEmpty():
+        return named.join(gone, here(gone), "left_anti").drop(own)
+    out = gone.union(again)
+    alone = named.join(out, here(out), "left_anti")
+    return alone.union(named.join(again, here(again), "left_semi").dropDuplicates([id_col, own])).drop(own)

@@ -43,6 +43,22 @@ def test_exact_groups(spark, bits):
     assert exact_dedup.exact_groups(docs_of(spark, [])).count() == 0
 
 
+def test_chunks_of_every_script(spark):
+    rng = random.Random(3)
+    letters = {"latin": "abcdefghijklmnopqrstuvwxyz  ", "cyrillic": "абвгдежзиклмнопрстуфхцчшщыэюя  ", "han": [chr(0x4E00 + i) for i in range(300)], "emoji": ["🙂", "🙃", "😀", "😁"]}
+    shared = {k: "".join(rng.choice(v) for _ in range(16_000)) for k, v in letters.items()}
+    rows = [(i, "x" * (37 * i) + t, None, None) for i, t in enumerate([*shared.values(), *shared.values()])] + [(50, "ab" * 30_000, None, None), (51, "é" * 30_000, None, None)]
+    got = {r.doc_id: r for r in exact_dedup.recipes(docs_of(spark, rows)).collect()}
+    for i in range(4):
+        assert len(got[i].ids) >= 10
+        # The same passage behind another beginning: most chunks are the same.
+        assert len(set(got[i].ids) & set(got[i + 4].ids)) >= len(got[i].ids) // (2 if i < 3 else 4)
+    chunks = docs_of(spark, rows).select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(exact_dedup.chunk_pattern()), F.lit(0))).alias("c"), "text")
+    assert chunks.agg(F.max(F.length("c"))).first()[0] <= exact_dedup.CHUNK_MAX
+    whole = docs_of(spark, rows).select("text", F.array_join(F.regexp_extract_all(F.col("text"), F.lit(exact_dedup.chunk_pattern()), F.lit(0)), "").alias("again"))
+    assert whole.where("text <> again").isEmpty()
+
+
 # Language ID
 
 
