@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,10 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
+
+    Where that is unset and Spark runs in this process alone, as in tests, a temporary one; on a cluster an error.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
         _OWN_DIR[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
@@ -50,8 +56,3 @@ def ascii_lower(text: Column) -> Column:
     A text of ASCII only takes the fast built-in path; for the others ``translate`` maps the 26 letters.
     """
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-
-
-def partitions_for(spark: SparkSession, units: int, per_partition: int) -> int:
-    """So many partitions that each holds about ``per_partition`` units, and all cores have one."""
-    return max(spark.sparkContext.defaultParallelism, -(-units // per_partition))

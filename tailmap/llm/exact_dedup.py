@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, stored
 
 #: Fewest and most characters of a chunk, and what it ends with: some 2 of 1,000 places, or of 100 in scripts of many signs.
-CHUNK_MIN, CHUNK_MAX, CHUNK_CUT = 256, 8192, r"(?:(.)\1(.).\2|([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}\p{IsThai}])\3)"
+CHUNK_MIN, CHUNK_MAX, CHUNK_CUT = 256, 8192, r"(.)\1(?:(.).\2|(?<=[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}\p{IsThai}]))"
 
 
 def normalised(text: Column) -> Column:

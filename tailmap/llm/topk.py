@@ -12,8 +12,11 @@ k + 1 smallest ids can be in any result; the others, a third of all rows perhaps
 Pivots are chosen from ``PIVOT_SAMPLE`` rows at most, each the farthest from those before it; they change what is scored, not
 the result.
 
-Defined results: vectors that are null or hold null or non-finite components take no part, nor do those with a scaled
-component of 2^26 or more (their scores would leave 64 bits); vectors of different length do not meet; a query meets every row
+Bounds are floating-point numbers with a slack for their rounding; scores are exact, in floating point where no sum can reach
+2^52, else in 64 bits, else in Python's integers.
+
+Defined results: vectors that are null or hold null or non-finite components take no part; a component whose scaled value, or
+a result whose score, is no 64-bit integer is an error; vectors of different length do not meet; a query meets every row
 but those with its own id; a query with too few candidates gets fewer rows, with none no row; rows that repeat an id are
 searched for each; null ids are candidates, after all others; an empty table gives an empty table; other columns are ignored.
 """
@@ -33,17 +36,15 @@ from .common import stored
 K, SCALE, PIVOTS, PIVOT_SAMPLE, QUERY_BLOCK, CANDIDATE_BLOCK = 10, 1024.0, 32, 2048, 4096, 8192
 #: Candidates scored at a time.
 STEP = 128
-#: Magnitude that scaled components stay under.
-LARGEST = float(1 << 26)
-
 RESULT = "query_id long, query_key long, vec_id long, score long"
 
 
 def scaled(vector: Column, scale: float = SCALE) -> Column:
     """Components times scale, rounded down; null where the vector takes no part."""
-    at = lambda x: F.lit(scale) * x.cast("double")
-    good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(at(x)) < LARGEST))
-    return F.when(good, F.transform(vector, lambda x: F.floor(at(x)).cast("long")))
+    at = lambda x: F.floor(F.lit(scale) * x.cast("double"))
+    fits = lambda x: F.when(F.abs(F.lit(scale) * x.cast("double")) < 2.0**63, at(x)).otherwise(F.raise_error(F.lit("a scaled component is no 64-bit integer")).cast("long"))
+    good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.when(good, F.transform(vector, fits))
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, kind: type = np.float64) -> np.ndarray:
@@ -70,7 +71,10 @@ def choose_pivots(sample: np.ndarray, n: int = PIVOTS) -> np.ndarray:
 
 def fit_pivots(vectors: DataFrame, *, n: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> dict[int, np.ndarray]:
     """Pivots by length of the vectors, from a bounded sample that a hash of the components chooses."""
-    rows = vectors.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect()  # at most ``sample`` vectors
+    rows, key = vectors.select("v", F.xxhash64("v").alias("key")), F.pmod("key", F.lit(1 << 32))
+    # So few rows pass the filter that ordering them is little work; four times as many as are wanted.
+    part = min(1 << 32, int(4 * sample / max(1, rows.count()) * (1 << 32)))
+    rows = rows.where(key < part).orderBy("key", "v").limit(sample).collect()  # at most ``sample`` vectors
     by_length: dict[int, list] = {}
     for r in rows:
         by_length.setdefault(len(r.v), []).append(r.v)
@@ -95,6 +99,8 @@ def pivot_table(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best: highest score, then smallest id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], dtype=np.int64)
     return np.lexsort((ids, -scores))[:k]
 
 
@@ -105,8 +111,9 @@ def search_block(queries: tuple, candidates: tuple, k: int) -> tuple[list[int],
     """
     q_ids, q, q_far = queries
     ids, x, x_far = candidates
-    biggest = max(np.abs(q).max(initial=0), 1) * max(np.abs(x).max(initial=0), 1) * max(1, x.shape[1])
-    exact = np.float64 if biggest < 2**52 else np.int64  # sums of float64 are exact below 2^53
+    largest = lambda m: max(-int(m.min(initial=0)), int(m.max(initial=0)), 1)
+    biggest = largest(q) * largest(x) * max(1, x.shape[1])
+    exact = np.float64 if biggest < 2**52 else np.int64 if biggest < 2**63 else object  # sums of float64 are exact below 2^53
     vectors, asked = x.astype(exact), q.astype(exact)
     x_norm, q_norm = (x.astype(np.float64) ** 2).sum(axis=1), (q.astype(np.float64) ** 2).sum(axis=1)
     of, places, scores, scored = [], [], [], 0
@@ -116,12 +123,12 @@ def search_block(queries: tuple, candidates: tuple, k: int) -> tuple[list[int],
         bound = (x_norm + q_norm[j] - lower**2) / 2 + 1e-9 * (x_norm + q_norm[j]) + 1e-6
         order = np.argsort(-bound, kind="stable")
         order = order[ids[order] != q_ids[j]]
-        have_p, have_s, at = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 0
+        have_p, have_s, at = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=object if exact is object else np.int64), 0
         # An equal bound may still hold a smaller id with an equal score.
         while at < len(order) and (len(have_p) < k or bound[order[at]] >= have_s[-1]):
             step = order[at : at + STEP]
             have_p = np.concatenate([have_p, step])
-            have_s = np.concatenate([have_s, (vectors[step] @ asked[j]).astype(np.int64)])
+            have_s = np.concatenate([have_s, (vectors[step] @ asked[j]).astype(have_s.dtype)])
             keep = _best(ids[have_p], have_s, k)
             have_p, have_s, at = have_p[keep], have_s[keep], at + len(step)
         scored += at
@@ -131,20 +138,8 @@ def search_block(queries: tuple, candidates: tuple, k: int) -> tuple[list[int],
     return of, places, scores, scored
 
 
-def search(
-    rows: DataFrame,
-    is_query: Column,
-    *,
-    k: int = K,
-    scale: float = SCALE,
-    pivots: int = PIVOTS,
-    pivot_sample: int = PIVOT_SAMPLE,
-    query_block: int = QUERY_BLOCK,
-    candidate_block: int = CANDIDATE_BLOCK,
-    id_col: str = "vec_id",
-    vector_col: str = "embedding",
-) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score of each query's k best; ``is_query`` is a condition on the column ``id``."""
+def _partial(rows: DataFrame, is_query: Column, k: int, scale: float, pivots: int, pivot_sample: int, query_block: int, candidate_block: int, id_col: str, vector_col: str) -> DataFrame | None:
+    """RESULT of each query in each block of candidates; a row without a query has a block's numbers of pairs and of scored ones."""
     vectors = rows.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col), scale).alias("v")).where("v is not null").select("id", "v")
     table = stored(pivot_table(vectors, fit_pivots(vectors, n=pivots, sample=pivot_sample)), "pivot-table")
     asked = table.where(is_query).select("id", "v", "dim", "far", F.xxhash64("v").alias("key")).dropDuplicates(["id", "v"])
@@ -153,7 +148,7 @@ def search(
     asked, found = stored(asked, "queries"), stored(found, "candidates")
     n_q, n_c = -(-asked.count() // query_block), -(-found.count() // candidate_block)
     if not n_q or not n_c:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return None
     mixed = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = asked.select("id", "key", "v", "far", "dim", mixed(n_q, "id", "v").alias("qb"), every(n_c).alias("cb"))
@@ -166,11 +161,35 @@ def search(
         for t in (queries, candidates):
             ids = t.column("id").combine_chunks().fill_null(np.iinfo(np.int64).max).to_numpy()
             parts.append((ids, _matrix(t.column("v"), np.int64), _matrix(t.column("far")).reshape(t.num_rows, -1)))
-        of, places, scores, _ = search_block(parts[0], parts[1], k)
+        of, places, scores, scored = search_block(parts[0], parts[1], k)
         at = pa.array(of, pa.int64())
-        return pa.table({"query_id": queries.column("id").take(at), "query_key": queries.column("key").take(at), "vec_id": candidates.column("id").take(pa.array(places, pa.int64())), "score": pa.array(scores, pa.int64())})
+        best = pa.table({"query_id": queries.column("id").take(at), "query_key": queries.column("key").take(at), "vec_id": candidates.column("id").take(pa.array(places, pa.int64())), "score": pa.array([int(x) for x in scores], pa.int64())})
+        return pa.concat_tables([best, pa.table({"query_id": pa.array([None], pa.int64()), "query_key": pa.array([None], pa.int64()), "vec_id": pa.array([queries.num_rows * candidates.num_rows]), "score": pa.array([scored], pa.int64())})])
 
     by = ["dim", "qb", "cb"]
-    partial = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(meet, RESULT)
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(meet, RESULT)
+
+
+def _options(options: dict) -> dict:
+    return {"k": K, "scale": SCALE, "pivots": PIVOTS, "pivot_sample": PIVOT_SAMPLE, "query_block": QUERY_BLOCK, "candidate_block": CANDIDATE_BLOCK, "id_col": "vec_id", "vector_col": "embedding"} | options
+
+
+def search(rows: DataFrame, is_query: Column, **options: object) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score of each query's k best; ``is_query`` is a condition on the column ``id``.
+
+    Options: k, scale, pivots, pivot_sample, query_block, candidate_block, id_col, vector_col.
+    """
+    options = _options(options)
+    partial = _partial(rows, is_query, **options)
+    if partial is None:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     best = W.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
-    return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return partial.where("query_key is not null").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= options["k"]).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def scored_share(rows: DataFrame, is_query: Column, **options: object) -> DataFrame:
+    """pairs (of a query and a candidate of its length), scored (those that no bound ruled out): one row."""
+    partial = _partial(rows, is_query, **_options(options))
+    if partial is None:
+        return rows.sparkSession.createDataFrame([(0, 0)], "pairs long, scored long")
+    return partial.where("query_key is null").agg(F.sum("vec_id").alias("pairs"), F.sum("score").alias("scored"))

@@ -387,6 +387,27 @@ def test_topk_is_brute_force(spark):
     assert topk.search(table.limit(0), F.col("id") % 25 == 0).count() == 0
 
 
+def test_large_components(spark):
+    rows = [(1, [70000.0, 1.0]), (2, [1.0, 2.0]), (3, [-70000.0, 3.0]), (4, [1e8, 1.0]), (5, [0.5, 0.5])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.search(table, F.col("id") > 0).collect()}
+    v = {i: [int(np.floor(1024 * c)) for c in x] for i, x in rows}
+    for q in v:
+        best = sorted((-sum(a * b for a, b in zip(v[q], v[x], strict=True)), x) for x in v if x != q)
+        assert [got[q, r + 1] for r in range(4)] == [(x, -s) for s, x in best]
+    for bad in ([1e30, 0.0], [4e9, 0.0]):
+        with pytest.raises(Exception, match="64-bit|large to convert"):
+            topk.search(spark.createDataFrame([*rows, (6, bad)], table.schema), F.col("id") > 0).collect()
+
+
+def test_share_of_scored_pairs(spark):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(12, 8))[rng.integers(0, 12, 900)] + rng.normal(size=(900, 8)) * 0.01
+    table = spark.createDataFrame([(i, [float(c) for c in x]) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>")
+    said = topk.scored_share(table, F.col("id") % 50 == 0).first()
+    assert said.pairs == 18 * 900 and 18 * 10 <= said.scored < 0.6 * said.pairs
+
+
 def test_bounds_eliminate():
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(20, 16)) * 1000
@@ -431,13 +452,94 @@ def test_targets_and_takes(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def brute_mix(rows, weights=(5, 2, 1), share=1.5, most=2.0):
+    """taken of each row (id, text, source), by a plain sort of each source."""
+    from collections import Counter
+
+    import regex
+    import xxhash
+
+    size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows]
+    odds = [max(round(len(regex.findall(r"\p{L}", t)) / len(t) + 1e-12, 2), 0.05) if t else 0.0 if t is None else 0.05 for _, t, _ in rows]
+    total = Counter()
+    for (_, _, s), n in zip(rows, size, strict=True):
+        total[s] += n
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(sorted(total, key=lambda s: (s is None, s)))}
+    full: set = set()
+    while True:
+        rate = (share * sum(total.values()) - sum(most * total[s] for s in full)) / sum(w for s, w in weight.items() if s not in full)
+        more = {s for s in total if rate * weight[s] > most * total[s]}
+        if more == full:
+            break
+        full = more
+    nth, seen = [], Counter()
+    for i, t, _ in rows:
+        nth.append(seen[i, t])
+        seen[i, t] += 1
+    taken = [0] * len(rows)
+    for s in total:
+        target, own = min(most * total[s], rate * weight[s]), [i for i, r in enumerate(rows) if r[2] == s]
+        # Expected times: the rate at which the capped ones add up to the target, by bisection.
+        low, high = 0.0, 1e9
+        for _ in range(200):
+            middle = (low + high) / 2
+            if sum(size[i] * min(most, middle * odds[i]) for i in own) < target:
+                low = middle
+            else:
+                high = middle
+        times = {i: most if target >= most * total[s] else min(most, high * odds[i]) for i in own}
+        order, rest = [], target
+        for i in own:
+            sure = int(times[i])
+            taken[i] = sure * size[i]
+            rest -= taken[i]
+            if (p := times[i] - sure) > 1e-12 and size[i]:
+                key = 0 if rows[i][1] is None else xxhash.xxh64_intdigest(rows[i][1].encode(), seed=42)
+                key = 42 if rows[i][1] is None else key - (1 << 64) * (key >> 63)
+                u = (int(hashlib.md5(f"{'' if rows[i][0] is None else rows[i][0]}:{key}:{nth[i]}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+                order.append((u / (1 - u) / (p / (1 - p)), i))
+        at = 0
+        for _, i in sorted(order):
+            if at + size[i] / 2 > rest:
+                break
+            taken[i] += size[i]
+            at += size[i]
+    return taken
+
+
+def test_mix_is_a_plain_sort(spark):
+    rng = random.Random(12)
+    made = lambda: " ".join(rng.choice(["word", "12", "--", "é", "x9"]) for _ in range(rng.randint(0, 30)))
+    rows = [(i, made(), rng.choice("aaaaabbcde")) for i in range(700)] + [(None, made(), "a") for _ in range(40)] + [(7, made(), None) for _ in range(40)] + [(9, None, "f"), (None, None, None)]
+    want = brute_mix(rows)
+    df = docs_of(spark, [(i, t, None, s) for i, t, s in rows]).withColumn("seq", F.lit(1))
+    got = mixing.mix(df).collect()
+    key = lambda i, s, n: (str(i), str(s), n)
+    assert sorted(key(r.doc_id, r.source, r.taken) for r in got) == sorted(key(i, s, n) for (i, _, s), n in zip(rows, want, strict=True))
+    assert len({r.copies for r in got if r.source == "a" and r.size}) > 1
+
+
+@pytest.mark.parametrize("i", [None, 7])
+def test_mix_of_repeated_ids(spark, i):
+    """All rows share an id, or have none, and most a text too: the target is met all the same, by documents as well."""
+    rows = [(i, "w w w w w", None, "a")] * 700 + [(i, f"w w w w {k}", None, "a") for k in range(300)] + [(5, "other " * 100, None, "b")] * 3
+    df = docs_of(spark, rows).repartition(6).withColumn("row", F.monotonically_increasing_id())
+    got = mixing.mix(df).where("source = 'a'").agg(F.sum("taken"), F.first("target"), F.count("*")).first()
+    assert got[2] == 1000 and got[0] == pytest.approx(got[1], abs=5)
+    taken = mixing.take_mix(df)
+    assert taken.columns == df.columns and taken.where("source = 'a'").count() * 5 == got[0]
+    assert taken.groupBy("row").count().where("count > 2").isEmpty()
+    again = mixing.take_mix(df.repartition(3)).groupBy("text").count().collect()
+    assert sorted(again) == sorted(taken.groupBy("text").count().collect())
+
+
 def test_unequal_odds(spark):
     rows = [(i, "w w w w", "7" if i % 2 else "1", "a") for i in range(4000)] + [(9000 + i, "w " * 100, "1", "b") for i in range(300)]
     df = docs_of(spark, rows)
-    got = mixing.mix(df, weights=(1, 9), share=0.5, odds_col="lang").where("source = 'a'").groupBy(F.col("doc_id") % 2).agg(F.avg("copies"), F.sum("taken"), F.first("target")).collect()
+    got = mixing.mix(df, weights=(1, 9), share=0.5, odds=F.col("lang")).where("source = 'a'").groupBy(F.col("doc_id") % 2).agg(F.avg("copies"), F.sum("taken"), F.first("target")).collect()
     share = {r[0]: r[1] for r in got}
     assert sum(r[2] for r in got) == pytest.approx(got[0][3], abs=4)
-    assert 5 < share[1] / share[0] < 9
+    assert 4 < share[1] / share[0] < 12
 
 
 # Token output
