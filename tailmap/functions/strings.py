@@ -109,27 +109,42 @@ def reverse_md(md: Column) -> Column:
     return _udf(reversed_md, "string", md)
 
 
-def _best_3p(seq: str, adapter: str, error_rate: float, overlap: int) -> int | None:
-    """Where the adapter begins: anywhere in the sequence, or cut off by its end; substitutions only; most matches, then leftmost."""
+def _best_3p(seq: str, adapter: str, error_rate: float, overlap: int) -> tuple[int, int] | None:
+    """Matches and beginning of the adapter: anywhere in the sequence, or cut off by its end; substitutions only; most matches, then leftmost."""
     best = None
     for at in range(len(seq) - overlap + 1):
         n = min(len(adapter), len(seq) - at)
+        if best is not None and n <= best[0]:
+            break
         wrong = sum(a != b and a != "N" for a, b in zip(adapter[:n], seq[at : at + n], strict=True))
         if wrong <= int(error_rate * n) and (best is None or n - wrong > best[0]):
             best = (n - wrong, at)
-    return None if best is None else best[1]
+    return best
 
 
 def trimmed_3p(seq: str, adapter: str, error_rate: float = 0.1, overlap: int = 3) -> str:
     """The sequence before a 3' adapter, or all of it."""
-    at = _best_3p(seq, adapter, error_rate, overlap)
-    return seq if at is None else seq[:at]
+    best = _best_3p(seq, adapter, error_rate, overlap)
+    return seq if best is None else seq[: best[1]]
 
 
 def trimmed_5p(seq: str, adapter: str, error_rate: float = 0.1, overlap: int = 3) -> str:
     """The sequence after a 5' adapter, which may be cut off by the start."""
-    at = _best_3p(seq[::-1], adapter[::-1], error_rate, overlap)
-    return seq if at is None else seq[len(seq) - at :]
+    best = _best_3p(seq[::-1], adapter[::-1], error_rate, overlap)
+    return seq if best is None else seq[len(seq) - best[1] :]
+
+
+def trimmed_best(seq: str, three: str, five: str, error_rate: float = 0.1, overlap: int = 3) -> str:
+    """Without that one of two adapters which matches more, the 3' one of equals."""
+    right, left = _best_3p(seq, three, error_rate, overlap), _best_3p(seq[::-1], five[::-1], error_rate, overlap)
+    if left is not None and (right is None or left[0] > right[0]):
+        return seq[len(seq) - left[1] :]
+    return seq if right is None else seq[: right[1]]
+
+
+def trim_adapters(seq: Column, three: str, five: str, *, error_rate: float = 0.1, overlap: int = 3) -> Column:
+    """``trimmed_best`` of every row."""
+    return _udf(lambda s: trimmed_best(s, three, five, error_rate, overlap), "string", seq)
 
 
 def trim_adapter_3p(seq: Column, adapter: Column | str, *, error_rate: float = 0.1, overlap: int = 3) -> Column:

@@ -32,9 +32,9 @@ def best_alignments(sam: DataFrame, *, keep_mm: int | None = 0) -> DataFrame:
     return best if keep_mm == 0 else best.where(F.col("nh") <= (keep_mm or 1))
 
 
-def multimap_report(best: DataFrame) -> DataFrame:
-    """qname, n of the reads with more than one best alignment."""
-    return best.groupBy("qname").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def multimap_report(best: DataFrame, *, more_than: int = 1) -> DataFrame:
+    """qname, n of the reads with more best alignments; of ``keep_mm=k`` those beyond k are the heavy ones that it drops."""
+    return best.groupBy("qname").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > more_than)
 
 
 def unique_mappers(rows: DataFrame, *, read: str = "read_id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 Greedy claiming is sequential, but sites that lie farther apart than the window never meet.  ``islands`` splits the sites of a
 chromosome's strand where a gap is wider than the window, so claiming works on many small groups instead of one for each
-chromosome; islands are packed into groups by hash to keep the cost of a group low.  The merging of clusters is split at
+chromosome; islands that begin within one stretch make a group, so groups follow the length of the genome.  The merging of clusters is split at
 gaps in the same way.  The group functions are one small loop each.
 """
 
@@ -19,11 +19,28 @@ from pyspark.sql import functions as F
 PAS = "array<struct<motif:string,rel:int,abs:bigint>>"
 
 
+#: Positions of a bin in which islands are looked for on their own, and of the stretch whose islands make a group.
+BIN, PACK = 65_536, 100_000
+
+
 def islands(sites: DataFrame, gap: int, *, keys: tuple[str, ...] = ("chr", "strand"), pos: str = "pos") -> DataFrame:
-    """``sites`` with island: the number of gaps wider than ``gap`` before, within the keys."""
-    order = W.partitionBy(*keys).orderBy(pos)
-    wide = F.coalesce((F.col(pos) - F.lag(pos).over(order) > gap).cast("int"), F.lit(0))
-    return sites.withColumn("_wide", wide).withColumn("island", F.sum("_wide").over(order.rangeBetween(W.unboundedPreceding, W.currentRow))).drop("_wide")
+    """``sites`` with island: the first position of the run, without a gap wider than ``gap``, that a site is in.
+
+    Runs are found within bins of positions; what is put in order for a whole strand is a row for each bin.
+    """
+    place, bin_ = W.partitionBy(*keys, "_bin").orderBy(pos), F.floor(F.col(pos) / BIN)
+    rows = sites.withColumn("_bin", bin_).withColumn("_wide", F.col(pos) - F.lag(pos).over(place) > gap)
+    rows = rows.withColumn("_start", F.last(F.when(F.col("_wide"), F.col(pos)), ignorenulls=True).over(place.rangeBetween(W.unboundedPreceding, W.currentRow))).drop("_wide")
+    per = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_bin").alias("_b")).agg(F.min(pos).alias("_low"), F.max(pos).alias("_high"), F.max("_start").alias("_last"))
+    line = W.partitionBy(*[f"_{k}" for k in keys]).orderBy("_b")
+    # A bin's first run begins there, or is the last run of a bin before it.
+    per = per.withColumn("_begins", F.when(F.coalesce(F.col("_low") - F.lag("_high").over(line) <= gap, F.lit(False)), None).otherwise(F.col("_low")))
+    before = F.last(F.coalesce("_last", "_begins"), ignorenulls=True).over(line.rowsBetween(W.unboundedPreceding, -1))
+    per = per.withColumn("_first", F.coalesce("_begins", before)).select(*[f"_{k}" for k in keys], "_b", "_first")
+    same = F.col("_bin") == F.col("_b")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return rows.join(per, same).withColumn("island", F.coalesce("_start", "_first")).select(*[sites[c] for c in sites.columns], "island")
 
 
 def claim(positions: list[int], up: int, down: int) -> list[int]:
@@ -39,7 +56,7 @@ def claim(positions: list[int], up: int, down: int) -> list[int]:
     return seed
 
 
-def greedy_claim(sites: DataFrame, order: list[Column], *, upstream: int, downstream: int, keys: tuple[str, ...] = ("chr", "strand"), groups: int = 1024) -> DataFrame:
+def greedy_claim(sites: DataFrame, order: list[Column], *, upstream: int, downstream: int, keys: tuple[str, ...] = ("chr", "strand")) -> DataFrame:
     """chr, strand, pos, and seed (the position that claims it) of every site, with further ``keys``.
 
     order: how sites rank; ties go to the smaller position.  Sites must differ in keys and position.
@@ -60,8 +77,7 @@ def greedy_claim(sites: DataFrame, order: list[Column], *, upstream: int, downst
             seeds += [positions[s] for s in claim(positions, up, down)]
         return pdf[[*keys, "pos"]].assign(seed=seeds)
 
-    group = F.pmod(F.xxhash64(*keys, "island"), F.lit(groups)).alias("_g")
-    return ready.select("*", group).groupBy("_g").applyInPandas(lambda pdf: work(pdf), schema)
+    return ready.withColumn("_g", F.floor(F.col("island") / PACK)).groupBy(*keys, "_g").applyInPandas(lambda pdf: work(pdf), schema)
 
 
 def mini_clusters(sites: DataFrame, *, upstream: int = 25, downstream: int = 25) -> DataFrame:
@@ -228,7 +244,7 @@ def merge_line(clusters: list[_Cluster], strand: str, *, least_distance: int, mo
 CLUSTER = f"chr string, strand string, start1 bigint, end bigint, rep bigint, total_tpm double, pas {PAS}, is_ip_candidate boolean, tpm map<string,double>"
 
 
-def merge_clusters(clusters: DataFrame, *, least_distance: int = 15, most: int = 25, split_gap: int | None = 100, compat: str = "clean", groups: int = 1024) -> DataFrame:
+def merge_clusters(clusters: DataFrame, *, least_distance: int = 15, most: int = 25, split_gap: int | None = 100, compat: str = "clean") -> DataFrame:
     """Primary clusters merged; columns as of ``primary_clusters``.
 
     split_gap: representatives farther apart never touch each other, wider than the windows in which signals are looked for
@@ -253,8 +269,7 @@ def merge_clusters(clusters: DataFrame, *, least_distance: int = 15, most: int =
                 line.append(_Cluster(row))
             yield from merge_line(line, strand, least_distance=least_distance, most=most, compat=compat)
 
-    group = F.pmod(F.xxhash64("chr", "strand", "island"), F.lit(groups)).alias("_g")
-    return ready.select("*", group).groupBy("_g").applyInPandas(lambda pdf: work(pdf), CLUSTER)
+    return ready.withColumn("_g", F.floor(F.col("island") / PACK)).groupBy("chr", "strand", "_g").applyInPandas(lambda pdf: work(pdf), CLUSTER)
 
 
 def cluster_statistics(clusters: DataFrame) -> DataFrame:

@@ -120,7 +120,6 @@ def sorted_for_lookup(rows: DataFrame, *, chromosome: str = "chr", start: str =
     return (rows.repartitionByRange(partitions, *by) if partitions else rows.repartitionByRange(*by)).sortWithinPartitions(*by)
 
 
-def nearest_rank(rows: DataFrame, by: str, order: str) -> DataFrame:
-    """``rows`` with first and last flags in an order: first and terminal exons."""
-    up, down = W.partitionBy(by).orderBy(order), W.partitionBy(by).orderBy(F.col(order).desc())
-    return rows.withColumns({"is_first": F.row_number().over(up) == 1, "is_last": F.row_number().over(down) == 1})
+def lines_with(lines: DataFrame, column: int, wanted: str) -> DataFrame:
+    """Lines (value) whose field number ``column`` (from 1, between white space) equals ``wanted``."""
+    return lines.where(F.get(F.split(F.trim("value"), r"\s+"), F.lit(column - 1)) == wanted)

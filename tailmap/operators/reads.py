@@ -29,6 +29,11 @@ def keep_ids(reads: DataFrame, ids: DataFrame, *, mode: str = "keep") -> DataFra
     return reads.join(ids.select("read_id").distinct(), "read_id", "left_semi" if mode == "keep" else "left_anti")
 
 
+def id_list(reads: DataFrame) -> DataFrame:
+    """The read_ids, sorted in ranges."""
+    return reads.select("read_id").repartitionByRange("read_id").sortWithinPartitions("read_id")
+
+
 def keep_short(reads: DataFrame, most: int) -> DataFrame:
     """Records of at most so many letters."""
     return reads.where(F.length("seq") <= most)

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tailmap.functions import sequence as S
@@ -39,6 +41,32 @@ def chromosome_rank(chromosome: Column) -> Column:
     return F.coalesce(number, F.when(F.regexp_replace(chromosome, "^chr", "") == "X", 1001).when(F.regexp_replace(chromosome, "^chr", "") == "Y", 1002), F.lit(1003))
 
 
+def numbered_sites(sites: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``sites`` with idx, from 1, in the order of files: chromosomes, the + strand first, positions.
+
+    Ranges are sorted side by side; only how many rows each has (a row a range) is summed in one place.
+    """
+    order = [chromosome_rank(F.col("chr")), F.col("chr"), F.when(F.col("strand") == "+", 0).otherwise(1), F.col("pos"), *[F.col(c) for c in ("sample",) if c in sites.columns]]
+    dealt = sites.repartitionByRange(partitions, *order) if partitions else sites.repartitionByRange(*order)
+    placed = dealt.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    part = F.shiftright("_at", 33)
+    begin = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_begin"))
+    numbered = placed.withColumn("_part", part).join(F.broadcast(begin), "_part")  # a row a range
+    return numbered.withColumn("idx", F.col("_begin") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_part", "_at", "_begin")
+
+
+def union_all(first: DataFrame, *more: DataFrame) -> DataFrame:
+    """Rows of all tables, repeats kept; columns by name, null where a table has none."""
+    for rows in more:
+        first = first.unionByName(rows, allowMissingColumns=True)
+    return first
+
+
+def chrom_sizes(genome: DataFrame) -> DataFrame:
+    """chr, size of a genome (chr, seq)."""
+    return genome.groupBy("chr").agg(F.max(F.length("seq")).cast("long").alias("size"))
+
+
 def library_sizes(sites: DataFrame) -> DataFrame:
     """sample, libsize: counts of sites that are not primed internally (is_ip may be missing)."""
     rows = sites.where(~F.coalesce("is_ip", F.lit(False))) if "is_ip" in sites.columns else sites
@@ -57,9 +85,12 @@ def tpm(sites: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def site_support(sites_tpm: DataFrame, n_samples: int) -> DataFrame:
-    """chr, strand, pos, n_supported, mean_tpm over all samples, and per (array of sample, tpm)."""
+    """chr, strand, pos, n_supported, mean_tpm over all samples, and per (array of sample, tpm).
+
+    Means are rounded to nine places: sums in another order must not change how sites rank.
+    """
     return sites_tpm.where("cnt > 0").groupBy(*SITE).agg(
-        F.count(F.lit(1)).alias("n_supported"), (F.sum("tpm") / n_samples).alias("mean_tpm"), F.array_sort(F.collect_list(F.struct("sample", "tpm"))).alias("per")
+        F.count(F.lit(1)).alias("n_supported"), F.round(F.sum("tpm") / n_samples, 9).alias("mean_tpm"), F.array_sort(F.collect_list(F.struct("sample", "tpm"))).alias("per")
     )
 
 

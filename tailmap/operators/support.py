@@ -19,8 +19,8 @@ def cluster_support(per_sample: DataFrame, samples: DataFrame, *, by: Sequence[s
     """
     n = samples.select(F.count(F.lit(1)).alias("n_samples"))  # one row
     seen = per_sample.where("tpm > 0").join(samples.select("sample", "protocol"), "sample").groupBy(*by).agg(F.count_distinct("sample").alias("k"), F.count_distinct("protocol").alias("nr_prots"))
-    every = per_sample.select(*by).distinct().join(seen, list(by), "left").crossJoin(F.broadcast(n))
-    return every.select(*by, (F.coalesce("k", F.lit(0)) / F.col("n_samples")).alias("frac_samples"), F.coalesce("nr_prots", F.lit(0)).cast("int").alias("nr_prots"))
+    every = per_sample.select(*by).distinct().join(seen, list(by), "left")
+    return every.select(*by, (F.coalesce("k", F.lit(0)) / n.scalar()).alias("frac_samples"), F.coalesce("nr_prots", F.lit(0)).cast("int").alias("nr_prots"))
 
 
 def annotation_histogram(clusters: DataFrame) -> DataFrame:
@@ -65,6 +65,46 @@ def with_genome_level(key: Column, genome: str) -> Column:
     return F.array_join(F.when(F.array_contains(parts, "raw"), parts).otherwise(placed), ".")
 
 
+def longest_read(protocol: Column, read_length: Column, shortening: int = 5) -> Column:
+    """The most letters of a valid read, by protocol: what its fixed pattern takes off, or ``shortening`` where reads must end."""
+    # Lengths of the patterns.
+    less = F.when(protocol == "A-seq2", 7).when(protocol == "3'READS", 6).when(protocol == "3P-Seq", 2).when(protocol.isin("A-seq", "3'-Seq (Mayr)"), shortening).otherwise(0)
+    return read_length - less
+
+
+def nested_documents(metrics: DataFrame, genome: str, fields: DataFrame | None = None) -> DataFrame:
+    """sample, document: nested JSON of dotted keys (sample, key, value), with ``fields`` (sample, key, text) beside them.
+
+    Keys of up to six parts are nested, a level at a time, each by one aggregation; what a longer key has more stays together.
+    """
+    entries = metrics.select("sample", with_genome_level(F.col("key"), genome).alias("key"), F.col("value").cast("string").alias("json")).distinct()
+    if fields is not None:
+        entries = entries.unionByName(fields.select("sample", "key", F.to_json(F.struct("text")).alias("json")).select("sample", "key", F.regexp_extract("json", r'^\{"text":(.*)\}$', 1).alias("json")))
+    part = F.split("key", r"\.", 6)
+    names = [f"p{i}" for i in range(6)]
+    rows = entries.select("sample", *[F.get(part, F.lit(i)).alias(n) for i, n in enumerate(names)], "json")
+    # An object is its members in order of their names, joined.
+    for depth in reversed(range(6)):
+        by = ["sample", *names[:depth]]
+        member = F.when(F.col(names[depth]).isNotNull(), F.concat(F.lit('"'), F.col(names[depth]), F.lit('":'), F.col("json")))
+        rows = rows.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list(member)), ",").alias("members"), F.max(F.when(F.col(names[depth]).isNull(), F.col("json"))).alias("leaf"))
+        rows = rows.withColumn("json", F.when(F.col("members") != "", F.concat(F.lit("{"), F.col("members"), F.lit("}"))).otherwise(F.col("leaf"))).drop("members", "leaf")
+    return rows.select("sample", F.col("json").alias("document"))
+
+
+def skeleton_documents(samples: DataFrame) -> DataFrame:
+    """sample, document: the nested JSON of samples (sample, protocol, source, treatment) before anything is counted."""
+    pair = lambda: F.struct(F.lit(0).alias("plus"), F.lit(0).alias("minus"))
+    counted = lambda: F.struct(F.lit("").alias("md5sum"), F.lit(0).alias("nr"))
+    unique = lambda: F.struct(counted().alias("uniqueMappers"))
+    ends = lambda: F.struct(F.lit(0).alias("max"), F.lit(0).alias("min"))
+    cut = F.struct(F.lit(0).alias("maxLength"), F.lit(0.8).alias("maxAs"), F.lit(2).alias("maxNs"))
+    reads = F.struct(F.struct(F.lit(0).alias("nr"), ends().alias("length")).alias("trimmed"), F.struct(counted().alias("uniqueMappers"), counted().alias("multiMappers")).alias("genome"), unique().alias("mapped"), unique().alias("transcriptome"), F.struct(F.lit(0).alias("nr"), cut.alias("cutoffs")).alias("valid"))
+    some = lambda: F.struct(F.struct(pair().alias("number"), pair().alias("reads")).alias("internalpriming"), pair().alias("number"), pair().alias("reads"))
+    whole = F.struct(reads.alias("reads"), F.struct(some().alias("all"), some().alias("highconfidence")).alias("sites"), "protocol", "source", "treatment", F.lit(True).alias("visible"), F.lit(False).alias("pairedEnd"))
+    return samples.select("sample", F.to_json(whole, {"ignoreNullFields": "false"}).alias("document"))
+
+
 def documents(metrics: DataFrame, genome: str) -> DataFrame:
     """sample, document: one JSON object of dotted keys per sample, of metrics (sample, key, value)."""
     entry = F.struct(with_genome_level(F.col("key"), genome).alias("key"), "value")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tailmap.functions import sequence as S
 from tailmap.operators import alignments, clusters, intervals, sites, support
+from tailmap.plans.protocols import correction_of
 
 # The hexamers that signal polyadenylation.
 SIGNALS = ("AATAAA", "ATTAAA", "TATAAA", "AGTAAA", "AATACA", "CATAAA", "AATATA", "GATAAA", "AATGAA", "AATAAT", "AAGAAA", "ACTAAA", "AATAGA", "ATTACA", "AACAAA", "ATTATA", "AACAAG", "AATAAG")
@@ -24,6 +24,8 @@ class Settings:
     least_match: int = 4
     ip_upstream: int = 60
     ip_downstream: int = 10
+    ip_patterns: tuple[str, ...] = ()
+    ip_patterns_3reads: tuple[str, ...] = ("AGAA", "AA")
     signals: tuple[str, ...] = SIGNALS
     pas_upstream: int = 59
     pas_downstream: int = 10
@@ -35,14 +37,25 @@ class Settings:
     ds_range: int = 1000
 
 
-def reads_to_sites(bed: DataFrame, samples: DataFrame, genome: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """chr, strand, pos, sample, cnt, is_ip of mapped reads (chr, start0, end, read_id, strand, mmid, sample)."""
+def reads_to_sites(bed: DataFrame, samples: DataFrame, genome: DataFrame, settings: Settings = Settings(), *, protocol: str | None = None) -> DataFrame:
+    """chr, strand, pos, sample, cnt, is_ip of mapped reads (chr, start0, end, read_id, strand, mmid, sample) of one protocol."""
     unique = alignments.unique_mappers(bed.withColumn("_read", F.struct("sample", "read_id")), read="_read").drop("_read")
     kept = sites.exclude_chromosomes(unique, samples, excluded=settings.excluded, female=settings.female)
-    found = sites.three_prime_ends(kept, strict=True, least=settings.least_match)
+    found = sites.three_prime_ends(kept, correction=correction_of(protocol), strict=True, least=settings.least_match)
     s, e = S.window(F.col("pos") - 1, F.col("pos"), F.col("strand"), settings.ip_upstream, settings.ip_downstream)
     flanked = sites.fetch_windows(found, sites.chunked(genome), s, e)
-    return sites.mark_internal_priming(flanked, upstream=settings.ip_upstream, downstream=settings.ip_downstream)
+    patterns = settings.ip_patterns_3reads if protocol == "3'READS" else settings.ip_patterns
+    return sites.mark_internal_priming(flanked, upstream=settings.ip_upstream, downstream=settings.ip_downstream, patterns=patterns)
+
+
+def sam_to_sites(sam: DataFrame, sample: str, protocol: str, samples: DataFrame, genome: DataFrame, settings: Settings = Settings(), *, lifted: DataFrame | None = None) -> DataFrame:
+    """Sites of one sample's alignments on the genome, with those lifted from transcripts (columns of SAM) beside them.
+
+    Of every read the distinct alignments with the least edit distance count; reads with more than one go.
+    """
+    hits = sam if lifted is None else sites.union_all(sam, lifted.drop("status"))
+    best = alignments.best_alignments(alignments.distinct_alignments(hits))
+    return reads_to_sites(alignments.sam_to_bed(best).withColumn("sample", F.lit(sample)), samples, genome, settings, protocol=protocol)
 
 
 def site_signals(found: DataFrame, genome: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -62,7 +75,7 @@ def sites_to_atlas(found: DataFrame, samples: DataFrame, genome: DataFrame, exon
     clean = clusters.above_background(marked, upstream=settings.mini_window, downstream=settings.mini_window, cutoff=settings.cutoff)
     backed = sites.site_support(sites.tpm(clean.drop("has_pas"), sizes), n_samples)
     primary = clusters.primary_clusters(backed, upstream=settings.cluster_window, downstream=settings.cluster_window, pas=signals)
-    merged = clusters.merge_clusters(primary, least_distance=settings.least_distance, most=settings.max_cluster)
+    merged = clusters.merge_clusters(primary, least_distance=settings.least_distance, most=settings.max_cluster, split_gap=max(100, 4 * settings.max_cluster))
     named = merged.withColumns({"cluster_id": F.concat_ws(":", "chr", F.col("rep").cast("string"), "strand"), "s": F.col("start1") - 1, "e": F.col("end")})
     annotated = intervals.annotate(named, intervals.feature_model(exons, ds_range=settings.ds_range))
     backing = support.cluster_support(per_sample(annotated), samples)
@@ -72,8 +85,3 @@ def sites_to_atlas(found: DataFrame, samples: DataFrame, genome: DataFrame, exon
 def per_sample(atlas: DataFrame) -> DataFrame:
     """cluster_id, sample, tpm."""
     return atlas.select("cluster_id", F.explode("tpm").alias("sample", "tpm"))
-
-
-def pooled_table(found: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The wide table of counts, for export."""
-    return sites.pool(found, names)

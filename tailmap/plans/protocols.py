@@ -42,7 +42,7 @@ STEPS: dict[str, tuple[str, ...]] = {
     "A-seq2": ("five_pattern", "three_adapter", "revcomp"),
     "3'READS": ("five_adapter_pattern", "three_adapter", "revcomp", "polya"),
     "PAS-Seq": ("leading_t", "three_adapter", "three_class", "revcomp"),
-    "SAPAS": ("both_adapters", "three_class", "revcomp"),
+    "SAPAS": ("three_adapter", "three_class", "revcomp"),
     "A-seq": ("three_adapter",),
     "3'-Seq (Mayr)": ("three_adapter", "polya"),
     "DRS": ("revcomp",),
@@ -60,6 +60,10 @@ def _step(name: str, seq: Column, sample: Sample, limits: Limits) -> Column:
     three = (sample.three_adapter or "").split("*")[-1]
     kind = (sample.three_adapter or "").split("*")[0].strip("[]") if "*" in (sample.three_adapter or "") else ""
     cut3 = X.trim_adapter_3p(seq, three, error_rate=limits.error_rate) if three else seq
+    if sample.five_adapter and sample.protocol != "3'READS":
+        # A 5' adapter that the sheet names is looked for along with the 3' one; the better match goes.
+        five = sample.five_adapter
+        cut3 = X.trim_adapters(seq, three, five, error_rate=limits.error_rate) if three else X.trim_adapter_5p(seq, five, error_rate=limits.error_rate)
     if name == "five_pattern":
         return S.strip_5p(F.upper(seq), limits.five_pattern)
     if name == "five_adapter_pattern":
@@ -72,8 +76,6 @@ def _step(name: str, seq: Column, sample: Sample, limits: Limits) -> Column:
         return S.trim_trailing(seq, kind) if kind else seq
     if name == "three_adapter":
         return cut3
-    if name == "both_adapters":
-        return X.trim_adapter_5p(cut3, sample.five_adapter, error_rate=limits.error_rate) if sample.five_adapter else cut3
     if name == "five_adapter" or name == "five_adapter_if_given":
         return X.trim_adapter_5p(seq, sample.five_adapter, error_rate=limits.error_rate) if sample.five_adapter else seq
     if name == "polya":
@@ -97,6 +99,6 @@ def valid_of(reads: DataFrame, sample: Sample, limits: Limits = Limits()) -> Dat
     return valid_reads(reads, max_n=limits.max_n, max_a=limits.max_a, max_length=most)
 
 
-def correction_of(protocol: str) -> int:
+def correction_of(protocol: str | None) -> int:
     """By how much a protocol's 3' ends lie upstream."""
     return 1 if protocol == "DRS" else 0

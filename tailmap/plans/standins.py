@@ -23,8 +23,6 @@ CONTIGS = """select concat('c', cast(doc_id as varchar(20))) as chr,
 CONTIG_SITES = """select chr, case when k % 2 = 0 then '+' else '-' end as strand, cast(40 + k * 97 as bigint) as pos
   from (select concat('c', cast(doc_id as varchar(20))) as chr, {series}(1, greatest(7, cast(ceil(length(regexp_replace(text,'[^A-Za-z]',''{g})) / 97) as int)))) as k
   from documents where text is not null) s"""
-SITES = """select concat('c', cast(d.doc_id as varchar(20))) as chr, case when k % 2 = 0 then '+' else '-' end as strand, cast(40 + k * 97 as bigint) as pos
-  from documents d, (select distinct l_linenumber as k from lineitem) n where d.text is not null"""
 SITES = """select concat('chr',cast(l_suppkey % 3 as varchar(9))) as chr, case when l_linestatus='O' then '+' else '-' end as strand,
   cast(l_partkey*3 + (l_orderkey % 3) as bigint) as pos, concat('S',cast(l_linenumber % 4 as varchar(9))) as sample, count(*) as cnt,
   l_partkey % 7 = 0 as is_ip

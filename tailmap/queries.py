@@ -111,6 +111,17 @@ def fasta_discard(spark, sf):
     return reads.keep_ids(view(spark, sf, "reads"), spark.read.parquet(f"{sf}/orders.parquet").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("read_id")), mode="discard").select("read_id", "seq")
 
 
+@_query(sql_of("reads") + "select read_id from reads")
+def read_ids(spark, sf):
+    return reads.id_list(view(spark, sf, "reads"))
+
+
+@_query("select o_orderkey || chr(9) || o_orderstatus || ' ' || o_orderpriority as value from orders where o_orderstatus = 'F'")
+def lines_with(spark, sf):
+    rows = spark.read.parquet(f"{sf}/orders.parquet")
+    return intervals.lines_with(rows.select(F.concat(F.col("o_orderkey").cast("string"), F.lit("\t"), "o_orderstatus", F.lit(" "), "o_orderpriority").alias("value")), 2, "F")
+
+
 # Sequence around sites
 
 _WINDOW = "case when {s} >= 0 and {e} <= length(seq) then case when strand = '-' then reverse(translate(substr(seq, {s} + 1, {e} - {s}), 'ACGT', 'TGCA')) else substr(seq, {s} + 1, {e} - {s}) end end"
@@ -230,8 +241,72 @@ def adapter_trim(spark, sf):
     return view(spark, sf, "reads").select("read_id", X.trim_adapter_3p(seq, "AGATCG").alias("trimmed"), X.trim_adapter_5p(seq, "GATTC").alias("trimmed_5p"), X.trim_polya(seq).alias("tail_free"))
 
 
+_SAM = sql_of("hits") + ", sam as (select *, 10 + nm * 5 as n from hits) "
+
+
+def _sam(spark, sf):
+    """Alignments of as many letters as their edit distance says, with one mismatch or none."""
+    n = F.col("nm") * 5 + 10
+    md = F.when(F.col("nm") == 0, n.cast("string")).otherwise(F.concat(F.lit("4C"), (n - 5).cast("string")))
+    return view(spark, sf, "hits").withColumns({"cigar": F.concat(n.cast("string"), F.lit("M")), "md": md, "seq": F.expr("substring(repeat('ACGT', 5), 1, nm * 5 + 10)")})
+
+
+@_query(_SAM + "select rname as chr, pos - 1 as start0, pos - 1 + n as \"end\", qname as read_id, nm, case when flag & 16 <> 0 then '-' else '+' end as strand, case when nm = 0 then n::varchar else '4MCA' || (n - 5) end as mmid from sam")
+def sam_to_bed(spark, sf):
+    return alignments.sam_to_bed(_sam(spark, sf))
+
+
+@_query(_BEST + "select qname, count(*) as n from b group by qname having count(*) > 2")
+def heavy_multimappers(spark, sf):
+    return alignments.multimap_report(alignments.best_alignments(view(spark, sf, "hits")), more_than=2)
+
+
+@_query(sql_of("hits") + "select qname, rname, pos, null as status from hits union all select qname, 't' || rname, pos, 'lifted' from hits where nm = 0")
+def union_alignments(spark, sf):
+    rows = view(spark, sf, "hits").select("qname", "rname", "pos")
+    return sites.union_all(rows, view(spark, sf, "hits").where("nm = 0").select("qname", F.concat(F.lit("t"), F.col("rname")).alias("rname"), "pos", F.lit("lifted").alias("status")))
+
+
+def _ends(where: str, correction: int) -> str:
+    return f"case when strand = '+' then pos - 1 + 30 + {correction} else pos - 1 + 1 - {correction} end as pos{where}"
+
+
+def _protocol_sql(correction: int, patterns: str) -> str:
+    return (
+        sql_of("contigs", "contig_sites") + f", r as (select chr, strand, {_ends('', correction)}, count(*) as cnt from contig_sites group by all), "
+        "f as (select r.chr, strand, pos, cnt, " + _WINDOW.format(s=_S, e=_E) + " as flank from r left join contigs c on c.chr = r.chr) "
+        f"select chr, strand, pos, 'S' as sample, cnt, coalesce(length(flank) <> 71, true) or coalesce(length({_DS}) - length(replace({_DS}, 'A', '')) >= 7 or regexp_matches({_DS}, 'A{{6}}'){patterns}, true) as is_ip from f"
+    )
+
+
+def _of_protocol(spark, sf, protocol):
+    rows = view(spark, sf, "contig_sites").select(F.concat_ws(":", "chr", "pos").alias("qname"), F.when(F.col("strand") == "+", 0).otherwise(16).alias("flag"), F.col("chr").alias("rname"), "pos", F.lit("30M").alias("cigar"), F.lit("A" * 30).alias("seq"), F.lit(0).alias("nm"), F.lit("30").alias("md"))
+    samples = spark.createDataFrame([("S", "M")], "sample string, sex string")
+    # Every alignment is there twice: once on the genome, once lifted.
+    return pipeline.sam_to_sites(rows, "S", protocol, samples, view(spark, sf, "contigs"), lifted=rows.withColumn("status", F.lit("lifted")))
+
+
+@_query(_protocol_sql(1, ""))
+def sites_of_protocol(spark, sf):
+    return _of_protocol(spark, sf, "DRS")
+
+
+@_query(_protocol_sql(0, f" or regexp_matches({_DS}, '^(AGAA|AA)')"))
+def sites_of_3reads(spark, sf):
+    return _of_protocol(spark, sf, "3'READS")
+
+
 # Sites
 
+@_query(sql_of("sites") + "select chr, strand, pos, sample, cnt, row_number() over (order by chr, case when strand = '+' then 0 else 1 end, pos, sample) as idx from sites")
+def numbered_sites(spark, sf):
+    return sites.numbered_sites(view(spark, sf, "sites").select("chr", "strand", "pos", "sample", "cnt"))
+
+
+@_query(sql_of("contigs") + "select chr, length(seq) as size from contigs")
+def chrom_sizes(spark, sf):
+    return sites.chrom_sizes(view(spark, sf, "contigs"))
+
 @_query(sql_of("sites") + "select sample, sum(cnt)::bigint as libsize from sites where not is_ip group by sample")
 def lib_sizes(spark, sf):
     return sites.library_sizes(view(spark, sf, "sites"))
@@ -316,12 +391,33 @@ def sample_cutoff(spark, sf):
     return clusters.read_cutoffs(binned, cutoff=98.9)
 
 
-@_query()
+def _claimed(rows: str, keys: str, order: str, reach: int) -> str:
+    """DuckDB's claims over a table: seeds are folded in the order of their rank, and a site goes to the first that reaches it."""
+    near = f"q - {reach} and q + {reach}"
+    return (
+        f"o as (select {keys}, list([pos] order by {order}, pos) as ps from {rows} group by {keys}), "
+        f"seeds as (select {keys}, list_reduce(ps, lambda a, x: case when len(list_filter(a, lambda q: x[1] between {near})) = 0 then list_concat(a, x) else a end) as seeds from o), "
+        f"claimed as (select r.*, list_filter(seeds, lambda q: pos between {near})[1] as seed from {rows} r join seeds using ({keys})) "
+    )
+
+
+_MINI = _MARKED + ", kept as (select * from marked where cnt > 0), " + _claimed("kept", "sample, chr, strand", "cnt desc", 25) + (
+    ", mini as (select sample, chr, strand, seed, max(case when pos = seed then cnt end) as seed_cnt, sum(cnt)::bigint as reads, max(has_pas) as has_pas, list(pos order by pos) as positions from claimed group by sample, chr, strand, seed) "
+)
+
+
+@_query(_MINI + "select * replace (array_to_string(positions, ',') as positions) from mini")
 def mini_clusters(spark, sf):
-    return clusters.mini_clusters(_marked(spark, sf))
+    return clusters.mini_clusters(_marked(spark, sf)).withColumn("positions", F.array_join(F.col("positions").cast("array<string>"), ","))
 
 
-@_query()
+@_query(
+    _MINI + ", r as (select *, row_number() over w - 1 as idx, count(*) over (partition by sample) as n, max(reads) over (partition by sample) as largest, "
+    "round(sum(has_pas::int) over (w rows unbounded preceding) * 100 / row_number() over w, 2) as pc from mini window w as (partition by sample order by reads desc, chr || ':' || strand, seed_cnt desc, seed)), "
+    "f as (select sample, arg_min(case when idx = n // 100 + 1 then largest else reads end, idx) as cut from r where idx >= n // 100 + 1 and pc < 98.9 group by sample), "
+    "good as (select sample, chr, strand, unnest(positions) as pos from mini left join f using (sample) where reads > coalesce(cut, 0)) "
+    "select m.* from marked m semi join good g on m.sample = g.sample and m.chr = g.chr and m.strand = g.strand and m.pos = g.pos"
+)
 def above_background(spark, sf):
     return clusters.above_background(_marked(spark, sf), cutoff=98.9)
 
@@ -338,19 +434,42 @@ def _primary(spark, sf):
     return clusters.primary_clusters(backed, pas=_signals(backed))
 
 
-@_query()
+def _merged(spark, sf):
+    return clusters.merge_clusters(_primary(spark, sf), split_gap=100)
+
+
+def _flat(rows):
+    """Clusters with signals and samples as text."""
+    pas = F.array_join(F.transform("pas", lambda p: F.concat_ws(":", p["motif"], p["rel"].cast("string"), p["abs"].cast("string"))), ",")
+    tpm = F.array_join(F.transform(F.array_sort(F.map_entries("tpm")), lambda e: F.format_string("%s=%.6f", e["key"], e["value"])), ",")
+    return rows.withColumns({"pas": pas, "tpm": tpm, "total_tpm": F.round("total_tpm", 8)})
+
+
+_PAS_TEXT = "case when rep % 4 <> 0 then 'AATAAA:' || (-20 + rep % 17) || ':' || (rep - 20 + rep % 17) || ',AATAAA:' || (-20 + rep % 5) || ':' || (rep - 20 + rep % 5) else '' end"
+
+
+@_query(
+    _TPM + ", backed as (select chr, strand, pos, count(*) as n_supported, round(sum(tpm) / 4, 9) as mean_tpm from t group by chr, strand, pos), " + _claimed("backed", "chr, strand", "n_supported desc, mean_tpm desc", 12)
+    + ", m as (select c.*, sample, tpm, max(tpm) over (partition by c.chr, c.strand, seed, sample) as most from claimed c join t on t.chr = c.chr and t.strand = c.strand and t.pos = c.pos), "
+    "v as (select chr, strand, seed, pos, count(*) as votes from m where tpm = most group by all), "
+    "rep as (select chr, strand, seed, arg_max(pos, {'v': votes, 'd': case when strand = '-' then -pos else pos end}) as voted from v group by all), "
+    "per as (select chr, strand, seed, string_agg(sample || '=' || printf('%.6f', tpm), ',' order by sample) as tpm from (select chr, strand, seed, sample, round(sum(tpm), 6) as tpm from m group by all) group by all), "
+    "w as (select chr, strand, seed, min(pos) as start1, max(pos) as \"end\", round(sum(mean_tpm), 8) as total_tpm, bool_or(pos % 4 <> 0 and pos % 17 >= 14) as is_ip_candidate, arg_max(pos, case when strand = '-' then -pos else pos end) as last from claimed group by all), "
+    "d as (select w.*, per.tpm, case when is_ip_candidate then last else voted end as rep from w join rep using (chr, strand, seed) join per using (chr, strand, seed)) "
+    "select chr, strand, start1, \"end\", rep, total_tpm, " + _PAS_TEXT + " as pas, is_ip_candidate, tpm from d"
+)
 def greedy_clusters(spark, sf):
-    return _primary(spark, sf)
+    return _flat(_primary(spark, sf))
 
 
 @_query()
 def merged_clusters(spark, sf):
-    return clusters.merge_clusters(_primary(spark, sf), split_gap=100)
+    return _flat(_merged(spark, sf))
 
 
 @_query()
 def merged_clusters_compat(spark, sf):
-    return clusters.merge_clusters(_primary(spark, sf), compat="reference")
+    return _flat(clusters.merge_clusters(_primary(spark, sf), compat="reference"))
 
 
 @_query(sql_of("clusters") + "select count(*) as clusters, round(sum(total_tpm), 3) as total_tpm, round(sum(case when \"end\" > start1 then total_tpm else 0 end) * 100 / sum(total_tpm), 6) as percent_wide from clusters")
@@ -468,6 +587,31 @@ def documents(spark, sf):
     return support.documents(per.unpivot(["sample"], [F.col("`reads.n`"), F.col("`reads.raw.max`")], "key", "value"), "GRCh38")
 
 
+_LABELS = ", ".join(f"coalesce(sum(tpm) filter (sample = 'S{i}'), 0) as \"S{i}|P||t|\"" for i in range(10))
+
+
+@_query(
+    sql_of("clusters", "cluster_tpm", "features") + f", g as (select c.cluster_id, string_agg(gene_name, '|' order by gene_id, gene_name) as gene_name, string_agg(gene_id, '|' order by gene_id, gene_name) as gene_id from clusters c left join features f on {_MET} group by c.cluster_id), "
+    f"w as (select c.cluster_id, {_LABELS} from clusters c left join cluster_tpm t using (cluster_id) group by c.cluster_id) "
+    "select chr, start1 as start, \"end\", chr || ':' || rep || ':' || strand as name, total_tpm, strand, gene_name, gene_id, w.* exclude (cluster_id) from clusters c join g using (cluster_id) join w using (cluster_id) where not is_ip_candidate"
+)
+def locus_file(spark, sf):
+    rows = view(spark, sf, "clusters")
+    sheet = spark.createDataFrame([(f"S{i}", "P", None, "t", None) for i in range(10)], "sample string, protocol string, source string, title string, treatment string")
+    full = sinks.locus_rows(rows, intervals.gene_overlaps(rows, view(spark, sf, "features")), view(spark, sf, "cluster_tpm"), sinks.described_samples(sheet))
+    return intervals.sorted_for_lookup(full, start="start")
+
+
+@_query(
+    sql_of("reads") + "select sample, '{\"protocol\":\"3P-Seq\",\"reads\":{\"GRCh38\":{\"nr\":' || count(*) || '},\"raw\":{\"length\":{\"max\":' || max(length(seq)) || '}},\"valid\":{\"cutoffs\":{\"GRCh38\":{\"maxLength\":' || (max(length(seq)) - 2) || '}}}}}' as document from reads where sample is not null group by sample"
+)
+def nested_documents(spark, sf):
+    per = view(spark, sf, "reads").where("sample is not null").groupBy("sample").agg(F.count(F.lit(1)).alias("nr"), F.max(F.length("seq")).cast("long").alias("longest"))
+    keys = {"reads.nr": F.col("nr"), "reads.raw.length.max": F.col("longest"), "reads.valid.cutoffs.maxLength": support.longest_read(F.lit("3P-Seq"), F.col("longest"))}
+    metrics = per.select("sample", F.explode(F.array(*[F.struct(F.lit(k).alias("key"), v.cast("long").alias("value")) for k, v in keys.items()])).alias("m")).select("sample", "m.*")
+    return support.nested_documents(metrics, "GRCh38", per.select("sample", F.lit("protocol").alias("key"), F.lit("3P-Seq").alias("text")))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Sites of all samples, normalized, clustered and merged."""
-    return merged_clusters(spark, sf)
+    return _merged(spark, sf)

@@ -49,11 +49,28 @@ def write_pooled(pooled: DataFrame, path: str) -> None:
     pooled.sort("chr", "strand", "pos").write.csv(path, sep="\t", header=True, compression="gzip")
 
 
-def locus_rows(clusters: DataFrame) -> DataFrame:
-    """Clusters that are no candidates for internal priming, in the columns of the locus search."""
-    return clusters.where(~F.col("is_ip_candidate")).select("chr", F.col("start1").alias("start"), "end", F.concat_ws(":", "chr", F.col("rep").cast("string"), "strand").alias("name"), "total_tpm", "strand")
+def locus_rows(clusters: DataFrame, genes: DataFrame | None = None, per_sample: DataFrame | None = None, labels: DataFrame | None = None, *, id_col: str = "cluster_id") -> DataFrame:
+    """Clusters that are no candidates for internal priming, in the columns of the locus search.
+
+    genes (id, gene_name, gene_id) adds names; per_sample (id, sample, tpm) and labels (sample, label) add a column for each
+    sample, under its label: as many as the sheet has.
+    """
+    rows = clusters.where(~F.col("is_ip_candidate"))
+    more = []
+    if genes is not None:
+        rows, more = rows.join(genes.select(id_col, "gene_name", "gene_id"), id_col, "left"), ["gene_name", "gene_id"]
+    if per_sample is not None:
+        names = [r.label for r in labels.orderBy("sample").collect()]  # the sample sheet
+        wide = per_sample.join(labels, "sample").groupBy(id_col).pivot("label", names).agg(F.sum("tpm"))
+        rows, more = rows.join(wide, id_col, "left").fillna(0.0, names), [*more, *[f"`{n}`" for n in names]]
+    return rows.select("chr", F.col("start1").alias("start"), "end", F.concat_ws(":", "chr", F.col("rep").cast("string"), "strand").alias("name"), "total_tpm", "strand", *more)
 
 
 def described_samples(samples: DataFrame) -> DataFrame:
     """sample, label: id, protocol, source, title and treatment joined by |, blanks left out by name only."""
     return samples.select("sample", F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in ("sample", "protocol", "source", "title", "treatment")]).alias("label"))
+
+
+def write_sheet(sheet: DataFrame, path: str) -> None:
+    """A sample sheet as tab separated text with a header; one row a sample, so one file."""
+    sheet.coalesce(1).sortWithinPartitions(sheet.columns[0]).write.csv(path, sep="\t", header=True)

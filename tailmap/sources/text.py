@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,6 +28,69 @@ def read_bed(spark: SparkSession, path: str, schema: str = BED6) -> DataFrame:
     return spark.read.schema(schema).csv(path, sep="\t", comment="#")
 
 
+def read_chrom_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """chr, size of a table of chromosomes."""
+    return spark.read.schema("chr string, size long").csv(path, sep="\t", comment="#")
+
+
+def read_pooled(spark: SparkSession, path: str, *, first_count: int = 4) -> DataFrame:
+    """chr, strand, pos, sample, cnt (where not zero), libsize of a pooled table in one file or several.
+
+    Its header has a line ``#number;path;library size`` for each column of counts, in their order; the sample's name is the
+    path's last part up to its first dot.  first_count: the column of the first count, from 1.  Headers are as many as samples.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    head = lines.where(F.startswith("value", F.lit("#"))).select("file", F.split(F.substring("value", 2, 1 << 20), ";").alias("h"))
+    head = head.select("file", F.get("h", F.lit(0)).cast("int").alias("place"), F.substring_index(F.substring_index(F.get("h", F.lit(1)), "/", -1), ".", 1).alias("sample"), F.get("h", F.lit(2)).cast("long").alias("libsize"))
+    # Header lines may be numbered in any way: the order counts.
+    head = head.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("place", "sample", "libsize"))).alias("samples"))
+    rows = lines.where(~F.startswith("value", F.lit("#")) & (F.trim("value") != "")).select("file", F.split("value", r"\s+").alias("f")).join(head, "file")
+    counts = F.transform("samples", lambda s, i: F.struct(s["sample"].alias("sample"), F.get("f", i + (first_count - 1)).cast("long").alias("cnt"), s["libsize"].alias("libsize")))
+    place = [F.get("f", F.lit(i)).cast(t).alias(n) for i, (n, t) in enumerate((("chr", "string"), ("strand", "string"), ("pos", "long")))]
+    return rows.select(*place, F.explode(counts).alias("c")).select("chr", "strand", "pos", "c.sample", "c.cnt", "c.libsize").where("cnt > 0")
+
+
+def read_sheet_documents(spark: SparkSession, path: str, organism: str) -> DataFrame:
+    """The sample sheet's columns of the visible documents (JSON lines) of one organism."""
+    schema = "GEOsampleID string, SRR string, GEOseriesID string, organism string, visible boolean, source string, sex string, protocol string, reads struct<raw:struct<length:struct<max:int>>>, adaptor5p string, adaptor3p string, pairedEnd boolean, tobereversed boolean, title string, treatment string, PubMedID string"
+    rows = spark.read.schema(schema).json(path).where((F.col("organism") == organism) & F.col("visible"))
+    names = {"GEOsampleID": "sample_id", "SRR": "SRR", "GEOseriesID": "series_id", "source": "source", "sex": "sex", "protocol": "protocol", "reads.raw.length.max": "readlen", "adaptor5p": "fiveAdapter", "adaptor3p": "threeAdapter", "pairedEnd": "paired", "tobereversed": "reverse_compl", "title": "title", "treatment": "treatment", "PubMedID": "pubmed"}
+    return rows.select(*[F.col(a).alias(b) for a, b in names.items()])
+
+
+def read_settings(path: str) -> dict[str, object]:
+    """A settings file of ``key: value`` lines: text, numbers, true and false, nothing, and lists of ``- item`` lines below."""
+
+    def value(text: str) -> object:
+        text = text.strip()
+        if text[:1] in ("'", '"') and text[-1:] == text[:1] and len(text) > 1:
+            return text[1:-1]
+        known = {"": None, "null": None, "~": None, "true": True, "false": False, "[]": []}
+        if text.lower() in known:
+            return known[text.lower()]
+        for kind in (int, float):
+            try:
+                return kind(text)
+            except ValueError:
+                pass
+        return text
+
+    out: dict[str, object] = {}
+    last = None
+    with open(path, encoding="utf-8") as lines:
+        for line in lines:
+            line = re.sub(r"(^|\s)#.*", "", line.rstrip("\n"))
+            if line.lstrip().startswith("- ") and last is not None:
+                if not isinstance(out[last], list):
+                    out[last] = []
+                out[last].append(value(line.lstrip()[2:]))
+            elif ":" in line and not line[:1].isspace():
+                last, text = line.split(":", 1)
+                last = last.strip()
+                out[last] = value(text)
+    return out
+
+
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     """GTF lines with gene_id, gene_name, transcript_id, kind (biotype) and support."""
     rows = spark.read.schema(_GTF).csv(path, sep="\t", comment="#", quote="\u0000")
@@ -40,11 +104,11 @@ def exons_of(gtf: DataFrame) -> DataFrame:
     return gtf.where("feature = 'exon'").select("chr", (F.col("start") - 1).alias("start0"), "end", "transcript_id", "strand")
 
 
-def read_fastq(spark: SparkSession, path: str, *, sample: str) -> DataFrame:
+def read_fastq(spark: SparkSession, path: str | list[str], *, sample: str) -> DataFrame:
     """sample, file, read_no (from 1 in each file), seq of FASTQ files.
 
     A file's lines are counted by the task that reads it, so files must be gzipped (which cannot be split) or smaller than
-    ``spark.sql.files.maxPartitionBytes``.
+    ``spark.sql.files.maxPartitionBytes``; a file that Spark splits is an error.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,11 +125,21 @@ def read_fastq(spark: SparkSession, path: str, *, sample: str) -> DataFrame:
                 n += 1
             yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(numbers, pa.int64()), pa.array(seqs, pa.string())], names=["file", "read_no", "seq"])
 
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = F.assert_true((F.col("_metadata.file_block_start") == 0) & ((F.col("_metadata.file_block_length") >= F.col("_metadata.file_size")) | F.endswith(F.col("_metadata.file_path"), F.lit(".gz"))), F.lit("a FASTQ file is read in parts: compress it or raise spark.sql.files.maxPartitionBytes"))
+    lines = spark.read.text(path).select(F.coalesce(whole.cast("string"), F.col("_metadata.file_path")).alias("file"), "value")
     rows = lines.mapInArrow(work, "file string, read_no long, seq string")
     return rows.select(F.lit(sample).alias("sample"), "file", "read_no", "seq")
 
 
+def read_runs(spark: SparkSession, runs: dict[str, list[str]]) -> DataFrame:
+    """sample, file, read_no, seq of all runs of all samples (sample to the paths of its FASTQ files), one after another."""
+    parts = [read_fastq(spark, paths, sample=name) for name, paths in runs.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def read_fasta(spark: SparkSession, path: str, *, trim: str = r"\s") -> DataFrame:
     """id (up to white space, or what ``trim`` matches), seq of FASTA files; records may have several lines."""
     rows = spark.read.option("lineSep", ">").text(path).where("trim(value) <> ''")
@@ -79,7 +153,9 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.text(path).where(~F.col("value").rlike(r"^@[A-Za-z]{2}\t")).select(F.split("value", "\t").alias("f")).where(F.size("f") >= 11)
     kinds = ("string", "int", "string", "long", "int", "string", "string", "long", "long", "string", "string")
     names = ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")
-    tags = F.map_from_entries(F.transform(F.slice("f", 12, F.greatest(F.size("f") - 11, F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substring(t, F.lit(6), F.length(t)).alias("v"))))
+    fields = F.transform(F.slice("f", 12, F.greatest(F.size("f") - 11, F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substring(t, F.lit(6), F.length(t)).alias("v")))
+    # Of a tag that a line repeats the first counts.
+    tags = F.map_from_entries(F.filter(fields, lambda t, i: ~F.exists(F.slice(fields, F.lit(1), i), lambda u: u["k"] == t["k"])))
     typed = rows.select(*[F.get("f", F.lit(i)).cast(k).alias(n) for i, (n, k) in enumerate(zip(names, kinds, strict=True))], tags.alias("tags"))
     return typed.withColumns({"nm": F.col("tags")["NM"].cast("int"), "md": F.col("tags")["MD"], "nh": F.col("tags")["NH"].cast("int")})
 
