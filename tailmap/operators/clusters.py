@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tailmap.operators.lineage import stored
+
 PAS = "array<struct<motif:string,rel:int,abs:bigint>>"
 
 
@@ -86,7 +88,7 @@ def mini_clusters(sites: DataFrame, *, upstream: int = 25, downstream: int = 25)
     sites: sample, chr, strand, pos, cnt, has_pas; those with a count of zero take no part.
     """
     keys = ("sample", "chr", "strand")
-    rows = sites.where("cnt > 0").select(*keys, F.col("pos").cast("long").alias("pos"), F.col("cnt").cast("long").alias("cnt"), "has_pas")
+    rows = stored(sites.where("cnt > 0").select(*keys, F.col("pos").cast("long").alias("pos"), F.col("cnt").cast("long").alias("cnt"), "has_pas"), "counted-sites")
     seeds = greedy_claim(rows, [F.col("cnt").desc()], upstream=upstream, downstream=downstream, keys=keys)
     return rows.join(seeds, [*keys, "pos"]).groupBy(*keys, "seed").agg(
         F.max(F.when(F.col("pos") == F.col("seed"), F.col("cnt"))).alias("seed_cnt"), F.sum("cnt").alias("reads"), F.max("has_pas").alias("has_pas"), F.array_sort(F.collect_list("pos")).alias("positions")
@@ -111,7 +113,8 @@ def read_cutoffs(clusters: DataFrame, *, cutoff: float = 90.0) -> DataFrame:
 
 def above_background(sites: DataFrame, *, upstream: int = 25, downstream: int = 25, cutoff: float = 90.0) -> DataFrame:
     """``sites`` in mini-clusters of their sample with more reads than its cutoff."""
-    minis = mini_clusters(sites, upstream=upstream, downstream=downstream)
+    sites = stored(sites, "sites")
+    minis = stored(mini_clusters(sites, upstream=upstream, downstream=downstream), "mini-clusters")
     good = minis.join(read_cutoffs(minis, cutoff=cutoff), "sample").where(F.col("reads") > F.col("read_cutoff"))
     return sites.join(good.select("sample", "chr", "strand", F.explode("positions").alias("pos")), ["sample", "chr", "strand", "pos"], "left_semi")
 
@@ -124,10 +127,11 @@ def primary_clusters(support: DataFrame, *, upstream: int = 12, downstream: int
     internal priming: then the most downstream member represents it.  pas: chr, strand, pos, pas; none without.
     """
     keys = ["chr", "strand"]
+    support = stored(support, "support")
     seeds = greedy_claim(support, [F.col("n_supported").desc(), F.col("mean_tpm").desc()], upstream=upstream, downstream=downstream)
     rows = support.join(seeds, [*keys, "pos"])
     rows = rows.join(pas, [*keys, "pos"], "left") if pas is not None else rows.withColumn("pas", F.lit(None).cast(PAS))
-    members = rows.select(*keys, "seed", "pos", "mean_tpm", F.coalesce("pas", F.array().cast(PAS)).alias("pas"), "per")
+    members = stored(rows.select(*keys, "seed", "pos", "mean_tpm", F.coalesce("pas", F.array().cast(PAS)).alias("pas"), "per"), "members")
     # Votes: for each sample the members that reach its largest value.
     long = members.select(*keys, "seed", "pos", F.explode("per").alias("p")).select(*keys, "seed", "pos", "p.sample", "p.tpm")
     top = long.withColumn("most", F.max("tpm").over(W.partitionBy(*keys, "seed", "sample"))).where("tpm = most")
@@ -254,7 +258,7 @@ def merge_clusters(clusters: DataFrame, *, least_distance: int = 15, most: int =
     if split_gap is None or compat == "reference":
         ready = clusters.withColumn("island", F.lit(0))
     else:
-        ready = islands(clusters, split_gap, pos="rep")
+        ready = islands(stored(clusters, "primary-clusters"), split_gap, pos="rep")
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(list(_rows(pdf)), columns=names)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tailmap.functions import sequence as S
 from tailmap.operators import alignments, clusters, intervals, sites, support
+from tailmap.operators.lineage import stored
 from tailmap.plans.protocols import correction_of
 
 # The hexamers that signal polyadenylation.
@@ -68,16 +69,17 @@ def site_signals(found: DataFrame, genome: DataFrame, settings: Settings = Setti
 
 def sites_to_atlas(found: DataFrame, samples: DataFrame, genome: DataFrame, exons: DataFrame, n_samples: int, settings: Settings = Settings()) -> DataFrame:
     """Merged clusters with annotation, support and per-sample tpm, of the sites of all samples."""
+    found = stored(found, "sites")
     genuine = found.where(~F.col("is_ip"))
-    signals = site_signals(genuine, genome, settings)
+    signals = stored(site_signals(genuine, genome, settings), "signals")
     sizes = sites.library_sizes(found)
     marked = genuine.join(signals.select(*sites.SITE, (F.size("pas") > 0).alias("has_pas")), list(sites.SITE))
     clean = clusters.above_background(marked, upstream=settings.mini_window, downstream=settings.mini_window, cutoff=settings.cutoff)
     backed = sites.site_support(sites.tpm(clean.drop("has_pas"), sizes), n_samples)
     primary = clusters.primary_clusters(backed, upstream=settings.cluster_window, downstream=settings.cluster_window, pas=signals)
     merged = clusters.merge_clusters(primary, least_distance=settings.least_distance, most=settings.max_cluster, split_gap=max(100, 4 * settings.max_cluster))
-    named = merged.withColumns({"cluster_id": F.concat_ws(":", "chr", F.col("rep").cast("string"), "strand"), "s": F.col("start1") - 1, "e": F.col("end")})
-    annotated = intervals.annotate(named, intervals.feature_model(exons, ds_range=settings.ds_range))
+    named = stored(merged, "merged").withColumns({"cluster_id": F.concat_ws(":", "chr", F.col("rep").cast("string"), "strand"), "s": F.col("start1") - 1, "e": F.col("end")})
+    annotated = stored(intervals.annotate(named, intervals.feature_model(exons, ds_range=settings.ds_range)), "annotated")
     backing = support.cluster_support(per_sample(annotated), samples)
     return annotated.drop("s", "e").join(backing, "cluster_id", "left")
 
