@@ -279,7 +279,7 @@ def best_path(segment: str, model: Model, scores: dict[str, tuple[float, int]])
     return [i for ids in reversed(out) for i in ids]
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about so many bytes, whole rows each."""
     for b in batches:
         step = max(1, int(b.num_rows * size / max(1, b.nbytes)))
@@ -435,7 +435,7 @@ def encode(docs: DataFrame, model: Model, *, fold: str = "merge", decoded: bool
         for ids, sizes, data in zip(texts.column("doc_ids").to_pylist(), texts.column("sizes").to_pylist(), texts.column("packed").to_pylist(), strict=True):
             waiting[0].extend(ids), waiting[1].extend(sizes), waiting[2].append(unpack.decompress(data))
             held, left = held + sum(sizes), left - 1
-            if left and held < 2 << 20:
+            if left and held < 1 << 20:
                 continue
             (ids, sizes, data), waiting, held = waiting, ([], [], []), 0
             ends = np.cumsum([0, *sizes]).astype(np.int32)
