@@ -1,9 +1,9 @@
 """Clusters of neighbouring sites.
 
-Greedy claiming is sequential, but sites that lie farther apart than the window never meet.  ``islands`` splits the sites of a
-chromosome's strand where a gap is wider than the window, so claiming works on many small groups instead of one for each
-chromosome; islands that begin within one stretch make a group, so groups follow the length of the genome.  The merging of clusters is split at
-gaps in the same way.  The group functions are one small loop each.
+Greedy claiming is sequential, but what a site does hangs on the better ones near it only.  So it works on tiles of positions,
+and what depends on sites beyond a tile is left to a further round with other tiles.  The merging of clusters is split where a
+gap is wide (``islands``); islands that begin within one stretch make a group, so groups follow the length of the genome.  The
+group functions are one small loop each.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import bisect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ from tailmap.operators.lineage import stored
 PAS = "array<struct<motif:string,rel:int,abs:bigint>>"
 
 
-#: Positions of a bin in which islands are looked for on their own, and of the stretch whose islands make a group.
+#: Positions of a bin in which islands are looked for on their own, and of a tile, or the stretch whose islands make a group.
 BIN, PACK = 65_536, 100_000
 
 
@@ -45,41 +45,78 @@ def islands(sites: DataFrame, gap: int, *, keys: tuple[str, ...] = ("chr", "stra
     return rows.join(per, same).withColumn("island", F.coalesce("_start", "_first")).select(*[sites[c] for c in sites.columns], "island")
 
 
-def claim(positions: list[int], up: int, down: int) -> list[int]:
-    """For each position, given in the order of its rank, the index of the seed that claims it."""
+def claim(positions: list[int], up: int, down: int, *, seeds: list[int | None] | None = None, first: int | None = None, past: int | None = None) -> list[int | None]:
+    """For each position, given in the order of its rank, the position that claims it; None where that cannot be told here.
+
+    seeds: what is known already.  first, past: positions before and from there on exist but are not given, and may claim those
+    within their reach.  A site is left open where a better one that claims it is not given or is open itself.
+    """
     by_pos = sorted(range(len(positions)), key=positions.__getitem__)
     places = [positions[i] for i in by_pos]
-    seed: list[int | None] = [None] * len(positions)
+    seed = list(seeds) if seeds else [None] * len(positions)
+    unsure = [(first is not None and p - down < first) or (past is not None and p + up >= past) for p in positions]
+    barred = [False] * len(positions)
     for i, p in enumerate(positions):
-        if seed[i] is None:
-            for j in by_pos[bisect.bisect_left(places, p - up) : bisect.bisect_right(places, p + down)]:
-                if seed[j] is None:
-                    seed[j] = i
+        if (seed[i] is not None and seed[i] != p) or (seed[i] is None and barred[i]):
+            continue
+        reach = by_pos[bisect.bisect_left(places, p - up) : bisect.bisect_right(places, p + down)]
+        if seed[i] is None and unsure[i]:
+            for j in reach:
+                unsure[j] = True
+            continue
+        for j in reach:
+            if seed[j] is None and not unsure[j]:
+                seed[j] = p
+            # Claimed by this one or a better one: it claims nothing itself.
+            barred[j] = True
     return seed
 
 
-def greedy_claim(sites: DataFrame, order: list[Column], *, upstream: int, downstream: int, keys: tuple[str, ...] = ("chr", "strand")) -> DataFrame:
-    """chr, strand, pos, and seed (the position that claims it) of every site, with further ``keys``.
+def _claimer(names: list[str], ranks: list[str], strand_at: int, tile: int, shift: int, halo: int, upstream: int, downstream: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+    """The function that claims within a tile, and returns the tile's own sites."""
 
-    order: how sites rank; ties go to the smaller position.  Sites must differ in keys and position.
-    """
-    wide = max(upstream, downstream)
-    rank = W.partitionBy(*keys, "island").orderBy(*order, F.col("pos").asc())
-    ready = islands(sites, wide, keys=keys).withColumn("_rank", F.row_number().over(rank)).select(*keys, "pos", "island", "_rank")
-    types = dict(ready.dtypes)
-    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "pos bigint", "seed bigint"])
-    strand_at = keys.index("strand")
+    def work(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        low = int(key[-1]) * tile + shift
+        up, down = (upstream, downstream) if key[strand_at] == "+" else (downstream, upstream)
+        pdf = pdf.sort_values([*ranks, "pos"], ascending=[False] * len(ranks) + [True], na_position="last")
+        known = [None if pd.isna(s) else int(s) for s in pdf["seed"]]
+        seeds = claim(pdf["pos"].tolist(), up, down, seeds=known, first=low - halo, past=low + tile + halo)
+        return pdf.assign(seed=pd.array(seeds, dtype="Int64"))[pdf["pos"].between(low, low + tile - 1)][names]
 
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        seeds = []
-        pdf = pdf.sort_values([*keys, "island", "_rank"])
-        for key, part in pdf.groupby([*keys, "island"], sort=False):
-            positions = part["pos"].tolist()
-            up, down = (upstream, downstream) if key[strand_at] == "+" else (downstream, upstream)
-            seeds += [positions[s] for s in claim(positions, up, down)]
-        return pdf[[*keys, "pos"]].assign(seed=seeds)
+    return work
+
+
+def greedy_claim(sites: DataFrame, order: list[str], *, upstream: int, downstream: int, keys: tuple[str, ...] = ("chr", "strand"), tile: int = PACK, halo: int = 2_000) -> DataFrame:
+    """chr, strand, pos, and seed (the position that claims it) of every site, with further ``keys``.
+
+    order: columns by which sites rank, the largest first, nulls last; ties go to the smaller position.  Sites must differ in
+    keys and position; those without a position go.
 
-    return ready.withColumn("_g", F.floor(F.col("island") / PACK)).groupBy(*keys, "_g").applyInPandas(lambda pdf: work(pdf), schema)
+    A task claims within a tile of positions, of which it sees ``halo`` more on both sides, and leaves open what depends on
+    sites beyond.  Those are decided in further rounds, whose tiles lie half a tile further along.  A group has no more than
+    tile + 2 * halo positions however dense the sites are, and the result is that of claiming a whole strand in order: in one
+    of two rounds the best open site lies farther from the ends of its tile than a window reaches.
+    """
+    tile = max(tile, 4 * (upstream + downstream + 1))
+    halo = min(halo, tile // 2)
+    ranks = [f"_o{i}" for i in range(len(order))]
+    state = sites.where("pos is not null").select(*keys, F.col("pos").cast("long").alias("pos"), F.lit(None).cast("long").alias("seed"), *[F.col(c).alias(r) for c, r in zip(order, ranks, strict=True)])
+    turn = 0
+    while not turn or not state.where("seed is null").isEmpty():
+        shift = turn % 2 * (tile // 2)
+        tile_of = [F.floor((F.col("pos") - shift + by) / tile) for by in (0, -halo, halo)]
+        dealt = state.withColumn("_tile", F.explode(F.array_distinct(F.array(*tile_of))))
+        if turn:
+            open_ = state.where("seed is null").select(*[F.col(k).alias(f"_{k}") for k in keys], tile_of[0].alias("_t")).distinct()
+            same = F.col("_tile") == F.col("_t")
+            for k in keys:
+                same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+            dealt, rest = dealt.join(open_, same, "left_semi"), state.withColumn("_tile", tile_of[0]).join(open_, same, "left_anti").drop("_tile")
+        work = _claimer(state.columns, ranks, keys.index("strand"), tile, shift, halo, upstream, downstream)
+        found = dealt.groupBy(*keys, "_tile").applyInPandas(work, state.schema)
+        state = stored(rest.union(found) if turn else found, "claimed")
+        turn += 1
+    return state.select(*keys, "pos", "seed")
 
 
 def mini_clusters(sites: DataFrame, *, upstream: int = 25, downstream: int = 25) -> DataFrame:
@@ -89,7 +126,7 @@ def mini_clusters(sites: DataFrame, *, upstream: int = 25, downstream: int = 25)
     """
     keys = ("sample", "chr", "strand")
     rows = stored(sites.where("cnt > 0").select(*keys, F.col("pos").cast("long").alias("pos"), F.col("cnt").cast("long").alias("cnt"), "has_pas"), "counted-sites")
-    seeds = greedy_claim(rows, [F.col("cnt").desc()], upstream=upstream, downstream=downstream, keys=keys)
+    seeds = greedy_claim(rows, ["cnt"], upstream=upstream, downstream=downstream, keys=keys)
     return rows.join(seeds, [*keys, "pos"]).groupBy(*keys, "seed").agg(
         F.max(F.when(F.col("pos") == F.col("seed"), F.col("cnt"))).alias("seed_cnt"), F.sum("cnt").alias("reads"), F.max("has_pas").alias("has_pas"), F.array_sort(F.collect_list("pos")).alias("positions")
     )
@@ -128,7 +165,7 @@ def primary_clusters(support: DataFrame, *, upstream: int = 12, downstream: int
     """
     keys = ["chr", "strand"]
     support = stored(support, "support")
-    seeds = greedy_claim(support, [F.col("n_supported").desc(), F.col("mean_tpm").desc()], upstream=upstream, downstream=downstream)
+    seeds = greedy_claim(support, ["n_supported", "mean_tpm"], upstream=upstream, downstream=downstream)
     rows = support.join(seeds, [*keys, "pos"])
     rows = rows.join(pas, [*keys, "pos"], "left") if pas is not None else rows.withColumn("pas", F.lit(None).cast(PAS))
     members = stored(rows.select(*keys, "seed", "pos", "mean_tpm", F.coalesce("pas", F.array().cast(PAS)).alias("pas"), "per"), "members")

@@ -11,13 +11,9 @@ from tailmap.sources import sinks, text
 from tailmap.streaming.sites import append_sites
 
 
-def test_claim_by_islands_is_claim_of_all(spark):
-    rng = random.Random(3)
-    rows = [("chr1" if rng.random() < 0.7 else "chr2", rng.choice("+-"), p, rng.randint(1, 5), rng.random()) for p in rng.sample(range(3000), 500)]
-    df = spark.createDataFrame(rows, "chr string, strand string, pos bigint, n_supported int, mean_tpm double")
-    got = {(r.chr, r.strand, r.pos): r.seed for r in clusters.greedy_claim(df, [F.col("n_supported").desc(), F.col("mean_tpm").desc()], upstream=12, downstream=5).collect()}
+def claimed_in_order(rows):
     want = {}
-    for key in {(r[0], r[1]) for r in rows}:
+    for key in {r[:2] for r in rows}:
         mine = sorted([r for r in rows if r[:2] == key], key=lambda r: (-r[3], -r[4], r[2]))
         up, down = (12, 5) if key[1] == "+" else (5, 12)
         for r in mine:
@@ -25,7 +21,27 @@ def test_claim_by_islands_is_claim_of_all(spark):
                 for x in mine:
                     if r[2] - up <= x[2] <= r[2] + down:
                         want.setdefault((*key, x[2]), r[2])
-    assert got == want
+    return want
+
+
+def test_claim_by_tiles_is_claim_of_all(spark):
+    rng = random.Random(3)
+    rows = [("chr1" if rng.random() < 0.7 else None, rng.choice("+-"), p, rng.randint(1, 5), rng.random()) for p in rng.sample(range(3000), 900)]
+    # Each better than the one before: what claims the first is known only when the last is.
+    rows += [("chain", s, 5 * i, 1, float(i)) for s in "+-" for i in range(60)]
+    df = spark.createDataFrame(rows, "chr string, strand string, pos bigint, n_supported int, mean_tpm double")
+    for tile, halo in ((100_000, 2_000), (100, 20)):
+        got = {(r.chr, r.strand, r.pos): r.seed for r in clusters.greedy_claim(df, ["n_supported", "mean_tpm"], upstream=12, downstream=5, tile=tile, halo=halo).collect()}
+        assert got == claimed_in_order(rows)
+    assert clusters.greedy_claim(df.limit(0), ["n_supported"], upstream=12, downstream=5).count() == 0
+
+
+def test_claim_leaves_open_what_others_may_decide():
+    # The site at 3 may be claimed from before 0, the one at 10 by it; the one at 30 is out of reach of both.
+    assert clusters.claim([3, 30, 10], 8, 8, first=0) == [None, 30, None]
+    assert clusters.claim([30, 3, 10], 8, 8, seeds=[30, 3, None], first=0) == [30, 3, 3]
+    # Claimed by 10 or by a site before 0, so it claims nothing: 8 is free of it.
+    assert clusters.claim([10, 3, 40], 8, 8, first=0) == [10, None, 40]
 
 
 def cluster(start, end, rep, total, marks=(), ip=False):
