@@ -14,7 +14,9 @@ entries in the order of their texts; an empty table gives no shard and no row.
 
 from __future__ import annotations
 
+import bisect
 import json
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -118,14 +120,17 @@ def write_shards(
     docs: DataFrame, folder: str, tokenizer_path: str, pattern: str, *, end_id: int | None = 0, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Write all documents as shards under ``folder`` (a URI that pyarrow.fs opens); returns the manifest, one row a shard."""
+    run = uuid.uuid4().hex[:12]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileType
+
         task = TaskContext.get()
         part = task.partitionId()
         made = writer = out = None
         first = last = None
         filesystem, root = _filesystem(folder)
-        mine, final = f"{root}/.{part:05d}-{task.taskAttemptId()}", f"{root}/shard-{part:05d}.sst"
+        mine, final = f"{root}/.{part:05d}-{task.taskAttemptId()}", f"{root}/shard-{part:05d}-{run}.sst"
         enc = encoder(tokenizer_path, pattern)
         end = b"" if end_id is None else np.array([end_id], dtype=enc.dtype).tobytes()
         for ids, texts in _pieces(batches):
@@ -139,7 +144,11 @@ def write_shards(
         if writer is not None:
             writer.close()
             out.close()
-            filesystem.move(mine, final)
+            # A move onto a name that exists is an error in some file systems; what an earlier attempt of this task left is the same.
+            if filesystem.get_file_info(final).type == FileType.NotFound:
+                filesystem.move(mine, final)
+            else:
+                filesystem.delete_file(mine)
             made = [[part], [final], [first], [last], [len(writer.keys)], [writer.n_ids], [writer.at]]
             types = [pa.int32(), pa.string(), *[pa.int64()] * 5]
             names = [x.split()[0] for x in MANIFEST.split(", ")]
@@ -201,32 +210,46 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
 
 
 def lookup(manifest: DataFrame, folder: str, wanted: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """doc_id and ids of the wanted documents by binary-search lookup: ids are dealt to the shards whose range holds them."""
-    m = manifest.select("path", "first_id", "last_id")
-    pairs = wanted.select(F.col(id_col).cast("long").alias("doc_id")).distinct().join(
-        F.broadcast(m), F.col("doc_id").between(F.col("first_id"), F.col("last_id")) | (F.col("first_id").isNull() & (F.col("doc_id") <= F.col("last_id")))
-    )
+    """doc_id and ids of the wanted documents by binary-search lookup, a row for each entry of an id.
+
+    An id, also the null one, is dealt to all shards whose range of keys holds it; what the shards lack gives no row.
+    """
+    shards = sorted(manifest.select("shard", "path", "first_id", "last_id").collect(), key=lambda r: r.shard)  # one short row a shard
+    paths, first, last = [r.path for r in shards], [sstable.key_of(r.first_id) for r in shards], [sstable.key_of(r.last_id) for r in shards]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, places = [], []
+            for i in b.column(0).to_pylist():
+                key = sstable.key_of(i)
+                here = range(bisect.bisect_left(last, key), bisect.bisect_right(first, key))
+                ids += [i] * len(here)
+                places += here
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(ids, pa.int64())], names=["place", "doc_id"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, _ = _filesystem(folder)
-        path = file = reader = None
+        place = file = reader = None
         for b in batches:
             keys, values = [], []
             for p, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if p != path:
-                    path, file = p, filesystem.open_input_file(p)
+                if p != place:
+                    if file is not None:
+                        file.close()
+                    place, file = p, filesystem.open_input_file(paths[p])
                     reader = sstable.Reader(file, file.size())
                 for v in reader.get(sstable.key_of(i)):
                     keys.append(i)
                     values.append(np.frombuffer(v, dtype=f"<u{reader.id_bytes}").astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(values, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return pairs.select("path", "doc_id").repartition("path").sortWithinPartitions("path", "doc_id").mapInArrow(find, "doc_id long, ids array<int>")
+    pairs = wanted.select(F.col(id_col).cast("long").alias("doc_id")).distinct().mapInArrow(deal, "place int, doc_id long")
+    # The second key parts what one shard is asked for.
+    dealt = pairs.repartition("place", F.floor(F.col("doc_id") / 4096)).sortWithinPartitions("place", "doc_id")
+    return dealt.mapInArrow(find, "doc_id long, ids array<int>")
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str, pattern: str, *, folder: str | None = None) -> DataFrame:
     """Write the shards of all documents and return what reading them gives."""
-    import uuid
-
     folder = folder or f"{shared_dir(docs.sparkSession)}/token-shards-{uuid.uuid4().hex}"
     return read_digests(write_shards(docs, folder, tokenizer_path, pattern), folder)

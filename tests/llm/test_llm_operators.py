@@ -562,6 +562,19 @@ def test_shards(spark, tmp_path):
     asked = spark.createDataFrame([(0,), (7,), (999,), (-5,)], "doc_id bigint")
     found = token_output.lookup(manifest, f"file://{tmp_path}/s", asked).collect()
     assert {r.doc_id for r in found} == {0, 7, -5} and all(r.ids[-1] == 0 for r in found)
+    asked = spark.createDataFrame([(i,) for i in {*[r[0] for r in rows], 999, None}], "doc_id bigint").union(spark.createDataFrame([(0,)], "doc_id bigint"))
+    every = lambda df: sorted((str(r.doc_id), list(r.ids)) for r in df.collect())
+    assert every(token_output.lookup(manifest, f"file://{tmp_path}/s", asked)) == every(token_output.read_ids(manifest, f"file://{tmp_path}/s"))
+    # Copies of one id over several shards, and a second write to the same folder.
+    same = [(5, f"text {i % 40}", None, None) for i in range(400)] + [(None, f"none {i}", None, None) for i in range(50)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_output.write_shards(docs_of(spark, same), f"file://{tmp_path}/s", path, public_tokenizers.PATTERN)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.count() > 1
+    asked = spark.createDataFrame([(5,), (None,), (6,)], "doc_id bigint")
+    assert every(token_output.lookup(manifest, f"file://{tmp_path}/s", asked)) == every(token_output.read_ids(manifest, f"file://{tmp_path}/s"))
     assert token_output.token_digests(docs_of(spark, []), path, public_tokenizers.PATTERN).count() == 0
 
 
