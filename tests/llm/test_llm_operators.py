@@ -367,6 +367,44 @@ def test_verdicts(spark):
     assert url_filter.filter_urls(pages.limit(0)).count() == 0 and url_filter.drop_blocked(pages).columns == pages.columns
 
 
+def test_propagation_is_a_union_find(spark):
+    """A long chain, a large star and random links, with allow and block far apart, against a plain union-find."""
+    rng = random.Random(4)
+    chain = [f"http://chain{i}.org/a" for i in range(200)]
+    star = [f"http://leaf{i}.org/" for i in range(400)]
+    loose = [f"http://{rng.choice(['x', 'y', 'z'])}{i % 60}.org/p{i}" for i in range(300)]
+    links = list(zip(chain, chain[1:])) + [(u, "http://hub.org/") for u in star] + [(rng.choice(loose), rng.choice(loose)) for _ in range(160)]
+    links += [(chain[-1], "http://far.net/es/1"), (star[7], "http://s.net/fr/2"), (star[300], "http://s.com/"), ("http://hub.org/", None), (None, chain[0]), (chain[3], chain[3])]
+    links += [(rng.choice(loose), f"http://n{i}.net/fr/{i}") for i in range(12)] + [(rng.choice(loose), f"http://c{i}.com/{i}") for i in range(6)]
+    rng.shuffle(links)
+    urls = chain + star + loose + [u for pair in links for u in pair] + ["http://alone.org/"]
+    parent: dict = {}
+
+    def root(u):
+        while parent.setdefault(u, u) != u:
+            u = parent[u]
+        return u
+
+    bare = lambda u: u.split("://")[1].rstrip("/")
+    for a, b in links:
+        if a and b:
+            parent[root(bare(a))] = root(bare(b))
+    own = lambda u: "block" if re.search(r"\.net/(es|fr)/", u) else "allow" if ".com/" in u else None
+    said: dict = {}
+    for u in filter(None, urls):
+        if own(u):
+            said.setdefault(root(bare(u)), set()).add(own(u))
+    want = {}
+    for i, u in enumerate(urls):
+        known = said.get(root(bare(u)), set()) if u else set()
+        want[i] = ((own(u) if u else None) or ("block" if known == {"block"} else "allow"), bool(u and known and not own(u)))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    redirects = spark.createDataFrame(links, "src string, dst string")
+    got = {r.page_id: (r.verdict, r.propagated) for r in url_filter.filter_urls(pages, redirects=redirects, html_col=None).collect()}
+    assert got == want
+    assert got[0] == ("block", True) and got[len(chain)] == ("allow", True) and got[len(urls) - 1] == ("allow", False)
+
+
 # Top-k
 
 
