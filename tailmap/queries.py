@@ -228,14 +228,31 @@ def lift_alignments(spark, sf):
     return alignments.lift_alignments(hits.drop("sample", "read_id"), exons)
 
 
-@_query()
+# What the CIGAR and the mismatches below make of 30 letters: positions 8, 13 and 24 are read in place of A, inserted, and read in place of T.
+@_query(sql_of("reads") + "select read_id, '5MA' || substr(seq, 8, 1) || '4I' || substr(seq, 13, 1) || '7DCDG3MT' || substr(seq, 24, 1) || '4' as mmid from (select read_id, unnest(regexp_extract_all(seq, '.{30}')) as seq from reads)")
 def mmid(spark, sf):
     # The CIGAR is of 30 letters: each 30 of a read are aligned by it.
     rows = view(spark, sf, "reads").where(F.length("seq") >= 30).select("read_id", F.explode(F.regexp_extract_all("seq", F.lit(".{30}"), F.lit(0))).alias("seq"))
     return rows.select("read_id", X.mmid(F.lit("2S10M1I7M2D8M2S"), F.lit("5A11^CG3T4"), F.col("seq")).alias("mmid"))
 
 
-@_query()
+def _place_sql(seq: str, adapter: str, overlap: int) -> str:
+    """Of the best place of an adapter without N: its matches times a million, less the letters before it."""
+    n = f"least({len(adapter)}, length({seq}) - k)"
+    wrong = f"hamming(left('{adapter}', {n}), substr({seq}, k + 1, {n}))"
+    return f"list_max(list_transform(range(0, length({seq}) - {overlap} + 1), lambda k: case when {wrong} <= floor(0.1 * {n}) then ({n} - {wrong}) * 1000000 - k end))"
+
+
+def _kept_sql(side: str, place: str) -> str:
+    """The letters that a place leaves on the left or right; all without a place."""
+    return f"case when {place} is null then seq else {side}(seq, (({place} + 999999) // 1000000 * 1000000 - {place})::bigint) end"
+
+
+@_query(
+    sql_of("reads")
+    + f", placed as (select read_id, seq, {_place_sql('seq', 'AGATCG', 3)} as p3, {_place_sql('back', 'GATTC'[::-1], 3)} as p5, {_place_sql('seq', 'A' * 14, 1)} as pa from (select *, reverse(seq) as back from reads)) "
+    + f"select read_id, {_kept_sql('left', 'p3')} as trimmed, {_kept_sql('right', 'p5')} as trimmed_5p, {_kept_sql('left', 'pa')} as tail_free from placed"
+)
 def adapter_trim(spark, sf):
     seq = F.col("seq")
     return view(spark, sf, "reads").select("read_id", X.trim_adapter_3p(seq, "AGATCG").alias("trimmed"), X.trim_adapter_5p(seq, "GATTC").alias("trimmed_5p"), X.trim_polya(seq).alias("tail_free"))
