@@ -56,3 +56,11 @@ def ascii_lower(text: Column) -> Column:
     A text of ASCII only takes the fast built-in path; for the others ``translate`` maps the 26 letters.
     """
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken, name = {c.lower() for c in df.columns}, f"_{base}"
+    while name in taken:
+        name += "_"
+    return name

@@ -143,6 +143,8 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     # Sizes alone rule out many pairs.
     near = both.where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
     rows = near.select("u", "v", "n_u", "n_v", *[F.get(f"points_{c}", cls - F.col(f"own_{c}")).alias(f"point_{c}") for c in "uv"])
+    # A row that repeats an id with another text may be in other classes; then so is the row that has the root.
+    rows = rows.where("point_u is not null and point_v is not null")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -159,7 +161,7 @@ def packed(here: DataFrame, points: DataFrame) -> DataFrame:
     here: root, node, component.  A leaf has neighbours in the order of root and size, LEAF of them at most.
     """
     cls = F.col("root").bitwiseAND(F.lit(0xFF)).cast("int")
-    rows = here.join(points, "node").select("root", "n", "node", "component", F.get("points", cls - F.col("own")).alias("point"))
+    rows = here.join(points, "node").select("root", "n", "node", "component", F.get("points", cls - F.col("own")).alias("point")).where("point is not null")
     line = stored(rows.repartitionByRange("root", "n", "node").sortWithinPartitions("root", "n", "node").withColumn("at", F.monotonically_increasing_id()), "packed")
 
     def leaf(key: tuple, t: pa.Table) -> pa.Table:
@@ -237,12 +239,13 @@ def joined_groups(docs: DataFrame, *, percent: int = PERCENT, shingle: int = SHI
     shared = stored(held.groupBy("root").count().where("count > 1").select("root"), "shared-roots")
     held = stored(held.join(shared, "root"), "held")
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
+    repeated = stored(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("node")), "repeated-ids")
+    if not repeated.isEmpty():
+        texts = texts.join(repeated, "node", "left_anti").union(texts.join(repeated, "node", "left_semi").dropDuplicates())
     wanted = held.select("node").distinct()
     sets = stored(document_sets(texts.join(wanted, "node", "left_semi"), shingle=shingle), "sets")
     points = stored(set_points(sets, percent=percent), "points")
-
-    repeated = named.groupBy("doc_id").agg(F.count_distinct("set_key").alias("n")).where("n > 1").select("doc_id")
-    versions = named.join(repeated, "doc_id").join(classes.select("set_key", "node"), "set_key").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
+    versions = named.select(F.col("doc_id").alias("node"), "set_key").join(repeated, "node").distinct().select(F.col("node").alias("u"), "set_key").join(classes.select("set_key", F.col("node").alias("v")), "set_key").select("u", "v")
     links, checked = stored(versions.where("u <> v"), "versions"), None
     labels = None if links.isEmpty() else connected_components(links)
     for turn in range(star_rounds + 1):

@@ -4,12 +4,13 @@ Every letter has a random vector of +1 and -1, drawn from its code point alone.
 letters, each rotated by its place, by multiplication; a text's vector bundles (adds) those of all its n-grams, and a
 language's prototype bundles those of its documents.  A text gets the language whose prototype has the largest cosine.
 
-An n-gram's vector is made once for each batch and counted as often as it occurs, which gives the same sum as adding it each
-time.  Training adds up one vector for each language in every task and sums these over the tasks, dimension by dimension, so
+An n-gram's vector is made once for each slice of texts and counted as often as it occurs, which gives the same sum as adding
+it each time.  A slice has ``PART`` n-grams and ``TEXTS`` texts at most, a longer text goes through several, and vectors are made
+in blocks; so memory does not follow the length of a text or the number of its n-grams.  Training adds up one vector for each language in every task and sums these over the tasks, dimension by dimension, so
 what reaches the driver is languages x dimensions numbers; more than ``MAX_LANGUAGES`` raises an error.
 
-Training reads a sample of labelled rows, ``max_train_docs`` of them in expectation, chosen by a hash of their ids; prediction
-reads every whole text.
+Training reads ``max_train_docs`` labelled rows at most: those with the smallest hashes of id, text and language, repeated rows
+once.  Prediction reads every whole text.
 
 Defined results: a text that is null or has no letter gets ``und`` and score 0; so does every text where nothing was learned;
 equal cosines go to the language that sorts first; a score below ``noise_bound`` says no more than chance, so there
@@ -28,9 +29,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 DIMENSIONS, NGRAM, MAX_TRAIN_DOCS, MAX_LANGUAGES = 1024, 3, 20_000, 1000
 #: How likely a text that shares no n-gram with any language may pass for one, by the noise of the vectors alone.
 CHANCE = 0.001
+#: N-grams and texts that are worked on at a time.
+PART, TEXTS = 1 << 19, 1000
 
 _LETTERS: dict[str, np.ndarray] = {}
 _VECTORS: dict[int, dict[int, np.ndarray]] = {}
@@ -71,51 +76,70 @@ def ngram_vectors(keys: np.ndarray, dimensions: int, n: int) -> np.ndarray:
     return out
 
 
-def bundled(weights: np.ndarray, places: np.ndarray, vectors: np.ndarray, block: int = 4096) -> np.ndarray:
-    """The sum of the vectors at these places, times their weights (a row, or a matrix of rows), in blocks of bounded memory."""
-    out = np.zeros((*weights.shape[:-1], vectors.shape[1]), dtype=np.float32)
-    for at in range(0, len(places), block):
-        out += weights[..., at : at + block].astype(np.float32) @ vectors[places[at : at + block]].astype(np.float32)
-    return out
-
+def gram_keys(text: str, n: int, chars: int = 1 << 18) -> Iterator[np.ndarray]:
+    """The n-grams of a text, as n code points of 21 bits each, in parts of about so many.
 
-def ngram_counts(texts: list[str], n: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """The distinct n-grams of all texts; for each text the places of its n-grams among them, and their counts."""
-    table, keys, sizes = _letter_table(), [], []
-    for text in texts:
-        codes = table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+    A word is set off by one space, whatever stands between words; a text without a letter has none.
+    """
+    table, seam, letter_before, begun = _letter_table(), np.zeros(0, dtype=np.int64), False, False
+    for at in range(0, len(text) + 1, chars):
+        codes = table[np.frombuffer(text[at : at + chars].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
         letter = codes != 32
-        if not letter.any():
-            keys.append(np.zeros(0, dtype=np.int64))
-            sizes.append(0)
-            continue
-        # A word is set off by one space, whatever stands between words.
         keep = letter.copy()
         keep[1:] |= letter[:-1]
-        codes = np.concatenate([[32], codes[keep], [32]]).astype(np.int64)
+        if len(keep):
+            keep[0] |= letter_before
+            letter_before = bool(letter[-1])
+        kept = [seam, codes[keep].astype(np.int64)]
+        if not begun and letter.any():
+            kept.insert(1, np.array([32]))
+            begun = True
+        if begun and at + chars > len(text):
+            kept.append(np.array([32]))
+        codes = np.concatenate(kept)
         k = np.zeros(max(0, len(codes) - n + 1), dtype=np.int64)
         for j in range(n):
             k = (k << 21) | codes[j : j + len(k)]
-        keys.append(k)
-        sizes.append(len(k))
-    flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
-    codes, distinct = pd.factorize(flat)
-    ends = np.cumsum(sizes)
-    places, counts = [], []
-    for e, s in zip(ends.tolist(), sizes, strict=True):
-        c = np.bincount(codes[e - s : e], minlength=0)
-        nz = np.flatnonzero(c)
-        places.append(nz)
-        counts.append(c[nz])
-    return np.asarray(distinct, dtype=np.int64), places, counts
-
-
-def _slices(batches: Iterator[pa.RecordBatch], chars: int = 1 << 19) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    for b in batches:
-        step = max(1, int(b.num_rows * chars / max(1, b.nbytes)))
-        for at in range(0, b.num_rows, step):
-            part = b.slice(at, step)
-            yield part, [t or "" for t in part.column(0).to_pylist()]
+        seam = codes[len(k) :]
+        if len(k):
+            yield k
+
+
+def _add(waiting: list[tuple[int, np.ndarray]], sums: np.ndarray, n: int, block: int = 4096) -> None:
+    """Add the vectors of these n-grams to the rows of ``sums`` that they belong to."""
+    if not waiting:
+        return
+    codes, distinct = pd.factorize(np.concatenate([k for _, k in waiting]))
+    held, end = [], 0
+    for i, k in waiting:
+        c = np.bincount(codes[end : end + len(k)])
+        end += len(k)
+        places = np.flatnonzero(c)
+        held.append((i, places, c[places].astype(np.float32)))
+    for at in range(0, len(distinct), block):
+        vectors = ngram_vectors(distinct[at : at + block], sums.shape[1], n)
+        for i, places, c in held:
+            lo, hi = np.searchsorted(places, (at, at + block))
+            if lo < hi:
+                # Whole numbers below 2^24: exact.
+                sums[i] += c[lo:hi] @ vectors[places[lo:hi] - at].astype(np.float32)
+
+
+def bundles(texts: list[str], dimensions: int, n: int) -> Iterator[tuple[np.ndarray, int]]:
+    """For each text the sum of its n-grams' vectors, and their number."""
+    for at in range(0, len(texts), TEXTS):
+        some = texts[at : at + TEXTS]
+        sums, totals, waiting, size = np.zeros((len(some), dimensions)), [0] * len(some), [], 0
+        for i, text in enumerate(some):
+            for keys in gram_keys(text, n):
+                totals[i] += len(keys)
+                waiting.append((i, keys))
+                size += len(keys)
+                if size >= PART:
+                    _add(waiting, sums, n)
+                    waiting, size = [], 0
+        _add(waiting, sums, n)
+        yield from zip(sums, totals, strict=True)
 
 
 def prototypes(labelled: DataFrame, *, dimensions: int = DIMENSIONS, n: int = NGRAM) -> tuple[list[str], np.ndarray]:
@@ -123,16 +147,12 @@ def prototypes(labelled: DataFrame, *, dimensions: int = DIMENSIONS, n: int = NG
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for part, texts in _slices(batches):
-            grams, places, counts = ngram_counts(texts, n)
-            weight: dict[str, np.ndarray] = {}
-            for lang, p, c in zip(part.column(1).to_pylist(), places, counts, strict=True):
-                w = weight.setdefault(lang, np.zeros(len(grams), dtype=np.float64))
-                # Every document counts alike, however long.
-                w[p] += c / max(1, c.sum())
-            vectors = ngram_vectors(grams, dimensions, n)
-            for lang, v in zip(weight, bundled(np.stack(list(weight.values())), np.arange(len(grams)), vectors) if weight else [], strict=True):
-                sums[lang] = sums.get(lang, 0) + v
+        for b in batches:
+            for at in range(0, b.num_rows, TEXTS):
+                part = b.slice(at, TEXTS)
+                for lang, (v, grams) in zip(part.column(1).to_pylist(), bundles(part.column(0).to_pylist(), dimensions, n), strict=True):
+                    # Every document counts alike, however long.
+                    sums[lang] = sums.get(lang, 0) + v / max(1, grams)
         for lang, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions), pa.array(np.arange(dimensions), pa.int32()), pa.array(v.astype(np.float64))], names=["lang", "dimension", "value"])
 
@@ -148,13 +168,12 @@ def prototypes(labelled: DataFrame, *, dimensions: int = DIMENSIONS, n: int = NG
     return [lang for lang, _ in found], (matrix / np.maximum(1e-12, np.linalg.norm(matrix, axis=1, keepdims=True))).astype(np.float32)
 
 
-def sample_of(labelled: DataFrame, max_docs: int, id_col: str = "doc_id") -> DataFrame:
-    """About ``max_docs`` rows at most, chosen by a hash of the id."""
-    rows = labelled.select(id_col).count()
-    if rows <= max_docs:
-        return labelled
-    part = int(max_docs / rows * (1 << 32))
-    return labelled.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("lang-sample")), F.lit(1 << 32)) < part)
+def sample_of(labelled: DataFrame, max_docs: int) -> DataFrame:
+    """``max_docs`` rows at most, chosen by a hash of all columns; of repeated rows one."""
+    key = free_name(labelled, "key")
+    named = labelled.withColumn(key, F.xxhash64(*labelled.columns, F.lit("lang-sample")))
+    last = named.select(key).distinct().orderBy(key).limit(max_docs).agg(F.max(key)).first()[0]
+    return named.where(F.col(key) <= F.lit(last)).dropDuplicates([key]).drop(key)
 
 
 def judge_of(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: int = NGRAM):
@@ -167,26 +186,15 @@ def judge_of(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: in
         languages, matrix = known.value
         for series in frames:
             preds, scores = [], []
-            texts = [t or "" for t in series.tolist()]
-            at = 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= 1 << 19):
-                    size += len(texts[end])
-                    end += 1
-                grams, places, counts = ngram_counts(texts[at:end], n)
-                vectors = ngram_vectors(grams, matrix.shape[1], n)
-                for p, c in zip(places, counts, strict=True):
-                    if not len(p) or not languages:
-                        preds.append("und")
-                        scores.append(0.0)
-                        continue
-                    v = bundled(c, p, vectors)
-                    cosine = (matrix @ v) / max(1e-12, float(np.linalg.norm(v)))
-                    best = int(np.argmax(cosine))
-                    preds.append(languages[best])
-                    scores.append(min(1.0, max(0.0, float(cosine[best]))))
-                at = end
+            for v, grams in bundles([t or "" for t in series], matrix.shape[1], n):
+                if not grams or not languages:
+                    preds.append("und")
+                    scores.append(0.0)
+                    continue
+                cosine = (matrix @ v) / max(1e-12, float(np.linalg.norm(v)))
+                best = int(np.argmax(cosine))
+                preds.append(languages[best])
+                scores.append(min(1.0, max(0.0, float(cosine[best]))))
             yield pd.DataFrame({"lang_pred": preds, "score": scores})
 
     return judge
@@ -195,7 +203,8 @@ def judge_of(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: in
 def predict(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: int = NGRAM, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (the cosine, 0 to 1) added; columns of these names are replaced."""
     judge = judge_of(docs, languages, matrix, n=n)
-    return docs.withColumn("_said", judge(F.col(text_col).cast("string"))).withColumns({"lang_pred": F.col("_said.lang_pred"), "score": F.col("_said.score")}).drop("_said")
+    said = free_name(docs, "said")
+    return docs.withColumn(said, judge(F.col(text_col).cast("string"))).withColumns({"lang_pred": F.col(said)["lang_pred"], "score": F.col(said)["score"]}).drop(said)
 
 
 def held_out(id_col: str = "doc_id", part: int = 1, of: int = 3) -> Column:
@@ -223,13 +232,13 @@ def keep_identified(docs: DataFrame, *, least: float | None = None, max_train_do
     Without ``least`` it is the ``noise_bound`` of the languages that were learned.
     Where nothing can be learned, as no row has a language, every row with a letter stays.
     """
-    said = F.col("_judged")
     learned = prototypes(sample_of(training_rows(docs, id_col=id_col, text_col=text_col, lang_col=lang_col), max_train_docs))
     if not learned[0]:
         return docs.where(F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)))
     least = noise_bound(len(learned[0]), learned[1].shape[1]) if least is None else least
-    judged = docs.withColumn("_judged", judge_of(docs, *learned)(F.col(text_col).cast("string")))
-    return judged.where((said["lang_pred"] != "und") & (said["score"] >= least)).select(*docs.columns)
+    said = free_name(docs, "judged")
+    judged = docs.withColumn(said, judge_of(docs, *learned)(F.col(text_col).cast("string")))
+    return judged.where((F.col(said)["lang_pred"] != "und") & (F.col(said)["score"] >= least)).drop(said)
 
 
 def identify(docs: DataFrame, *, max_train_docs: int = MAX_TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -13,7 +13,7 @@ from pieces of the text rather than from its start.  The patterns are written so
 again from its middle, and with possessive loops.  So a text of any length takes time and memory in proportion, and no stack.
 Whether a term overlaps an entity is told from the sorted starts and ends of both, by windows over the spans of one text.
 
-Defined results: a null text is empty; repeated rows have the same result each; rows without an id get a row each; an empty
+Defined results: a null text is empty; repeated rows have the same result each and count once in the corpus; rows without an id get a row each; an empty
 table gives an empty table; columns besides id and text are ignored.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_name, stored
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -43,6 +43,8 @@ NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 NEAR, TERM, MIN_SUPPORT, GENERALISE, REMOVE = 80, r"[\p{L}\p{N}]{3,}+", 3, 0.8, 0.95
 
 
+#: So many terms that are wanted are sent to all tasks; of more, all words of the corpus are counted.
+FEW_TERMS = 100_000
 #: Elements that are summed at a time, and the power of two of a piece's characters.
 BLOCK, PIECE_BITS = 256, 10
 
@@ -154,10 +156,27 @@ def scan_base(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.when(F.size("base") > 0, spans).otherwise(none).alias("spans"))
 
 
-def _document_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """term, n_term: in how many documents each term occurs; words are counted before they are shuffled."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col).cast("string")), F.lit(TERM), F.lit(0)))
-    return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+def _document_counts(docs: DataFrame, repeated: DataFrame, terms: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """term, n_term: in how many documents each of ``terms`` occurs, rows that repeat a document counted once.
+
+    repeated: doc_id, text_key, copies of such documents.  Words are counted before they are shuffled; only wanted ones where
+    these are few enough to be sent to all.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    few = terms.limit(FEW_TERMS + 1).count() <= FEW_TERMS
+
+    def counted(some: DataFrame, by: Column) -> DataFrame:
+        held = some.select(F.explode(words).alias("term"), by.alias("by"))
+        held = held.join(F.broadcast(terms), "term", "left_semi") if few else held
+        return held.groupBy("term").agg(F.sum("by").alias("n"))
+
+    all_ = counted(rows, F.lit(1))
+    if repeated.isEmpty():
+        return all_.select("term", F.col("n").alias("n_term"))
+    again = repeated.select(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"), "copies")
+    one = rows.join(again, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.xxhash64("text") == F.col("r_key"))).dropDuplicates(["r_id", "r_key"])
+    return all_.union(counted(one, 1 - F.col("copies"))).groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
 def near_terms(scanned: DataFrame) -> DataFrame:
@@ -178,7 +197,7 @@ def near_terms(scanned: DataFrame) -> DataFrame:
     return met.where(F.col("term").isNotNull() & apart).drop("from", "to", "before", "next")
 
 
-def disclosing_terms(docs: DataFrame, scanned: DataFrame, *, text_col: str = "text", min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+def disclosing_terms(docs: DataFrame, scanned: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
     """row, start, end, share: the places where a term stands near an entity that it discloses."""
     near = stored(near_terms(scanned), "near-terms")
     # A document counts once for a pair, however often the term stands near; rows that repeat a document count as one.
@@ -188,11 +207,14 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, *, text_col: str = "te
         return near.select("row", "start", "end", F.lit(0.0).alias("share")).limit(0)
     hit = scanned.select("doc_id", "text_key", F.explode("spans").alias("s")).select("doc_id", "text_key", _entity(F.col("s.kind"), F.col("s.hit")).alias("entity"))
     holders = hit.distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    n = scanned.count()
+    # Rows that repeat a document count as one in all four numbers.
+    documents = stored(scanned.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies")), "pii-documents")
+    n = documents.count()
     information = F.log(F.lit(float(n)) / F.col("n_entity"))
     pmi = F.log(F.lit(float(n)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
     share = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
-    weighed = pairs.join(holders, "entity").join(_document_counts(docs, text_col), "term").select("entity", "term", share.alias("share"))
+    counts = _document_counts(docs, documents.where("copies > 1"), pairs.select("term").distinct(), id_col=id_col, text_col=text_col)
+    weighed = pairs.join(holders, "entity").join(counts, "term").select("entity", "term", share.alias("share"))
     weighed = stored(weighed.where(F.col("share") >= generalise), "disclosing")
     return near.join(weighed, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
 
@@ -203,7 +225,7 @@ def personal_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     The texts are read, not shuffled; what is stored and joined has a row of counts and spans for each document.
     """
     scanned = stored(scan_base(docs, id_col=id_col, text_col=text_col).withColumn("row", F.monotonically_increasing_id()), "pii")
-    terms = disclosing_terms(docs, scanned, text_col=text_col, **thresholds)
+    terms = disclosing_terms(docs, scanned, id_col=id_col, text_col=text_col, **thresholds)
     listed = terms.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
     joined = scanned.join(stored(listed, "pii-terms"), "row", "left")
     kept = F.coalesce("terms", F.expr("cast(array() as array<struct<start:int,end:int,share:double>>)"))
@@ -233,7 +255,8 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["share"] >= remove, F.lit("")).otherwise(F.lit("[TERM]")).alias("by"))),
         )
     )
-    found = found.select(F.col("doc_id").alias("_p_id"), F.col("text_key").alias("_p_key"), cuts.alias("_p_cuts"))
+    id_, key, by = (free_name(docs, x) for x in ("p_id", "p_key", "p_cuts"))
+    found = found.select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), cuts.alias(by))
     text = F.col(text_col)
 
     def step(at: Column, s: Column) -> tuple[Column, Column]:
@@ -241,7 +264,7 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         return F.greatest(at, s["end"]), F.struct(F.when(inside, s["start"]).otherwise(at).alias("from"), s["start"].alias("to"), F.when(inside, F.lit("")).otherwise(s["by"]).alias("by"))
 
     last = F.struct(F.length(text).alias("start"), F.length(text).alias("end"), F.lit("").alias("by"))
-    kept = scanned_over(F.concat("_p_cuts", F.array(last)), F.lit(0), step, "struct<from:int,to:int,by:string>")
+    kept = scanned_over(F.concat(by, F.array(last)), F.lit(0), step, "struct<from:int,to:int,by:string>")
     clean = _let(_pieces(text), lambda pieces: F.array_join(F.transform(kept, lambda k: F.concat(_between(pieces, k["from"], k["to"]), k["by"])), ""))
-    both = docs[id_col].eqNullSafe(F.col("_p_id")) & (F.xxhash64(docs[text_col]) == F.col("_p_key"))
-    return docs.join(found, both, "left").withColumn(text_col, F.when(F.col("_p_cuts").isNotNull(), clean).otherwise(text)).drop("_p_id", "_p_key", "_p_cuts")
+    both = docs[id_col].eqNullSafe(F.col(id_)) & (F.xxhash64(docs[text_col]) == F.col(key))
+    return docs.join(found, both, "left").withColumn(text_col, F.when(F.col(by).isNotNull(), clean).otherwise(text)).drop(id_, key, by)

@@ -9,7 +9,7 @@ which the split into pre-tokens could differ from the library's (a character out
 out) are given to the library whole.
 
 Defined results: a null text is empty and gives the end id alone; null ids come before all others; repeated ids are separate
-entries in the order of their texts; an empty table gives no shard and no row.
+entries in the order of a hash of their texts, also where they are parted over shards; an empty table gives no shard and no row.
 """
 
 from __future__ import annotations
@@ -156,7 +156,7 @@ def write_shards(
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # The second key parts the rows of one id, should it have very many.
-    dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     spark = docs.sparkSession
     shards = dealt.mapInArrow(write, MANIFEST).collect()  # one short row a shard
     return spark.createDataFrame(sorted(shards), MANIFEST)

@@ -107,22 +107,23 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 def search_block(queries: tuple, candidates: tuple, k: int) -> tuple[list[int], list[int], list[int], int]:
     """Of each query its k best of these candidates: places of queries, places of candidates, scores; and how many were scored.
 
-    Both are (ids, vectors, distances to pivots); ids of null candidates are the largest number.
+    Both are (ids, row numbers, vectors, distances to pivots); ids of null candidates are the largest number.  A query's own row is no
+    candidate of it; other rows with its id are.
     """
-    q_ids, q, q_far = queries
-    ids, x, x_far = candidates
+    _, q_rows, q, q_far = queries
+    ids, rows, x, x_far = candidates
     largest = lambda m: max(-int(m.min(initial=0)), int(m.max(initial=0)), 1)
     biggest = largest(q) * largest(x) * max(1, x.shape[1])
     exact = np.float64 if biggest < 2**52 else np.int64 if biggest < 2**63 else object  # sums of float64 are exact below 2^53
     vectors, asked = x.astype(exact), q.astype(exact)
     x_norm, q_norm = (x.astype(np.float64) ** 2).sum(axis=1), (q.astype(np.float64) ** 2).sum(axis=1)
     of, places, scores, scored = [], [], [], 0
-    for j in range(len(q_ids)):
+    for j in range(len(q_rows)):
         lower = np.abs(x_far - q_far[j]).max(axis=1) if x_far.shape[1] else np.zeros(len(ids))
         # The slack covers rounding in distances and squares.
         bound = (x_norm + q_norm[j] - lower**2) / 2 + 1e-9 * (x_norm + q_norm[j]) + 1e-6
         order = np.argsort(-bound, kind="stable")
-        order = order[ids[order] != q_ids[j]]
+        order = order[rows[order] != q_rows[j]]
         have_p, have_s, at = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=object if exact is object else np.int64), 0
         # An equal bound may still hold a smaller id with an equal score.
         while at < len(order) and (len(have_p) < k or bound[order[at]] >= have_s[-1]):
@@ -141,9 +142,9 @@ def search_block(queries: tuple, candidates: tuple, k: int) -> tuple[list[int],
 def _partial(rows: DataFrame, is_query: Column, k: int, scale: float, pivots: int, pivot_sample: int, query_block: int, candidate_block: int, id_col: str, vector_col: str) -> DataFrame | None:
     """RESULT of each query in each block of candidates; a row without a query has a block's numbers of pairs and of scored ones."""
     vectors = rows.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col), scale).alias("v")).where("v is not null").select("id", "v")
-    table = stored(pivot_table(vectors, fit_pivots(vectors, n=pivots, sample=pivot_sample)), "pivot-table")
-    asked = table.where(is_query).select("id", "v", "dim", "far", F.xxhash64("v").alias("key")).dropDuplicates(["id", "v"])
-    same = W.partitionBy("v").orderBy(F.col("id").asc_nulls_last())
+    table = stored(pivot_table(vectors, fit_pivots(vectors, n=pivots, sample=pivot_sample)).withColumn("row", F.monotonically_increasing_id()), "pivot-table")
+    asked = table.where(is_query).select("id", "v", "dim", "far", "row")
+    same = W.partitionBy("v").orderBy(F.col("id").asc_nulls_last(), "row")
     found = table.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).drop("n")
     asked, found = stored(asked, "queries"), stored(found, "candidates")
     n_q, n_c = -(-asked.count() // query_block), -(-found.count() // candidate_block)
@@ -151,8 +152,8 @@ def _partial(rows: DataFrame, is_query: Column, k: int, scale: float, pivots: in
         return None
     mixed = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asked.select("id", "key", "v", "far", "dim", mixed(n_q, "id", "v").alias("qb"), every(n_c).alias("cb"))
-    right = found.select("id", "v", "far", "dim", mixed(n_c, "id", "v").alias("cb"), every(n_q).alias("qb"))
+    left = asked.select("id", "row", "v", "far", "dim", mixed(n_q, "row").alias("qb"), every(n_c).alias("cb"))
+    right = found.select("id", "row", "v", "far", "dim", mixed(n_c, "row").alias("cb"), every(n_q).alias("qb"))
 
     def meet(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         if not queries.num_rows or not candidates.num_rows:
@@ -160,11 +161,11 @@ def _partial(rows: DataFrame, is_query: Column, k: int, scale: float, pivots: in
         parts = []
         for t in (queries, candidates):
             ids = t.column("id").combine_chunks().fill_null(np.iinfo(np.int64).max).to_numpy()
-            parts.append((ids, _matrix(t.column("v"), np.int64), _matrix(t.column("far")).reshape(t.num_rows, -1)))
+            parts.append((ids, t.column("row").to_numpy(), _matrix(t.column("v"), np.int64), _matrix(t.column("far")).reshape(t.num_rows, -1)))
         of, places, scores, scored = search_block(parts[0], parts[1], k)
         at = pa.array(of, pa.int64())
-        best = pa.table({"query_id": queries.column("id").take(at), "query_key": queries.column("key").take(at), "vec_id": candidates.column("id").take(pa.array(places, pa.int64())), "score": pa.array([int(x) for x in scores], pa.int64())})
-        return pa.concat_tables([best, pa.table({"query_id": pa.array([None], pa.int64()), "query_key": pa.array([None], pa.int64()), "vec_id": pa.array([queries.num_rows * candidates.num_rows]), "score": pa.array([scored], pa.int64())})])
+        best = pa.table({"query_id": queries.column("id").take(at), "query_row": queries.column("row").take(at), "vec_id": candidates.column("id").take(pa.array(places, pa.int64())), "score": pa.array([int(x) for x in scores], pa.int64())})
+        return pa.concat_tables([best, pa.table({"query_id": pa.array([None], pa.int64()), "query_row": pa.array([None], pa.int64()), "vec_id": pa.array([queries.num_rows * candidates.num_rows]), "score": pa.array([scored], pa.int64())})])
 
     by = ["dim", "qb", "cb"]
     return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(meet, RESULT)
@@ -183,8 +184,8 @@ def search(rows: DataFrame, is_query: Column, **options: object) -> DataFrame:
     partial = _partial(rows, is_query, **options)
     if partial is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = W.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
-    return partial.where("query_key is not null").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= options["k"]).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    best = W.partitionBy("query_id", "query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
+    return partial.where("query_row is not null").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= options["k"]).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def scored_share(rows: DataFrame, is_query: Column, **options: object) -> DataFrame:
@@ -192,4 +193,4 @@ def scored_share(rows: DataFrame, is_query: Column, **options: object) -> DataFr
     partial = _partial(rows, is_query, **_options(options))
     if partial is None:
         return rows.sparkSession.createDataFrame([(0, 0)], "pairs long, scored long")
-    return partial.where("query_key is null").agg(F.sum("vec_id").alias("pairs"), F.sum("score").alias("scored"))
+    return partial.where("query_row is null").agg(F.sum("vec_id").alias("pairs"), F.sum("score").alias("scored"))

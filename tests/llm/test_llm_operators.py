@@ -81,10 +81,78 @@ def test_languages(spark):
 
 
 def test_profiles_are_sums_of_bound_letters():
-    keys, places, counts = langid.ngram_counts(["ab"], 3)
+    keys = np.concatenate(list(langid.gram_keys("ab", 3)))
     a, b, s = (langid.letter_vector(ord(c), 64).astype(int) for c in "ab ")
     want = np.roll(s, 2) * np.roll(a, 1) * b + np.roll(a, 2) * np.roll(b, 1) * s
-    assert (langid.ngram_vectors(keys, 64, 3)[places[0]].astype(int).T @ counts[0] == want).all()
+    assert (langid.ngram_vectors(keys, 64, 3).astype(int).sum(axis=0) == want).all()
+    text = "Hello, wörld! 12 abc  Ünd Σ" * 40
+    for size in (1, 2, 5, 64):
+        assert (np.concatenate(list(langid.gram_keys(text, 3, size))) == np.concatenate(list(langid.gram_keys(text, 3)))).all()
+
+
+def plain_profile(text, dimensions=1024, n=3):
+    """The bundle of a text, letter by letter."""
+    if not any(c.isalpha() for c in text or ""):
+        return np.zeros(dimensions), 0
+    # Behind a letter one character that is none stands as a space, and there is a space at either end.
+    out, before = [" "], False
+    for c in text:
+        if c.isalpha():
+            out.append(c.lower() if len(c.lower()) == 1 else c)
+        elif before:
+            out.append(" ")
+        before = c.isalpha()
+    out.append(" ")
+    total, grams = np.zeros(dimensions), 0
+    for at in range(len(out) - n + 1):
+        v = np.ones(dimensions)
+        for j, c in enumerate(out[at : at + n]):
+            v = v * np.roll(langid.letter_vector(ord(c), dimensions).astype(float), n - 1 - j)
+        total, grams = total + v, grams + 1
+    return total, grams
+
+
+def test_languages_by_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.substring("text", 1, 300).alias("text"), "lang", "source")
+    rows = docs.collect()
+    profiles = {r.doc_id: plain_profile(r.text) for r in rows}
+    sums = {}
+    for r in rows:
+        if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            v, n = profiles[r.doc_id]
+            sums[r.lang] = sums.get(r.lang, 0) + v / max(1, n)
+    names = sorted(sums)
+    unit = np.array([sums[x] / np.linalg.norm(sums[x]) for x in names])
+    got = {r.doc_id: r for r in langid.identify(docs).collect()}
+    for r in rows:
+        v, n = profiles[r.doc_id]
+        if not n:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        cosine = unit @ v / np.linalg.norm(v)
+        assert abs(got[r.doc_id].score - max(0.0, cosine.max())) < 1e-4
+        if np.sort(cosine)[-1] - np.sort(cosine)[-2] > 1e-4:
+            assert got[r.doc_id].lang_pred == names[int(cosine.argmax())]
+
+
+def test_equal_cosines_go_to_the_first_language(spark):
+    rows = [(i, "abc abd", lang, None) for i, lang in enumerate(["zz", "bb", "mm"] * 8)]
+    assert {r.lang_pred for r in langid.identify(docs_of(spark, rows)).collect()} == {"bb"}
+
+
+@pytest.mark.parametrize("ids", [[None] * 50, [3, 5, 6, 8] * 13, list(range(50))])
+def test_sample_is_bounded_and_not_empty(spark, ids):
+    rows = [(i, f"text {k}", "aa", None) for k, i in enumerate(ids)] + [(7, "again", "aa", None)] * 5
+    sample = langid.sample_of(docs_of(spark, rows).select("doc_id", "text", "lang"), 10)
+    assert sample.count() == 10 and langid.sample_of(docs_of(spark, rows), 1000).count() == len(ids) + 1
+    assert langid.sample_of(docs_of(spark, []), 10).count() == 0
+
+
+def test_clashing_names_of_judgements(spark):
+    rows = docs_of(spark, [(i, f"abc abd {i}", "aa", None) for i in range(20)]).withColumns({"_judged": F.lit("mine"), "_said": F.lit("too")})
+    kept = langid.keep_identified(rows)
+    assert kept.columns == rows.columns and {(r._judged, r._said) for r in kept.collect()} == {("mine", "too")}
+    assert {r._said for r in langid.predict(rows, *langid.prototypes(rows)).collect()} == {"too"}
 
 
 # SentencePiece
@@ -303,8 +371,10 @@ def brute_terms(rows, near=80, least=3, generalise=0.8):
                     if not any(m.start() < f and m.end() > b for p in spans.values() for b, f in p):
                         both.setdefault((entity, m[0].lower()), set()).add((i, t))
                         sites.append((at, entity, m[0].lower(), m.span()))
-    documents = Counter(w for _, t in rows for w in set(term.findall((t or "").lower())))
-    n, out = len(rows), [set() for _ in rows]
+    # Rows that repeat a document count once.
+    distinct = {(i, t or "") for i, t in rows}
+    documents = Counter(w for _, t in distinct for w in set(term.findall(t.lower())))
+    n, out = len(distinct), [set() for _ in rows]
     for at, entity, word, span in sites:
         c, e = len(both[entity, word]), len(holders[entity])
         if c >= least and e < n and math.log(n * c / (e * documents[word])) / math.log(n / e) >= generalise:
@@ -323,12 +393,19 @@ def test_terms_are_brute_force(spark):
             at = rng.randint(0, len(parts))
             parts[at:at] = rng.sample([value, word, rng.choice(words)], 3)
         rows.append((i, rng.choice([" ", "  ", "-"]).join(parts)))
-    rows += [rows[3], rows[4], (None, rows[5][1]), (200, None), (201, "")]
+    rows += [rows[3], rows[4], (None, rows[5][1]), (200, None), (201, "")] + [rows[7]] * 30
     want = sorted((str(i), ",".join(f"term:{s}:{e}" for s, e in sorted(t))) for (i, _), t in zip(rows, brute_terms(rows), strict=True))
     got = sorted((str(r.doc_id), ",".join(x for x in r.spans.split(",") if x.startswith("term"))) for r in pii.pii_digests(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
     assert got == want and sum(1 for _, t in want if t) > 20
 
 
+def test_personal_data_of_nothing_and_of_clashing_names(spark):
+    assert pii.pii_digests(docs_of(spark, [])).count() == 0 and pii.sanitise(docs_of(spark, [])).count() == 0
+    named = docs_of(spark, [(1, "to ann@x.org", None, None)]).withColumns({"_p_id": F.lit(1), "_P_KEY": F.lit(2), "_p_cuts": F.lit(3)})
+    row = pii.sanitise(named).first()
+    assert (row.text, row._p_id, row._p_cuts) == ("to [EMAIL]", 1, 3)
+
+
 def test_personal_data_in_a_long_text(spark):
     import time
 
@@ -425,6 +502,12 @@ def test_topk_is_brute_force(spark):
     assert topk.search(table.limit(0), F.col("id") % 25 == 0).count() == 0
 
 
+def test_rows_that_share_an_id(spark):
+    table = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.9, 0.0]), (1, [0.5, 0.0]), (0, [1.0, 0.0])], "vec_id bigint, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(table, F.col("id") == 0, k=2).collect())
+    assert got == sorted([(0, 1, 0, 1024 * 1024), (0, 2, 0, 921 * 1024)] * 2 + [(0, 1, 0, 1024 * 921), (0, 2, 0, 1024 * 921)])
+
+
 def test_large_components(spark):
     rows = [(1, [70000.0, 1.0]), (2, [1.0, 2.0]), (3, [-70000.0, 3.0]), (4, [1e8, 1.0]), (5, [0.5, 0.5])]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
@@ -452,7 +535,8 @@ def test_bounds_eliminate():
     x = (centres[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, 16)) * 10).astype(np.int64)
     pivots = topk.choose_pivots(x[:500].astype(float), 32)
     far = np.stack([np.linalg.norm(x - p, axis=1) for p in pivots], axis=1)
-    *_, scored = topk.search_block((np.arange(10), x[:10], far[:10]), (np.arange(4000), x, far), 10)
+    ids = np.arange(4000)
+    *_, scored = topk.search_block((ids[:10], ids[:10], x[:10], far[:10]), (ids, ids, x, far), 10)
     assert scored < 0.5 * 10 * 4000
 
 
@@ -613,6 +697,9 @@ def test_shards(spark, tmp_path):
     assert manifest.count() > 1
     asked = spark.createDataFrame([(5,), (None,), (6,)], "doc_id bigint")
     assert every(token_output.lookup(manifest, f"file://{tmp_path}/s", asked)) == every(token_output.read_ids(manifest, f"file://{tmp_path}/s"))
+    hashed = docs_of(spark, same).where("doc_id = 5").select(F.xxhash64("text").alias("h"), "text").collect()
+    want = [[*tok.encode(r.text, add_special_tokens=False).ids, 0] for r in sorted(hashed, key=lambda r: (r.h, r.text))]
+    assert [list(r.ids) for r in token_output.read_ids(manifest, f"file://{tmp_path}/s").where("doc_id = 5").collect()] == want
     assert token_output.token_digests(docs_of(spark, []), path, public_tokenizers.PATTERN).count() == 0
 
 
