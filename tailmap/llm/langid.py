@@ -13,7 +13,7 @@ Training reads ``max_train_docs`` labelled rows at most: those with the smallest
 once.  Prediction reads every whole text.
 
 Defined results: a text that is null or has no letter gets ``und`` and score 0; so does every text where nothing was learned;
-equal cosines go to the language that sorts first; a score below ``noise_bound`` says no more than chance, so there
+cosines that are equal to six decimals go to the language that sorts first; a score below ``noise_bound`` says no more than chance, so there
 ``keep_identified`` knows no language, be the text of one that was never learned or too short to tell; repeated rows and null ids get a row each; other columns are ignored.
 """
 
@@ -192,7 +192,7 @@ def judge_of(docs: DataFrame, languages: list[str], matrix: np.ndarray, *, n: in
                     scores.append(0.0)
                     continue
                 cosine = (matrix @ v) / max(1e-12, float(np.linalg.norm(v)))
-                best = int(np.argmax(cosine))
+                best = int(np.argmax(np.round(cosine, 6)))
                 preds.append(languages[best])
                 scores.append(min(1.0, max(0.0, float(cosine[best]))))
             yield pd.DataFrame({"lang_pred": preds, "score": scores})

@@ -36,7 +36,7 @@ from .common import stored
 K, SCALE, PIVOTS, PIVOT_SAMPLE, QUERY_BLOCK, CANDIDATE_BLOCK = 10, 1024.0, 32, 2048, 4096, 8192
 #: Candidates scored at a time.
 STEP = 128
-RESULT = "query_id long, query_key long, vec_id long, score long"
+RESULT = "query_id long, query_row long, vec_id long, score long"
 
 
 def scaled(vector: Column, scale: float = SCALE) -> Column:
