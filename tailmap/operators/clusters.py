@@ -1,15 +1,16 @@
 """Clusters of neighbouring sites.
 
 Greedy claiming is sequential, but what a site does hangs on the better ones near it only.  So it works on tiles of positions,
-and what depends on sites beyond a tile is left to a further round with other tiles.  The merging of clusters is split where a
-gap is wide (``islands``); islands that begin within one stretch make a group, so groups follow the length of the genome.  The
-group functions are one small loop each.
+and what depends on sites beyond a tile is left to a further round with other tiles.  The merging of clusters works on tiles as
+well; what runs from one into the next is a small function of each tile, put into that of the next (``_chained``).  So no group
+is larger than a tile however dense sites and clusters are, but for the functions of a strand, some rows a tile.
 """
 
 from __future__ import annotations
 
 import bisect
-from collections.abc import Callable, Iterator
+import functools
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,28 +22,8 @@ from tailmap.operators.lineage import stored
 PAS = "array<struct<motif:string,rel:int,abs:bigint>>"
 
 
-#: Positions of a bin in which islands are looked for on their own, and of a tile, or the stretch whose islands make a group.
-BIN, PACK = 65_536, 100_000
-
-
-def islands(sites: DataFrame, gap: int, *, keys: tuple[str, ...] = ("chr", "strand"), pos: str = "pos") -> DataFrame:
-    """``sites`` with island: the first position of the run, without a gap wider than ``gap``, that a site is in.
-
-    Runs are found within bins of positions; what is put in order for a whole strand is a row for each bin.
-    """
-    place, bin_ = W.partitionBy(*keys, "_bin").orderBy(pos), F.floor(F.col(pos) / BIN)
-    rows = sites.withColumn("_bin", bin_).withColumn("_wide", F.col(pos) - F.lag(pos).over(place) > gap)
-    rows = rows.withColumn("_start", F.last(F.when(F.col("_wide"), F.col(pos)), ignorenulls=True).over(place.rangeBetween(W.unboundedPreceding, W.currentRow))).drop("_wide")
-    per = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_bin").alias("_b")).agg(F.min(pos).alias("_low"), F.max(pos).alias("_high"), F.max("_start").alias("_last"))
-    line = W.partitionBy(*[f"_{k}" for k in keys]).orderBy("_b")
-    # A bin's first run begins there, or is the last run of a bin before it.
-    per = per.withColumn("_begins", F.when(F.coalesce(F.col("_low") - F.lag("_high").over(line) <= gap, F.lit(False)), None).otherwise(F.col("_low")))
-    before = F.last(F.coalesce("_last", "_begins"), ignorenulls=True).over(line.rowsBetween(W.unboundedPreceding, -1))
-    per = per.withColumn("_first", F.coalesce("_begins", before)).select(*[f"_{k}" for k in keys], "_b", "_first")
-    same = F.col("_bin") == F.col("_b")
-    for k in keys:
-        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return rows.join(per, same).withColumn("island", F.coalesce("_start", "_first")).select(*[sites[c] for c in sites.columns], "island")
+#: Positions of a tile.
+PACK = 100_000
 
 
 def claim(positions: list[int], up: int, down: int, *, seeds: list[int | None] | None = None, first: int | None = None, past: int | None = None) -> list[int | None]:
@@ -247,70 +228,210 @@ def merge_small(clusters: list[_Cluster], most: int) -> list[_Cluster]:
     return _chain(clusters, lambda a, b: b["end"] - a["start1"] + 1 <= most)
 
 
-def merge_without_signals(clusters: list[_Cluster], most: int, *, compat: str = "clean", last_of_all: bool = True) -> list[_Cluster]:
-    """Runs of clusters without signals that lie close together merge if not too wide, else go.
+def runs_without_signals(clusters: list[_Cluster], most: int, *, compat: str = "clean") -> list[list[_Cluster]]:
+    """Runs of neighbours without signals that lie close together; every other cluster is a run.
 
-    compat="reference": the last cluster of all is not looked at, and of a last run that is too wide the last cluster stays.
+    compat="reference": the last cluster of the strand, known by ``_from_end``, is in no run with others.
     """
-    whole = compat != "reference" or not last_of_all
-    seen, rest = (clusters, []) if whole or not clusters else (clusters[:-1], clusters[-1:])
     runs: list[list[_Cluster]] = []
-    for c in seen:
-        run = runs[-1] if runs else None
-        if run is not None and not c.marks and not run[-1].marks and c["start1"] - run[-1]["end"] <= most // 2:
-            run.append(c)
-        else:
+    for c in clusters:
+        before = runs[-1][-1] if runs else None
+        alone = before is None or c.marks or before.marks or c["start1"] - before["end"] > most // 2 or (compat == "reference" and c["_from_end"] == 1)
+        if alone:
             runs.append([c])
+        else:
+            runs[-1].append(c)
+    return runs
+
+
+def merge_without_signals(clusters: list[_Cluster], most: int, *, compat: str = "clean") -> list[_Cluster]:
+    """Runs of clusters without signals that lie close together merge if not too wide, else go.
+
+    compat="reference": the last cluster of all is not looked at, and of a last run that is too wide the last cluster stays.
+    """
     out: list[_Cluster] = []
-    for i, run in enumerate(runs):
-        if run[0].marks:
-            out += run
-        elif run[-1]["end"] - run[0]["start1"] <= 2 * most:
-            one = run[0]
-            for c in run[1:]:
-                one = _merged(one, c)
-            out.append(one)
-        elif not whole and i == len(runs) - 1:
+    line = [_Cluster(c, _from_end=len(clusters) - i) for i, c in enumerate(clusters)]
+    for run in runs_without_signals(line, most, compat=compat):
+        untouched = compat == "reference" and run[-1]["_from_end"] == 1
+        if run[0].marks or untouched or run[-1]["end"] - run[0]["start1"] <= 2 * most:
+            out.append(functools.reduce(_merged, run))
+        elif compat == "reference" and run[-1]["_from_end"] == 2:
             out.append(run[-1])
-    return out + rest
+    return [_Cluster({k: v for k, v in c.items() if k != "_from_end"}) for c in out]
 
 
-def merge_line(clusters: list[_Cluster], strand: str, *, least_distance: int, most: int, compat: str = "clean", last_of_all: bool = True) -> list[_Cluster]:
-    """All four phases on the clusters of a strand, by position."""
+def merge_line(clusters: list[_Cluster], strand: str, *, least_distance: int, most: int, compat: str = "clean") -> list[_Cluster]:
+    """All four phases on the clusters of a strand, by position; ``merge_clusters`` gives the same by tiles."""
     clusters = resolve_internal_priming(clusters, strand, least_distance)
     clusters = merge_small(merge_same_signals(clusters, strand), most)
-    return merge_without_signals(clusters, most, compat=compat, last_of_all=last_of_all)
+    return merge_without_signals(clusters, most, compat=compat)
 
 
 CLUSTER = f"chr string, strand string, start1 bigint, end bigint, rep bigint, total_tpm double, pas {PAS}, is_ip_candidate boolean, tpm map<string,double>"
 
 
-def merge_clusters(clusters: DataFrame, *, least_distance: int = 15, most: int = 25, split_gap: int | None = 100, compat: str = "clean") -> DataFrame:
-    """Primary clusters merged; columns as of ``primary_clusters``.
+def _frame(rows: list, names: list[str]) -> pd.DataFrame:
+    """Rows (tuples, or clusters with more keys) as a result; each column keeps plain values, None among them."""
+    rows = [tuple(r[k] for k in names) if isinstance(r, dict) else r for r in rows]
+    return pd.DataFrame(rows, columns=names, dtype=object)
 
-    split_gap: representatives farther apart never touch each other, wider than the windows in which signals are looked for
-    and twice the widest cluster; None keeps a strand together, as does compat="reference", whose last cluster is that of all.
+
+def _line(pdf: pd.DataFrame, names: list[str]) -> list[_Cluster]:
+    """The rows by position, as clusters."""
+    out = []
+    for row in pdf.sort_values(["rep", "start1"])[names].to_dict("records"):
+        tpm = row["tpm"]
+        row["tpm"] = dict(tpm if isinstance(tpm, dict) else list(tpm))
+        row["pas"] = [dict(p) if isinstance(p, dict) else p.asDict() for p in row["pas"]]
+        out.append(_Cluster(row))
+    return out
+
+
+def _dealt(clusters: DataFrame, tile: int, halo: int) -> DataFrame:
+    """``clusters`` with _tile: that of the representative, and those whose halo it is in."""
+    tiles = [F.floor((F.col("rep") + by) / tile) for by in (0, -halo, halo)]
+    return clusters.withColumn("_tile", F.explode(F.array_distinct(F.array(*tiles))))
+
+
+#: How far a run goes that begins at a place of a line: the place behind it.  totals, starts, ends and marks are those of the line.
+Reach = Callable[[int, list[float], list[int], list[int], list[set[int]], str], int]
+
+
+def reach_same_signals(i: int, totals: list[float], starts: list[int], ends: list[int], marks: list[set[int]], strand: str) -> int:
+    """The place behind the run that ``merge_same_signals`` makes from i on."""
+    total, lead, j = totals[i], marks[i], i + 1
+    while j < len(totals):
+        up, down = (lead, marks[j]) if strand == "+" else (marks[j], lead)
+        if not (up and down and down <= up):
+            break
+        if total < totals[j]:
+            lead = marks[j]
+        total, j = total + totals[j], j + 1
+    return j
+
+
+def reach_small(i: int, totals: list[float], starts: list[int], ends: list[int], marks: list[set[int]], strand: str, *, most: int) -> int:
+    """The place behind the run that ``merge_small`` makes from i on."""
+    first, j = starts[i], i + 1
+    while j < len(starts) and ends[j] - first + 1 <= most:
+        first, j = min(first, starts[j]), j + 1
+    return j
+
+
+def _chained(clusters: DataFrame, reach: Reach, tile: int, halo: int, name: str) -> DataFrame:
+    """Neighbours merged from left to right, run by run, where ``reach`` says how far a run goes.
+
+    Where a run begins hangs on where the one before it ended, and so on to the beginning of the strand; but how far it goes
+    hangs on its first cluster alone.  So a tile is summed up as a function: for every cluster at which a run that comes from
+    the left may make the first run of the tile begin, where the first run behind the tile begins then.  The functions of a
+    strand, some rows for each tile, are put one into the other, which gives the place where each tile really begins; then the
+    tiles merge on their own.  A run's representatives lie within ``halo`` of its first one; a longer one is an error.
+    """
+    names = clusters.columns
+    clusters = stored(clusters, name)
+    light = clusters.select("chr", "strand", "rep", "start1", "end", "total_tpm", F.transform("pas", lambda p: p["abs"]).alias("marks"))
+
+    def summary(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        chr_, strand, t = key
+        low, high = int(t) * tile, (int(t) + 1) * tile
+        pdf = pdf.sort_values(["rep", "start1"])
+        reps, columns = pdf["rep"].tolist(), [pdf[c].tolist() for c in ("total_tpm", "start1", "end")]
+        marks = [set(m) for m in pdf["marks"]]
+        own = [i for i, r in enumerate(reps) if low <= r < high]
+        if not own:
+            return _frame([], ["chr", "strand", "_tile", "entry", "exit", "covered"])
+        behind = [reach(i, *columns, marks, strand) if r < high else 0 for i, r in enumerate(reps)]
+        entries = {own[0], *(j for i, j in enumerate(behind) if reps[i] < low and j < len(reps) and low <= reps[j] < high)}
+        to: dict[int, tuple[int | None, int]] = {}
+        for i in reversed(own):
+            j = behind[i]
+            to[i] = to[j] if j < len(reps) and reps[j] < high else (reps[j] if j < len(reps) else None, reps[j - 1])
+        rows = [(chr_, strand, t, reps[i], *to[i]) for i in sorted(entries)]
+        return _frame(rows, ["chr", "strand", "_tile", "entry", "exit", "covered"])
+
+    def composed(pdf: pd.DataFrame) -> pd.DataFrame:
+        begin, covered, out = None, None, []
+        for t, rows in pdf.sort_values(["_tile", "entry"]).groupby("_tile", sort=True):
+            ways = {int(e): (None if pd.isna(x) else int(x), int(c)) for e, x, c in zip(rows["entry"], rows["exit"], rows["covered"], strict=True)}
+            at = begin if begin is not None else next((e for e in ways if covered is None or e > covered), None)
+            if at is None:
+                continue
+            if at not in ways:
+                raise ValueError("clusters merge over more than the gap that parts them: a larger split_gap is needed")
+            out.append((rows["chr"].iloc[0], rows["strand"].iloc[0], t, at))
+            begin, covered = ways[at]
+        return _frame(out, ["chr", "strand", "_tile", "entry"])
+
+    def merged(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        strand, high = key[1], (int(key[2]) + 1) * tile
+        entry, line = int(pdf["entry"].iloc[0]), _line(pdf, names)
+        columns, marks, out = [[c[k] for c in line] for k in ("total_tpm", "start1", "end")], [c.marks for c in line], []
+        i = next(i for i, c in enumerate(line) if c["rep"] == entry)
+        while i < len(line) and line[i]["rep"] < high:
+            j = reach(i, *columns, marks, strand)
+            if line[j - 1]["rep"] - line[i]["rep"] > halo:
+                raise ValueError("clusters merge over more than the gap that parts them: a larger split_gap is needed")
+            out.append(functools.reduce(_merged, line[i:j]))
+            i = j
+        return _frame(out, names)
+
+    keys = ["chr", "strand", "_tile"]
+    ways = stored(_dealt(light, tile, halo).groupBy(*keys).applyInPandas(summary, "chr string, strand string, _tile bigint, entry bigint, exit bigint, covered bigint"), f"{name}-tiles")
+    begins = stored(ways.groupBy("chr", "strand").applyInPandas(composed, "chr string, strand string, _tile bigint, entry bigint"), f"{name}-begins")
+    return _dealt(clusters, tile, halo).join(begins, keys).groupBy(*keys).applyInPandas(merged, _schema(names))
+
+
+def _schema(names: list[str]) -> str:
+    return ", ".join(c for c in CLUSTER.split(", ") if c.split()[0] in names)
+
+
+def _with_place_from_end(clusters: DataFrame) -> DataFrame:
+    """``clusters`` with _from_end: 1 for the last of a strand, 2 for the one before, else 0."""
+    last = clusters.groupBy("chr", "strand").agg(F.max("rep").alias("_last"))
+    joined = clusters.join(last, ["chr", "strand"])
+    second = joined.where("rep < _last").groupBy("chr", "strand").agg(F.max("rep").alias("_second"))
+    place = F.when(F.col("rep") == F.col("_last"), 1).when(F.col("rep") == F.col("_second"), 2).otherwise(0)
+    return joined.join(second, ["chr", "strand"], "left").withColumn("_from_end", place).drop("_last", "_second")
+
+
+def merge_clusters(clusters: DataFrame, *, least_distance: int = 15, most: int = 25, split_gap: int = 100, compat: str = "clean", tile: int = PACK) -> DataFrame:
+    """Primary clusters merged in four phases; columns as of ``primary_clusters``.  The result is ``merge_line``'s of each strand.
+
+    A task works within a tile of positions, of which it sees ``split_gap`` more on both sides, however dense the clusters are.
+    split_gap: clusters whose representatives are farther apart have no signal in common and do not touch: wider than the
+    windows in which signals are looked for, and than twice the widest cluster and ``most``.  Runs that are longer are an error.
     """
     names = [c.split()[0] for c in CLUSTER.split(", ") if c.split()[0] in clusters.columns]
-    if split_gap is None or compat == "reference":
-        ready = clusters.withColumn("island", F.lit(0))
-    else:
-        ready = islands(stored(clusters, "primary-clusters"), split_gap, pos="rep")
-
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(_rows(pdf)), columns=names)
-
-    def _rows(pdf: pd.DataFrame) -> Iterator[dict]:
-        for (_, strand, _), part in pdf.sort_values(["chr", "strand", "island", "rep", "start1"]).groupby(["chr", "strand", "island"], sort=False):
-            line = []
-            for row in part[names].to_dict("records"):
-                tpm = row["tpm"]
-                row["tpm"] = dict(tpm if isinstance(tpm, dict) else list(tpm))
-                row["pas"] = [dict(p) if isinstance(p, dict) else p.asDict() for p in row["pas"]]
-                line.append(_Cluster(row))
-            yield from merge_line(line, strand, least_distance=least_distance, most=most, compat=compat)
-
-    return ready.withColumn("_g", F.floor(F.col("island") / PACK)).groupBy("chr", "strand", "_g").applyInPandas(lambda pdf: work(pdf), CLUSTER)
+    halo, tile = split_gap, max(tile, split_gap)
+    keys = ["chr", "strand", "_tile"]
+
+    def owned(key: tuple, line: list[_Cluster]) -> pd.DataFrame:
+        low = int(key[2]) * tile
+        return _frame([c for c in line if low <= c["rep"] < low + tile], names)
+
+    def resolved(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return owned(key, resolve_internal_priming(_line(pdf, names), key[1], least_distance))
+
+    def without_signals(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        low, line = int(key[2]) * tile, _line(pdf, [*names, "_from_end"])
+        runs = runs_without_signals(line, most, compat=compat)
+        out = []
+        for run in runs:
+            end = run[-1].pop("_from_end")
+            wide = run[-1]["end"] - run[0]["start1"] > 2 * most
+            if run[0].marks or not wide or end == 1:
+                if low <= run[0]["rep"] < low + tile:
+                    out.append(functools.reduce(_merged, run))
+            elif compat == "reference" and end == 2 and low <= run[-1]["rep"] < low + tile:
+                out.append(run[-1])
+        return _frame(out, names)
+
+    rows = clusters.select(*names)
+    rows = _dealt(rows, tile, halo).groupBy(*keys).applyInPandas(resolved, _schema(names))
+    rows = _chained(rows, reach_same_signals, tile, halo, "with-signals")
+    rows = stored(_chained(rows, functools.partial(reach_small, most=most), tile, halo, "small"), "merged-small")
+    rows = _with_place_from_end(rows) if compat == "reference" else rows.withColumn("_from_end", F.lit(0))
+    return _dealt(rows, tile, halo).groupBy(*keys).applyInPandas(without_signals, _schema(names))
 
 
 def cluster_statistics(clusters: DataFrame) -> DataFrame:

@@ -465,26 +465,71 @@ def _flat(rows):
 _PAS_TEXT = "case when rep % 4 <> 0 then 'AATAAA:' || (-20 + rep % 17) || ':' || (rep - 20 + rep % 17) || ',AATAAA:' || (-20 + rep % 5) || ':' || (rep - 20 + rep % 5) else '' end"
 
 
-@_query(
+_PRIMARY = (
     _TPM + ", backed as (select chr, strand, pos, count(*) as n_supported, round(sum(tpm) / 4, 9) as mean_tpm from t group by chr, strand, pos), " + _claimed("backed", "chr, strand", "n_supported desc, mean_tpm desc", 12)
     + ", m as (select c.*, sample, tpm, max(tpm) over (partition by c.chr, c.strand, seed, sample) as most from claimed c join t on t.chr = c.chr and t.strand = c.strand and t.pos = c.pos), "
     "v as (select chr, strand, seed, pos, count(*) as votes from m where tpm = most group by all), "
     "rep as (select chr, strand, seed, arg_max(pos, {'v': votes, 'd': case when strand = '-' then -pos else pos end}) as voted from v group by all), "
-    "per as (select chr, strand, seed, string_agg(sample || '=' || printf('%.6f', tpm), ',' order by sample) as tpm from (select chr, strand, seed, sample, round(sum(tpm), 6) as tpm from m group by all) group by all), "
+    "per_sample as (select chr, strand, seed, sample, round(sum(tpm), 6) as tpm from m group by all), "
+    "per as (select chr, strand, seed, string_agg(sample || '=' || printf('%.6f', tpm), ',' order by sample) as tpm from per_sample group by all), "
     "w as (select chr, strand, seed, min(pos) as start1, max(pos) as \"end\", round(sum(mean_tpm), 8) as total_tpm, bool_or(pos % 4 <> 0 and pos % 17 >= 14) as is_ip_candidate, arg_max(pos, case when strand = '-' then -pos else pos end) as last from claimed group by all), "
     "d as (select w.*, per.tpm, case when is_ip_candidate then last else voted end as rep from w join rep using (chr, strand, seed) join per using (chr, strand, seed)) "
-    "select chr, strand, start1, \"end\", rep, total_tpm, " + _PAS_TEXT + " as pas, is_ip_candidate, tpm from d"
 )
+
+
+@_query(_PRIMARY + "select chr, strand, start1, \"end\", rep, total_tpm, " + _PAS_TEXT + " as pas, is_ip_candidate, tpm from d")
 def greedy_clusters(spark, sf):
     return _flat(_primary(spark, sf))
 
 
-@_query()
+def _chain_sql(name: str, source: str, joins: str) -> str:
+    """Neighbours r (what has been merged) and b of a line, merged from left to right where ``joins``; the larger total leads."""
+    return (
+        f"{name}_n as (select chr, strand, rep, m, total, start1, \"end\", members, row_number() over (partition by chr, strand order by rep, start1) as n from {source}), "
+        f"{name}_r as (select chr, strand, n, n as g, rep, m, total, start1, \"end\", members, start1 as first_start, \"end\" as last_end from {name}_n where n = 1 union all "
+        f"select b.chr, b.strand, b.n, case when {joins} then r.g else b.n end, case when {joins} and r.total >= b.total then r.rep else b.rep end, case when {joins} and r.total >= b.total then r.m else b.m end, "
+        f"b.total + case when {joins} then r.total else 0 end, case when {joins} then least(r.start1, b.start1) else b.start1 end, case when {joins} then greatest(r.\"end\", b.\"end\") else b.\"end\" end, "
+        f"case when {joins} then list_concat(r.members, b.members) else b.members end, case when {joins} then r.first_start else b.start1 end, b.\"end\" "
+        f"from {name}_r r join {name}_n b on b.chr = r.chr and b.strand = r.strand and b.n = r.n + 1), "
+        f"{name} as (select * from {name}_r qualify n = max(n) over (partition by chr, strand, g)), "
+    )
+
+
+def _merging_sql(compat: bool) -> str:
+    """The four phases in DuckDB: the first as a join, the others as runs along a strand."""
+    seen = "not (b.n = (select max(x.n) from phase4_n x where x.chr = b.chr and x.strand = b.strand)) and " if compat else ""
+    ends = "max(n) over (partition by chr, strand) as last_n"
+    kept = "len(m) > 0 or last_end - first_start <= 50" + (" or n = last_n or n = last_n - 1" if compat else "")
+    # Of a last run that is too wide its last cluster stays as it was.
+    spared = "not (len(m) > 0 or last_end - first_start <= 50) and n = last_n - 1" if compat else "false"
+    return (
+        _PRIMARY.replace("with ", "with recursive ", 1)
+        + ", line as (select chr, strand, start1, \"end\", rep, total_tpm as total, is_ip_candidate as ip, [rep] as members, case when strand = '+' then 1 else -1 end as sign, "
+        "case when rep % 4 <> 0 then [rep - 20 + rep % 17, rep - 20 + rep % 5] else []::bigint[] end as m from d), "
+        "placed as (select *, row_number() over (partition by chr, strand order by sign * rep) as o from line), "
+        "followed as (select *, min(case when not ip then o end) over (partition by chr, strand order by o rows between 1 following and unbounded following) as k from placed), "
+        "judged as (select i.*, i.ip and k.o is not null and len(list_intersect(i.m, k.m)) > 0 and len(list_filter(k.m, lambda x: not list_contains(i.m, x) and (x - i.rep) * i.sign > 0)) = 0 as joins, "
+        "len(i.m) = 0 or abs(i.rep - case when i.sign = 1 then list_max(i.m) else list_min(i.m) end) >= 15 as stays from followed i left join placed k on k.chr = i.chr and k.strand = i.strand and k.o = i.k), "
+        "aims as (select *, case when joins then k else o end as target from judged where not ip or joins or stays), "
+        "phase1 as (select chr, strand, min(start1) as start1, max(\"end\") as \"end\", arg_min(rep, joins::int) as rep, sum(total) as total, arg_min(m, joins::int) as m, flatten(list(members)) as members from aims group by chr, strand, target), "
+        + _chain_sql("phase2", "phase1", "(len(r.m) > 0 and len(b.m) > 0 and case when r.strand = '+' then list_has_all(r.m, b.m) else list_has_all(b.m, r.m) end)")
+        + _chain_sql("phase3", "phase2", "(b.\"end\" - r.start1 + 1 <= 25)")
+        + _chain_sql("phase4", "phase3", f"({seen}len(r.m) = 0 and len(b.m) = 0 and b.start1 - r.last_end <= 12)")
+        + f"told as (select *, {ends} from phase4), out as (select chr, strand, case when {spared} then (select struct_pack(a := x.start1, b := x.\"end\", r := x.rep, t := x.total, w := x.members) from phase4_n x where x.chr = told.chr and x.strand = told.strand and x.n = told.n) "
+        f"else struct_pack(a := start1, b := \"end\", r := rep, t := total, w := members) end as c from told where {kept}), "
+        "final as (select chr, strand, c.a as start1, c.b as \"end\", c.r as rep, c.t as total, c.w as members from out), "
+        "sums as (select chr, strand, rep, string_agg(sample || '=' || printf('%.6f', tpm), ',' order by sample) as tpm from (select f.chr, f.strand, f.rep, sample, sum(p.tpm) as tpm "
+        "from (select chr, strand, rep, unnest(members) as member from final) f join d on d.chr = f.chr and d.strand = f.strand and d.rep = f.member join per_sample p on p.chr = d.chr and p.strand = d.strand and p.seed = d.seed group by all) group by chr, strand, rep) "
+        "select f.chr, f.strand, start1, \"end\", rep, round(total, 8) as total_tpm, " + _PAS_TEXT + " as pas, false as is_ip_candidate, sums.tpm from final f join sums using (chr, strand, rep)"
+    )
+
+
+@_query(_merging_sql(False))
 def merged_clusters(spark, sf):
     return _flat(_merged(spark, sf))
 
 
-@_query()
+@_query(_merging_sql(True))
 def merged_clusters_compat(spark, sf):
     return _flat(clusters.merge_clusters(_primary(spark, sf), compat="reference"))
 

@@ -79,19 +79,29 @@ def test_merging_phases():
     assert shape(clusters.merge_without_signals(runs[:2], 25, compat="reference")) == [(1, 10, 5, 1.0, False), (20, 30, 25, 3.0, False)]
 
 
-def test_merging_by_islands_is_merging_of_all(spark):
-    rng = random.Random(5)
-    rows, pos = [], 0
-    for _ in range(300):
-        pos += rng.choice([4, 9, 14, 30, 90, 160])
-        end = pos + rng.randint(0, 10)
-        rep = rng.randint(pos, end)
-        pas = [("AATAAA", -20, rep - 20 + rng.randint(-9, 9)) for _ in range(rng.randint(0, 2))]
-        rows.append(("c", rng.choice("+-"), pos, end, rep, float(rng.randint(1, 9)), pas, rng.random() < 0.3, {"S": 1.0}))
-        pos = end
-    df = spark.createDataFrame(rows, clusters.CLUSTER)
-    of = lambda d: sorted((r.strand, r.start1, r.end, r.rep, r.total_tpm, r.is_ip_candidate) for r in d.collect())
-    assert of(clusters.merge_clusters(df, split_gap=130)) == of(clusters.merge_clusters(df, split_gap=None))
+@pytest.mark.parametrize("compat", ["clean", "reference"])
+@pytest.mark.parametrize("steps", [(4, 9, 14, 30, 90, 160), (1, 2, 3, 5), (6, 12, 13)])
+def test_merging_by_tiles_is_merging_of_a_strand(spark, compat, steps):
+    """Sparse and dense strands, tiles that are crossed by runs, against all phases on a whole strand in order."""
+    rng = random.Random(len(steps))
+    rows, pos = [], {"+": 0, "-": 0}
+    for _ in range(500):
+        strand = rng.choice("+-")
+        start = pos[strand] + rng.choice(steps)
+        end = start + rng.randint(0, 6)
+        rep = rng.randint(start, end)
+        pas = [("AATAAA", -20, rep // 40 * 40 - 20 + rng.choice([0, 0, 7])) for _ in range(rng.choice([0, 0, 1, 2]))]
+        rows.append(("c", strand, start, end, rep, float(rng.randint(1, 9)), pas, rng.random() < 0.3, {rng.choice("ST"): 1.0}))
+        pos[strand] = end
+    names = [c.split()[0] for c in clusters.CLUSTER.split(", ")]
+    want = []
+    for strand in "+-":
+        line = [clusters._Cluster(zip(names, r, strict=True)) | {"pas": [dict(zip(("motif", "rel", "abs"), p, strict=True)) for p in r[6]]} for r in rows if r[1] == strand]
+        line = [clusters._Cluster(c) for c in sorted(line, key=lambda c: c["rep"])]
+        want += clusters.merge_line(line, strand, least_distance=15, most=25, compat=compat)
+    shown = lambda c: (c["strand"], c["start1"], c["end"], c["rep"], c["total_tpm"], c["is_ip_candidate"], sorted(c["tpm"].items()), len(c["pas"]))
+    got = clusters.merge_clusters(spark.createDataFrame(rows, clusters.CLUSTER), split_gap=130, compat=compat, tile=200).collect()
+    assert sorted(map(shown, got)) == sorted(map(shown, want)) and len(want) > 10
 
 
 def test_overlap_join_is_naive_join(spark):
