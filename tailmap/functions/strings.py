@@ -1,6 +1,7 @@
 """Functions over alignment strings and adapters that built-in expressions cannot express, as Arrow UDFs over whole batches.
 
-Each wraps a small function of one value; null arguments give null.
+Those on alignment strings wrap a small function of one value; adapters are aligned in arrays over a batch.  Null arguments give
+null.
 """
 
 from __future__ import annotations
@@ -8,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -109,52 +111,134 @@ def reverse_md(md: Column) -> Column:
     return _udf(reversed_md, "string", md)
 
 
-def _best_3p(seq: str, adapter: str, error_rate: float, overlap: int) -> tuple[int, int] | None:
-    """Matches and beginning of the adapter: anywhere in the sequence, or cut off by its end; substitutions only; most matches, then leftmost."""
-    best = None
-    for at in range(len(seq) - overlap + 1):
-        n = min(len(adapter), len(seq) - at)
-        if best is not None and n <= best[0]:
-            break
-        wrong = sum(a != b and a != "N" for a, b in zip(adapter[:n], seq[at : at + n], strict=True))
-        if wrong <= int(error_rate * n) and (best is None or n - wrong > best[0]):
-            best = (n - wrong, at)
-    return best
+#: A cell of the alignment table is one number: its cost, its matches (20 bits) and where the stretch of the read begins (20 bits).
+_COST, _MATCH = 40, 20
+#: Cells of the table that are kept at a time.
+_CELLS = 1 << 22
 
 
-def trimmed_3p(seq: str, adapter: str, error_rate: float = 0.1, overlap: int = 3) -> str:
-    """The sequence before a 3' adapter, or all of it."""
-    best = _best_3p(seq, adapter, error_rate, overlap)
-    return seq if best is None else seq[: best[1]]
+def adapter_places(seqs: list[str], adapter: str, error_rate: float, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each sequence the matches of the best place of a 3' adapter (-1: none) and where it begins.
 
+    The adapter, or what of it is before the sequence's end, is aligned to a stretch of the sequence with substitutions,
+    insertions and deletions, one for every whole 1 / ``error_rate`` letters of the adapter's part at most; N in the adapter is
+    any letter.  The most matches count, then the fewest errors, then the stretch that ends first.  Where letters are equal they
+    are aligned; else a substitution is preferred to a letter of the adapter that is left out, and that to one of the sequence.
 
-def trimmed_5p(seq: str, adapter: str, error_rate: float = 0.1, overlap: int = 3) -> str:
-    """The sequence after a 5' adapter, which may be cut off by the start."""
-    best = _best_3p(seq[::-1], adapter[::-1], error_rate, overlap)
-    return seq if best is None else seq[len(seq) - best[1] :]
+    All sequences go through the table together, column by column; those that have ended, as the longest come first, drop out.
+    """
+    matches, begins = np.full(len(seqs), -1, dtype=np.int64), np.zeros(len(seqs), dtype=np.int64)
+    if not adapter:
+        return matches, begins
+    lengths = np.array([len(s) for s in seqs], dtype=np.int64)
+    longest_first = np.argsort(-lengths, kind="stable")
+    at = 0
+    while at < len(seqs):
+        width = max(1, int(lengths[longest_first[at]]))
+        if width >= 1 << _MATCH:
+            raise ValueError("a read is longer than a million letters")
+        part = longest_first[at : at + max(1, _CELLS // width)]
+        matches[part], begins[part] = _places([seqs[i] for i in part], lengths[part], adapter, error_rate, overlap)
+        at += len(part)
+    return matches, begins
+
+
+def _places(seqs: list[str], lengths: np.ndarray, adapter: str, error_rate: float, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """``adapter_places`` of sequences by falling length."""
+    m, n, width = len(adapter), len(seqs), int(lengths[0])
+    letters = np.frombuffer("".join(s.ljust(width, "\0") for s in seqs).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(n, width).T
+    allowed = [int(error_rate * i) for i in range(m + 1)]
+    cells = [np.full(n, i << _COST, dtype=np.int64) for i in range(m + 1)]
+    best, begins = np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    ended = np.searchsorted(-lengths, -np.arange(width + 1), side="left")  # how many are longer than so many letters
+
+    def offer(cell: np.ndarray, i: int, lo: int, hi: int) -> None:
+        """Take this cell of the sequences from lo to hi where it is better than what they have."""
+        cost = cell >> _COST
+        score = np.where(cost <= allowed[i], (((cell >> _MATCH) & ((1 << _MATCH) - 1)) << _MATCH) + m - cost, -1)
+        better = score > best[lo:hi]
+        best[lo:hi][better] = score[better]
+        begins[lo:hi][better] = (cell & ((1 << _MATCH) - 1))[better]
+
+    for j in range(width):
+        live = int(ended[j])
+        x, diagonal = letters[j, :live], cells[0][:live]
+        cells[0] = above = np.full(live, j + 1, dtype=np.int64)
+        for i, c in enumerate(adapter, 1):
+            left = cells[i][:live]
+            by_d, by_a, by_l = diagonal >> _COST, above >> _COST, left >> _COST
+            other = np.where((by_d <= by_a) & (by_d <= by_l), diagonal, np.where(by_a <= by_l, above, left)) + (1 << _COST)
+            above = (diagonal if c == "N" else np.where(x == ord(c), diagonal, other - (1 << _MATCH))) + (1 << _MATCH)
+            diagonal, cells[i] = left, above
+        if m >= overlap:
+            offer(above, m, 0, live)
+        still = int(ended[j + 1])
+        for i in range(overlap, m + 1):
+            if still < live:
+                offer(cells[i][still:live], i, still, live)
+    return np.where(best < 0, -1, best >> _MATCH), begins
+
+
+def _by_adapter(seqs: list[str], adapters: list[str], error_rate: float, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """``adapter_places`` of sequences that each have an adapter of their own; there are few different ones."""
+    matches, begins, rows = np.full(len(seqs), -1, dtype=np.int64), np.zeros(len(seqs), dtype=np.int64), {}
+    for k, a in enumerate(adapters):
+        rows.setdefault(a, []).append(k)
+    for a, places in rows.items():
+        matches[places], begins[places] = adapter_places([seqs[k] for k in places], a, error_rate, overlap)
+    return matches, begins
+
+
+def _backwards(texts: list[str]) -> list[str]:
+    return [t[::-1] for t in texts]
+
+
+def trimmed_3p(seqs: list[str], adapters: list[str], error_rate: float = 0.1, overlap: int = 3) -> list[str]:
+    """Each sequence before its 3' adapter, or all of it."""
+    matches, begins = _by_adapter(seqs, adapters, error_rate, overlap)
+    return [s if m < 0 else s[:b] for s, m, b in zip(seqs, matches.tolist(), begins.tolist(), strict=True)]
+
+
+def trimmed_5p(seqs: list[str], adapters: list[str], error_rate: float = 0.1, overlap: int = 3) -> list[str]:
+    """Each sequence after its 5' adapter, which may be cut off by the start."""
+    return _backwards(trimmed_3p(_backwards(seqs), _backwards(adapters), error_rate, overlap))
+
+
+def trimmed_best(seqs: list[str], threes: list[str], fives: list[str], error_rate: float = 0.1, overlap: int = 3) -> list[str]:
+    """Each without that one of two adapters which matches more, the 3' one of equals."""
+    right, cut = _by_adapter(seqs, threes, error_rate, overlap)
+    left, kept = _by_adapter(_backwards(seqs), _backwards(fives), error_rate, overlap)
+    found = zip(seqs, right.tolist(), cut.tolist(), left.tolist(), kept.tolist(), strict=True)
+    return [s[len(s) - k :] if f > t else s if t < 0 else s[:c] for s, t, c, f, k in found]
+
+
+def _batch_udf(trim: Callable[..., list[str]], *columns: Column | str, **options: float) -> Column:
+    """``trim`` of whole batches; rows with a null go round it."""
 
+    def rows(*arrays: pa.Array) -> pa.Array:
+        values = [a.to_pylist() for a in arrays]
+        whole = [k for k, r in enumerate(zip(*values, strict=True)) if None not in r]
+        out: list[str | None] = [None] * len(arrays[0])
+        for k, kept in zip(whole, trim(*[[v[k] for k in whole] for v in values], **options), strict=True):
+            out[k] = kept
+        return pa.array(out, pa.string())
 
-def trimmed_best(seq: str, three: str, five: str, error_rate: float = 0.1, overlap: int = 3) -> str:
-    """Without that one of two adapters which matches more, the 3' one of equals."""
-    right, left = _best_3p(seq, three, error_rate, overlap), _best_3p(seq[::-1], five[::-1], error_rate, overlap)
-    if left is not None and (right is None or left[0] > right[0]):
-        return seq[len(seq) - left[1] :]
-    return seq if right is None else seq[: right[1]]
+    return F.arrow_udf(rows, "string")(*[F.lit(c) if isinstance(c, str) else c for c in columns])
 
 
-def trim_adapters(seq: Column, three: str, five: str, *, error_rate: float = 0.1, overlap: int = 3) -> Column:
+def trim_adapters(seq: Column, three: Column | str, five: Column | str, *, error_rate: float = 0.1, overlap: int = 3) -> Column:
     """``trimmed_best`` of every row."""
-    return _udf(lambda s: trimmed_best(s, three, five, error_rate, overlap), "string", seq)
+    return _batch_udf(trimmed_best, seq, three, five, error_rate=error_rate, overlap=overlap)
 
 
 def trim_adapter_3p(seq: Column, adapter: Column | str, *, error_rate: float = 0.1, overlap: int = 3) -> Column:
     """``trimmed_3p`` of every row."""
-    return _udf(lambda s, a: trimmed_3p(s, a, error_rate, overlap), "string", seq, F.lit(adapter) if isinstance(adapter, str) else adapter)
+    return _batch_udf(trimmed_3p, seq, adapter, error_rate=error_rate, overlap=overlap)
 
 
 def trim_adapter_5p(seq: Column, adapter: Column | str, *, error_rate: float = 0.1, overlap: int = 3) -> Column:
     """``trimmed_5p`` of every row."""
-    return _udf(lambda s, a: trimmed_5p(s, a, error_rate, overlap), "string", seq, F.lit(adapter) if isinstance(adapter, str) else adapter)
+    return _batch_udf(trimmed_5p, seq, adapter, error_rate=error_rate, overlap=overlap)
 
 
 def trim_polya(seq: Column, *, length: int = 14, error_rate: float = 0.1) -> Column:

@@ -236,26 +236,34 @@ def mmid(spark, sf):
     return rows.select("read_id", X.mmid(F.lit("2S10M1I7M2D8M2S"), F.lit("5A11^CG3T4"), F.col("seq")).alias("mmid"))
 
 
-def _place_sql(seq: str, adapter: str, overlap: int) -> str:
-    """Of the best place of an adapter without N: its matches times a million, less the letters before it."""
-    n = f"least({len(adapter)}, length({seq}) - k)"
-    wrong = f"hamming(left('{adapter}', {n}), substr({seq}, k + 1, {n}))"
-    return f"list_max(list_transform(range(0, length({seq}) - {overlap} + 1), lambda k: case when {wrong} <= floor(0.1 * {n}) then ({n} - {wrong}) * 1000000 - k end))"
-
-
-def _kept_sql(side: str, place: str) -> str:
-    """The letters that a place leaves on the left or right; all without a place."""
-    return f"case when {place} is null then seq else {side}(seq, (({place} + 999999) // 1000000 * 1000000 - {place})::bigint) end"
+def _table_sql(name: str, seq: str, adapter: str, rate: float, overlap: int) -> str:
+    """DuckDB's alignment table, a step for each letter of the read; cells are cost * 10^12 + matches * 10^6 + begin.
+
+    The best place so far is (matches * 1000 + 999 - cost) * 10^6 + begin; of equal ones the first stays.
+    """
+    m, cost = len(adapter), lambda x: f"({x} // 1000000000000)"
+    d, a, l = "r.cells[x[1]]", "acc[len(acc)]", "r.cells[x[1] + 1]"
+    other = f"case when {cost(d)} <= {cost(a)} and {cost(d)} <= {cost(l)} then {d} when {cost(a)} <= {cost(l)} then {a} else {l} end + 1000000000000"
+    places = str([[i] for i in range(1, m + 1)]) + "::bigint[][]"
+    column = f"list_reduce({places}, lambda acc, x: list_append(acc, case when substr('{adapter}', x[1]::int, 1) = substr(r.seq, r.j + 1, 1) then {d} + 1000000 else {other} end), [r.j + 1])"
+    score = f"(cells[x[1] + 1] // 1000000 % 1000000 * 1000 + 999 - {cost('cells[x[1] + 1]')})"
+    better = f"{cost('cells[x[1] + 1]')} <= floor({rate} * x[1] + 1e-9) and {score} > acc[1] // 1000000 and (x[2] = 1 or j = length(seq))"
+    offered = str([[m, 1]] * (m >= overlap) + [[i, 0] for i in range(overlap, m + 1)]) + "::bigint[][]"
+    best = f"list_reduce({offered}, lambda acc, x: case when {better} then [{score} * 1000000 + cells[x[1] + 1] % 1000000] else acc end, [best])[1]"
+    return (
+        f"{name}_r as (select read_id, {seq} as seq, 0::bigint as j, -1::bigint as best, list_transform(range(0, {m + 1}), lambda i: i * 1000000000000) as cells from reads union all "
+        f"select read_id, seq, j, {best}, cells from (select r.read_id, r.seq, r.j + 1 as j, r.best, {column} as cells from {name}_r r where r.j < length(r.seq))), "
+        f"{name} as (select read_id, seq, case when best < 0 then length(seq) else best % 1000000 end as kept from {name}_r where j = coalesce(length(seq), 0))"
+    )
 
 
 @_query(
-    sql_of("reads")
-    + f", placed as (select read_id, seq, {_place_sql('seq', 'AGATCG', 3)} as p3, {_place_sql('back', 'GATTC'[::-1], 3)} as p5, {_place_sql('seq', 'A' * 14, 1)} as pa from (select *, reverse(seq) as back from reads)) "
-    + f"select read_id, {_kept_sql('left', 'p3')} as trimmed, {_kept_sql('right', 'p5')} as trimmed_5p, {_kept_sql('left', 'pa')} as tail_free from placed"
+    sql_of("reads").replace("with ", "with recursive ", 1) + ", " + ", ".join([_table_sql("p3", "seq", "AGATCGGA", 0.3, 3), _table_sql("p5", "reverse(seq)", "GATTCCA"[::-1], 0.3, 3), _table_sql("pa", "seq", "A" * 14, 0.1, 1)])
+    + " select read_id, left(p3.seq, p3.kept) as trimmed, right(reverse(p5.seq), p5.kept) as trimmed_5p, left(pa.seq, pa.kept) as tail_free from p3 join p5 using (read_id) join pa using (read_id)"
 )
 def adapter_trim(spark, sf):
     seq = F.col("seq")
-    return view(spark, sf, "reads").select("read_id", X.trim_adapter_3p(seq, "AGATCG").alias("trimmed"), X.trim_adapter_5p(seq, "GATTC").alias("trimmed_5p"), X.trim_polya(seq).alias("tail_free"))
+    return view(spark, sf, "reads").select("read_id", X.trim_adapter_3p(seq, "AGATCGGA", error_rate=0.3).alias("trimmed"), X.trim_adapter_5p(seq, "GATTCCA", error_rate=0.3).alias("trimmed_5p"), X.trim_polya(seq).alias("tail_free"))
 
 
 _SAM = sql_of("hits") + ", sam as (select *, 10 + nm * 5 as n from hits) "

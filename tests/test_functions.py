@@ -1,5 +1,7 @@
 """Functions on hand-made values."""
 
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -91,8 +93,46 @@ def test_introns_keep_the_rest(steps, data):
 
 
 def test_adapters():
-    assert X.trimmed_3p("ACGTACGTTTAGATCGG", "AGATCGGAAG") == "ACGTACGTTT"
-    assert X.trimmed_3p("ACGTACGT", "TTTTTT") == "ACGTACGT"
-    assert X.trimmed_3p("ACGTAGATCGGTAGCCC", "AGATCGGAAGCC", 0.1) == "ACGT"
-    assert X.trimmed_5p("TTTACGTCC", "GGTTT") == "ACGTCC"
-    assert X.trimmed_3p("", "ACG") == ""
+    cut = lambda trim, seq, *adapters, **k: trim([seq], *[[a] for a in adapters], **k)[0]
+    assert cut(X.trimmed_3p, "ACGTACGTTTAGATCGG", "AGATCGGAAG") == "ACGTACGTTT"
+    assert cut(X.trimmed_3p, "ACGTACGT", "TTTTTT") == "ACGTACGT"
+    assert cut(X.trimmed_3p, "ACGTAGATCGGTAGCCC", "AGATCGGAAGCC", error_rate=0.1) == "ACGT"
+    assert cut(X.trimmed_5p, "TTTACGTCC", "GGTTT") == "ACGTCC"
+    assert cut(X.trimmed_3p, "", "ACG") == ""
+    # A letter too few and one too many in the read.
+    assert cut(X.trimmed_3p, "ACGTTTAGATGGAAGCCTT", "AGATCGGAAGCC") == "ACGTTT"
+    assert cut(X.trimmed_3p, "ACGTTTAGATCCGGAAGCCTT", "AGATCGGAAGCC") == "ACGTTT"
+
+
+def plain_place(seq, adapter, rate, overlap):
+    """The alignment table of one sequence, cell by cell, as (cost, matches, begin)."""
+    m, best = len(adapter), None
+    column = [(i, 0, 0) for i in range(m + 1)]
+    for j, x in enumerate(seq):
+        new = [(0, 0, j + 1)]
+        for i, c in enumerate(adapter, 1):
+            d, a, l = column[i - 1], new[i - 1], column[i]
+            if c in (x, "N"):
+                new.append((d[0], d[1] + 1, d[2]))
+            else:
+                one = d if d[0] <= min(a[0], l[0]) else a if a[0] <= l[0] else l
+                new.append((one[0] + 1, *one[1:]))
+        column = new
+        for i in [m] * (m >= overlap) + (list(range(overlap, m + 1)) if j == len(seq) - 1 else []):
+            cost, matches, begin = column[i]
+            if cost <= int(rate * i) and (best is None or (matches, -cost) > best[0]):
+                best = (matches, -cost), begin
+    return (-1, 0) if best is None else (best[0][0], best[1])
+
+
+def test_adapters_by_a_plain_table():
+    rng = random.Random(7)
+    for adapter, rate, overlap in (("AGATCGGAAGAGC", 0.1, 3), ("ACNTNNGA", 0.3, 1), ("A" * 14, 0.1, 1), ("ACG", 0.5, 4), ("", 0.1, 3)):
+        seqs = ["", "A", "N" * 9, "é" * 5]
+        for _ in range(300):
+            inside = [c for c in adapter.replace("N", "T") for c in rng.choice([c, c, c, c, c, c, "", c + rng.choice("ACGT"), rng.choice("ACGT")])]
+            seqs.append("".join([*rng.choices("ACGT", k=rng.randint(0, 30)), *inside[: rng.choice([len(inside), rng.randint(0, 14)])], *rng.choices("ACGT", k=rng.choice([0, 0, 5]))]))
+        matches, begins = X.adapter_places(seqs, adapter, rate, overlap)
+        for k, s in enumerate(seqs):
+            want = plain_place(s, adapter, rate, overlap)
+            assert (int(matches[k]), int(begins[k]) if matches[k] >= 0 else 0) == want, (s, adapter)

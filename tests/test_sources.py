@@ -64,8 +64,7 @@ def test_documents(spark):
 
 def test_better_of_two_adapters(spark):
     three, five = "AGATCGGA", "CCTTGA"
-    assert X.trimmed_best("TTTT" + three, three, five) == "TTTT" and X.trimmed_best(five + "TTTT", three, five) == "TTTT"
-    assert X.trimmed_best(five + "TTTT" + three, three, five) == five + "TTTT"
+    assert X.trimmed_best(["TTTT" + three, five + "TTTT", five + "TTTT" + three], [three] * 3, [five] * 3) == ["TTTT", "TTTT", five + "TTTT"]
     reads_ = spark.createDataFrame([(1, five + "ACGTACGTACGTACGTACGT")], "read_id long, seq string")
     assert protocols.trim_reads(reads_, protocols.Sample("A-seq", five, three)).first().seq == "ACGTACGTACGTACGTACGT"
     assert reads.id_list(reads_).count() == 1
