@@ -132,13 +132,15 @@ def polya_signals(seq: Column, position: Column, strand: Column, motifs: Sequenc
         words = F.transform(places, lambda i: F.struct(i.alias("i"), F.upper(F.substring(seq, i + 1, F.lit(size))).alias("motif")))
         return F.filter(words, lambda w: F.array_contains(wanted, w["motif"]))
 
-    found = F.array_sort(F.concat(*[of(s) for s in sizes]))
+    found = F.array_sort(F.concat(*[of(s) for s in sizes])) if sizes else F.array()
     rel = lambda i: F.when(i < site, i - site).otherwise(i - site + 1)
     shift = lambda i: (i - upstream).cast("long")
     each = lambda w: F.struct(
         w["motif"].alias("motif"), rel(w["i"]).cast("int").alias("rel"), F.when(strand == "+", position + shift(w["i"])).otherwise(position - shift(w["i"])).cast("long").alias("abs")
     )
-    return F.coalesce(F.transform(found, each), F.array().cast("array<struct<motif:string,rel:int,abs:bigint>>"))
+    # Most windows hold no motif: one look with all motifs spares them the places.
+    any_ = F.upper(seq).rlike("|".join(m.upper() for m in motifs)) if motifs else F.lit(False)
+    return F.coalesce(F.when(any_, F.transform(found, each)), F.array().cast("array<struct<motif:string,rel:int,abs:bigint>>"))
 
 
 def gtf_attribute(attributes: Column, key: str) -> Column:

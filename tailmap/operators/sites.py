@@ -109,9 +109,14 @@ def mark_internal_priming(sites_with_flank: DataFrame, **options: object) -> Dat
 
 
 def chunked(genome: DataFrame, *, size: int = 65_536, overlap: int = 256) -> DataFrame:
-    """chr, chunk, part of a genome (chr, seq): pieces of ``size`` letters and the ``overlap`` letters that follow."""
-    chunks = genome.select("chr", "seq", F.length("seq").alias("n"), F.explode(F.sequence(F.lit(0), ((F.length("seq") - 1) / size).cast("int"))).alias("chunk")).where("n > 0")
-    return chunks.select("chr", "chunk", F.substring("seq", F.col("chunk") * size + 1, F.lit(size + overlap)).alias("part"))
+    """chr, chunk, part of a genome (chr, seq): pieces of ``size`` letters and the ``overlap`` letters that follow.
+
+    A sequence is one value here; ``read_genome`` gives the same rows straight from files.
+    """
+    last = F.when(F.length("seq") > 0, ((F.length("seq") - 1) / size).cast("int"))
+    # The pieces are cut before they are unfolded, so that a sequence is not carried along for each of them.
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(k.alias("chunk"), F.substring("seq", k * size + 1, F.lit(size + overlap)).alias("part")))
+    return genome.select("chr", F.explode(pieces).alias("piece")).select("chr", "piece.chunk", "piece.part")
 
 
 def fetch_windows(rows: DataFrame, chunks: DataFrame, start: Column, end: Column, *, out: str = "flank", size: int = 65_536, overlap: int = 256) -> DataFrame:

@@ -58,36 +58,69 @@ def read_sheet_documents(spark: SparkSession, path: str, organism: str) -> DataF
     return rows.select(*[F.col(a).alias(b) for a, b in names.items()])
 
 
+def _setting(text: str, where: str) -> object:
+    """A plain value: quoted or bare text, a number, true, false or nothing."""
+    text = text.strip()
+    if text[:1] in ("'", '"') and text[-1:] == text[:1] and len(text) > 1:
+        return text[1:-1]
+    known = {"": None, "null": None, "~": None, "true": True, "false": False, "[]": [], "{}": {}}
+    if text.lower() in known:
+        return known[text.lower()]
+    if text[0] in "[{&*!|>%@`'\"":
+        raise ValueError(f"{where}: only plain values, lists and maps by indentation are read: {text}")
+    for kind in (int, float):
+        try:
+            return kind(text)
+        except ValueError:
+            pass
+    return text
+
+
 def read_settings(path: str) -> dict[str, object]:
-    """A settings file of ``key: value`` lines: text, numbers, true and false, nothing, and lists of ``- item`` lines below."""
-
-    def value(text: str) -> object:
-        text = text.strip()
-        if text[:1] in ("'", '"') and text[-1:] == text[:1] and len(text) > 1:
-            return text[1:-1]
-        known = {"": None, "null": None, "~": None, "true": True, "false": False, "[]": []}
-        if text.lower() in known:
-            return known[text.lower()]
-        for kind in (int, float):
-            try:
-                return kind(text)
-            except ValueError:
-                pass
-        return text
-
-    out: dict[str, object] = {}
-    last = None
-    with open(path, encoding="utf-8") as lines:
-        for line in lines:
-            line = re.sub(r"(^|\s)#.*", "", line.rstrip("\n"))
-            if line.lstrip().startswith("- ") and last is not None:
-                if not isinstance(out[last], list):
-                    out[last] = []
-                out[last].append(value(line.lstrip()[2:]))
-            elif ":" in line and not line[:1].isspace():
-                last, text = line.split(":", 1)
-                last = last.strip()
-                out[last] = value(text)
+    """A settings file: maps of ``key: value`` lines and lists of ``- item`` lines, nested by indentation; keys are text.
+
+    A list may stand as far left as its key.  What this reader does not know, such as maps in lists, is an error with its line.
+    """
+    with open(path, encoding="utf-8") as file:
+        lines = [(k, re.sub(r"(^|\s)#.*", "", x.rstrip("\n")).rstrip()) for k, x in enumerate(file, 1)]
+    lines = [(k, len(x) - len(x.lstrip()), x.lstrip()) for k, x in lines if x.strip() and x not in ("---", "...")]
+
+    def is_item(text: str) -> bool:
+        return text == "-" or text.startswith("- ")
+
+    def block(at: int, indent: int) -> tuple[object, int]:
+        """The map or list whose lines begin at ``indent``, and the place behind it."""
+        out: dict[str, object] | list[object] = [] if is_item(lines[at][2]) else {}
+        while at < len(lines) and lines[at][1] == indent and is_item(lines[at][2]) == isinstance(out, list):
+            number, _, text = lines[at]
+            where = f"{path}:{number}"
+            if isinstance(out, list):
+                if re.match(r"[^'\"]*:(\s|$)", text[1:]) or is_item(text[1:].strip()):
+                    raise ValueError(f"{where}: maps and lists in lists are not read: {text}")
+                out.append(_setting(text[1:], where))
+                at += 1
+                continue
+            found = re.match(r"""("[^"]*"|'[^']*'|[^:]+?)\s*:(?:\s+(.*))?$""", text)
+            if not found:
+                raise ValueError(f"{where}: neither a key nor an item: {text}")
+            key = str(_setting(found[1], where)) if found[1][0] in "'\"" else found[1]
+            if key in out:
+                raise ValueError(f"{where}: {key} stands twice")
+            at += 1
+            below = lines[at] if at < len(lines) else None
+            if not found[2] and below and (below[1] > indent or (below[1] == indent and is_item(below[2]))):
+                out[key], at = block(at, below[1])
+            else:
+                out[key] = _setting(found[2] or "", where)
+        if at < len(lines) and lines[at][1] > indent:
+            raise ValueError(f"{path}:{lines[at][0]}: this line stands too far right: {lines[at][2]}")
+        return out, at
+
+    if not lines:
+        return {}
+    out, at = block(0, lines[0][1])
+    if at < len(lines) or not isinstance(out, dict):
+        raise ValueError(f"{path}:{lines[min(at, len(lines) - 1)][0]}: this line belongs to no map")
     return out
 
 

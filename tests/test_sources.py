@@ -34,6 +34,29 @@ def test_settings(tmp_path):
     assert text.read_settings(str(tmp_path / "s.yaml")) == {"a.b": 0.1, "n": 12, "name": "x: y", "empty": None, "list": ["AATAAA", 3], "flag": True}
 
 
+def test_settings_with_maps(spark, tmp_path):
+    from tailmap.plans import pipeline
+
+    path = tmp_path / "s.yaml"
+    path.write_text("---\nexcluded_chr:\n- MT\n- 7\nchromosome_names:\n  1: chr1\n  X: 'chrX'  # sex\n  deep:\n    - a\nIP.total_As: 5\nCL.upstream_clustering: 9\nCL.downstream_clustering: 9\nsample.BG_polyAsignal_cutoff: 80\nurl: \"http://x.org: 1\"\nnone:\n...\n")
+    config = text.read_settings(str(path))
+    assert config["chromosome_names"] == {"1": "chr1", "X": "chrX", "deep": ["a"]} and config["url"] == "http://x.org: 1" and config["none"] is None
+    settings = pipeline.settings_of(config)
+    assert (settings.excluded, settings.ip_total, settings.cluster_window, settings.cutoff, settings.mini_window) == (("MT", "7"), 5, 9, 80.0, 25)
+    del config["chromosome_names"]["deep"]
+    atlas = spark.createDataFrame([("k1", "1", "+", 11, 12, {"S": 2.0}), ("k2", "9", "+", 1, 2, {"S": 1.0})], "cluster_id string, chr string, strand string, start1 long, end long, tpm map<string,double>")
+    assert [(r.chr, r.start0, r.end) for r in pipeline.atlas_tracks(atlas, config).collect()] == [("chr1", 10, 12)]
+    with pytest.raises(ValueError, match="chromosome_names"):
+        pipeline.chromosome_names(spark, {})
+    for bad, what in (("a:\n  - b: c\n", "maps and lists"), ("a: [1, 2]\n", "plain values"), ("a\n", "neither"), ("a: 1\n  b: 2\n", "too far right"), ("a: 1\na: 2\n", "twice"), ("- a\n", "no map")):
+        path.write_text(bad)
+        with pytest.raises(ValueError, match=what):
+            text.read_settings(str(path))
+    for bad in ({"min_3p_align": -1}, {"ds_range": 1.5}, {"sample.BG_polyAsignal_cutoff": 101}, {"polyA_signals": [{"a": 1}]}, {"CL.upstream_clustering": 1, "CL.downstream_clustering": 2}):
+        with pytest.raises(ValueError):
+            pipeline.settings_of(bad)
+
+
 def test_runs_and_split_files(spark, tmp_path):
     for name, seq in (("r1", "ACGT"), ("r2", "GGG"), ("r3", "TT")):
         (tmp_path / f"{name}.fastq").write_text(f"@a\n{seq}\n+\nIIII\n" * 3)
