@@ -221,7 +221,31 @@ def exclude_chr(spark, sf):
     return sites.exclude_chromosomes(_bed(spark, sf), view(spark, sf, "samples"), excluded=("chr0",), female="chr1")
 
 
-@_query()
+_LIFT = (
+    sql_of("hits", "exons")
+    + ", model as (select *, row_number() over w as n, end_ - start0 as length, sum(end_ - start0) over (w rows unbounded preceding)::bigint as cum, case when strand = '-' then lag(start0) over w - end_ else start0 - lag(end_) over w end as intron "
+    "from exons window w as (partition by transcript_id order by case when strand = '-' then -start0 else start0 end)), "
+    "t as (select transcript_id, min(chr) as t_chr, min(strand) as t_strand, list(struct_pack(s := start0, e := end_, l := length, c := cum, i := intron) order by n) as ex from model group by transcript_id), "
+    "h as (select qname, flag, 't' || pos as rname, qname % 150 + 1 as pos, nm, '5A14' as md, seq, 'I' as qual, nm * 40 + 20 as len from hits), "
+    "o as (select *, pos + len - 1 as t_end, list_transform(list_filter(ex, lambda x: x.c >= pos and x.c - x.l < pos + len - 1), lambda x: struct_pack(o := least(x.c, pos + len - 1) - greatest(x.c - x.l + 1, pos) + 1, i := x.i, e := x.e, c := x.c, l := x.l)) as ov from h left join t on transcript_id = rname), "
+    "j as (select *, coalesce(len(ov), 0) as n, t_chr is null or len(ov) < 1 or ov[len(ov)].c < t_end as outside from o), "
+    "st as (select *, case when flag & 16 <> 0 then 'reverse_complemented' when t_chr is null then 'not_found' when len(ex) = 1 or (n = 1 and not outside) then 'no_junction' when n > 1 and ov[1].o < 1 then 'below_min_overlap' when outside then 'not_found' when n > 1 and ov[n].o < 1 then 'below_min_overlap' else 'lifted' end as status from j), "
+    "f as (select *, status = 'lifted' as ok, status = 'lifted' and t_strand = '-' as turned  from st) "
+)
+
+
+def _spliced_sql() -> str:
+    """The stretches and the gaps before them, in the order of the genome."""
+    forward = "array_to_string(list_transform(ov, lambda x, k: case when k > 1 then x.i || 'N' || x.o || 'M' else x.o || 'M' end), '')"
+    back = "array_to_string(list_reverse(list_transform(ov, lambda x, k: case when k > 1 then x.o || 'M' || x.i || 'N' else x.o || 'M' end)), '')"
+    return f"case when not ok then len || 'M' when t_strand = '-' then {back} else {forward} end"
+
+
+@_query(
+    _LIFT + f"select qname, case when turned then case when flag = 0 then 16 else 0 end else flag end as flag, case when ok then t_chr else rname end as rname, "
+    "(case when turned then ov[n].e - (t_end - (ov[n].c - ov[n].l)) + 1 when ok then ov[1].e - (ov[1].c - pos) else pos end)::bigint as pos, "
+    f"{_spliced_sql()} as cigar, nm, case when turned then '14T5' else md end as md, case when turned then 'T' else seq end as seq, qual, status from f"
+)
 def lift_alignments(spark, sf):
     exons = view(spark, sf, "exons")
     hits = view(spark, sf, "hits").withColumns({"rname": F.concat(F.lit("t"), F.col("pos").cast("string")), "pos": F.col("read_id") % 150 + 1, "qual": F.lit("I"), "cigar": F.concat((F.col("nm") * 40 + 20).cast("string"), F.lit("M")), "md": F.lit("5A14")})
