@@ -99,6 +99,71 @@ def valid_of(reads: DataFrame, sample: Sample, limits: Limits = Limits()) -> Dat
     return valid_reads(reads, max_n=limits.max_n, max_a=limits.max_a, max_length=most)
 
 
+#: Steps that leave reads of any length but none.
+_SHORT = ("five_pattern", "five_adapter_pattern", "three_pattern", "revcomp", "revcomp_if_asked")
+
+
+def _applied(reads: DataFrame, names: tuple[str, ...], limits: Limits) -> DataFrame:
+    """``reads`` after that one of these steps which their protocol has, if any; rows with other protocols pass as they are.
+
+    What a function in Python works on is null for the rows that do not need it, so that these cost no work there.
+    """
+    seq, five = F.col("seq"), F.coalesce("_five", F.lit(""))
+    three, kind = S.adapter_sequence(F.coalesce("_three", F.lit(""))), S.adapter_class(F.coalesce("_three", F.lit("")))
+    spelled = lambda pattern: F.replace(F.upper(pattern), F.lit("N"), F.lit("."))
+    after = lambda pattern: F.call_function("regexp_extract", F.upper(seq), F.concat(F.lit("^"), pattern, F.lit("(.*)$")), F.lit(1))
+    error = {"error_rate": limits.error_rate}
+
+    def changed(name: str, here: Column) -> Column:
+        mine = lambda more: F.when(here & more, seq)
+        if name == "leading_t":
+            return S.trim_leading(seq, "T")
+        if name == "five_pattern":
+            return S.strip_5p(F.upper(seq), limits.five_pattern)
+        if name == "five_adapter_pattern":
+            return after(spelled(F.when(five == "", limits.five_pattern_3reads).otherwise(five)))
+        if name in ("five_adapter", "five_adapter_if_given"):
+            return F.coalesce(X.trim_adapter_5p(mine(five != ""), five, **error), seq)
+        if name == "three_adapter":
+            both = (five != "") & (F.col("_protocol") != "3'READS")
+            cut = [X.trim_adapters(mine(both & (three != "")), three, five, **error), X.trim_adapter_5p(mine(both & (three == "")), five, **error), X.trim_adapter_3p(mine(~both & (three != "")), three, **error)]
+            return F.coalesce(*cut, seq)
+        if name == "three_class":
+            return F.when(kind == "", seq).otherwise(F.call_function("regexp_replace", seq, F.concat(F.lit("["), kind, F.lit("]+$")), F.lit("")))
+        if name == "three_pattern":
+            return S.strip_3p(F.upper(seq), limits.three_pattern)
+        if name == "polya":
+            return F.coalesce(X.trim_polya(F.when(here, seq), **error), seq)
+        return S.reverse_complement(seq) if name == "revcomp" else F.when(F.coalesce("_reversed", F.lit(False)), S.reverse_complement(seq)).otherwise(seq)
+
+    out, least = seq, F.lit(0)
+    for name in names:
+        here = F.col("_protocol").isin([p for p, steps in STEPS.items() if name in steps])
+        out = F.when(here, changed(name, here)).otherwise(out)
+        least = F.when(here, 1 if name in _SHORT else limits.min_length).otherwise(least)
+    return reads.withColumns({"seq": out, "_least": least}).where(F.length("seq") >= F.col("_least")).drop("_least")
+
+
+#: Steps in an order in which every protocol has its own; of those that stand together a protocol has one at most.
+ORDER = (("leading_t", "five_pattern", "five_adapter_pattern", "five_adapter", "five_adapter_if_given"), ("three_adapter",), ("three_class",), ("revcomp", "revcomp_if_asked"), ("three_pattern",), ("polya",))
+
+
+def valid_of_sheet(reads: DataFrame, sheet: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The reads (sample, seq, and more) of all samples of a sheet that are valid after their protocols' steps, with ``protocol``.
+
+    sheet: sample_id, protocol, fiveAdapter, threeAdapter, readlen, reverse_compl.  The plan is one chain of steps, whatever the
+    number of samples; adapters are columns.  Reads of samples that the sheet lacks go; an unknown protocol is an error.
+    """
+    known = F.when(F.col("protocol").isin(list(STEPS)), F.col("protocol")).otherwise(F.raise_error(F.concat(F.lit("unknown protocol: "), F.coalesce("protocol", F.lit("none")))))
+    bound = F.when(F.col("protocol").isin(list(BOUNDED)) & (F.coalesce("readlen", F.lit(0)) > 0), F.col("readlen") - limits.least_shortening)
+    of = sheet.select(F.col("sample_id").alias("_sample"), known.alias("_protocol"), F.col("fiveAdapter").alias("_five"), F.col("threeAdapter").alias("_three"), F.col("reverse_compl").alias("_reversed"), F.coalesce(bound, F.lit((1 << 31) - 1)).alias("_most"))
+    rows = reads.join(of, F.col("sample") == F.col("_sample"))
+    for names in ORDER:
+        rows = _applied(rows, names, limits)
+    good = S.is_valid_read(F.col("seq"), max_n=limits.max_n, max_a=limits.max_a, max_length=F.col("_most"))
+    return rows.where(good).withColumn("protocol", F.col("_protocol")).select(*reads.columns, "protocol")
+
+
 def correction_of(protocol: str | None) -> int:
     """By how much a protocol's 3' ends lie upstream."""
     return 1 if protocol == "DRS" else 0

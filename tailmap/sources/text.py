@@ -7,9 +7,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tailmap.functions.sequence import gtf_attribute
+from tailmap.operators.lineage import stored
 
 SHEET = "sample_id string, SRR string, series_id string, source string, sex string, protocol string, readlen int, fiveAdapter string, threeAdapter string, paired boolean, reverse_compl boolean, title string, treatment string, pubmed string"
 BED6 = "chr string, start0 long, end long, name string, score double, strand string"
@@ -137,31 +139,47 @@ def exons_of(gtf: DataFrame) -> DataFrame:
     return gtf.where("feature = 'exon'").select("chr", (F.col("start") - 1).alias("start0"), "end", "transcript_id", "strand")
 
 
-def read_fastq(spark: SparkSession, path: str | list[str], *, sample: str) -> DataFrame:
-    """sample, file, read_no (from 1 in each file), seq of FASTQ files.
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """file, n (from 0 in each file), value of the rows file, block, value of text files that may be read in several blocks.
 
-    A file's lines are counted by the task that reads it, so files must be gzipped (which cannot be split) or smaller than
-    ``spark.sql.files.maxPartitionBytes``; a file that Spark splits is an error.
+    A task counts within the blocks that it reads; how many lines stand before a block is a running sum over the blocks of its
+    file, a row for each.  So the lines are read twice and not shuffled.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, n = None, 0
         for b in batches:
-            files, numbers, seqs = [], [], []
-            for f, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if f != last:
-                    last, n = f, 0
-                if n % 4 == 1:
-                    files.append(f)
-                    numbers.append(n // 4 + 1)
-                    seqs.append(line)
-                n += 1
-            yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(numbers, pa.int64()), pa.array(seqs, pa.string())], names=["file", "read_no", "seq"])
-
-    whole = F.assert_true((F.col("_metadata.file_block_start") == 0) & ((F.col("_metadata.file_block_length") >= F.col("_metadata.file_size")) | F.endswith(F.col("_metadata.file_path"), F.lit(".gz"))), F.lit("a FASTQ file is read in parts: compress it or raise spark.sql.files.maxPartitionBytes"))
-    lines = spark.read.text(path).select(F.coalesce(whole.cast("string"), F.col("_metadata.file_path")).alias("file"), "value")
-    rows = lines.mapInArrow(work, "file string, read_no long, seq string")
-    return rows.select(F.lit(sample).alias("sample"), "file", "read_no", "seq")
+            places = []
+            for key in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                last, n = key, n + 1 if key == last else 0
+                places.append(n)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(places, pa.int64())], names=["file", "block", "value", "n"])
+
+    counts = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("lines"))
+    line = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select(F.col("file").alias("f"), F.col("block").alias("b"), F.coalesce(F.sum("lines").over(line), F.lit(0)).alias("before"))
+    placed = lines.mapInArrow(work, "file string, block long, value string, n long").join(stored(before, "blocks"), (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    return placed.select("file", (F.col("before") + F.col("n")).alias("n"), "value")
+
+
+def read_fastq(spark: SparkSession, path: str | list[str], *, sample: str | None = None) -> DataFrame:
+    """sample, file, read_no (from 1 in each file), seq of FASTQ files; without a sample there is no such column.
+
+    Gzipped files are read whole, others in as many parts as Spark makes of them: see ``numbered_lines``.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    rows = numbered_lines(lines).where(F.col("n") % 4 == 1).select("file", (F.floor(F.col("n") / 4) + 1).alias("read_no"), F.col("value").alias("seq"))
+    return rows if sample is None else rows.select(F.lit(sample).alias("sample"), "file", "read_no", "seq")
+
+
+def read_sheet_runs(spark: SparkSession, path: str | list[str], sheet: DataFrame) -> DataFrame:
+    """sample, file, read_no, seq of the runs of all samples in one scan: a file's name is its run.
+
+    sheet: sample_id, runs (array); files that no sample names go.  The plan is the same for any number of samples.
+    """
+    of_run = sheet.select(F.col("sample_id").alias("sample"), F.explode("runs").alias("run"))
+    reads = read_fastq(spark, path).withColumn("run", F.regexp_extract("file", r"([^/]+?)(?:\.fastq|\.fq)?(?:\.gz)?$", 1))
+    return reads.join(of_run, "run").select("sample", "file", "read_no", "seq")
 
 
 def read_runs(spark: SparkSession, runs: dict[str, list[str]]) -> DataFrame:

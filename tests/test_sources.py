@@ -1,6 +1,8 @@
 """Readers and writers of small files."""
 
+import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,12 +65,47 @@ def test_runs_and_split_files(spark, tmp_path):
     path = lambda n: str(tmp_path / f"{n}.fastq")
     got = text.read_runs(spark, {"A": [path("r1"), path("r2")], "B": [path("r3")]}).groupBy("sample", "seq").count().collect()
     assert sorted(map(tuple, got)) == [("A", "ACGT", 3), ("A", "GGG", 3), ("B", "TT", 3)]
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
-    try:
-        with pytest.raises(Exception, match="read in parts"):
-            text.read_fastq(spark, path("r1"), sample="A").collect()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    sheet = spark.createDataFrame([("A", ["r1", "r2"]), ("B", ["r3"])], "sample_id string, runs array<string>")
+    long = "".join(f"@{k}\n{'ACGT'[k % 4] * (k % 9 + 1)}\n+\n{'I' * (k % 9 + 1)}\n" for k in range(200))
+    (tmp_path / "r3.fastq").write_text(long)
+    (tmp_path / "r4.fastq.gz").write_bytes(gzip.compress(b"@x\nAC\n+\nII\n"))
+    want = sorted(("ACGT"[k % 4] * (k % 9 + 1), k + 1) for k in range(200))
+    for size in ("16", "61", "1000", "1000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            assert sorted((r.seq, r.read_no) for r in text.read_fastq(spark, path("r3"), sample="B").collect()) == want
+            got = text.read_sheet_runs(spark, str(tmp_path), sheet).groupBy("sample").count().collect()
+            assert sorted(map(tuple, got)) == [("A", 6), ("B", 200)]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_sheet_of_all_protocols_in_one_plan(spark):
+    rng = random.Random(9)
+    three, five = "[AN]*AGATCGGAAGAG", "GATTCCATTG"
+    samples = {}
+    for k, protocol in enumerate(protocols.STEPS):
+        for j, (a, b) in enumerate(((None, three), (five, None), (five, "AGATCGGAAGAG"), ("", ""))):
+            samples[f"s{k}_{j}"] = protocols.Sample(protocol, a, b, [60, None, 40, 0][j], j == 1)
+    reads = []
+    for name in samples:
+        for i in range(12):
+            parts = [rng.choice(["", five, five[3:], "ACGTTTT", "TTTT"]), "".join(rng.choices("ACGTN", weights=[3, 3, 3, 3, 0.1], k=rng.randint(0, 40))), rng.choice(["", "AA", "A" * 9]), rng.choice(["", "AGATCGGAAGAG", "AGATCG", "AGATGGAAGAGTT"])]
+            reads.append((name, i, "".join(parts)))
+    table = spark.createDataFrame([*reads, ("none", 1, "ACGT")], "sample string, read_id long, seq string")
+    sheet = spark.createDataFrame([(n, s.protocol, s.five_adapter, s.three_adapter, s.read_length, s.reverse_compl) for n, s in samples.items()], "sample_id string, protocol string, fiveAdapter string, threeAdapter string, readlen int, reverse_compl boolean")
+    got = protocols.valid_of_sheet(table, sheet)
+    want = None
+    for name, sample in samples.items():
+        one = protocols.valid_of(protocols.trim_reads(table.where(F.col("sample") == name), sample), sample).withColumn("protocol", F.lit(sample.protocol))
+        want = one if want is None else want.unionByName(one)
+    rows = lambda df: sorted((r["sample"], r.read_id, r.seq, r.protocol) for r in df.collect())
+    found = rows(got)
+    assert found == rows(want) and len({r[3] for r in found}) == len(protocols.STEPS)
+    with pytest.raises(Exception, match="unknown protocol"):
+        protocols.valid_of_sheet(table, sheet.withColumn("protocol", F.lit("x"))).collect()
 
 
 def test_repeated_tags(spark, tmp_path):
