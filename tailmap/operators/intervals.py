@@ -2,8 +2,8 @@
 
 Spark pairs all rows of a key when the rest of a join's condition is an inequality.  Here an interval is dealt to the bins
 that it touches, and pairs meet in a bin by an equi-join; a pair that shares several bins is kept in the first of them only,
-so no distinct is needed.  Long intervals are dealt to coarser bins, each level being joined on its own: a row goes to
-``LEVEL_BINS`` bins of its level at most.
+so no distinct is needed.  Longer intervals have wider bins, by levels: a pair meets in the bins of the longer one's level.  So
+an interval is dealt to some ``FACTOR`` bins of its own level at most, and to one or two of each level above.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tailmap.operators.alignments import exon_model
 
 #: Width of the finest bins, how much wider each next level's are, and how many levels there are.
-BIN, FACTOR, LEVELS, LEVEL_BINS = 1024, 32, 4, 34
+BIN, FACTOR, LEVELS = 1024, 32, 4
 
-#: Features by priority, highest first.
+# Features by priority, highest first.
 PRIORITY = ("TE", "EX", "IN", "DS", "AE", "AI", "AU")
 
 
@@ -35,22 +35,31 @@ def _bins(s: Column, e: Column, width: Column) -> Column:
 def overlap_join(left: DataFrame, right: DataFrame, *, how: str = "inner", keys: tuple[str, ...] = ("chr", "strand"), prefix: str = "r_") -> DataFrame:
     """Pairs of overlapping rows with equal keys; the right's columns get a prefix.  how: inner or left.
 
-    Both sides are dealt to the level of the right's interval, so a left row is dealt to all levels and a right row to one.
+    A pair meets at the level of the longer one: on side L where that is the left one, or both, else on side R.  So an interval
+    stands alone on its own level's side, and is dealt to the other side of its level and of all above.
     Empty or null intervals overlap nothing; repeated rows pair each.
     """
     width = F.lit(BIN) * F.pow(F.lit(FACTOR), F.col("_l")).cast("long")
     named = left.withColumn("_row", F.monotonically_increasing_id()) if how == "left" else left
-    a = named.where("s < e").withColumn("_l", F.explode(F.array(*[F.lit(k) for k in range(LEVELS)])))
-    a = a.withColumn("_b", F.explode(_bins(F.col("s"), F.col("e"), width)))
-    b = right.where("s < e").withColumn("_l", _level(F.col("s"), F.col("e")))
-    b = b.withColumn("_b", F.explode(_bins(F.col("s"), F.col("e"), width))).select(*[F.col(c).alias(f"{prefix}{c}") for c in [*right.columns, "_l", "_b"]])
-    same = [F.col(k) == F.col(f"{prefix}{k}") for k in keys] + [F.col("_l") == F.col(f"{prefix}_l"), F.col("_b") == F.col(f"{prefix}_b")]
+
+    def dealt(rows: DataFrame, own: str, other: str, first: int) -> DataFrame:
+        """Rows in the bins of their own level on side ``own``, and of those from ``first`` above it on side ``other``."""
+        level = _level(F.col("s"), F.col("e"))
+        at = lambda k, side: F.struct(k.cast("int").alias("l"), F.lit(side).alias("side"))
+        above = F.filter(F.array(*[at(F.lit(k), other) for k in range(LEVELS)]), lambda x: x["l"] >= level + first)
+        spread = rows.where("s < e").withColumn("_at", F.explode(F.concat(F.array(at(level, own)), above)))
+        spread = spread.withColumns({"_l": F.col("_at.l"), "_side": F.col("_at.side")}).drop("_at")
+        return spread.withColumn("_b", F.explode(_bins(F.col("s"), F.col("e"), width)))
+
+    a = dealt(named, "L", "R", 1)
+    b = dealt(right, "R", "L", 0).select(*[F.col(c).alias(f"{prefix}{c}") for c in [*right.columns, "_l", "_side", "_b"]])
+    same = [F.col(k) == F.col(f"{prefix}{k}") for k in keys] + [F.col("_l") == F.col(f"{prefix}_l"), F.col("_side") == F.col(f"{prefix}_side"), F.col("_b") == F.col(f"{prefix}_b")]
     met = (F.col("s") < F.col(f"{prefix}e")) & (F.col(f"{prefix}s") < F.col("e"))
     first = F.col("_b") == F.greatest(F.floor(F.col("s") / width), F.floor(F.col(f"{prefix}s") / width))
     condition = met & first
     for c in same:
         condition &= c
-    pairs = a.join(b, condition).drop("_l", "_b", f"{prefix}_l", f"{prefix}_b")
+    pairs = a.join(b, condition).drop("_l", "_side", "_b", f"{prefix}_l", f"{prefix}_side", f"{prefix}_b")
     if how == "inner":
         return pairs
     alone = named.join(pairs.select("_row").distinct(), "_row", "left_anti")

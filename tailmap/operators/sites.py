@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tailmap.functions import sequence as S
+from tailmap.operators.lineage import stored
 
 SITE = ("chr", "strand", "pos")
 
@@ -48,7 +48,9 @@ def numbered_sites(sites: DataFrame, partitions: int | None = None) -> DataFrame
     """
     order = [chromosome_rank(F.col("chr")), F.col("chr"), F.when(F.col("strand") == "+", 0).otherwise(1), F.col("pos"), *[F.col(c) for c in ("sample",) if c in sites.columns]]
     dealt = sites.repartitionByRange(partitions, *order) if partitions else sites.repartitionByRange(*order)
-    placed = dealt.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    placed = dealt.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    # Stored, so that what is read again has the same numbers even if executors are lost.
+    placed = stored(placed, "placed-sites")
     part = F.shiftright("_at", 33)
     begin = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_begin"))
     numbered = placed.withColumn("_part", part).join(F.broadcast(begin), "_part")  # a row a range

@@ -44,11 +44,6 @@ def write_tracks(rows: DataFrame, path: str, by: list[str]) -> None:
     dealt.sortWithinPartitions(*by, *place).write.partitionBy(*by).csv(path, sep="\t", compression="gzip")
 
 
-def write_pooled(pooled: DataFrame, path: str) -> None:
-    """A pooled table as gzipped text with a header."""
-    pooled.sort("chr", "strand", "pos").write.csv(path, sep="\t", header=True, compression="gzip")
-
-
 def locus_rows(clusters: DataFrame, genes: DataFrame | None = None, per_sample: DataFrame | None = None, labels: DataFrame | None = None, *, id_col: str = "cluster_id") -> DataFrame:
     """Clusters that are no candidates for internal priming, in the columns of the locus search.
 
