@@ -36,7 +36,7 @@ from .pieces import Model
 from .token_output import PLAIN
 
 #: Characters of a slice, entries of a worker's caches, and the longest word that is kept there.
-SLICE_CHARS, CACHE_ENTRIES, CACHE_CHARS = 8_000_000, 200_000, 64
+SLICE_CHARS, CACHE_ENTRIES, CACHE_CHARS = 8_000_000, 400_000, 64
 
 CODED = "slice long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, codes array<int>, times array<int>, groups array<string>, freqs array<long>"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -54,28 +54,36 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def groups_of(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[str]:
+def groups_of(a: list[int], b: list[int], a_len: list[int], b_len: list[int], spelled: list[str]) -> list[str]:
     """The groups ``a1,a2|b1`` of ids whose bytes join to the same text."""
-    out, i, j, x, y = [], 0, 0, 0, 0
-    at_a, at_b = 0, 0
-    while i < len(a):
+    if len(a) == len(b) == 1:
+        return [f"{spelled[a[0]]}|{spelled[b[0]]}"]
+    out, i, j, x, y, at_a, at_b, n = [], 0, 0, 0, 0, 0, 0, len(a)
+    while i < n:
         # One token of each at least, then the side that is behind goes on.
-        x, y = x + len(a_bytes[a[i]]), y + len(b_bytes[b[j]])
-        i, j = i + 1, j + 1
+        x += a_len[a[i]]
+        y += b_len[b[j]]
+        i += 1
+        j += 1
         while x != y:
             if x < y:
-                x, i = x + len(a_bytes[a[i]]), i + 1
+                x += a_len[a[i]]
+                i += 1
             else:
-                y, j = y + len(b_bytes[b[j]]), j + 1
-        out.append(f"{','.join(map(str, a[at_a:i]))}|{','.join(map(str, b[at_b:j]))}")
+                y += b_len[b[j]]
+                j += 1
+        if i == at_a + 1 and j == at_b + 1:
+            out.append(f"{spelled[a[at_a]]}|{spelled[b[at_b]]}")
+        else:
+            out.append(",".join([spelled[k] for k in a[at_a:i]]) + "|" + ",".join([spelled[k] for k in b[at_b:j]]))
         at_a, at_b = i, j
     return out
 
 
-def links_of(group: str, a_len: np.ndarray, b_len: np.ndarray) -> list[tuple[int, int]]:
+def links_of(group: str, a_len: list[int], b_len: list[int]) -> list[tuple[int, int]]:
     """All pairs of an A and a B token of a group whose byte ranges overlap; at most one fewer than it has tokens."""
     a, b = (list(map(int, side.split(","))) for side in group.split("|"))
-    out, i, j, x, y = [], 0, 0, int(a_len[a[0]]), int(b_len[b[0]])
+    out, i, j, x, y = [], 0, 0, a_len[a[0]], b_len[b[0]]
     while True:
         out.append((a[i], b[j]))
         on_a, on_b = x <= y, y <= x
@@ -86,9 +94,9 @@ def links_of(group: str, a_len: np.ndarray, b_len: np.ndarray) -> list[tuple[int
         if i == len(a) or j == len(b):
             return out
         if on_a:
-            x += int(a_len[a[i]])
+            x += a_len[a[i]]
         if on_b:
-            y += int(b_len[b[j]])
+            y += b_len[b[j]]
 
 
 class Aligner:
@@ -109,6 +117,8 @@ class Aligner:
         self.a_bytes = [bytes(alphabet.get(c, 0) for c in self.a.id_to_token(i) or "") for i in range(self.a.get_vocab_size(with_added_tokens=True))]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
         self.split, self.odd = regex.compile(pattern).findall, regex.compile(PLAIN).search
+        self.a_len, self.b_len = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.spelled = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         pairs = Model.load(b_path).pairs
         # A character that no piece holds stands before parts without a space, so that none is added to them.
         self.before = len(self.b.encode("\n"))
@@ -119,9 +129,10 @@ class Aligner:
         self.together = np.zeros(self.n * self.n, dtype=bool)
         for x, y in pairs:
             self.together[self.place[x] * self.n + self.place[y]] = True
-        #: For a word the places of its first and last character; ids of a word; what is known of a part.
+        #: For a word the places of its first and last character; ids of a word; one copy of each group; what is known of a part.
         self.edges: dict[str, int] = {}
         self.words: dict[str, list[int]] = {}
+        self.names: dict[str, str] = {}
         self.parts: dict[Part, tuple[int, int, tuple[str, ...]] | None] = {}
 
     def cut(self, text: str) -> list[Part]:
@@ -154,27 +165,31 @@ class Aligner:
         raw = text.encode()
         if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
             return None
-        return len(a), len(b), tuple(groups_of(a, b, self.a_bytes, self.b_bytes))
+        same = self.names.setdefault
+        return len(a), len(b), tuple([same(g, g) for g in groups_of(a, b, self.a_len, self.b_len, self.spelled)])
 
     def solve(self, wanted: set[Part]) -> dict[Part, tuple[int, int, tuple[str, ...]] | None]:
         """What ``_told`` says of these parts; short ones are kept."""
-        if len(self.parts) > CACHE_ENTRIES:
-            self.parts.clear()
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        new = [p for p in wanted if p not in self.parts]
-        words = list({w for p in new for w in ((p,) if isinstance(p, str) else p)}.difference(self.words))
+        for kept in (self.parts, self.words, self.names):
+            if len(kept) > CACHE_ENTRIES:
+                kept.clear()
+        known = self.parts
+        new = [p for p in wanted if p not in known]
+        alone = [p for p in new if isinstance(p, str)]
+        ids = dict(zip(alone, self._by_a(alone), strict=True)) if alone else {}
+        joined = [p for p in new if not isinstance(p, str)]
+        inside = {w for p in joined for w in p}
+        words = list(inside.difference(self.words))
         extra = dict(zip(words, self._by_a(words), strict=True)) if words else {}
-        self.words.update((w, ids) for w, ids in extra.items() if len(w) <= CACHE_CHARS)
-        a = lambda w: self.words[w] if w in self.words else extra[w]
-        texts = [p if isinstance(p, str) else "".join(p) for p in new]
+        within = {w: extra[w] if w in extra else self.words[w] for w in inside}
+        self.words.update((w, x) for w, x in extra.items() if len(w) <= CACHE_CHARS)
+        order, texts = alone + joined, alone + ["".join(p) for p in joined]
         out: dict[Part, tuple[int, int, tuple[str, ...]] | None] = {}
-        for p, text, b in zip(new, texts, self._by_b(texts) if texts else [], strict=True):
-            ids = a(p) if isinstance(p, str) else [i for w in p for i in a(w)]
-            out[p] = self._told(text, ids, b)
+        for p, text, b in zip(order, texts, self._by_b(texts) if texts else [], strict=True):
+            out[p] = self._told(text, ids[p] if p in ids else [i for w in p for i in within[w]], b)
             if len(text) <= CACHE_CHARS:
-                self.parts[p] = out[p]
-        return {p: out[p] if p in out else self.parts[p] for p in wanted}
+                known[p] = out[p]
+        return {p: out[p] if p in out else known[p] for p in wanted}
 
     def whole(self, text: str) -> tuple[int, int, tuple[str, ...]] | None:
         """A text that is not cut."""
@@ -295,12 +310,11 @@ def group_links(groups: DataFrame, a_path: str, pattern: str, b_path: str) -> Da
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         solver = aligner(a_path, pattern, b_path)
-        a_len, b_len = np.array([len(x) for x in solver.a_bytes]), np.array([len(x) for x in solver.b_bytes])
         for b in batches:
             rows = []
             for group, freq in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 times: dict[tuple[int, int], int] = {}
-                for link in links_of(group, a_len, b_len):
+                for link in links_of(group, solver.a_len, solver.b_len):
                     times[link] = times.get(link, 0) + 1
                 rows += [(group, freq, x, y, n) for (x, y), n in times.items()]
             kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
