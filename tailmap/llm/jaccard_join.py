@@ -13,9 +13,13 @@ hash of the tokens in the group): no link is outside a root.  A group holds abou
 in common, as a line or a passage, fills no group by itself and makes no root.  Groups without a token are roots only for sets
 which have so many of these that all common groups may be among them.
 
-Inside a root points are packed by size into leaves of ``LEAF`` points, whose box is the largest count of each group and the
-range of sizes.  A pair of leaves is opened where the boxes' summed minima are enough for a link of the smallest sizes; then
-the points are compared in the same way, leaf against leaf, in arrays of LEAF x LEAF.
+A root whose documents are those of another root adds nothing and goes.  A point counts tokens in four times as many groups as
+there are roots, so that it hides little of what two sets do not share.
+
+Inside a root points are packed by size into leaves of ``LEAF`` points, and leaves into branches of ``FAN``.  A box is the
+largest count of each group and the range of sizes.  A pair of branches, then of leaves, is opened where the boxes' summed
+minima are enough for a link of the smallest sizes; the points of two leaves are compared in arrays of LEAF x LEAF.  Points
+within a leaf are compared as it is packed, and a root that is one leaf, as most are, has no more to do.
 
 Groups of copies.  Sets that are equal are one class of documents.  First each root's points are compared with one of
 them, which is the same for all roots where that can be, in rounds; what is by then in one component is compared no more.  Trees
@@ -33,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,11 +47,13 @@ from .minhash import _linked, _lists, _mixed, _placed, _small, document_sets, sh
 
 #: Words of a shingle; links need 100 * |A & B| >= PERCENT * |A | B|.
 SHINGLE, PERCENT = 3, 90
-#: Sizes of a class: from one bound to half as many again.  Points of a leaf.  Rounds with one point for each root.
-GROWTH, LEAF, STAR_ROUNDS = 1.5, 128, 2
+#: Sizes of a class: from one bound to half as many again.  Groups of a point for each root.
+GROWTH, FINER = 1.5, 4
+#: Points of a leaf, leaves of a branch, and rounds with one point for each root.
+LEAF, FAN, STAR_ROUNDS = 128, 32, 4
 
-_LONGS = pa.list_(pa.int64())
-LEAF_SCHEMA = [*[(c, pa.int64()) for c in ("root", "leaf", "branch", "n_lo", "n_hi", "c_lo", "c_hi")], ("box", pa.binary()), ("nodes", _LONGS), ("sizes", _LONGS), ("components", _LONGS), ("counts", pa.binary())]
+PACKED = "u long, v long, root long, leaf long, branch long, n_lo long, n_hi long, c_lo long, c_hi long, box binary, nodes array<bigint>, sizes array<bigint>, components array<bigint>, counts binary"
+PACKED_SCHEMA = pa.schema([(c, {"long": pa.int64(), "binary": pa.binary()}.get(kind, pa.list_(pa.int64()))) for c, kind in (x.split() for x in PACKED.split(", "))])
 
 
 def apart_at_most(n: int, m: int, percent: int) -> int:
@@ -124,7 +131,7 @@ def set_points(sets: DataFrame, *, percent: int = PERCENT) -> DataFrame:
                 inside = classes_of(len(hashes), classes, percent)
                 sizes.append(len(hashes))
                 own.append(inside[0] if inside else None)
-                points.append([np.diff(group_bounds(hashes, classes[k][2])).astype(np.uint16).tobytes() for k in inside])
+                points.append([np.diff(group_bounds(hashes, FINER * classes[k][2])).astype(np.uint16).tobytes() for k in inside])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(own, pa.int32()), pa.array(points, pa.list_(pa.binary()))], names=["node", "n", "own", "points"])
 
     return sets.select("node", "hashes").mapInArrow(work, "node long, n long, own int, points array<binary>")
@@ -155,38 +162,111 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(work, "u long, v long")
 
 
-def packed(here: DataFrame, points: DataFrame) -> DataFrame:
-    """root, leaf, branch, sizes and components from and to, box, and the leaf's points: nodes, sizes, components, counts.
-
-    here: root, node, component.  A leaf has neighbours in the order of root and size, LEAF of them at most.
+def _minima(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.minimum(x, y).sum(axis=-1, dtype=np.int64)
+
+
+class _Packer:
+    """Leaves and branches of the roots of one partition, whose points come in order, and the pairs within leaves."""
+
+    def __init__(self, part: int, percent: int, size: int):
+        self.size, self.percent, self.leaf, self.branch = size, percent, part << 33, part << 33
+        self.root, self.points, self.rows, self.pairs = None, [], [], []
+        #: Whether the root may have more than one leaf; the leaf that is kept until that is known; what its branch is so far.
+        self.many, self.kept, self.over, self.first = False, None, [], True
+
+    def add(self, root: int, point: tuple) -> None:
+        if root != self.root:
+            self._end_root()
+            # A partition's first root may have begun in the one before.
+            self.root, self.many, self.first = root, self.first, False
+        self.points.append(point)
+        if len(self.points) == self.size:
+            self._end_leaf()
+
+    def _end_leaf(self) -> None:
+        if not self.points:
+            return
+        n, node, component = (np.array([p[k] for p in self.points], dtype=np.int64) for k in range(3))
+        counts = np.stack([np.frombuffer(p[3], np.uint16) for p in self.points])
+        self.points = []
+        for i in range(len(n) - 1):
+            good = np.flatnonzero(enough(_minima(counts[i], counts[i + 1 :]), n[i], n[i + 1 :], self.percent) & (component[i] != component[i + 1 :])) + i + 1
+            if len(good):
+                self.pairs.append((np.minimum(node[i], node[good]), np.maximum(node[i], node[good])))
+        span = {"n_lo": int(n.min()), "n_hi": int(n.max()), "c_lo": int(component.min()), "c_hi": int(component.max())}
+        leaf = {"root": self.root, **span, "box": counts.max(axis=0), "nodes": node.tolist(), "sizes": n.tolist(), "components": component.tolist(), "counts": counts.tobytes()}
+        if self.kept is not None:
+            self.many = True
+            self._put(self.kept)
+            self.kept = None
+        if self.many:
+            self._put(leaf)
+        else:
+            self.kept = leaf
+
+    def _put(self, leaf: dict) -> None:
+        self.leaf += 1
+        self.rows.append(leaf | {"leaf": self.leaf, "branch": self.branch, "box": leaf["box"].tobytes()})
+        self.over.append(leaf)
+        if len(self.over) == FAN:
+            self._end_branch()
+
+    def _end_branch(self) -> None:
+        if self.over:
+            span = {k: (min if k.endswith("lo") else max)(x[k] for x in self.over) for k in ("n_lo", "n_hi", "c_lo", "c_hi")}
+            self.rows.append({"root": self.root, "branch": self.branch, **span, "box": np.max([x["box"] for x in self.over], axis=0).tobytes()})
+            self.over, self.branch = [], self.branch + 1
+
+    def _end_root(self, last: bool = False) -> None:
+        self._end_leaf()
+        if last and self.kept is not None:
+            self._put(self.kept)
+        self.kept = None
+        self._end_branch()
+
+    def taken(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        """What there is by now; with ``last`` all of it."""
+        if last:
+            self._end_root(last=True)
+        if self.rows:
+            yield pa.RecordBatch.from_pylist(self.rows, schema=PACKED_SCHEMA)
+        if self.pairs:
+            ends = [pa.array(np.concatenate([p[k] for p in self.pairs])) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([*ends, *[pa.nulls(len(ends[0]), f.type) for f in list(PACKED_SCHEMA)[2:]]], schema=PACKED_SCHEMA)
+        self.rows, self.pairs = [], []
+
+
+def packed(here: DataFrame, points: DataFrame, percent: int, leaf: int = LEAF) -> DataFrame:
+    """Rows of ``PACKED``: pairs u, v within leaves; leaves with their points and branches, of roots that may have several leaves.
+
+    here: root, node, component.  A leaf has neighbours in the order of root and size; a root of any size is spread over tasks.
     """
     cls = F.col("root").bitwiseAND(F.lit(0xFF)).cast("int")
     rows = here.join(points, "node").select("root", "n", "node", "component", F.get("points", cls - F.col("own")).alias("point")).where("point is not null")
-    line = stored(rows.repartitionByRange("root", "n", "node").sortWithinPartitions("root", "n", "node").withColumn("at", F.monotonically_increasing_id()), "packed")
 
-    def leaf(key: tuple, t: pa.Table) -> pa.Table:
-        t = t.sort_by([("n", "ascending"), ("node", "ascending")])
-        counts = np.stack([np.frombuffer(p, np.uint16) for p in t["point"].to_pylist()])
-        n, component = t["n"].to_numpy(), t["component"].to_numpy()
-        row = {
-            "root": key[0].as_py(), "leaf": key[1].as_py(), "branch": key[1].as_py() >> 5, "n_lo": int(n.min()), "n_hi": int(n.max()), "c_lo": int(component.min()), "c_hi": int(component.max()),
-            "box": counts.max(axis=0).tobytes(), "nodes": t["node"].to_pylist(), "sizes": n.tolist(), "components": component.tolist(), "counts": counts.tobytes(),
-        }
-        return pa.Table.from_pylist([row], schema=pa.schema(LEAF_SCHEMA))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = _Packer(TaskContext.get().partitionId(), percent, leaf)
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):
+                root, *point = (c.to_pylist() for c in b.slice(at, 1024).columns)
+                for r, *p in zip(root, *point, strict=True):
+                    packer.add(r, p)
+                yield from packer.taken()
+        yield from packer.taken(last=True)
 
-    kinds = "root long, leaf long, branch long, n_lo long, n_hi long, c_lo long, c_hi long, box binary, nodes array<bigint>, sizes array<bigint>, components array<bigint>, counts binary"
-    return stored(line.withColumn("leaf", F.floor(F.col("at") / LEAF)).groupBy("root", "leaf").applyInArrow(leaf, kinds), "leaves")
+    return stored(rows.repartitionByRange("root", "n", "node").sortWithinPartitions("root", "n", "node").mapInArrow(work, PACKED), "packed")
 
 
 def meeting(boxes: DataFrame, id_: str, percent: int, above: DataFrame | None = None) -> DataFrame:
-    """root, x, y: pairs of boxes of a root (x <= y, in the order of size) that may hold points which can be linked.
+    """root, x, y: pairs of boxes of a root, in the order of size, that may hold points which can be linked.
 
-    above: root, x, y of the branches that meet; without it all boxes of a root are looked at.
+    above: root, x, y of the branches that meet; without it all boxes of a root are looked at.  A branch meets itself too.
     """
     of = lambda c: boxes.select(F.col("root").alias(f"root_{c}"), F.col(id_).alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("branch", "n_lo", "n_hi", "c_lo", "c_hi", "box")])
     one, two = of("x"), of("y")
     apart = (F.col("c_lo_x") < F.col("c_hi_y")) | (F.col("c_lo_y") < F.col("c_hi_x"))
-    can = (F.col("x") <= F.col("y")) & (100 * F.col("n_hi_x") >= percent * F.col("n_lo_y")) & apart
+    can = (F.col("x") <= F.col("y") if id_ == "branch" else F.col("x") < F.col("y")) & (100 * F.col("n_hi_x") >= percent * F.col("n_lo_y")) & apart
     if above is None:
         both = one.join(two, (F.col("root_x") == F.col("root_y")) & can)
     else:
@@ -201,17 +281,13 @@ def meeting(boxes: DataFrame, id_: str, percent: int, above: DataFrame | None =
     return both.select(F.col("root_x").alias("root"), "x", "y", "n_lo_x", "n_lo_y", "box_x", "box_y").mapInArrow(work, "root long, x long, y long")
 
 
-def tree_pairs(here: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+def tree_pairs(here: DataFrame, points: DataFrame, percent: int, leaf: int = LEAF) -> DataFrame:
     """u, v: pairs of nodes of a root, in different components, whose points' summed minima are enough for a link."""
-    leaves = packed(here, points)
-
-    def over(t: pa.Table) -> pa.Table:
-        boxes = np.stack([np.frombuffer(x, np.uint16) for x in t["box"].to_pylist()]).max(axis=0)
-        row = {"root": t["root"][0].as_py(), "branch": t["branch"][0].as_py(), **{k: (min if k.endswith("lo") else max)(t[k].to_pylist()) for k in ("n_lo", "n_hi", "c_lo", "c_hi")}, "box": boxes.tobytes()}
-        return pa.Table.from_pylist([row], schema=pa.schema([f for f in LEAF_SCHEMA if f[0] in row]))
-
+    all_ = packed(here, points, percent, leaf)
+    within, leaves, branches = all_.where("u is not null").select("u", "v"), all_.where("nodes is not null"), all_.where("leaf is null and root is not null")
+    if leaves.isEmpty():
+        return within.distinct()
     light = leaves.select("root", "leaf", "branch", "n_lo", "n_hi", "c_lo", "c_hi", "box")
-    branches = stored(light.groupBy("root", "branch").applyInArrow(over, "root long, branch long, n_lo long, n_hi long, c_lo long, c_hi long, box binary"), "branches")
     met = stored(meeting(branches, "branch", percent), "branch-pairs")
     pairs = stored(meeting(light, "leaf", percent, met), "leaf-pairs")
     of = lambda c: leaves.select(F.col("root").alias(f"root_{c}"), F.col("leaf").alias(f"leaf_{c}"), *[F.col(k).alias(f"{k}_{c}") for k in ("nodes", "sizes", "components", "counts")])
@@ -222,21 +298,29 @@ def tree_pairs(here: DataFrame, points: DataFrame, percent: int) -> DataFrame:
             for r in b.to_pylist():
                 (u, n, c, p), (v, m, d, q) = ((np.array(r[f"nodes_{s}"]), np.array(r[f"sizes_{s}"]), np.array(r[f"components_{s}"]), np.frombuffer(r[f"counts_{s}"], np.uint16).reshape(len(r[f"nodes_{s}"]), -1)) for s in "xy")
                 for i in range(len(u)):
-                    shared = np.minimum(p[i], q).sum(axis=1, dtype=np.int64)
-                    good = np.flatnonzero(enough(shared, n[i], m, percent) & (c[i] != d))
+                    good = np.flatnonzero(enough(_minima(p[i], q), n[i], m, percent) & (c[i] != d))
                     if len(good):
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u[i], v[good])), pa.array(np.maximum(u[i], v[good]))], names=["u", "v"])
 
-    return opened.select(*[f"{k}_{s}" for s in "xy" for k in ("nodes", "sizes", "components", "counts")]).mapInArrow(work, "u long, v long").distinct()
+    across = opened.select(*[f"{k}_{s}" for s in "xy" for k in ("nodes", "sizes", "components", "counts")]).mapInArrow(work, "u long, v long")
+    return within.union(across).distinct()
 
 
-def joined_groups(docs: DataFrame, *, percent: int = PERCENT, shingle: int = SHINGLE, star_rounds: int = STAR_ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def joined_groups(docs: DataFrame, *, percent: int = PERCENT, shingle: int = SHINGLE, star_rounds: int = STAR_ROUNDS, leaf: int = LEAF, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
-    rows = stored(document_roots(docs, shingle=shingle, percent=percent, id_col=id_col, text_col=text_col), "roots")
+    rows = stored(document_roots(docs, shingle=shingle, percent=percent, id_col=id_col, text_col=text_col).withColumn("row", F.monotonically_increasing_id()), "roots")
     named = rows.where("doc_id is not null and set_key is not null")
-    classes = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("roots").alias("roots")), "classes")
-    held = classes.select("node", F.explode("roots").alias("root"))
-    shared = stored(held.groupBy("root").count().where("count > 1").select("root"), "shared-roots")
+    # Of documents with one set the smallest id stands for all; its roots are read where they are.
+    first = F.min(F.struct("doc_id", "row"))
+    classes = stored(named.groupBy("set_key").agg(first.alias("of")).select("set_key", F.col("of.doc_id").alias("node"), F.col("of.row").alias("row")), "classes")
+    # Most roots are of one document: they go first, by their number alone, which is little to shuffle.
+    several = stored(named.select(F.explode("roots").alias("root")).groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root"), "roots-of-several")
+    held = rows.select("row", "roots").join(classes.select("row", "node"), "row").select("node", F.explode("roots").alias("root"))
+    held = stored(held.join(several, "root"), "held-by-several")
+    # Copies are one document now.  Roots of the same documents, told by their number and 128 bits of their ids, are one.
+    ids = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in range(2)]
+    shared = held.groupBy("root").agg(F.count(F.lit(1)).alias("n"), *ids).where("n > 1")
+    shared = stored(shared.groupBy("n", "x0", "x1").agg(F.min("root").alias("root")).select("root"), "shared-roots")
     held = stored(held.join(shared, "root"), "held")
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
     repeated = stored(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("node")), "repeated-ids")
@@ -254,7 +338,7 @@ def joined_groups(docs: DataFrame, *, percent: int = PERCENT, shingle: int = SHI
         centres = here.groupBy("root").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(order).alias("r"))
         centres = stored(centres.where("lo < hi").select("root", F.col("r.node").alias("rep"), F.col("r.component").alias("rep_component")), "centres")
         if turn == star_rounds:
-            pairs = tree_pairs(here.join(centres.select("root"), "root"), points, percent)
+            pairs = tree_pairs(here.join(centres.select("root"), "root"), points, percent, leaf)
         else:
             pairs = here.join(centres, "root").where("component <> rep_component").select(F.least("node", "rep").alias("u"), F.greatest("node", "rep").alias("v")).distinct()
         pairs = stored(pairs if checked is None else pairs.join(checked, ["u", "v"], "left_anti"), "pairs")

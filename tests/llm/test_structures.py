@@ -212,9 +212,8 @@ def near_copies(rng, n):
 
 
 @pytest.mark.parametrize("rounds", [0, 2])
-def test_links_are_those_of_all_pairs(spark, monkeypatch, rounds):
-    # Without rounds every link is found by the trees; leaves of four points make several levels.
-    monkeypatch.setattr(jaccard_join, "LEAF", 4)
+def test_links_are_those_of_all_pairs(spark, rounds):
+    # Without rounds every link is found by the trees; small leaves make several levels.
     rng = random.Random(rounds)
     texts = near_copies(rng, 60)
     passage = " ".join(f"p{i}" for i in range(60))
@@ -223,7 +222,7 @@ def test_links_are_those_of_all_pairs(spark, monkeypatch, rounds):
     texts += [" ".join(base[:k] + ["new"] + base[k + 1 :]) for k in range(0, 120, 2)]
     rows = list(enumerate(texts)) + [(None, texts[3]), (None, None), (5000, None), (5001, " \t"), (7, texts[50]), (5002, texts[9]), (5003, "É é"), (5004, "é é")]
     docs = spark.createDataFrame(rows, DOCS).withColumns({"node": F.lit(1), "root": F.lit(2), "roots": F.lit(3)})
-    got = jaccard_join.joined_groups(docs, star_rounds=rounds).collect()
+    got = jaccard_join.joined_groups(docs, star_rounds=rounds, leaf=2).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == plain_components(rows)
     assert jaccard_join.joined_groups(docs.limit(0)).count() == 0
 
