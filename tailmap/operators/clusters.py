@@ -118,14 +118,25 @@ def read_cutoffs(clusters: DataFrame, *, cutoff: float = 90.0) -> DataFrame:
 
     In the order of reads the share of clusters with a signal is followed from the second after the first hundredth on; the
     first that brings it below ``cutoff`` percent gives the number.  If it is the very first looked at, it is that of the
-    largest cluster.  Nothing below: 0.  A sample's mini-clusters are ranked together: they are few, and hold no sequence.
+    largest cluster.  Nothing below: 0.
+
+    Clusters are put in order by range, so that a sample is spread over tasks: sums run within a range, from what the ranges of
+    the sample before it hold (a row for each).
     """
-    sample = W.partitionBy("sample")
-    order = sample.orderBy(F.col("reads").desc(), F.concat_ws(":", "chr", "strand"), F.col("seed_cnt").desc(), F.col("seed"))
-    ranked = clusters.withColumns({"idx": F.row_number().over(order) - 1, "n": F.count(F.lit(1)).over(sample), "with_pas": F.sum(F.col("has_pas").cast("int")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow)), "largest": F.max("reads").over(sample)})
-    start = F.floor(F.col("n") / 100) + 1
-    low = (F.col("idx") >= start) & (F.round(F.col("with_pas") * 100 / (F.col("idx") + 1), 2) < cutoff)
-    said = F.when(low, F.struct(F.col("idx").alias("idx"), F.when(F.col("idx") == start, F.col("largest")).otherwise(F.col("reads")).alias("reads")))
+    order = [F.col("sample"), F.col("reads").desc(), F.concat_ws(":", "chr", "strand"), F.col("seed_cnt").desc(), F.col("seed")]
+    rows = clusters.select("sample", "reads", "chr", "strand", "seed_cnt", "seed", F.col("has_pas").cast("int").alias("pas"))
+    placed = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()).select("sample", "reads", "pas", "at"), "ranked")
+    placed = placed.withColumn("range", F.shiftright("at", 33))
+    sample = W.partitionBy("s")
+    before = sample.orderBy("r").rowsBetween(W.unboundedPreceding, -1)
+    per = placed.groupBy(F.col("sample").alias("s"), F.col("range").alias("r")).agg(F.count(F.lit(1)).alias("k"), F.sum("pas").alias("p"), F.max("reads").alias("most"))
+    per = per.select("s", "r", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("k0"), F.coalesce(F.sum("p").over(before), F.lit(0)).alias("p0"), F.sum("k").over(sample).alias("n"), F.max("most").over(sample).alias("largest"))
+    within = W.partitionBy("sample", "range").orderBy("at")
+    running = placed.withColumns({"place": F.row_number().over(within), "held": F.sum("pas").over(within.rowsBetween(W.unboundedPreceding, W.currentRow))})
+    ranked = running.join(per, F.col("sample").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
+    idx, start = F.col("k0") + F.col("place") - 1, F.floor(F.col("n") / 100) + 1
+    low = (idx >= start) & (F.round((F.col("p0") + F.col("held")) * 100 / (idx + 1), 2) < cutoff)
+    said = F.when(low, F.struct(idx.alias("idx"), F.when(idx == start, F.col("largest")).otherwise(F.col("reads")).alias("reads")))
     return ranked.groupBy("sample").agg(F.min(said).alias("at")).select("sample", F.coalesce("at.reads", F.lit(0)).cast("long").alias("read_cutoff"))
 
 

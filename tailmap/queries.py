@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tailmap.functions import sequence as S
 from tailmap.functions import strings as X
 from tailmap.operators import alignments, clusters, intervals, reads, sites, support
+from tailmap.operators.lineage import shared_dir
 from tailmap.plans import pipeline
 from tailmap.plans.standins import sql_of, view
 from tailmap.sources import sinks
@@ -216,6 +218,11 @@ def three_prime_ends(spark, sf):
     return sites.three_prime_ends(_bed(spark, sf), correction=1)
 
 
+@_query(_BED + "select chr, strand, case when strand = '+' then \"end\" else start0 + 1 end as pos, sample, count(*) as cnt, string_agg(read_id::varchar, ',' order by read_id::varchar) as reads from bed group by all")
+def named_three_prime_ends(spark, sf):
+    return sites.three_prime_ends(_bed(spark, sf), names=True)
+
+
 @_query(_BED + "select b.* from bed b left join samples s on s.sample = b.sample where not (coalesce(s.sex, '') = 'F' and b.chr in ('chr0', 'chr1') or coalesce(s.sex, '') <> 'F' and s.sex is not null and b.chr = 'chr0')")
 def exclude_chr(spark, sf):
     return sites.exclude_chromosomes(_bed(spark, sf), view(spark, sf, "samples"), excluded=("chr0",), female="chr1")
@@ -252,6 +259,11 @@ def lift_alignments(spark, sf):
     return alignments.lift_alignments(hits.drop("sample", "read_id"), exons)
 
 
+@_query(_LIFT + "select status, count(*) as alignments, count(*) * 100.0 / sum(count(*)) over () as percent from f group by status")
+def lift_report(spark, sf):
+    return alignments.lift_report(lift_alignments(spark, sf))
+
+
 # What the CIGAR and the mismatches below make of 30 letters: positions 8, 13 and 24 are read in place of A, inserted, and read in place of T.
 @_query(sql_of("reads") + "select read_id, '5MA' || substr(seq, 8, 1) || '4I' || substr(seq, 13, 1) || '7DCDG3MT' || substr(seq, 24, 1) || '4' as mmid from (select read_id, unnest(regexp_extract_all(seq, '.{30}')) as seq from reads)")
 def mmid(spark, sf):
@@ -643,12 +655,23 @@ def sample_bed(spark, sf):
     return sinks.cluster_bed_rows(backed, rows)
 
 
-@_query(sql_of("clusters", "cluster_tpm") + "select sample, strand, 'ucsc_' || chr as chr, start1 - 1 as start0, \"end\", printf('%.4f', tpm) as tpm from cluster_tpm join clusters using (cluster_id) where tpm > 0 and chr in ('chr0', 'chr1')")
+_BEDGRAPH = sql_of("clusters", "cluster_tpm") + "select sample, strand, 'ucsc_' || chr as chr, start1 - 1 as start0, \"end\", printf('%.4f', tpm) as tpm from cluster_tpm join clusters using (cluster_id) where tpm > 0 and chr in ('chr0', 'chr1')"
+
+
+@_query(_BEDGRAPH)
 def bedgraph(spark, sf):
     names = spark.createDataFrame([("chr0", "ucsc_chr0"), ("chr1", "ucsc_chr1")], "chr string, ucsc string")
     return sinks.bedgraph_rows(view(spark, sf, "clusters"), view(spark, sf, "cluster_tpm"), names)
 
 
+@_query(_BEDGRAPH)
+def written_tracks(spark, sf):
+    """The tracks as they are in their files: written compressed, a folder for each sample and strand, and read back."""
+    path = f"{shared_dir(spark)}/tracks-{uuid.uuid4().hex}"
+    sinks.write_tracks(bedgraph(spark, sf), path, ["sample", "strand"])
+    return spark.read.schema("chr string, start0 long, end long, tpm string, sample string, strand string").csv(path, sep="\t")
+
+
 @_query(
     sql_of("samples") + "select sample, strand, 'track type=bigWig name=\"' || sample || ' ' || strand || '\" description=\"' || sample || ', ' || strand || ' strand\" visibility=\"full\" color=\"' || case when strand = 'plus' then '0,0,255' else '255,0,0' end || '\" bigDataUrl=\"http://host/' || sample || '_' || strand || '.bw\"' as line "
     "from samples, (select unnest(['plus', 'minus']) as strand)"
