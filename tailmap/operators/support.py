@@ -92,16 +92,54 @@ def nested_documents(metrics: DataFrame, genome: str, fields: DataFrame | None =
     return rows.select("sample", F.col("json").alias("document"))
 
 
-def skeleton_documents(samples: DataFrame) -> DataFrame:
-    """sample, document: the nested JSON of samples (sample, protocol, source, treatment) before anything is counted."""
-    pair = lambda: F.struct(F.lit(0).alias("plus"), F.lit(0).alias("minus"))
-    counted = lambda: F.struct(F.lit("").alias("md5sum"), F.lit(0).alias("nr"))
-    unique = lambda: F.struct(counted().alias("uniqueMappers"))
-    ends = lambda: F.struct(F.lit(0).alias("max"), F.lit(0).alias("min"))
-    cut = F.struct(F.lit(0).alias("maxLength"), F.lit(0.8).alias("maxAs"), F.lit(2).alias("maxNs"))
-    reads = F.struct(F.struct(F.lit(0).alias("nr"), ends().alias("length")).alias("trimmed"), F.struct(counted().alias("uniqueMappers"), counted().alias("multiMappers")).alias("genome"), unique().alias("mapped"), unique().alias("transcriptome"), F.struct(F.lit(0).alias("nr"), cut.alias("cutoffs")).alias("valid"))
-    some = lambda: F.struct(F.struct(pair().alias("number"), pair().alias("reads")).alias("internalpriming"), pair().alias("number"), pair().alias("reads"))
-    whole = F.struct(reads.alias("reads"), F.struct(some().alias("all"), some().alias("highconfidence")).alias("sites"), "protocol", "source", "treatment", F.lit(True).alias("visible"), F.lit(False).alias("pairedEnd"))
+# The counters of a sample's document before anything is counted.
+_PLUS_MINUS = {"plus": 0, "minus": 0}
+_UNIQUE = {"md5sum": "", "nr": 0}
+_SITES = {"internalpriming": {"md5sum": "", "number": _PLUS_MINUS, "reads": _PLUS_MINUS}, "md5sum": "", "number": _PLUS_MINUS, "reads": _PLUS_MINUS}
+SKELETON = {
+    "reads": {
+        "raw": {"nr": 0, "md5sum": "", "length": {"max": 0, "min": 0}},
+        "trimmed": {"nr": 0, "md5sum": "", "md5sumcollapsed": "", "md5sumNoPolyA": "", "md5sum5p": "", "length": {"max": 0, "min": 0}},
+        "genome": {"uniqueMappers": _UNIQUE, "multiMappers": _UNIQUE},
+        "mapped": {"uniqueMappers": _UNIQUE},
+        "transcriptome": {"uniqueMappers": _UNIQUE},
+        "valid": {"nr": 0, "md5sum": "", "cutoffs": {"maxLength": 0, "maxAs": 0.8, "maxNs": 2}},
+    },
+    "sites": {"all": _SITES, "highconfidence": _SITES},
+    "visible": True,
+    "pairedEnd": False,
+}
+# The keys of a document that are columns of the sample sheet.
+SHEET_KEYS = {
+    "GEOseriesID": "series_id",
+    "PubMedID": "pubmed",
+    "title": "title",
+    "organism": "organism",
+    "sex": "sex",
+    "adaptor3p": "threeAdapter",
+    "adaptor5p": "fiveAdapter",
+    "protocol": "protocol",
+    "tobereversed": "reverse_compl",
+    "source": "source",
+    "treatment": "treatment",
+}
+
+
+def _as_struct(value: object) -> Column:
+    return F.struct(*[_as_struct(v).alias(k) for k, v in value.items()]) if isinstance(value, dict) else F.lit(value)
+
+
+def skeleton_documents(samples: DataFrame, genome: str) -> DataFrame:
+    """sample, document: the nested JSON of samples for a genome before anything is counted.
+
+    samples: sample, and the columns of the sheet; those that are missing are null in the document.  A column
+    sample_genome_id is taken as it is; without it, it is the sample and the genome.
+    """
+    of_sheet = [(F.col(c) if c in samples.columns else F.lit(None).cast("string")).alias(k) for k, c in SHEET_KEYS.items()]
+    own = F.col("sample_genome_id") if "sample_genome_id" in samples.columns else F.concat_ws("_", "sample", F.lit(genome))
+    ids = [F.col("sample").alias("GEOsampleID"), own.alias("sample_genome_id"), F.lit(genome).alias("genome")]
+    counters = [_as_struct(v).alias(k) for k, v in SKELETON.items()]
+    whole = F.struct(*ids, *of_sheet, *counters, F.array().cast("array<string>").alias("log"))
     return samples.select("sample", F.to_json(whole, {"ignoreNullFields": "false"}).alias("document"))
 
 

@@ -118,8 +118,11 @@ def test_documents(spark):
     rows = spark.createDataFrame([("S", "reads.trimmed.length.max", 5), ("S", "sites", 7), ("S", "a.b", 1)], "sample string, key string, value long")
     texts = spark.createDataFrame([("S", "source", 'li"ver')], "sample string, key string, text string")
     assert json.loads(support.nested_documents(rows, "G", texts).first().document) == {"a": {"G": {"b": 1}}, "G": {"sites": 7}, "reads": {"trimmed": {"length": {"G": {"max": 5}}}}, "source": 'li"ver'}
-    new = json.loads(support.skeleton_documents(spark.createDataFrame([("S", "DRS", None, "t")], "sample string, protocol string, source string, treatment string")).first().document)
+    sheet = spark.createDataFrame([("S", "DRS", None, "t", True)], "sample string, protocol string, source string, treatment string, reverse_compl boolean")
+    new = json.loads(support.skeleton_documents(sheet, "G38").first().document)
     assert new["reads"]["valid"]["cutoffs"] == {"maxLength": 0, "maxAs": 0.8, "maxNs": 2} and new["sites"]["all"]["internalpriming"]["reads"] == {"plus": 0, "minus": 0} and new["source"] is None
+    assert new["reads"]["raw"] == {"nr": 0, "md5sum": "", "length": {"max": 0, "min": 0}} and new["reads"]["trimmed"]["md5sumNoPolyA"] == "" and new["log"] == []
+    assert (new["GEOsampleID"], new["sample_genome_id"], new["genome"], new["tobereversed"], new["title"], new["visible"]) == ("S", "S_G38", "G38", True, None, True)
 
 
 def test_better_of_two_adapters(spark):
