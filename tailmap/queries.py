@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -729,6 +730,15 @@ def nested_documents(spark, sf):
     return support.nested_documents(metrics, "GRCh38", per.select("sample", F.lit("protocol").alias("key"), F.lit("3P-Seq").alias("text")))
 
 
+_KEYS_SQL = " || ',' || ".join([f"'\"{k}\":\"' || {c} || '\"'" if c in ("protocol", "sex") else f"'\"{k}\":null'" for k, c in support.SHEET_KEYS.items()])
+_COUNTERS = json.dumps(support.SKELETON, separators=(",", ":"))[1:-1]
+
+
+@_query(sql_of("samples") + f"select sample, '{{\"GEOsampleID\":\"' || sample || '\",\"sample_genome_id\":\"' || sample || '_G\",\"genome\":\"G\",' || {_KEYS_SQL} || ',{_COUNTERS},\"log\":[]}}' as document from samples")
+def skeleton_documents(spark, sf):
+    return support.skeleton_documents(view(spark, sf, "samples"), "G")
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Sites of all samples, normalized, clustered and merged."""
     return _merged(spark, sf)
