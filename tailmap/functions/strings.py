@@ -64,9 +64,30 @@ def edit_string(cigar: str, md: str, seq: str) -> str:
     return "".join(out)
 
 
+def _letters(text: Column, of: Callable[[Column], Column]) -> Column:
+    """What ``of`` makes of each letter, joined."""
+    return F.array_join(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), of), "")
+
+
 def mmid(cigar: Column, md: Column, seq: Column) -> Column:
-    """``edit_string`` of every row; null where a part is missing."""
-    return _udf(edit_string, "string", cigar, md, seq)
+    """``edit_string`` of every row, by built-in functions; null where a part is missing.
+
+    The mismatch string becomes a line with a letter for each position of the reference, = where the read has the same.  The
+    steps of the CIGAR are followed along that line and the read, and runs of = are counted at the end.
+    """
+    line = F.array_join(F.transform(F.regexp_extract_all(md, F.lit(r"\d+|\^[A-Za-z]+|[A-Za-z]"), F.lit(0)), lambda t: F.when(t.rlike(r"^\d"), F.repeat(F.lit("="), t.try_cast("int"))).otherwise(F.ltrim(t, F.lit("^")))), "")
+    steps = F.transform(F.regexp_extract_all(cigar, F.lit(r"\d+[SIDM]"), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, r"\d+", 0).cast("int").alias("n"), F.right(x, F.lit(1)).alias("step")))
+
+    def follow(at: Column, x: Column) -> Column:
+        n, step = x["n"], x["step"]
+        here, read = F.substring(line, at["ref"] + 1, n), F.substring(seq, at["read"] + 1, n)
+        both = F.array_join(F.zip_with(F.split(here, ""), F.split(read, ""), lambda r, c: F.when((r == "=") | (F.coalesce(r, F.lit("")) == ""), F.coalesce(r, F.lit(""))).otherwise(F.concat(F.lit("M"), r, c))), "")
+        made = F.when(step == "M", F.when(here.rlike("^=*$"), here).otherwise(both)).when(step == "I", _letters(read, lambda c: F.concat(F.lit("I"), c))).when(step == "D", _letters(here, lambda c: F.concat(F.lit("D"), c))).otherwise(F.lit(""))
+        return F.struct((at["ref"] + F.when(step.isin("M", "D"), n).otherwise(0)).alias("ref"), (at["read"] + F.when(step == "D", 0).otherwise(n)).alias("read"), F.concat(at["out"], made).alias("out"))
+
+    walked = F.aggregate(steps, F.struct(F.lit(0).alias("ref"), F.lit(0).alias("read"), F.lit("").alias("out")), follow, lambda a: a["out"])
+    counted = F.transform(F.regexp_extract_all(walked, F.lit("=+|[^=]+"), F.lit(0)), lambda t: F.when(F.startswith(t, F.lit("=")), F.length(t).cast("string")).otherwise(t))
+    return F.when(cigar.isNotNull() & md.isNotNull() & seq.isNotNull(), F.array_join(counted, ""))
 
 
 def spliced_cigar(cigar: str, strand: str, fragments: list[int]) -> str:

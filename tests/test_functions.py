@@ -136,3 +136,25 @@ def test_adapters_by_a_plain_table():
         for k, s in enumerate(seqs):
             want = plain_place(s, adapter, rate, overlap)
             assert (int(matches[k]), int(begins[k]) if matches[k] >= 0 else 0) == want, (s, adapter)
+
+
+def test_edit_strings_by_built_in_functions(spark):
+    rng = random.Random(3)
+    rows = [("30M", "30", "A" * 30), ("3S5M1I4M2D3M", "5A3^CG3", "TTTAAAAAGCAAAAAA"), ("4M", None, "ACGT"), (None, "4", "ACGT"), ("5M100N5M", "4A5", "ACGTACGTAC"), ("2M", "0A0C0", "GT")]
+    for _ in range(150):
+        cigar, md, run, seq = "", "", 0, ""
+        for k, step in enumerate(["S"] * rng.randint(0, 1) + ["M"] + [x for _ in range(rng.randint(0, 3)) for x in (rng.choice("IDN"), "M")] + ["S"] * rng.randint(0, 1)):
+            n = rng.randint(1, 9)
+            cigar += f"{n}{step}"
+            seq += "".join(rng.choices("ACGT", k=0 if step in "DN" else n))
+            if step == "D":
+                md, run = md + f"{run}^" + "".join(rng.choices("ACGT", k=n)), 0
+            for _ in range(n if step == "M" else 0):
+                if rng.random() < 0.2:
+                    md, run = md + f"{run}{rng.choice('ACGTN')}", 0
+                else:
+                    run += 1
+        rows.append((cigar, md + str(run), seq))
+    got = spark.createDataFrame(list(enumerate(rows)), "i int, r struct<cigar:string,md:string,seq:string>").select("i", X.mmid(F.col("r.cigar"), F.col("r.md"), F.col("r.seq")).alias("m")).collect()
+    for r in got:
+        assert r.m == (None if None in rows[r.i] else X.edit_string(*rows[r.i])), rows[r.i]
