@@ -157,8 +157,9 @@ class Aligner:
         return [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)]
 
     def _by_b(self, texts: list[str]) -> list[list[int]]:
-        plain = [t[1:] if t[0] == " " else "\n" + t for t in texts]
-        return [ids if t[0] == " " else ids[self.before :] for t, ids in zip(texts, self.b.encode(plain, num_threads=1), strict=True)]
+        # An empty text gets no space from B, so a space alone is told as parts without one are.
+        plain = [t[1:] if t[0] == " " != t else "\n" + t for t in texts]
+        return [ids if t[0] == " " != t else ids[self.before :] for t, ids in zip(texts, self.b.encode(plain, num_threads=1), strict=True)]
 
     def _told(self, text: str, a: list[int], b: list[int]) -> tuple[int, int, tuple[str, ...]] | None:
         """Numbers of tokens and groups of a part; None where the tokens' bytes are not the text's."""
