@@ -59,7 +59,8 @@ def overlap_join(left: DataFrame, right: DataFrame, *, how: str = "inner", keys:
     condition = met & first
     for c in same:
         condition &= c
-    pairs = a.join(b, condition).drop("_l", "_side", "_b", f"{prefix}_l", f"{prefix}_side", f"{prefix}_b")
+    # By size a planner would send a side to all tasks, as it does not see that rows are dealt to several bins.
+    pairs = a.join(b.hint("merge"), condition).drop("_l", "_side", "_b", f"{prefix}_l", f"{prefix}_side", f"{prefix}_b")
     if how == "inner":
         return pairs
     alone = named.join(pairs.select("_row").distinct(), "_row", "left_anti")
@@ -108,12 +109,27 @@ def annotate(clusters: DataFrame, features: DataFrame, *, id_col: str = "cluster
     return clusters.join(best, F.col(id_col) == F.col("_id"), "left").drop("_id").withColumn("annotation", F.coalesce("annotation", F.lit("IG")))
 
 
+def counted_genes(clusters: DataFrame, genes: DataFrame, *, id_col: str = "cluster_id") -> DataFrame:
+    """``clusters`` with gene_name and gene_id: arrays of value and n, the genes that overlap, sorted by id, and how often; or null.
+
+    Pairs are counted as they are found, so that what travels hangs on the genes of a cluster, not on its overlaps.
+    """
+    pairs = overlap_join(clusters.select(id_col, "chr", "strand", "s", "e"), genes.select("chr", "strand", "s", "e", "gene_id", "gene_name"))
+    counts = pairs.groupBy(F.col(id_col).alias("_id"), "r_gene_id", "r_gene_name").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    sets = counts.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("r_gene_id", "r_gene_name", "n"))).alias("g"))
+    of = lambda c: F.transform("g", lambda x: F.struct(x[c].alias("value"), x["n"].alias("n")))
+    return clusters.join(sets.select("_id", of("r_gene_name").alias("gene_name"), of("r_gene_id").alias("gene_id")), F.col(id_col) == F.col("_id"), "left").drop("_id")
+
+
+def spelled(counted: Column) -> Column:
+    """The values of ``counted_genes``, each as often as it was counted, joined by |; without those that are null."""
+    one = lambda x: F.when(x["value"].isNotNull(), F.array_join(F.array_repeat(x["value"], x["n"]), "|"))
+    return F.array_join(F.transform(counted, one), "|")
+
+
 def gene_overlaps(clusters: DataFrame, genes: DataFrame, *, id_col: str = "cluster_id") -> DataFrame:
     """``clusters`` with gene_name and gene_id of all genes that overlap, sorted by id and joined by |, or null."""
-    pairs = overlap_join(clusters.select(id_col, "chr", "strand", "s", "e"), genes.select("chr", "strand", "s", "e", "gene_id", "gene_name"))
-    sets = pairs.groupBy(F.col(id_col).alias("_id")).agg(F.array_sort(F.collect_list(F.struct("r_gene_id", "r_gene_name"))).alias("g"))
-    names = sets.select("_id", F.array_join("g.r_gene_name", "|").alias("gene_name"), F.array_join("g.r_gene_id", "|").alias("gene_id"))
-    return clusters.join(names, F.col(id_col) == F.col("_id"), "left").drop("_id")
+    return counted_genes(clusters, genes, id_col=id_col).withColumns({c: spelled(F.col(c)) for c in ("gene_name", "gene_id")})
 
 
 def genes_with_kept(gtf: DataFrame, types: tuple[str, ...], *, level: int | None = None) -> DataFrame:
