@@ -47,7 +47,7 @@ def write_tracks(rows: DataFrame, path: str, by: list[str]) -> None:
 def locus_rows(clusters: DataFrame, genes: DataFrame | None = None, per_sample: DataFrame | None = None, labels: DataFrame | None = None, *, id_col: str = "cluster_id") -> DataFrame:
     """Clusters that are no candidates for internal priming, in the columns of the locus search.
 
-    genes (id, gene_name, gene_id) adds names; per_sample (id, sample, tpm) and labels (sample, label) add a column for each
+    genes (id, gene_name, gene_id; as text, or counted, to be spelled out behind a sort) adds names; per_sample (id, sample, tpm) and labels (sample, label) add a column for each
     sample, under its label: as many as the sheet has.
     """
     rows = clusters.where(~F.col("is_ip_candidate"))
