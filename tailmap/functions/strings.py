@@ -132,10 +132,11 @@ def reverse_md(md: Column) -> Column:
     return _udf(reversed_md, "string", md)
 
 
-#: A cell of the alignment table is one number: its cost, its matches (20 bits) and where the stretch of the read begins (20 bits).
-_COST, _MATCH = 40, 20
-#: Cells of the table that are kept at a time.
-_CELLS = 1 << 22
+#: A cell of the alignment table is one number: its cost, 2 bits of which way it came from (kept at zero), its matches and where
+#: the stretch of the read begins.  Adapters of up to so many letters take cells of 32 bits, with 5 of them for the matches.
+_BEGIN, _SHORT = 20, 30
+#: Letters of a block of sequences, and sequences of it.
+_CELLS, _BLOCK = 1 << 22, 1 << 14
 
 
 def adapter_places(seqs: list[str], adapter: str, error_rate: float, overlap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,9 +157,9 @@ def adapter_places(seqs: list[str], adapter: str, error_rate: float, overlap: in
     at = 0
     while at < len(seqs):
         width = max(1, int(lengths[longest_first[at]]))
-        if width >= 1 << _MATCH:
+        if width >= 1 << _BEGIN:
             raise ValueError("a read is longer than a million letters")
-        part = longest_first[at : at + max(1, _CELLS // width)]
+        part = longest_first[at : at + max(1, min(_BLOCK, _CELLS // width))]
         matches[part], begins[part] = _places([seqs[i] for i in part], lengths[part], adapter, error_rate, overlap)
         at += len(part)
     return matches, begins
@@ -167,37 +168,58 @@ def adapter_places(seqs: list[str], adapter: str, error_rate: float, overlap: in
 def _places(seqs: list[str], lengths: np.ndarray, adapter: str, error_rate: float, overlap: int) -> tuple[np.ndarray, np.ndarray]:
     """``adapter_places`` of sequences by falling length."""
     m, n, width = len(adapter), len(seqs), int(lengths[0])
-    letters = np.frombuffer("".join(s.ljust(width, "\0") for s in seqs).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(n, width).T
-    allowed = [int(error_rate * i) for i in range(m + 1)]
-    cells = [np.full(n, i << _COST, dtype=np.int64) for i in range(m + 1)]
+    letters = np.frombuffer("".join(s.ljust(width, "\0") for s in seqs).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(n, width).T.copy()
+    kind, bits = (np.uint32, 5) if m <= _SHORT else (np.uint64, 20)
+    way = _BEGIN + bits
+    at_cost = way + 2
+    one, match, by_adapter, by_read, kept = (kind(x) for x in (1 << at_cost, 1 << _BEGIN, 1 << way, 2 << way, np.iinfo(kind).max ^ (3 << way)))
+    limits = [kind((min(int(error_rate * i), m) + 1) << at_cost) for i in range(m + 1)]
+    cells = [np.full(n, i << at_cost, dtype=kind) for i in range(m + 1)]
+    spare, before, top, chosen = (np.empty(n, dtype=kind) for _ in range(4))
     best, begins = np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int64)
     ended = np.searchsorted(-lengths, -np.arange(width + 1), side="left")  # how many are longer than so many letters
 
-    def offer(cell: np.ndarray, i: int, lo: int, hi: int) -> None:
-        """Take this cell of the sequences from lo to hi where it is better than what they have."""
-        cost = cell >> _COST
-        score = np.where(cost <= allowed[i], (((cell >> _MATCH) & ((1 << _MATCH) - 1)) << _MATCH) + m - cost, -1)
-        better = score > best[lo:hi]
-        best[lo:hi][better] = score[better]
-        begins[lo:hi][better] = (cell & ((1 << _MATCH) - 1))[better]
+    def offer(cell: np.ndarray, i: int, lo: int) -> None:
+        """Take this cell of the sequences from lo on where it is better than what they have."""
+        few = np.flatnonzero(cell < limits[i])
+        if not len(few):
+            return
+        said, at = cell[few].astype(np.int64), few + lo
+        score = (((said >> _BEGIN) & ((1 << bits) - 1)) << _BEGIN) + m - (said >> at_cost)
+        better = score > best[at]
+        best[at[better]], begins[at[better]] = score[better], (said & ((1 << _BEGIN) - 1))[better]
 
     for j in range(width):
         live = int(ended[j])
-        x, diagonal = letters[j, :live], cells[0][:live]
-        cells[0] = above = np.full(live, j + 1, dtype=np.int64)
+        equal = {c: np.negative((letters[j, :live] == ord(c)).astype(kind)) for c in set(adapter)}
+        before[:live], top[:live] = j, j + 1
+        diagonal, above, out = before, top[:live], chosen[:live]
         for i, c in enumerate(adapter, 1):
-            left = cells[i][:live]
-            by_d, by_a, by_l = diagonal >> _COST, above >> _COST, left >> _COST
-            other = np.where((by_d <= by_a) & (by_d <= by_l), diagonal, np.where(by_a <= by_l, above, left)) + (1 << _COST)
-            above = (diagonal if c == "N" else np.where(x == ord(c), diagonal, other - (1 << _MATCH))) + (1 << _MATCH)
-            diagonal, cells[i] = left, above
+            left, new, d = cells[i][:live], spare[:live], diagonal[:live]
+            if c == "N":
+                np.add(d, match, out=new)
+            else:
+                # The way with the least cost, of equal ones the first: marks below the cost tell them apart, and go.
+                np.bitwise_or(above, by_adapter, out=new)
+                np.minimum(new, d, out=new)
+                np.bitwise_or(left, by_read, out=out)
+                np.minimum(new, out, out=new)
+                np.bitwise_and(new, kept, out=new)
+                np.add(new, one, out=new)
+                # Where letters are equal, the diagonal.
+                np.add(d, match, out=out)
+                np.bitwise_xor(out, new, out=out)
+                np.bitwise_and(out, equal[c], out=out)
+                np.bitwise_xor(new, out, out=new)
+            diagonal, cells[i], spare, above = cells[i], spare, diagonal, new
+        before = diagonal
         if m >= overlap:
-            offer(above, m, 0, live)
+            offer(above, m, 0)
         still = int(ended[j + 1])
-        for i in range(overlap, m + 1):
-            if still < live:
-                offer(cells[i][still:live], i, still, live)
-    return np.where(best < 0, -1, best >> _MATCH), begins
+        if still < live:
+            for i in range(overlap, m + 1):
+                offer(cells[i][still:live], i, still)
+    return np.where(best < 0, -1, best >> _BEGIN), begins
 
 
 def _by_adapter(seqs: list[str], adapters: list[str], error_rate: float, overlap: int) -> tuple[np.ndarray, np.ndarray]:
