@@ -1,11 +1,12 @@
 """Functions over alignment strings and adapters that built-in expressions cannot express, as Arrow UDFs over whole batches.
 
-Those on alignment strings wrap a small function of one value; adapters are aligned in arrays over a batch.  Null arguments give
+Those on alignment strings wrap a small function of one value, or share a template; adapters are aligned in arrays over a batch.  Null arguments give
 null.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 
@@ -64,30 +65,50 @@ def edit_string(cigar: str, md: str, seq: str) -> str:
     return "".join(out)
 
 
-def _letters(text: Column, of: Callable[[Column], Column]) -> Column:
-    """What ``of`` makes of each letter, joined."""
-    return F.array_join(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), of), "")
+_STEPS, _MISMATCHES, _RUNS = re.compile(r"([0-9]+)([SIDM])"), re.compile(r"[0-9]+|\^[A-Za-z]+|[A-Za-z]"), re.compile("(=+)")
 
 
-def mmid(cigar: Column, md: Column, seq: Column) -> Column:
-    """``edit_string`` of every row, by built-in functions; null where a part is missing.
+def _walked(cigar: str, md: str, letters: list[str]) -> str:
+    """The steps of the CIGAR followed along the mismatch string and the read, runs of matches counted at the end.
 
-    The mismatch string becomes a line with a letter for each position of the reference, = where the read has the same.  The
-    steps of the CIGAR are followed along that line and the read, and runs of = are counted at the end.
+    The mismatch string is a line with a letter for each position of the reference, = where the read has the same.
     """
-    line = F.array_join(F.transform(F.regexp_extract_all(md, F.lit(r"\d+|\^[A-Za-z]+|[A-Za-z]"), F.lit(0)), lambda t: F.when(t.rlike(r"^\d"), F.repeat(F.lit("="), t.try_cast("int"))).otherwise(F.ltrim(t, F.lit("^")))), "")
-    steps = F.transform(F.regexp_extract_all(cigar, F.lit(r"\d+[SIDM]"), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, r"\d+", 0).cast("int").alias("n"), F.right(x, F.lit(1)).alias("step")))
-
-    def follow(at: Column, x: Column) -> Column:
-        n, step = x["n"], x["step"]
-        here, read = F.substring(line, at["ref"] + 1, n), F.substring(seq, at["read"] + 1, n)
-        both = F.array_join(F.zip_with(F.split(here, ""), F.split(read, ""), lambda r, c: F.when((r == "=") | (F.coalesce(r, F.lit("")) == ""), F.coalesce(r, F.lit(""))).otherwise(F.concat(F.lit("M"), r, c))), "")
-        made = F.when(step == "M", F.when(here.rlike("^=*$"), here).otherwise(both)).when(step == "I", _letters(read, lambda c: F.concat(F.lit("I"), c))).when(step == "D", _letters(here, lambda c: F.concat(F.lit("D"), c))).otherwise(F.lit(""))
-        return F.struct((at["ref"] + F.when(step.isin("M", "D"), n).otherwise(0)).alias("ref"), (at["read"] + F.when(step == "D", 0).otherwise(n)).alias("read"), F.concat(at["out"], made).alias("out"))
-
-    walked = F.aggregate(steps, F.struct(F.lit(0).alias("ref"), F.lit(0).alias("read"), F.lit("").alias("out")), follow, lambda a: a["out"])
-    counted = F.transform(F.regexp_extract_all(walked, F.lit("=+|[^=]+"), F.lit(0)), lambda t: F.when(F.startswith(t, F.lit("=")), F.length(t).cast("string")).otherwise(t))
-    return F.when(cigar.isNotNull() & md.isNotNull() & seq.isNotNull(), F.array_join(counted, ""))
+    line = "".join(["=" * (int(t) if int(t) < 1 << 31 else 0) if t[0].isdigit() else t.lstrip("^") for t in _MISMATCHES.findall(md)])
+    out, at_ref, at_read = [], 0, 0
+    for n, step in ((int(n), s) for n, s in _STEPS.findall(cigar)):
+        here, read = line[at_ref : at_ref + n], letters[at_read : at_read + n]
+        if step == "M":
+            # A mismatch behind the read's end is left out, but for a step's first, which has no letter of the read.
+            out += [r if r == "=" else f"M{r}{''.join(read[k : k + 1])}" for k, r in enumerate(here) if r == "=" or k == 0 or k < len(read)]
+        elif step in "ID":
+            out += [step + c for c in (read if step == "I" else here)]
+        at_ref += n * (step in "MD")
+        at_read += n * (step != "D")
+    return "".join([str(len(t)) if t[:1] == "=" else t for t in _RUNS.split("".join(out))])
+
+
+@functools.lru_cache(maxsize=4096)
+def _template(cigar: str, md: str, length: int) -> tuple[str, tuple[int, ...]]:
+    """What ``_walked`` makes of any read of so many letters, with %s where it has a letter of the read, and which these are."""
+    parts = _walked(cigar, md, [f"\0{k}\0" for k in range(length)]).split("\0")
+    return "%s".join(parts[::2]), tuple(map(int, parts[1::2]))
+
+
+def walked_all(cigars: list[str], mds: list[str], seqs: list[str]) -> list[str]:
+    """``_walked`` of each; those of equal CIGAR, mismatches and length share a template."""
+    out = []
+    for cigar, md, seq in zip(cigars, mds, seqs, strict=True):
+        if "=" in seq:  # counts as a match, so it is no letter like others
+            out.append(_walked(cigar, md, list(seq)))
+        else:
+            shape, places = _template(cigar, md, len(seq))
+            out.append(shape % tuple([seq[k] for k in places]))
+    return out
+
+
+def mmid(cigar: Column, md: Column, seq: Column) -> Column:
+    """``edit_string`` of every row, a batch at a time; null where a part is missing."""
+    return _batch_udf(walked_all, cigar, md, seq)
 
 
 def spliced_cigar(cigar: str, strand: str, fragments: list[int]) -> str:
