@@ -43,8 +43,6 @@ NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 NEAR, TERM, MIN_SUPPORT, GENERALISE, REMOVE = 80, r"[\p{L}\p{N}]{3,}+", 3, 0.8, 0.95
 
 
-#: So many terms that are wanted are sent to all tasks; of more, all words of the corpus are counted.
-FEW_TERMS = 100_000
 #: Elements that are summed at a time, and the power of two of a piece's characters.
 BLOCK, PIECE_BITS = 256, 10
 
@@ -156,27 +154,20 @@ def scan_base(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.when(F.size("base") > 0, spans).otherwise(none).alias("spans"))
 
 
-def _document_counts(docs: DataFrame, repeated: DataFrame, terms: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    """term, n_term: in how many documents each of ``terms`` occurs, rows that repeat a document counted once.
+def _document_counts(docs: DataFrame, repeated: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """term, n_term: in how many documents each word occurs, rows that repeat a document counted once.
 
-    repeated: doc_id, text_key, copies of such documents.  Words are counted before they are shuffled; only wanted ones where
-    these are few enough to be sent to all.
+    repeated: doc_id, text_key, copies of such documents.  Words are counted before they are shuffled, and meet wanted terms
+    only as counts: a join with the words of the documents has a row for each document that holds a term.
     """
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    few = terms.limit(FEW_TERMS + 1).count() <= FEW_TERMS
-
-    def counted(some: DataFrame, by: Column) -> DataFrame:
-        held = some.select(F.explode(words).alias("term"), by.alias("by"))
-        held = held.join(F.broadcast(terms), "term", "left_semi") if few else held
-        return held.groupBy("term").agg(F.sum("by").alias("n"))
-
-    all_ = counted(rows, F.lit(1))
-    if repeated.isEmpty():
-        return all_.select("term", F.col("n").alias("n_term"))
-    again = repeated.select(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"), "copies")
-    one = rows.join(again, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.xxhash64("text") == F.col("r_key"))).dropDuplicates(["r_id", "r_key"])
-    return all_.union(counted(one, 1 - F.col("copies"))).groupBy("term").agg(F.sum("n").alias("n_term"))
+    held = rows.select(F.explode(words).alias("term"), F.lit(1).cast("long").alias("by"))
+    if not repeated.isEmpty():
+        again = repeated.select(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"), "copies")
+        one = rows.join(again, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.xxhash64("text") == F.col("r_key"))).dropDuplicates(["r_id", "r_key"])
+        held = held.union(one.select(F.explode(words).alias("term"), (1 - F.col("copies")).alias("by")))
+    return held.groupBy("term").agg(F.sum("by").alias("n_term"))
 
 
 def near_terms(scanned: DataFrame) -> DataFrame:
@@ -213,7 +204,7 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, *, id_col: str = "doc_
     information = F.log(F.lit(float(n)) / F.col("n_entity"))
     pmi = F.log(F.lit(float(n)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
     share = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
-    counts = _document_counts(docs, documents.where("copies > 1"), pairs.select("term").distinct(), id_col=id_col, text_col=text_col)
+    counts = _document_counts(docs, documents.where("copies > 1"), id_col=id_col, text_col=text_col)
     weighed = pairs.join(holders, "entity").join(counts, "term").select("entity", "term", share.alias("share"))
     weighed = stored(weighed.where(F.col("share") >= generalise), "disclosing")
     return near.join(weighed, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
