@@ -19,6 +19,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from .common import shared_dir
 #: Characters whose class (letter, number, space, other) is the same in all versions of Unicode that matter here.
 PLAIN = r"[^\t\n\r\x20-\x7e¡-ȳЀ-џА-я‐-‧ぁ-ゖァ-ヺ一-龥가-힣]"
 #: Entries of a worker's cache of pre-tokens, and the longest pre-token that is kept.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 64
+CACHE_ENTRIES, CACHE_CHARS = 800_000, 32
 
 MANIFEST = "shard int, path string, first_id long, last_id long, n_docs long, n_ids long, n_bytes long"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -60,10 +61,20 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str], at_once: int = 4096) -> list[bytes]:
+        """Packed ids of pre-tokens, many in one call of the library, cut where its ids go to the next one."""
+        out: list[bytes] = []
+        for at in range(0, len(words), at_once):
+            part = words[at : at + at_once]
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ends = np.flatnonzero(np.diff(np.array(found.word_ids))) + 1
+            packed, ends = np.array(found.ids, dtype=self.dtype).tobytes(), [0, *(ends * self.dtype.itemsize).tolist(), len(found.ids) * self.dtype.itemsize]
+            # A file that has no ids for some pre-token leaves it out.
+            out += [packed[a:b] for a, b in pairwise(ends)] if len(ends) == len(part) + 1 else self._library(part)
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
         out: list[bytes | None] = [None] * len(texts)
         split: list[tuple[int, list[str]]] = []
         whole: list[int] = []
@@ -72,17 +83,17 @@ class Encoder:
                 whole.append(i)
             else:
                 split.append((i, self.split(text)))
-        known, new = self.cache, set()
-        for _, words in split:
-            new.update(w for w in words if w not in known)
-        fresh = list(new)
-        extra = dict(zip(fresh, self._library(fresh), strict=True)) if fresh else {}
-        known.update((w, b) for w, b in extra.items() if len(w) <= CACHE_CHARS)
+        words = set().union(*[w for _, w in split])
+        if len(self.cache) > CACHE_ENTRIES:
+            # What these texts hold stays, so that frequent pre-tokens are not encoded anew.
+            self.cache = {w: self.cache[w] for w in words if w in self.cache}
+        fresh = list(words.difference(self.cache))
+        self.cache.update(zip(fresh, self._words(fresh), strict=True))
+        for i, w in split:
+            out[i] = b"".join(map(self.cache.__getitem__, w))
         for w in fresh:
-            if len(w) <= CACHE_CHARS:
-                del extra[w]
-        for i, words in split:
-            out[i] = b"".join([known[w] if w in known else extra[w] for w in words]) if extra else b"".join(map(known.__getitem__, words))
+            if len(w) > CACHE_CHARS:
+                del self.cache[w]
         for i, b in zip(whole, self._library([texts[i] for i in whole]) if whole else [], strict=True):
             out[i] = b
         return out

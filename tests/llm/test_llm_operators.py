@@ -675,6 +675,28 @@ def test_unequal_odds(spark):
 # Token output
 
 
+def test_frequent_words_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(token_output, "CACHE_ENTRIES", 50)
+    made = token_output.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    library, asked = made.tokenizer, []
+
+    class Counting:
+        def encode(self, words, **options):
+            asked.extend(words)
+            return library.encode(words, **options)
+
+        def encode_batch_fast(self, words, **options):
+            asked.extend(words)
+            return library.encode_batch_fast(words, **options)
+
+    made.tokenizer = Counting()
+    for k in range(20):
+        texts = [f"zanzibar 's quokka{'x' * j} {'y' * (40 + k)} n{k}_{j}  \u65e5\u672c\n" for j in range(10)] + ["", " ", "\n\n "]
+        want = [np.array(library.encode(t, add_special_tokens=False).ids, dtype=made.dtype).tobytes() for t in texts]
+        assert made.encode(texts) == want
+    assert asked.count("zanzibar") == 1 and asked.count(" quokkax") == 1 and len(made.cache) < 200
+
+
 def test_shards(spark, tmp_path):
     from tokenizers import Tokenizer
 
