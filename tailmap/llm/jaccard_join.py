@@ -39,6 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -142,6 +143,12 @@ def enough(shared, n, m, percent: int):
     return (100 + percent) * shared >= percent * (n + m)
 
 
+def in_pairs(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those rows of ``nodes`` whose node is in a pair (u, v): a round has few pairs, and the others need not travel to meet them."""
+    ends = stored(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "pair-ends")
+    return nodes.join(ends, "node", "left_semi")
+
+
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Those pairs (u, v) whose points' summed minima are enough for a link."""
     of = lambda c: points.select(*[F.col(x).alias(f"{x}_{c}") for x in ("node", "n", "own", "points")])
@@ -313,10 +320,10 @@ def joined_groups(docs: DataFrame, *, percent: int = PERCENT, shingle: int = SHI
     # Of documents with one set the smallest id stands for all; its roots are read where they are.
     first = F.min(F.struct("doc_id", "row"))
     classes = stored(named.groupBy("set_key").agg(first.alias("of")).select("set_key", F.col("of.doc_id").alias("node"), F.col("of.row").alias("row")), "classes")
-    # Most roots are of one document: they go first, by their number alone, which is little to shuffle.
-    several = stored(named.select(F.explode("roots").alias("root")).groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root"), "roots-of-several")
+    # Most roots are of one document: they go first, where they have been dealt by root once.
     held = rows.select("row", "roots").join(classes.select("row", "node"), "row").select("node", F.explode("roots").alias("root"))
-    held = stored(held.join(several, "root"), "held-by-several")
+    held = held.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("root"))).where("n > 1")
+    held = stored(held.select("root", "node"), "held-by-several")
     # Copies are one document now.  Roots of the same documents, told by their number and 128 bits of their ids, are one.
     ids = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in range(2)]
     shared = held.groupBy("root").agg(F.count(F.lit(1)).alias("n"), *ids).where("n > 1")
@@ -326,7 +333,8 @@ def joined_groups(docs: DataFrame, *, percent: int = PERCENT, shingle: int = SHI
     repeated = stored(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("node")), "repeated-ids")
     if not repeated.isEmpty():
         texts = texts.join(repeated, "node", "left_anti").union(texts.join(repeated, "node", "left_semi").dropDuplicates())
-    wanted = held.select("node").distinct()
+    # Stored, so that their real size decides whether texts are shuffled to meet them.
+    wanted = stored(held.select("node").distinct(), "wanted")
     sets = stored(document_sets(texts.join(wanted, "node", "left_semi"), shingle=shingle), "sets")
     points = stored(set_points(sets, percent=percent), "points")
     versions = named.select(F.col("doc_id").alias("node"), "set_key").join(repeated, "node").distinct().select(F.col("node").alias("u"), "set_key").join(classes.select("set_key", F.col("node").alias("v")), "set_key").select("u", "v")
@@ -344,8 +352,8 @@ def joined_groups(docs: DataFrame, *, percent: int = PERCENT, shingle: int = SHI
         pairs = stored(pairs if checked is None else pairs.join(checked, ["u", "v"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
-        near = stored(bounded(pairs, points, percent) if turn < star_rounds else pairs, "near")
-        links = links.union(stored(_linked(near, sets, percent), "links"))
+        near = stored(bounded(pairs, in_pairs(points, pairs), percent) if turn < star_rounds else pairs, "near")
+        links = links.union(stored(_linked(near, in_pairs(sets, near), percent), "links"))
         checked = pairs if checked is None else checked.union(pairs)
         labels = connected_components(links)
     found = classes.select(F.col("set_key").alias("k"), "node")

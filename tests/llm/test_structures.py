@@ -237,6 +237,23 @@ def test_links_are_those_of_all_pairs(spark, rounds):
     assert jaccard_join.joined_groups(docs.limit(0)).count() == 0
 
 
+def test_only_sets_of_pairs_are_compared(spark, monkeypatch):
+    base = [" ".join(f"w{k}_{i}" for i in range(60)) for k in range(4)]
+    # Two of the four have a near copy; the other two share a long passage with one another, which is too little for a link.
+    texts = [*base[:2], *[t + " end" for t in base[:2]], base[2], base[2][: len(base[2]) * 2 // 3] + " " + base[3]]
+    seen, linked = [], jaccard_join._linked
+
+    def looked(pairs, sets, percent):
+        ends = {x for r in pairs.collect() for x in (r.u, r.v)}
+        seen.append(({r.node for r in sets.select("node").collect()}, ends))
+        return linked(pairs, sets, percent)
+
+    monkeypatch.setattr(jaccard_join, "_linked", looked)
+    got = {r.doc_id: r.component_id for r in jaccard_join.joined_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 1, 4: 4, 5: 5}
+    assert seen and all(nodes == ends for nodes, ends in seen) and {0, 1, 2, 3} <= set().union(*[e for _, e in seen])
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_linked_sets_share_a_root(percent):
     """Every pair of sets that is just similar enough has a root in common, and enough in its points."""
