@@ -100,6 +100,23 @@ def roots_of(values: np.ndarray, k: int, groups: int, spare: int) -> np.ndarray:
     return keys if (~filled).sum() >= spare else keys[filled]
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """A point as bytes, an even number of counts: the bits of a count, then four bits each where all are below 16, as nearly all points are."""
+    most = int(counts.max(initial=0))
+    if most < 16:
+        low, high = np.split(counts.astype(np.uint8), 2)
+        return b"\4" + (low | high << 4).tobytes()
+    return b"\x08" + counts.astype(np.uint8).tobytes() if most < 256 else b"\x10" + counts.astype("<u2").tobytes()
+
+
+def counts_of(packed: bytes) -> np.ndarray:
+    """The counts that ``packed_counts`` was given."""
+    if packed[0] == 16:
+        return np.frombuffer(packed, "<u2", offset=1)
+    values = np.frombuffer(packed, np.uint8, offset=1)
+    return (values if packed[0] == 8 else np.concatenate([values & 15, values >> 4])).astype(np.uint16)
+
+
 def document_roots(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, set_key (128-bit hash of the set, null if empty), roots (array of bigint)."""
 
@@ -121,7 +138,7 @@ def document_roots(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PE
 
 
 def set_points(sets: DataFrame, *, percent: int = PERCENT) -> DataFrame:
-    """node, n, own (the class of its size), points: the counts, two bytes each, in its own class and those above it."""
+    """node, n, own (the class of its size), points: the packed counts in its own class and those above it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _small(batches):
@@ -132,7 +149,7 @@ def set_points(sets: DataFrame, *, percent: int = PERCENT) -> DataFrame:
                 inside = classes_of(len(hashes), classes, percent)
                 sizes.append(len(hashes))
                 own.append(inside[0] if inside else None)
-                points.append([np.diff(group_bounds(hashes, FINER * classes[k][2])).astype(np.uint16).tobytes() for k in inside])
+                points.append([packed_counts(np.diff(group_bounds(hashes, FINER * classes[k][2]))) for k in inside])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(own, pa.int32()), pa.array(points, pa.list_(pa.binary()))], names=["node", "n", "own", "points"])
 
     return sets.select("node", "hashes").mapInArrow(work, "node long, n long, own int, points array<binary>")
@@ -163,7 +180,7 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, m = b.column(2).to_numpy(), b.column(3).to_numpy()
-            shared = [int(np.minimum(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)).sum(dtype=np.int64)) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)]
+            shared = [int(np.minimum(counts_of(x), counts_of(y)).sum(dtype=np.int64)) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)]
             yield b.select([0, 1]).filter(pa.array(enough(np.array(shared, dtype=np.int64), n, m, percent)))
 
     return rows.mapInArrow(work, "u long, v long")
@@ -195,7 +212,7 @@ class _Packer:
         if not self.points:
             return
         n, node, component = (np.array([p[k] for p in self.points], dtype=np.int64) for k in range(3))
-        counts = np.stack([np.frombuffer(p[3], np.uint16) for p in self.points])
+        counts = np.stack([counts_of(p[3]) for p in self.points])
         self.points = []
         for i in range(len(n) - 1):
             good = np.flatnonzero(enough(_minima(counts[i], counts[i + 1 :]), n[i], n[i + 1 :], self.percent) & (component[i] != component[i + 1 :])) + i + 1
@@ -319,9 +336,12 @@ def joined_groups(docs: DataFrame, *, percent: int = PERCENT, shingle: int = SHI
     named = rows.where("doc_id is not null and set_key is not null")
     # Of documents with one set the smallest id stands for all; its roots are read where they are.
     first = F.min(F.struct("doc_id", "row"))
-    classes = stored(named.groupBy("set_key").agg(first.alias("of")).select("set_key", F.col("of.doc_id").alias("node"), F.col("of.row").alias("row")), "classes")
+    classes = stored(named.groupBy("set_key").agg(first.alias("of"), F.count(F.lit(1)).alias("n")).select("set_key", F.col("of.doc_id").alias("node"), F.col("of.row").alias("row"), "n"), "classes")
+    # Roots stay where they are: what is looked up are the rows that are copies, which are fewer than those that are not.
+    copied = stored(classes.where("n > 1").select("set_key", F.col("row").alias("first")), "copied-sets")
+    copies = stored(named.select("set_key", "row").join(copied, "set_key").where("row <> first").select("row"), "copies")
     # Most roots are of one document: they go first, where they have been dealt by root once.
-    held = rows.select("row", "roots").join(classes.select("row", "node"), "row").select("node", F.explode("roots").alias("root"))
+    held = named.join(copies, "row", "left_anti").select(F.col("doc_id").alias("node"), F.explode("roots").alias("root"))
     held = held.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("root"))).where("n > 1")
     held = stored(held.select("root", "node"), "held-by-several")
     # Copies are one document now.  Roots of the same documents, told by their number and 128 bits of their ids, are one.

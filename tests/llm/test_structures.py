@@ -254,6 +254,35 @@ def test_only_sets_of_pairs_are_compared(spark, monkeypatch):
     assert seen and all(nodes == ends for nodes, ends in seen) and {0, 1, 2, 3} <= set().union(*[e for _, e in seen])
 
 
+def test_points_travel_small_and_whole(spark):
+    import numpy as np
+
+    for top in (0, 1, 15, 16, 255, 256, 65_535):
+        counts = np.array([top, 0, 3, 1, 0, top, 2, 7])
+        assert jaccard_join.counts_of(jaccard_join.packed_counts(counts)).tolist() == counts.tolist()
+    texts = [" ".join(f"w{k}_{i}" for i in range(300)) for k in range(3)]
+    sets = jaccard_join.document_sets(spark.createDataFrame(list(enumerate(texts)), "node bigint, text string"), shingle=3)
+    for r in jaccard_join.set_points(sets).collect():
+        for k, point in enumerate(r.points):
+            groups = jaccard_join.FINER * jaccard_join.size_classes(r.n, jaccard_join.PERCENT)[r.own + k][2]
+            assert len(point) <= groups // 2 + 1 and jaccard_join.counts_of(point).sum() == r.n
+
+
+def test_roots_do_not_travel_to_the_sets_that_hold_them(spark, monkeypatch):
+    """Only rows that are copies of others are looked up, and their roots are left out."""
+    docs = spark.createDataFrame([(k, f"{k % 3} " + " ".join(f"w{k % 3}_{i}" for i in range(60))) for k in (5, 1, 2, 4, 7, 3, 10)] + [(None, "a b c d"), (11, None)], DOCS)
+    seen, stored = {}, jaccard_join.stored
+
+    def kept(df, name):
+        seen[name] = stored(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(jaccard_join, "stored", kept)
+    got = {r.doc_id: r.component_id for r in jaccard_join.joined_groups(docs).collect()}
+    assert got == {5: 2, 1: 1, 2: 2, 4: 1, 7: 1, 3: 3, 10: 1, 11: 11, None: None}
+    assert seen["copies"].columns == ["row"] and seen["copies"].count() == 4 and seen["held-by-several"].count() == 0
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_linked_sets_share_a_root(percent):
     """Every pair of sets that is just similar enough has a root in common, and enough in its points."""
