@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -32,6 +33,8 @@ from .common import shared_dir
 
 #: Characters whose class (letter, number, space, other) is the same in all versions of Unicode that matter here.
 PLAIN = r"[^\t\n\r\x20-\x7e¡-ȳЀ-џА-я‐-‧ぁ-ゖァ-ヺ一-龥가-힣]"
+#: Which of these are letters and numbers, as ranges.
+CLASSES = {r"\p{L}": "A-Za-zªµºÀ-ÖØ-öø-ȳЀ-џぁ-ゖァ-ヺ一-龥가-힣", r"\p{N}": "0-9²³¹¼-¾"}
 #: Entries of a worker's cache of pre-tokens, and the longest pre-token that is kept.
 CACHE_ENTRIES, CACHE_CHARS = 800_000, 32
 
@@ -41,6 +44,25 @@ RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def plain_split(pattern: str) -> Callable[[str], list[str]]:
+    """A pattern's pre-tokens of texts without a character outside ``PLAIN``.
+
+    There classes are ranges, which Python's own engine splits by in about half the time; it is not given what it may read
+    in another way.
+    """
+    import regex
+
+    out, inside = [], False
+    for part in re.findall(r"\\p\{\w+\}|\\.|.", pattern, re.DOTALL):
+        ranges = CLASSES.get(part)
+        out.append(part if ranges is None else ranges if inside else f"[{ranges}]")
+        inside = part == "[" or (inside and part != "]")
+    try:
+        return regex.compile(pattern).findall if re.search(r"\\[wWbB]|\(\?[a-zA-Z<]|&&|--|\|\||~~|\[\[", pattern) else re.compile("".join(out)).findall
+    except re.error:
+        return regex.compile(pattern).findall
+
+
 class Encoder:
     """Texts to packed ids with a tokenizers file, by cached pre-tokens."""
 
@@ -48,12 +70,11 @@ class Encoder:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.split, self.odd = regex.compile(pattern).findall, regex.compile(PLAIN).search
+        self.split, self.odd = plain_split(pattern), re.compile(PLAIN).search
         with open(tokenizer_path) as f:
             self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
         self.cache: dict[str, bytes] = {}

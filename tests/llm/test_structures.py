@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tailmap.llm import alignment, conversations, jaccard_join
+from tailmap.llm import alignment, conversations, jaccard_join, token_output
 
 TURNS = "conv_id bigint, turn bigint, role string, text string"
 DOCS = "doc_id bigint, text string"
@@ -254,6 +254,26 @@ def test_only_sets_of_pairs_are_compared(spark, monkeypatch):
     assert seen and all(nodes == ends for nodes, ends in seen) and {0, 1, 2, 3} <= set().union(*[e for _, e in seen])
 
 
+def test_plain_texts_are_split_by_ranges():
+    """Python's own engine, with the same pre-tokens as the pattern's classes give; a pattern that it may read otherwise is left to regex."""
+    import random
+    import re
+
+    import public_tokenizers
+    import regex
+
+    plain = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and not regex.match(token_output.PLAIN, chr(c))]
+    for name, ranges in token_output.CLASSES.items():
+        assert [c for c in plain if regex.match(name, c)] == [c for c in plain if re.match(f"[{ranges}]", c)]
+    split, rng = token_output.plain_split(public_tokenizers.PATTERN), random.Random(9)
+    assert isinstance(split.__self__, re.Pattern)
+    for _ in range(3000):
+        text = "".join(rng.choices(plain, k=9)) + "".join(rng.choices("'stremvld \t\n\r09aÉ²½ª×一-_", k=30))
+        assert split(text) == regex.findall(public_tokenizers.PATTERN, text)
+    for other in (r"\p{Lu}+|[^\p{Lu}]+", r"(?i:'s)|\p{L}+", r"\w+|\W+"):
+        assert not isinstance(token_output.plain_split(other).__self__, re.Pattern)
+
+
 def test_points_travel_small_and_whole(spark):
     import numpy as np
 
