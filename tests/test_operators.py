@@ -240,3 +240,13 @@ def test_empty_tables(spark):
     assert clusters.merge_clusters(none(clusters.CLUSTER)).count() == 0
     assert clusters.mini_clusters(none("sample string, chr string, strand string, pos bigint, cnt bigint, has_pas boolean")).count() == 0
     assert intervals.overlap_join(none("chr string, strand string, s bigint, e bigint"), none("chr string, strand string, s bigint, e bigint")).count() == 0
+
+
+def test_windows_are_cut_by_bytes_where_letters_are_bytes(spark):
+    seqs = {"a": "ACGTTGCAAC" * 30, "b": "ACGÉTGC\U0001f600AC" * 30}
+    chunks = sites.chunked(spark.createDataFrame(list(seqs.items()), "chr string, seq string"), size=64, overlap=16)
+    rows = spark.createDataFrame([(c, "+", s) for c in seqs for s in (-1, 0, 60, 63, 64, 290, 291, 400)], "chr string, strand string, s bigint")
+    found = sites.fetch_windows(rows, chunks, F.col("s"), F.col("s") + 10, size=64, overlap=16)
+    assert found.columns == ["chr", "strand", "s", "flank"]
+    assert {(r.chr, r.s): r.flank for r in found.collect()} == {(c, s): t[s : s + 10] if 0 <= s <= 290 else None for c, t in seqs.items() for s in (-1, 0, 60, 63, 64, 290, 291, 400)}
+    assert "as binary" in found._jdf.queryExecution().optimizedPlan().toString()
